@@ -64,35 +64,39 @@ def category_counts(reference: DataFrame, current: DataFrame, features: list[str
     return stacked.groupBy("feature", "value").agg(*[F.sum(w).alias(n) for n, w in _side_weights().items()])
 
 
-def chi2_statistics(counts: DataFrame, group: list[str]) -> DataFrame:
-    """(group, statistic, dof, p_value) from aligned counts (group..., value, ref, cur).
+def _chi2_columns(ref_total: Column, cur_total: Column, k: Column, part: Column, first_ref: Column, first_cur: Column):
+    """(statistic, dof) from sums over categories.
 
-    With one degree of freedom each deviation is moved half a count towards zero.  A
-    single category or an empty side gives (0, 1).  Needs no second look at the
-    categories: the statistic splits into sums over them.
+    ``part`` is the sum of ref^2 / (ref + cur).  In a 2 x 2 table every cell deviates by
+    the same amount, so one category stands for both; each deviation is moved half a
+    count towards zero.  A single category or an empty side gives (0, 0).
     """
+    r, c = ref_total.cast("double"), cur_total.cast("double")
+    n = r + c
+    degenerate = (k < 2) | (r == 0) | (c == 0)
+    plain = F.try_divide(n * n, r * c) * (part - F.try_divide(r * r, n))
+    first = (first_ref + first_cur).cast("double")
+    deviation = F.abs(first_ref - F.try_divide(r * first, n))
+    moved = deviation - F.least(F.lit(0.5), deviation)
+    corrected = F.try_divide(moved * moved * n * n * n, r * c * first * (n - first))
+    statistic = F.when(degenerate, 0.0).when(k == 2, corrected).otherwise(F.greatest(plain, F.lit(0.0)))
+    return statistic, F.when(degenerate, 0).otherwise(k - 1).cast("long")
+
+
+def chi2_statistics(counts: DataFrame, group: list[str]) -> DataFrame:
+    """(group, statistic, dof, p_value) from aligned counts (group..., value, ref, cur)."""
     totals = counts.groupBy(*group).agg(
         F.sum("ref").alias("_r"),
         F.sum("cur").alias("_c"),
         F.count(F.lit(1)).alias("_k"),
-        # sum of ref^2 / (ref + cur): chi2 = N^2 / (R C) * (that - R^2 / N)
-        F.sum(F.col("ref") * (F.col("ref") / (F.col("ref") + F.col("cur")))).alias("_s"),
-        # for a 2 x 2 table every cell deviates by the same amount
-        F.min(F.struct(F.col("value"), F.col("ref"), F.col("cur"))).alias("_first"),
+        F.sum(F.col("ref") * (F.col("ref") / (F.col("ref") + F.col("cur")))).alias("_part"),
+        F.min(F.struct("value", "ref", "cur")).alias("_first"),
     )
-    n = (F.col("_r") + F.col("_c")).cast("double")
-    r, c = F.col("_r").cast("double"), F.col("_c").cast("double")
-    degenerate = (F.col("_k") < 2) | (F.col("_r") == 0) | (F.col("_c") == 0)
-    plain = F.try_divide(n * n, r * c) * (F.col("_s") - F.try_divide(r * r, n))
-    first = (F.col("_first.ref") + F.col("_first.cur")).cast("double")
-    deviation = F.abs(F.col("_first.ref") - F.try_divide(r * first, n))
-    moved = deviation - F.least(F.lit(0.5), deviation)
-    corrected = F.try_divide(moved * moved * n * n * n, r * c * first * (n - first))
-    statistic = F.when(degenerate, 0.0).when(F.col("_k") == 2, corrected).otherwise(F.greatest(plain, F.lit(0.0)))
-    out = totals.withColumn("statistic", statistic).withColumn(
-        "dof", F.when(degenerate, 0).otherwise(F.col("_k") - 1).cast("long")
+    statistic, dof = _chi2_columns(
+        F.col("_r"), F.col("_c"), F.col("_k"), F.col("_part"), F.col("_first.ref"), F.col("_first.cur")
     )
-    return out.select(*group, "statistic", "dof", chi2_p_value(F.col("statistic"), F.col("dof")).alias("p_value"))
+    out = totals.select(*group, statistic.alias("statistic"), dof.alias("dof"))
+    return out.withColumn("p_value", chi2_p_value(F.col("statistic"), F.col("dof")))
 
 
 def chi2_drift(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
@@ -100,6 +104,109 @@ def chi2_drift(reference: DataFrame, current: DataFrame, features: list[str]) ->
     return chi2_statistics(category_counts(reference, current, features), ["feature"])
 
 
+# --- many groups against one reference --------------------------------------------------
+
+
+def ks_against_reference(reference: DataFrame, current: DataFrame, group: list[str]) -> DataFrame:
+    """(group, feature, statistic, p_value) of histograms (group..., feature, value, n).
+
+    ``reference`` is (feature, value, n).  The largest gap lies at a current value or just
+    before one, so the reference counts are looked up at current values only; the
+    reference is not repeated per group.
+    """
+    both = reference.select("feature", "value", F.col("n").alias("ref"), F.lit(0).alias("cur")).unionByName(
+        current.select("feature", "value", F.lit(0).cast("long").alias("ref"), F.lit(1).alias("cur"))
+    )
+    looked_up = prefix_counts(both, ["feature"], "value", {"ref": F.col("ref"), "cur": F.col("cur")}).select(
+        "feature", "value", "ref", "ref_before", "ref_total"
+    )
+    own = prefix_counts(current, [*group, "feature"], "value", {"cur": F.col("n")})
+    joined = own.join(looked_up, ["feature", "value"])
+    share_cur_before = F.try_divide("cur_before", "cur_total")
+    share_cur = F.try_divide(F.col("cur_before") + F.col("cur"), F.col("cur_total"))
+    share_ref_before = F.try_divide("ref_before", "ref_total")
+    share_ref = F.try_divide(F.col("ref_before") + F.col("ref"), F.col("ref_total"))
+    gap = F.greatest(F.abs(share_cur - share_ref), F.abs(share_cur_before - share_ref_before))
+    out = joined.groupBy(*group, "feature").agg(
+        F.max(gap).alias("statistic"), F.max("ref_total").alias("n_ref"), F.max("cur_total").alias("n_cur")
+    )
+    p = F.when(F.col("statistic").isNotNull(), ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur")))
+    return out.select(*group, "feature", "statistic", p.alias("p_value"))
+
+
+def chi2_against_reference(reference: DataFrame, current: DataFrame, group: list[str]) -> DataFrame:
+    """(group, feature, statistic, dof, p_value) of category counts (group..., feature, value, n).
+
+    Categories only the reference has enter through its total, so they need no row per
+    group.
+    """
+    ref = reference.select("feature", "value", F.col("n").alias("ref"))
+    ref_totals = ref.groupBy("feature").agg(F.sum("ref").alias("_r"), F.count(F.lit(1)).alias("_k_ref"))
+    matched = current.join(ref, ["feature", "value"], "left").withColumn("ref", F.coalesce("ref", F.lit(0)))
+    sums = matched.groupBy(*group, "feature").agg(
+        F.sum("n").alias("_c"),
+        F.sum("ref").alias("_seen"),
+        F.count(F.when(F.col("ref") == 0, 1)).alias("_new"),
+        F.sum(F.col("ref") * (F.col("ref") / (F.col("ref") + F.col("n")))).alias("_part"),
+        F.min(F.struct("value", "ref", "n")).alias("_first"),
+    )
+    joined = sums.join(ref_totals, "feature")
+    statistic, dof = _chi2_columns(
+        F.col("_r"),
+        F.col("_c"),
+        F.col("_k_ref") + F.col("_new"),
+        F.col("_part") + (F.col("_r") - F.col("_seen")),
+        F.col("_first.ref"),
+        F.col("_first.n"),
+    )
+    out = joined.select(*group, "feature", statistic.alias("statistic"), dof.alias("dof"))
+    return out.withColumn("p_value", chi2_p_value(F.col("statistic"), F.col("dof")))
+
+
+def histogram_drift(
+    reference: DataFrame, current: DataFrame, group: list[str], continuous: list[str], categorical: list[str],
+    alpha: float = 0.05,
+) -> DataFrame:
+    """(group, feature, test, statistic, p_value, drift_detected) from stored histograms.
+
+    Values are text in both histograms; continuous ones are read as doubles.
+    """
+
+    def numeric(df: DataFrame) -> DataFrame:
+        return df.where(F.col("feature").isin(continuous)).withColumn("value", F.col("value").cast("double"))
+
+    def nominal(df: DataFrame) -> DataFrame:
+        return df.where(F.col("feature").isin(categorical))
+
+    parts = []
+    if continuous:
+        ks = ks_against_reference(numeric(reference), numeric(current), group)
+        parts.append(ks.select(*group, "feature", F.lit("ks").alias("test"), "statistic", "p_value"))
+    if categorical:
+        chi2 = chi2_against_reference(nominal(reference), nominal(current), group)
+        parts.append(chi2.select(*group, "feature", F.lit("chi2").alias("test"), "statistic", "p_value"))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return out.withColumn("drift_detected", F.col("p_value") < F.lit(float(alpha)))
+
+
+def feature_histogram(df: DataFrame, features: list[str], group: list[str] | None = None) -> DataFrame:
+    """(group..., feature, value, n) with values as text; works on a stream as well."""
+    group = group or []
+    wide = df.select(*group, *[F.col(f"`{c}`").cast("string").alias(c) for c in features])
+    long = wide.unpivot(group, features, "feature", "value").where(F.col("value").isNotNull())
+    return long.groupBy(*group, "feature", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def count_windows(df: DataFrame, key: str, size: int = 10_000, start: int = 0) -> DataFrame:
+    """(key, window_id): consecutive windows of ``size`` rows by ascending numeric key.
+
+    ``start`` rows came before this table.
+    """
+    keyed = df.select(F.lit("all").alias("_all"), key)
+    ranked = prefix_counts(keyed, ["_all"], key, {"n": F.lit(1)}, n_groups=1)
+    return ranked.select(key, F.floor((F.col("n_before") + start) / size).cast("long").alias("window_id"))
+
+
 def data_drift(reference: DataFrame, current: DataFrame, roles: Roles, alpha: float = 0.05) -> DataFrame:
     """(feature, test, statistic, p_value, drift_detected); absent columns are skipped."""
     found = roles.for_drift().present_in(reference, current)
