@@ -1,0 +1,6 @@
+"""Registered queries; importing the package fills the registry."""
+
+from riskframe.plans import io_contracts, profiling
+from riskframe.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES", "io_contracts", "profiling"]

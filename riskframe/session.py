@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", app: str = "riskframe", **conf: str) -
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("RISKFRAME_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
