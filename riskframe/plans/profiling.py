@@ -103,8 +103,8 @@ def ag06(spark, sf):
 
 
 def _describe_sql(column: str, source: str) -> str:
-    return f"""SELECT '{column}' AS feature, count({column}) AS "count", round(avg({column}), 6) AS mean,
-      round(stddev_samp({column}), 6) AS std, CAST(min({column}) AS DOUBLE) AS "min",
+    return f"""SELECT '{column}' AS feature, count({column}) AS "count", round(avg({column}), 5) AS mean,
+      round(stddev_samp({column}), 5) AS std, CAST(min({column}) AS DOUBLE) AS "min",
       round(quantile_cont({column}, 0.25), 6) AS q1, round(quantile_cont({column}, 0.5), 6) AS median,
       round(quantile_cont({column}, 0.75), 6) AS q3, CAST(max({column}) AS DOUBLE) AS "max" FROM {source}"""
 
@@ -112,8 +112,8 @@ def _describe_sql(column: str, source: str) -> str:
 @query("ag07_describe", with_("lines") + " UNION ALL ".join(_describe_sql(c, "lines") for c in LINE_FEATURES))
 def ag07(spark, sf):
     out = profile.describe(lines(spark, sf), LINE_FEATURES)
-    rounded = [F.round(c, 6).alias(c) for c in ("mean", "std", "q1", "median", "q3")]
-    return out.select("feature", "count", "min", "max", *rounded)
+    digits = {"mean": 5, "std": 5, "q1": 6, "median": 6, "q3": 6}
+    return out.select("feature", "count", "min", "max", *[F.round(c, d).alias(c) for c, d in digits.items()])
 
 
 @query(
@@ -404,8 +404,9 @@ def wn05(spark, sf):
 @query(
     "wn06_shuffle_order",
     with_("accounts")
-    + """SELECT target, CAST(floor((row_number() OVER (PARTITION BY target ORDER BY md5('3:' || row_id)) - 1) * 4
-         // count(*) OVER (PARTITION BY target)) AS INTEGER) AS quarter, row_id FROM accounts""",
+    + """SELECT target, CASE WHEN rn <= n // 4 THEN 0 WHEN rn <= 2 * n // 4 THEN 1 WHEN rn <= 3 * n // 4 THEN 2 ELSE 3 END
+         AS quarter, row_id FROM (SELECT target, row_id, row_number() OVER (PARTITION BY target ORDER BY
+         md5('3:' || row_id)) AS rn, count(*) OVER (PARTITION BY target) AS n FROM accounts)""",
 )
 def wn06(spark, sf):
     """Rows by quarter of a seeded shuffle inside each class."""
