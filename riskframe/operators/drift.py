@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions.significance import chi2_p_value, ks_p_value
-from riskframe.operators.prefix import prefix_counts, to_long
+from riskframe.operators.prefix import exact_quantiles, prefix_counts
 from riskframe.roles import Roles
 
 
@@ -276,7 +276,8 @@ def retraining_triggers(
         F.count(F.when(F.col("drift_detected") & F.col("feature").isin(critical), 1)).cast("double").alias("crit"),
     )
     drop = model_report.agg(F.max(F.col("reference_roc_auc") - F.col("current_roc_auc")).alias("drop"))
-    slow = latencies.agg(F.percentile_approx(latency, 0.95, 10000).cast("double").alias("p95"))
+    timed = latencies.select(F.lit("all").alias("_all"), F.col(latency).cast("double").alias("_ms"))
+    slow = exact_quantiles(timed, ["_all"], "_ms", {"p95": 0.95}, n_groups=1).select("p95")
     n = F.col("n")
     tier = F.when(n == 0, "none").when(n < 5, "watch").otherwise("retrain")
     # Three one-row tables.

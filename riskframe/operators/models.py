@@ -16,6 +16,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (
@@ -28,7 +29,16 @@ from pyspark.ml.param.shared import (
     HasRegParam,
     HasStandardization,
 )
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable,
+    DefaultParamsReader,
+    DefaultParamsWritable,
+    DefaultParamsWriter,
+    MLReadable,
+    MLReader,
+    MLWritable,
+    MLWriter,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +150,77 @@ class CalibratedMarginModel(Model, _MarginParams, DefaultParamsReadable, Default
         return out.withColumn(self.getPredictionCol(), (F.col("_p1") > 0.5).cast("double")).drop("_p1")
 
 
+# --- trees that keep their leaf rates ---------------------------------------------------
+
+
+class _RateParams(HasPredictionCol, HasProbabilityCol, HasRawPredictionCol):
+    def __init__(self) -> None:
+        super().__init__()
+        self._setDefault(predictionCol="prediction", probabilityCol="probability", rawPredictionCol="rawPrediction")
+
+
+class LeafRateClassifier(Estimator, _RateParams):
+    """A regression tree or forest on the 0/1 label, read as class probabilities.
+
+    Spark's classification trees merge leaves that predict the same class, which throws
+    away differing rates and with them the order of scores.  On a 0/1 label the variance
+    criterion picks the same splits as Gini impurity (it is half of it) and nothing is merged.
+    """
+
+    def __init__(self, regressor: Estimator):
+        super().__init__()
+        self.regressor = regressor.copy().setPredictionCol("_rate")
+
+    def _fit(self, dataset: DataFrame) -> "LeafRateModel":
+        return self._copyValues(LeafRateModel(self.regressor.fit(dataset)))
+
+
+class LeafRateModel(Model, _RateParams, MLWritable, MLReadable):
+    def __init__(self, tree: Model):
+        super().__init__()
+        self.tree = tree
+
+    @property
+    def featureImportances(self):
+        return self.tree.featureImportances
+
+    @property
+    def depth(self) -> int:
+        return self.tree.depth
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        out = self.tree.transform(dataset)
+        vector = array_to_vector(F.array(1.0 - F.col("_rate"), F.col("_rate")))
+        out = out.withColumn(self.getProbabilityCol(), vector).withColumn(self.getRawPredictionCol(), vector)
+        return out.withColumn(self.getPredictionCol(), (F.col("_rate") > 0.5).cast("double")).drop("_rate")
+
+    def write(self) -> MLWriter:
+        return _LeafRateWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _LeafRateReader()
+
+
+class _LeafRateWriter(MLWriter):
+    def __init__(self, instance: LeafRateModel):
+        super().__init__()
+        self.instance = instance
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
+        self.instance.tree.write().save(f"{path}/tree")
+
+
+class _LeafRateReader(MLReader):
+    def load(self, path: str) -> LeafRateModel:
+        metadata = DefaultParamsReader.loadMetadata(path, self.sparkSession)
+        model = LeafRateModel(DefaultParamsReader.loadParamsInstance(f"{path}/tree", self.sparkSession))
+        model._resetUid(metadata["uid"])
+        DefaultParamsReader.getAndSetParams(model, metadata)
+        return model
+
+
 # --- registry -------------------------------------------------------------------------
 
 
@@ -185,20 +266,24 @@ def _tree_settings(p: dict) -> dict:
 
 
 def _decision_tree(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
-    return DecisionTreeClassifier(
-        featuresCol=x, labelCol=roles.target, seed=seed, impurity=p.get("criterion", "gini"), **_tree_settings(p)
-    )
+    common = {"featuresCol": x, "labelCol": roles.target, "seed": seed, **_tree_settings(p)}
+    if p.get("criterion", "gini") == "gini":
+        return LeafRateClassifier(DecisionTreeRegressor(**common))
+    return DecisionTreeClassifier(impurity=p["criterion"], **common)
 
 
 def _random_forest(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
-    return RandomForestClassifier(
-        featuresCol=x,
-        labelCol=roles.target,
-        seed=seed,
-        numTrees=p.get("n_estimators", 100),
-        featureSubsetStrategy=p.get("max_features", "sqrt"),
+    common = {
+        "featuresCol": x,
+        "labelCol": roles.target,
+        "seed": seed,
+        "numTrees": p.get("n_estimators", 100),
+        "featureSubsetStrategy": p.get("max_features", "sqrt"),
         **_tree_settings(p),
-    )
+    }
+    if p.get("criterion", "gini") == "gini":
+        return LeafRateClassifier(RandomForestRegressor(**common))
+    return RandomForestClassifier(impurity=p["criterion"], **common)
 
 
 def _boosting(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:

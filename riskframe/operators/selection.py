@@ -127,9 +127,10 @@ def enrich_runs(runs: DataFrame, extra: DataFrame) -> DataFrame:
         "dimred_n_components": "0",
         "explained_variance": "na",
     }
-    joined = runs.join(extra.select("run_name", *defaults), "run_name", "left")
+    renamed = extra.select("run_name", *[F.col(c).alias(f"_{c}") for c in defaults])
     kept = [c for c in runs.columns if c not in defaults]
-    return joined.select(*kept, *[F.coalesce(extra[c], F.lit(d)).alias(c) for c, d in defaults.items()])
+    filled = [F.coalesce(F.col(f"_{c}"), F.lit(d)).alias(c) for c, d in defaults.items()]
+    return runs.select(*kept).join(renamed, "run_name", "left").select(*kept, *filled)
 
 
 def latest_baseline(runs: DataFrame) -> DataFrame:

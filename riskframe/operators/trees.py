@@ -12,6 +12,8 @@ from riskframe.session import fresh_path
 def node_table(model, spark) -> DataFrame:
     """(id, prediction, n, left, right, feature, threshold, categories) of a tree model.
 
+    ``prediction`` is the class of a classification tree, the rate of a regression tree.
+
     Reads what model persistence writes, so the tree is a table like any other.
     """
     path = fresh_path(spark, "tree")
