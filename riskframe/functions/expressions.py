@@ -155,7 +155,8 @@ def half_even(value: Column, digits: int) -> Column:
 
 
 def fixed_point(value: Column, digits: int = 4) -> Column:
-    return F.format_string(f"%.{digits}f", value)
+    """Text with a fixed number of digits; null stays null."""
+    return F.when(value.isNotNull(), F.format_string(f"%.{digits}f", value))
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:

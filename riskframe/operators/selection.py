@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.functions.expressions import contains, family_rank, metric_or, reduction_label
+from riskframe.functions.expressions import contains, family_rank, fixed_point, metric_or, reduction_label
 
 TIE_DELTA = 1e-4
 
@@ -156,12 +156,12 @@ def reduction_pivot(runs: DataFrame, configs: list[str], models: list[str] | Non
     def when_config(config: str) -> Column:
         hit = (F.col("stage") == "dimred") & contains(F.col("run_name"), f"__{config}__")
         best = F.max(F.when(hit, F.col("roc_auc")))
-        return F.coalesce(F.when(best.isNotNull(), F.format_string("%.4f", best)), F.lit("n/a")).alias(config)
+        return F.coalesce(fixed_point(best), F.lit("n/a")).alias(config)
 
     plain = F.max(F.when(F.col("stage") == "baseline", F.col("roc_auc")))
     out = runs if models is None else runs.where(F.col("model_name").isin(models))
     return out.groupBy(F.col("model_name").alias("model")).agg(
-        F.coalesce(F.when(plain.isNotNull(), F.format_string("%.4f", plain)), F.lit("n/a")).alias("none"),
+        F.coalesce(fixed_point(plain), F.lit("n/a")).alias("none"),
         *[when_config(c) for c in configs],
     )
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.functions.expressions import fixed_point
+
 
 def write_json_lines(df: DataFrame, path: str) -> None:
     """Each row as one JSON object, nested types included."""
@@ -22,7 +24,7 @@ def markdown_line(dtypes: list[tuple[str, str]], *, digits: int = 4) -> Column:
     def cell(name: str, kind: str) -> Column:
         column = F.col(f"`{name}`")
         if kind in ("double", "float"):
-            return F.coalesce(F.format_string(f"%.{digits}f", column), F.lit("nan"))
+            return F.coalesce(fixed_point(column, digits), F.lit("nan"))
         return F.coalesce(column.cast("string"), F.lit(""))
 
     cells = [cell(n, t) for n, t in dtypes]
