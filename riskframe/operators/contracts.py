@@ -202,7 +202,8 @@ def validate_json_records(df: DataFrame, column: str, fields: list[str]) -> Data
     The text is parsed into a variant, which keeps the JSON types, so ``"3"`` (a string)
     and ``3.5`` are told from ``3``; a plain typed parse would convert or blank them.
     """
-    parsed = F.try_parse_json(F.col(column))
+    df = df.withColumn("_parsed", F.try_parse_json(F.col(column)))
+    parsed = F.col("_parsed")
     is_object = F.schema_of_variant(parsed).startswith("OBJECT")
 
     def raw(name: str) -> Column:
@@ -224,7 +225,7 @@ def validate_json_records(df: DataFrame, column: str, fields: list[str]) -> Data
         .when(F.size(wrong) > 0, F.concat(F.lit("not an integer: "), F.array_join(wrong, ",")))
     )
     record = F.struct(*[F.try_variant_get(parsed, f"$['{f}']", "long").alias(f) for f in fields])
-    return df.withColumn("reason", reason).withColumn("record", record)
+    return df.withColumns({"reason": reason, "record": record}).drop("_parsed")
 
 
 def accepted_and_quarantined(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

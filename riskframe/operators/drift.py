@@ -107,7 +107,9 @@ def chi2_drift(reference: DataFrame, current: DataFrame, features: list[str]) ->
 # --- many groups against one reference --------------------------------------------------
 
 
-def ks_against_reference(reference: DataFrame, current: DataFrame, group: list[str]) -> DataFrame:
+def ks_against_reference(
+    reference: DataFrame, current: DataFrame, group: list[str], *, n_features: int | None = None
+) -> DataFrame:
     """(group, feature, statistic, p_value) of histograms (group..., feature, value, n).
 
     ``reference`` is (feature, value, n).  The largest gap lies at a current value or just
@@ -117,9 +119,8 @@ def ks_against_reference(reference: DataFrame, current: DataFrame, group: list[s
     both = reference.select("feature", "value", F.col("n").alias("ref"), F.lit(0).alias("cur")).unionByName(
         current.select("feature", "value", F.lit(0).cast("long").alias("ref"), F.lit(1).alias("cur"))
     )
-    looked_up = prefix_counts(both, ["feature"], "value", {"ref": F.col("ref"), "cur": F.col("cur")}).select(
-        "feature", "value", "ref", "ref_before", "ref_total"
-    )
+    looked_up = prefix_counts(both, ["feature"], "value", {"ref": F.col("ref"), "cur": F.col("cur")}, n_groups=n_features)
+    looked_up = looked_up.select("feature", "value", "ref", "ref_before", "ref_total")
     own = prefix_counts(current, [*group, "feature"], "value", {"cur": F.col("n")})
     joined = own.join(looked_up, ["feature", "value"])
     share_cur_before = F.try_divide("cur_before", "cur_total")
@@ -180,7 +181,7 @@ def histogram_drift(
 
     parts = []
     if continuous:
-        ks = ks_against_reference(numeric(reference), numeric(current), group)
+        ks = ks_against_reference(numeric(reference), numeric(current), group, n_features=len(continuous))
         parts.append(ks.select(*group, "feature", F.lit("ks").alias("test"), "statistic", "p_value"))
     if categorical:
         chi2 = chi2_against_reference(nominal(reference), nominal(current), group)

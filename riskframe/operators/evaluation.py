@@ -68,14 +68,24 @@ def _per_class(cells: DataFrame, group: list[str]) -> DataFrame:
     return rows.withColumn("f1", harmonic0(F.col("precision"), F.col("recall")))
 
 
+def _macro_columns(tn: Column, fp: Column, fn: Column, tp: Column) -> dict[str, Column]:
+    """Accuracy and macro averages as plain expressions of the four cells."""
+    sides = []
+    for hit, other_as_this, this_as_other in ((tn, fn, fp), (tp, fp, fn)):
+        p, r = ratio0(hit, hit + other_as_this), ratio0(hit, hit + this_as_other)
+        seen = F.when(hit + other_as_this + this_as_other > 0, 1.0).otherwise(0.0)
+        sides.append((seen, {"precision_macro": p, "recall_macro": r, "f1_macro": harmonic0(p, r)}))
+    (seen0, zero), (seen1, one) = sides
+    out = {"accuracy": ratio0(tn + tp, tn + fp + fn + tp)}
+    for m in zero:
+        out[m] = F.try_divide(seen0 * zero[m] + seen1 * one[m], seen0 + seen1)
+    return out
+
+
 def macro_metrics(cells: DataFrame, group: list[str]) -> DataFrame:
     """(group, accuracy, precision_macro, recall_macro, f1_macro) over the classes seen."""
-    return _per_class(cells, group).groupBy(*group).agg(
-        ratio0(F.sum("hit"), F.max("total")).alias("accuracy"),
-        F.avg("precision").alias("precision_macro"),
-        F.avg("recall").alias("recall_macro"),
-        F.avg("f1").alias("f1_macro"),
-    )
+    columns = _macro_columns(*(F.col(c) for c in ("tn", "fp", "fn", "tp")))
+    return cells.select(*group, *[c.alias(m) for m, c in columns.items()])
 
 
 def class_report(cells: DataFrame, group: list[str]) -> DataFrame:
@@ -109,19 +119,22 @@ def score_table(
     return prefix_counts(df, group, score, weights, n_groups=n_groups)
 
 
-def auc_of(table: DataFrame, group: list[str]) -> DataFrame:
-    """(group, roc_auc) from a score table; null when one class is absent.
+def _wins() -> Column:
+    """Twice the pairs a score wins; as decimals, so that the sum does not depend on the order."""
+    below = 2 * F.col("neg_before") + F.col("neg")
+    return F.sum(F.col("pos").cast("decimal(19,0)") * below.cast("decimal(19,0)"))
 
-    Counts are summed as decimals so that the result does not depend on the order.
-    """
-    wins = F.col("pos").cast("decimal(19,0)") * (2 * F.col("neg_before") + F.col("neg")).cast("decimal(19,0)")
+
+def _area(wins: Column, positives: Column, negatives: Column) -> Column:
+    return F.try_divide(wins.cast("double"), 2.0 * positives.cast("double") * negatives.cast("double"))
+
+
+def auc_of(table: DataFrame, group: list[str]) -> DataFrame:
+    """(group, roc_auc) from a score table; null when one class is absent."""
     out = table.groupBy(*group).agg(
-        F.sum(wins).alias("_wins"), F.max("pos_total").alias("_p"), F.max("neg_total").alias("_n")
+        _wins().alias("_w"), F.max("pos_total").alias("_p"), F.max("neg_total").alias("_n")
     )
-    area = F.try_divide(
-        F.col("_wins").cast("double"), 2.0 * F.col("_p").cast("double") * F.col("_n").cast("double")
-    )
-    return out.select(*group, area.alias("roc_auc"))
+    return out.select(*group, _area(F.col("_w"), F.col("_p"), F.col("_n")).alias("roc_auc"))
 
 
 def roc_auc(
@@ -182,12 +195,27 @@ def all_metrics(
     *,
     n_groups: int | None = None,
 ) -> DataFrame:
-    """(group, roc_auc, f1_macro, precision_macro, recall_macro, accuracy)."""
-    labels = macro_metrics(confusion(df, group, y, prediction), group)
-    areas = roc_auc(df, group, y, score, n_groups=n_groups)
-    return labels.join(areas, group).select(
-        *group, "roc_auc", "f1_macro", "precision_macro", "recall_macro", "accuracy"
+    """(group, roc_auc, f1_macro, precision_macro, recall_macro, accuracy) in one pass.
+
+    The confusion cells ride along as weights of the score table, so a table that is
+    scored on the fly is scored once.
+    """
+    said_yes = F.col(prediction) == 1
+    weights = {
+        "pos": F.when(F.col(y) == 1, 1).otherwise(0),
+        "neg": F.when(F.col(y) == 0, 1).otherwise(0),
+        "tp": F.when((F.col(y) == 1) & said_yes, 1).otherwise(0),
+        "fp": F.when((F.col(y) == 0) & said_yes, 1).otherwise(0),
+    }
+    table = prefix_counts(df, group, score, weights, n_groups=n_groups)
+    sums = table.groupBy(*group).agg(
+        _wins().alias("_w"), *[F.max(f"{w}_total").alias(f"_{w}") for w in weights]
     )
+    pos, neg, tp, fp = (F.col(f"_{w}") for w in weights)
+    labels = _macro_columns(neg - fp, fp, pos - tp, tp)
+    named = {"roc_auc": _area(F.col("_w"), pos, neg), **labels}
+    order = ["roc_auc", "f1_macro", "precision_macro", "recall_macro", "accuracy"]
+    return sums.select(*group, *[named[m].alias(m) for m in order])
 
 
 # --- comparisons --------------------------------------------------------------------
@@ -345,25 +373,37 @@ def bootstrap_accuracy(
 ) -> DataFrame:
     """(group, low, median, high): percentile interval of accuracy from Poisson weights.
 
-    Each replicate gives a row a Poisson(1) weight derived from its digest, so no row is
+    Each replicate gives a row a Poisson(1) weight derived from its key, so no row is
     duplicated: a replicate is two sums, and all replicates share one aggregate.
     """
     # Cumulative Poisson(1) probabilities, fixed values.
     steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
              0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
+    span = 2**53
 
-    def weight(i: int) -> Column:
-        bits = F.xxhash64(F.lit(seed), F.lit(i), F.col(key))
-        uniform = F.pmod(bits, F.lit(2**53)).cast("double") / float(2**53)
-        return F.aggregate(
-            F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda acc, s: acc + F.when(uniform > s, 1).otherwise(0)
-        )
+    def weight(bits: Column) -> Column:
+        return reduce(lambda a, b: a + b, [F.when(bits > int(s * span), 1).otherwise(0) for s in steps])
 
-    hit = F.when(F.col(y) == F.col(prediction), 1).otherwise(0)
-    long = df.select(*group, hit.alias("_hit"), F.posexplode(F.array(*[weight(i) for i in range(replicates)])))
-    per = long.groupBy(*group, "pos").agg(F.sum("col").alias("_n"), F.sum(F.col("col") * F.col("_hit")).alias("_k"))
-    per = per.withColumn("accuracy", F.try_divide("_k", "_n"))
-    # ``replicates`` values per group: a small exact percentile.
-    q = per.groupBy(*group).agg(F.percentile("accuracy", [0.025, 0.5, 0.975]).alias("_q"))
-    return q.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(("low", "median", "high"))])
+    hit = F.when(F.col(y) == F.col(prediction), 1).otherwise(0).alias("_hit")
+    drawn = df.select(
+        *group, hit, *[F.pmod(F.xxhash64(F.lit(seed), F.lit(i), F.col(key)), F.lit(span)).alias(f"_b{i}") for i in range(replicates)]
+    )
+    weighted = drawn.select(*group, "_hit", *[weight(F.col(f"_b{i}")).alias(f"_w{i}") for i in range(replicates)])
+    sums = []
+    for i in range(replicates):
+        sums.append(F.sum(f"_w{i}").alias(f"_n{i}"))
+        sums.append(F.sum(F.col(f"_w{i}") * F.col("_hit")).alias(f"_k{i}"))
+    per = weighted.groupBy(*group).agg(*sums)
+    values = F.filter(
+        F.array(*[F.try_divide(f"_k{i}", f"_n{i}") for i in range(replicates)]), lambda v: v.isNotNull()
+    )
+    ordered = per.select(*group, F.array_sort(values).alias("_v"))
 
+    def quantile(p: float) -> Column:
+        at = F.lit(p) * (F.size("_v") - 1)
+        low, high = F.get("_v", F.floor(at).cast("int")), F.get("_v", F.ceil(at).cast("int"))
+        return low + (high - low) * (at - F.floor(at))
+
+    return ordered.select(
+        *group, quantile(0.025).alias("low"), quantile(0.5).alias("median"), quantile(0.975).alias("high")
+    )

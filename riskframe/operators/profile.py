@@ -116,16 +116,32 @@ def quartiles(df: DataFrame, columns: list[str], *, approximate: bool = False, a
     return out.withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
+def _per_column(df: DataFrame, columns: list[str], measures: dict) -> DataFrame:
+    """(feature, measure...) from one wide aggregate; the table is not multiplied by its columns."""
+    sums = [
+        f(F.col(f"`{c}`").cast("double")).alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()
+    ]
+    rows = [
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{m}_{i}").alias(m) for m in measures])
+        for i, c in enumerate(columns)
+    ]
+    return df.agg(*sums).select(F.inline(F.array(*rows)))
+
+
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, count, mean, std, min, q1, median, q3, max); std with n - 1."""
-    long = to_long(df, columns)
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    moments = _per_column(
+        df,
+        columns,
+        {
+            "count": F.count,
+            "mean": F.avg,
+            "std": F.stddev_samp,
+            "min": F.min,
+            "max": F.max,
+        },
     )
+    long = to_long(df, columns)
     quants = exact_quantiles(long, ["feature"], "value", QUARTILES, n_groups=len(columns))
     # Both sides hold one row per feature.
     return moments.join(F.broadcast(quants), "feature").select(
@@ -179,9 +195,7 @@ def equal_width_histogram(df: DataFrame, columns: list[str], bins: int = 50) ->
     """(feature, bin, n): bins of equal width from minimum to maximum, the last one closed."""
     long = to_long(df, columns).where(F.col("value").isNotNull())
     # One row per listed column.
-    span = F.broadcast(
-        long.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    )
+    span = F.broadcast(_per_column(df, columns, {"lo": F.min, "hi": F.max}))
     width = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
     position = F.floor((F.col("value") - F.col("lo")) * bins / width)
     placed = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)) + 1

@@ -118,7 +118,7 @@ def fit_split(
     train: float = 0.70,
     val: float = 0.15,
     test: float = 0.15,
-    prefix_digits: int = 3,
+    prefix_digits: int = 4,
 ) -> Cuts:
     """Three-way stratified split; test rows are set aside first, then validation."""
     _check_ratios(train, val, test)
@@ -129,7 +129,7 @@ def fit_split(
 
 
 def fit_two_way(
-    df: DataFrame, key: str, label: str, *, seed: int = 42, test: float = 0.30, prefix_digits: int = 3
+    df: DataFrame, key: str, label: str, *, seed: int = 42, test: float = 0.30, prefix_digits: int = 4
 ) -> Cuts:
     """Stratified train / test split."""
     _check_ratios(1.0 - test, 0.0, test)
@@ -138,7 +138,7 @@ def fit_two_way(
 
 
 def fit_folds(
-    df: DataFrame, key: str, label: str, *, k: int = 5, seed: int = 42, prefix_digits: int = 3
+    df: DataFrame, key: str, label: str, *, k: int = 5, seed: int = 42, prefix_digits: int = 4
 ) -> Cuts:
     """Shuffled stratified folds; within a class fold sizes differ by at most one row."""
     if k < 2:
@@ -153,7 +153,7 @@ def assign_folds(df: DataFrame, folds: Cuts, column: str = "fold") -> DataFrame:
 
 
 def fit_fractions(
-    df: DataFrame, key: str, label: str, fractions: list[float], *, seed: int = 42, prefix_digits: int = 3
+    df: DataFrame, key: str, label: str, fractions: list[float], *, seed: int = 42, prefix_digits: int = 4
 ) -> Cuts:
     """Nested stratified samples: part ``i`` completes the first ``fractions[i]`` of each class."""
     if sorted(fractions) != list(fractions) or not 0 < fractions[0] <= fractions[-1] <= 1:

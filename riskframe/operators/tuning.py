@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import time
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +21,7 @@ from riskframe.operators.models import (
 )
 from riskframe.operators.splits import assign_folds, fit_folds, fit_fractions
 from riskframe.roles import Roles
+from riskframe.session import materialise
 
 METRICS = ["roc_auc", "f1_macro", "precision_macro", "recall_macro", "accuracy"]
 
@@ -41,19 +42,19 @@ def fold_predictions(folded: DataFrame, pipeline: Pipeline, roles: Roles, k: int
     return _union(parts)
 
 
-def fold_metrics(predictions: DataFrame, group: list[str] | None = None) -> DataFrame:
+def fold_metrics(predictions: DataFrame, group: list[str] | None = None, n_groups: int | None = None) -> DataFrame:
     """(group..., fold, metric, value) for ROC-AUC and macro F1, all folds in one job."""
     keys = [*(group or []), "fold"]
-    wide = evaluation.all_metrics(predictions, keys)
+    wide = evaluation.all_metrics(predictions, keys, n_groups=n_groups)
     return evaluation.to_metric_rows(wide, keys, ["roc_auc", "f1_macro"])
 
 
 def cross_validate(
-    df: DataFrame, pipeline: Pipeline, roles: Roles, *, k: int = 5, seed: int = 42, prefix_digits: int = 3
+    df: DataFrame, pipeline: Pipeline, roles: Roles, *, k: int = 5, seed: int = 42, prefix_digits: int = 4
 ) -> DataFrame:
     """(fold, metric, value) of stratified k-fold cross-validation with two scorers."""
     cuts = fit_folds(df, roles.key, roles.target, k=k, seed=seed, prefix_digits=prefix_digits)
-    return fold_metrics(fold_predictions(assign_folds(df, cuts), pipeline, roles, k))
+    return fold_metrics(fold_predictions(assign_folds(df, cuts), pipeline, roles, k), n_groups=k)
 
 
 # --- search -------------------------------------------------------------------------
@@ -74,43 +75,29 @@ def search(
 ) -> tuple[PipelineModel, dict, DataFrame]:
     """Best model refitted on all rows, its settings, and (combo, settings..., score).
 
-    ROC-AUC uses ``CrossValidator`` with the exact area and the stratified fold column.
-    Each combination is a whole pipeline, given as the only stage to set.  Macro F1 is
-    not a Spark evaluator metric, so it is taken from the fold predictions.
+    Every combination is a whole pipeline, scored by the mean of the metric over the
+    stratified folds.  Combinations run side by side on driver threads; the data are
+    written with their folds once, so every fit reads the table and not its lineage.
+    (``CrossValidator`` would pass the fold column through a Python function per row.)
     """
     if metric not in ("roc_auc", "f1_macro"):
         raise ValueError("search by 'roc_auc' or 'f1_macro'")
     n_train = df.count()
     points = search_points(name, n_iter=n_iter, seed=seed, grid=grid)
-    cuts = fit_folds(df, roles.key, roles.target, k=k, seed=seed)
-    folded = assign_folds(df, cuts)
-    pipelines = [
-        build_pipeline(name, roles, n_train=n_train, seed=seed, params=p, reduction=reduction) for p in points
-    ]
-    if metric == "roc_auc":
-        holder = Pipeline(stages=pipelines[0].getStages())
-        validator = CrossValidator(
-            estimator=holder,
-            estimatorParamMaps=[{holder.stages: p.getStages()} for p in pipelines],
-            evaluator=BinaryClassificationEvaluator(
-                labelCol=roles.target, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0
-            ),
-            numFolds=k,
-            foldCol="fold",
-            parallelism=parallelism,
-        )
-        fitted = validator.fit(folded)
-        scores, best_model = list(fitted.avgMetrics), fitted.bestModel
-        best = max(range(len(points)), key=lambda i: scores[i])
-    else:
-        parts = [
-            fold_predictions(folded, p, roles, k).withColumn("combo", F.lit(i)) for i, p in enumerate(pipelines)
-        ]
-        rows = fold_metrics(_union(parts), ["combo"]).where(F.col("metric") == metric)
-        by_combo = {r["combo"]: r["score"] for r in rows.groupBy("combo").agg(F.avg("value").alias("score")).collect()}
-        scores = [by_combo[i] for i in range(len(points))]
-        best = max(range(len(points)), key=lambda i: scores[i])
-        best_model = pipelines[best].fit(df)
+    folded = materialise(assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed)), "folds")
+
+    def pipeline(p: dict) -> Pipeline:
+        return build_pipeline(name, roles, n_train=n_train, seed=seed, params=p, reduction=reduction)
+
+    def score(p: dict) -> float:
+        rows = fold_metrics(fold_predictions(folded, pipeline(p), roles, k), n_groups=k)
+        value = rows.where(F.col("metric") == metric).agg(F.avg("value").alias("score")).first()["score"]
+        return float("-inf") if value is None else float(value)
+
+    with ThreadPool(max(1, min(parallelism, len(points)))) as pool:
+        scores = pool.map(inheritable_thread_target(df.sparkSession)(score), points)
+    best = max(range(len(points)), key=lambda i: scores[i])
+    best_model = pipeline(points[best]).fit(folded)
     names = sorted({k_ for p in points for k_ in p})
     table = df.sparkSession.createDataFrame(
         [
@@ -140,7 +127,7 @@ def learning_curve(
     Training parts are nested: each fraction contains the smaller ones.
     """
     fractions = fractions or [i / 10 for i in range(1, 11)]
-    folded = assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed))
+    folded = materialise(assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed)), "folds")
     n_train = df.count()
     parts = []
     for i in range(k):
@@ -155,7 +142,7 @@ def learning_curve(
             for side, rows in (("train", some), ("validation", held)):
                 tags = [F.lit(fraction).alias("fraction"), F.lit(side).alias("side"), F.lit(i).alias("fold")]
                 parts.append(scored(model.transform(rows), roles, *tags))
-    areas = evaluation.roc_auc(_union(parts), ["fraction", "side", "fold"])
+    areas = evaluation.roc_auc(_union(parts), ["fraction", "side", "fold"], n_groups=len(parts))
     return areas.groupBy("fraction", "side").agg(
         F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")
     )

@@ -628,11 +628,15 @@ def sc11(spark, sf):
     "SELECT o_custkey, o_orderkey FROM orders WHERE o_orderstatus = 'P'",
 )
 def sc12(spark, sf):
-    """Id lists per customer as JSON text, read back and exploded."""
-    ids = table(spark, sf, "orders").where(F.col("o_orderstatus") == "P").groupBy("o_custkey").agg(
+    """Id lists per customer as JSON text, read back and exploded.
+
+    A list covers a range of 1000 unique keys, so no customer's list outgrows that.
+    """
+    pending = table(spark, sf, "orders").where(F.col("o_orderstatus") == "P")
+    ids = pending.groupBy("o_custkey", F.floor(F.col("o_orderkey") / 1000).alias("page")).agg(
         F.collect_list("o_orderkey").alias("ids")
     )
-    text = ids.select(F.to_json(F.struct("o_custkey", "ids")).alias("json"))
+    text = ids.select(F.to_json(F.struct("o_custkey", "page", "ids")).alias("json"))
     back = text.select(F.from_json("json", ids.schema).alias("r"))
     return back.select("r.o_custkey", F.explode("r.ids").alias("o_orderkey"))
 

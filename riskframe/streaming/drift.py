@@ -52,20 +52,19 @@ def start_count_windows(
 ) -> StreamingQuery:
     """Histograms per ``size`` consecutive records, in arrival order of micro-batches.
 
-    A batch stores how many rows it had next to its histograms; the position of its first
-    row is the sum over earlier batches.  Both are files named after the batch, so a
-    repeated batch starts from the same position and replaces its own output.
+    A batch stores the position after its last row next to its histograms; the next one
+    starts there.  Both are files named after the batch, so a repeated batch reads the
+    same position and replaces its own output.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.persist()
-        n = rows.count()
         start = 0
         if batch_id > 0:
-            sizes = spark.read.schema("n_rows long, batch long").parquet(f"{out}/sizes")
-            start = sizes.where(F.col("batch") < batch_id).agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-        spark.createDataFrame([(n,)], "n_rows long").write.mode("overwrite").parquet(f"{out}/sizes/batch={batch_id}")
+            start = spark.read.schema("end_row long").parquet(f"{out}/positions/batch={batch_id - 1}").first()[0]
+        end = spark.createDataFrame([(start + rows.count(),)], "end_row long")
+        end.write.mode("overwrite").parquet(f"{out}/positions/batch={batch_id}")
         placed = rows.join(count_windows(rows, key, size, start), key)
         feature_histogram(placed, features, ["window_id"]).write.mode("overwrite").parquet(
             f"{out}/histograms/batch={batch_id}"
@@ -82,7 +81,7 @@ def read_count_windows(spark: SparkSession, out: str, size: int) -> DataFrame:
     """(window_id, feature, value, n) of full windows only; a window may span batches."""
     parts = spark.read.parquet(f"{out}/histograms")
     merged = parts.groupBy("window_id", "feature", "value").agg(F.sum("n").alias("n"))
-    total = spark.read.parquet(f"{out}/sizes").agg(F.sum("n_rows").alias("_rows"))
+    total = spark.read.parquet(f"{out}/positions").agg(F.max("end_row").alias("_rows"))
     # ``total`` is one row.
     full = merged.crossJoin(F.broadcast(total)).where((F.col("window_id") + 1) * size <= F.col("_rows"))
     return full.drop("_rows")
