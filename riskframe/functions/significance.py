@@ -12,6 +12,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def is_significant(p_value: Column, alpha: float) -> Column:
+    """Strictly below alpha; a missing p-value stays missing."""
+    return p_value < F.lit(float(alpha))
+
+
+def is_degraded(delta: Column, threshold: float) -> Column:
+    """A change strictly beyond the allowed drop, judged before any rounding."""
+    return delta < F.lit(-float(threshold))
+
+
 def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column, terms: int = 100) -> Column:
     """Asymptotic two-sample p-value with the finite-size correction of the tail argument."""
     n = F.round(n_ref.cast("double") * n_cur / (n_ref + n_cur))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.significance import chi2_p_value, ks_p_value
+from riskframe.functions.significance import chi2_p_value, is_degraded, is_significant, ks_p_value
 from riskframe.operators.prefix import exact_quantiles, prefix_counts
 from riskframe.roles import Roles
 
@@ -187,7 +187,7 @@ def histogram_drift(
         chi2 = chi2_against_reference(nominal(reference), nominal(current), group)
         parts.append(chi2.select(*group, "feature", F.lit("chi2").alias("test"), "statistic", "p_value"))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out.withColumn("drift_detected", F.col("p_value") < F.lit(float(alpha)))
+    return out.withColumn("drift_detected", is_significant(F.col("p_value"), alpha))
 
 
 def feature_histogram(df: DataFrame, features: list[str], group: list[str] | None = None) -> DataFrame:
@@ -221,7 +221,7 @@ def data_drift(reference: DataFrame, current: DataFrame, roles: Roles, alpha: fl
     if not parts:
         raise ValueError("none of the features is in both tables")
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return out.withColumn("drift_detected", F.col("p_value") < F.lit(float(alpha)))
+    return out.withColumn("drift_detected", is_significant(F.col("p_value"), alpha))
 
 
 def drift_summary(report: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def model_drift(baseline: DataFrame, current: DataFrame, threshold: float = 0.05
         "current_roc_auc",
         F.round(delta, 6).alias("delta_roc_auc"),
         F.lit(float(threshold)).alias("threshold"),
-        (delta < -float(threshold)).alias("drift_detected"),
+        is_degraded(delta, threshold).alias("drift_detected"),
     )
 
 

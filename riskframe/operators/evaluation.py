@@ -367,43 +367,33 @@ def mcnemar(df: DataFrame, y: str, first: str, second: str) -> DataFrame:
     return out.withColumn("p_value", chi2_p_value(F.col("statistic"), F.lit(1)))
 
 
+# Cumulative Poisson(1) probabilities, fixed values.
+POISSON_STEPS = [
+    0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
+    0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253,
+]
+
+
 def bootstrap_accuracy(
-    df: DataFrame, key: str, group: list[str], *, replicates: int = 100, seed: int = 42,
+    df: DataFrame, key: str, group: list[str], *, replicates: int = 100, blocks: int = 1000, seed: int = 42,
     y: str = "y", prediction: str = "prediction",
 ) -> DataFrame:
-    """(group, low, median, high): percentile interval of accuracy from Poisson weights.
+    """(group, low, median, high): percentile interval of accuracy from a Poisson bootstrap.
 
-    Each replicate gives a row a Poisson(1) weight derived from its key, so no row is
-    duplicated: a replicate is two sums, and all replicates share one aggregate.
+    Rows fall into blocks by a hash of their key and are counted once per block; each
+    replicate then weighs the blocks, so only ``blocks x replicates`` small rows per
+    group are ever drawn.  Random blocks give a ratio the same spread as single rows.
     """
-    # Cumulative Poisson(1) probabilities, fixed values.
-    steps = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-             0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253]
-    span = 2**53
-
-    def weight(bits: Column) -> Column:
-        return reduce(lambda a, b: a + b, [F.when(bits > int(s * span), 1).otherwise(0) for s in steps])
-
-    hit = F.when(F.col(y) == F.col(prediction), 1).otherwise(0).alias("_hit")
-    drawn = df.select(
-        *group, hit, *[F.pmod(F.xxhash64(F.lit(seed), F.lit(i), F.col(key)), F.lit(span)).alias(f"_b{i}") for i in range(replicates)]
-    )
-    weighted = drawn.select(*group, "_hit", *[weight(F.col(f"_b{i}")).alias(f"_w{i}") for i in range(replicates)])
-    sums = []
-    for i in range(replicates):
-        sums.append(F.sum(f"_w{i}").alias(f"_n{i}"))
-        sums.append(F.sum(F.col(f"_w{i}") * F.col("_hit")).alias(f"_k{i}"))
-    per = weighted.groupBy(*group).agg(*sums)
-    values = F.filter(
-        F.array(*[F.try_divide(f"_k{i}", f"_n{i}") for i in range(replicates)]), lambda v: v.isNotNull()
-    )
-    ordered = per.select(*group, F.array_sort(values).alias("_v"))
-
-    def quantile(p: float) -> Column:
-        at = F.lit(p) * (F.size("_v") - 1)
-        low, high = F.get("_v", F.floor(at).cast("int")), F.get("_v", F.ceil(at).cast("int"))
-        return low + (high - low) * (at - F.floor(at))
-
-    return ordered.select(
-        *group, quantile(0.025).alias("low"), quantile(0.5).alias("median"), quantile(0.975).alias("high")
+    block = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(blocks)).alias("_block")
+    hit = F.when(F.col(y) == F.col(prediction), 1).otherwise(0)
+    cells = df.groupBy(*group, block).agg(F.count(F.lit(1)).alias("_n"), F.sum(hit).alias("_k"))
+    drawn = cells.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    bits = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_rep"), F.col("_block")), F.lit(2**53))
+    weight = reduce(lambda a, b: a + b, [F.when(F.col("_bits") > int(s * 2**53), 1).otherwise(0) for s in POISSON_STEPS])
+    drawn = drawn.withColumn("_bits", bits).withColumn("_w", weight)
+    per = drawn.groupBy(*group, "_rep").agg(
+        F.try_divide(F.sum(F.col("_w") * F.col("_k")), F.sum(F.col("_w") * F.col("_n"))).alias("_accuracy")
     )
+    # ``replicates`` values per group: a small exact percentile.
+    q = per.groupBy(*group).agg(F.percentile("_accuracy", [0.025, 0.5, 0.975]).alias("_q"))
+    return q.select(*group, *[F.col("_q")[i].alias(n) for i, n in enumerate(("low", "median", "high"))])

@@ -276,7 +276,19 @@ def ss03b(spark, sf):
     return stream_drift.read_count_windows(spark, out, 3000)
 
 
-@query("ss03_count_window_drift")
+@query(
+    "ss03_count_window_drift",
+    """WITH w AS (SELECT event_type, CAST((row_number() OVER (ORDER BY event_id) - 1) // 3000 AS BIGINT) AS window_id FROM events),
+       r AS (SELECT event_type, count(*) AS r FROM events WHERE ts < TIMESTAMP '2024-01-10' GROUP BY event_type),
+       c AS (SELECT window_id, event_type, count(*) AS c FROM w WHERE (window_id + 1) * 3000 <= (SELECT count(*) FROM events)
+             GROUP BY window_id, event_type),
+       t AS (SELECT window_id, r, c, sum(r) OVER (PARTITION BY window_id) AS nr, sum(c) OVER (PARTITION BY window_id) AS nc
+             FROM c JOIN r USING (event_type)),
+       chi AS (SELECT window_id, sum((r - nr * (r + c) / (nr + nc)::DOUBLE) ** 2 / (nr * (r + c) / (nr + nc)::DOUBLE)
+             + (c - nc * (r + c) / (nr + nc)::DOUBLE) ** 2 / (nc * (r + c) / (nr + nc)::DOUBLE)) AS s FROM t GROUP BY window_id)
+       SELECT window_id, 'event_type' AS feature, 'chi2' AS test, round(s, 6) AS statistic, s > 9.487729036781154
+       AS drift_detected FROM chi""",
+)
 def ss03c(spark, sf):
     early = table(spark, sf, "events").where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
     found = stream_drift.count_window_drift(early, ss03b(spark, sf), [], ["event_type"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from riskframe.functions.significance import is_degraded, is_significant
 from riskframe.operators import importance, selection
 from riskframe.operators.splits import sample_rows
 from riskframe.plans.bindings import CONFIGS, RUN_CTES, run_heads, run_metrics, table, wide_runs, with_
@@ -346,3 +347,17 @@ def ex03(spark, sf):
         wide_runs(spark, sf), ["experiment"], {"roc_auc": 0.7, "cv_roc_auc_std": 0.3}, ["cv_roc_auc_std"]
     )
     return out.withColumn("selection_score", F.round("selection_score", 6))
+
+
+@query(
+    "pr08_threshold_alerts",
+    with_(*RUN_CTES)
+    + """SELECT run_id, inference_latency_ms < 0.04::DOUBLE AS significant,
+         roc_auc - cv_roc_auc_mean < -0.005::DOUBLE AS degraded FROM runs""",
+)
+def pr08(spark, sf):
+    return wide_runs(spark, sf).select(
+        "run_id",
+        is_significant(F.col("inference_latency_ms"), 0.04).alias("significant"),
+        is_degraded(F.col("roc_auc") - F.col("cv_roc_auc_mean"), 0.005).alias("degraded"),
+    )
