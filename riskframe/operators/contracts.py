@@ -5,10 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.session import materialise
+
 
 def _is_missing(df: DataFrame, column: str) -> Column:
     if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
@@ -28,16 +30,39 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*pairs)))
 
 
+# Largest list of suspect row hashes that may be broadcast: a million longs are 8 MB.
+MAX_SUSPECTS = 1_000_000
+
+
+def _count_copies(df: DataFrame, columns: list[str]) -> tuple[int, DataFrame]:
+    """Number of rows, and (n_duplicate_rows) as one row.
+
+    Only 8-byte row hashes are shuffled at first.  Rows whose hash is unique are unique;
+    the rest is compared in full, found by a broadcast of the suspect hashes while these
+    are few and by grouping whole rows otherwise.  Either way the count is exact.
+    """
+    names = [f"`{c}`" for c in columns]
+    row_hash = F.xxhash64(*names).alias("_hash")
+    seen = Observation()
+    copies = df.select(row_hash).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
+    copies = copies.observe(seen, F.sum("_n").alias("rows"))
+    suspects = materialise(copies.where(F.col("_n") > 1).select("_hash"), "suspects")
+    n_rows = int(seen.get["rows"] or 0)
+    candidates = df.select(*names)
+    if suspects.count() <= MAX_SUSPECTS:
+        candidates = df.select(*names, row_hash).join(F.broadcast(suspects), "_hash", "left_semi")
+    exact = candidates.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    return n_rows, exact.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicate_rows"))
+
+
 def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(n_rows, n_duplicate_rows, duplicate_ratio): all but the first copy count."""
-    names = [f"`{c}`" for c in (columns or df.columns)]
-    copies = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    return copies.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicate_rows"),
-    ).withColumn(
-        "duplicate_ratio",
-        F.coalesce(F.round(F.try_divide(F.col("n_duplicate_rows"), F.col("n_rows")), 6), F.lit(0.0)),
+    n_rows, copies = _count_copies(df, columns or df.columns)
+    ratio = F.round(F.try_divide(F.col("n_duplicate_rows"), F.lit(n_rows)), 6)
+    return copies.select(
+        F.lit(n_rows).cast("long").alias("n_rows"),
+        "n_duplicate_rows",
+        F.coalesce(ratio, F.lit(0.0)).alias("duplicate_ratio"),
     )
 
 
@@ -82,17 +107,16 @@ class Contract:
     def check(self, df: DataFrame) -> DataFrame:
         """(position, check, severity, passed, observed, expected), fatal checks in order.
 
-        Duplicates need the one shuffle; the row count comes out of the same aggregate.
+        Duplicates need a shuffle (of row hashes); missing cells are one aggregate.
         """
-        names = [f"`{c}`" for c in df.columns]
+        n_rows, copies = _count_copies(df, df.columns)
         n_missing = reduce(
             lambda a, b: a + b, [F.when(_is_missing(df, c), 1).otherwise(0) for c in df.columns]
         )
-        copies = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.sum(n_missing).alias("_missing"))
-        summary = copies.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum("_missing"), F.lit(0)).alias("missing"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("copies"),
+        missing = df.agg(F.coalesce(F.sum(n_missing), F.lit(0)).alias("missing"))
+        # Two one-row tables.
+        summary = copies.crossJoin(F.broadcast(missing)).select(
+            F.lit(n_rows).alias("rows"), "missing", F.col("n_duplicate_rows").alias("copies")
         )
 
         def row(position: int, name: str, observed: Column, expected: Column) -> Column:

@@ -27,7 +27,7 @@ def read_titled_text(
     lines = spark.read.text(path)
     header = sep.join(schema.names)
     body = lines.where((F.col("value") != title) & (F.col("value") != header) & (F.trim("value") != ""))
-    parsed = body.select(F.from_csv("value", schema.simpleString()[7:-1].replace(":", " "), {"sep": sep}).alias("r"))
+    parsed = body.select(F.from_csv("value", schema.toDDL(), {"sep": sep}).alias("r"))
     table = parsed.select("r.*")
     return drop_id(table, id_col) if id_col else table
 

@@ -145,6 +145,15 @@ def test_duplicates_of_an_empty_table(customers):
     assert (row.n_rows, row.n_duplicate_rows, row.duplicate_ratio) == (0, 0, 0.0)
 
 
+def test_duplicates_either_way(spark, monkeypatch):
+    rows = [(1, None), (1, None), (None, 1), (2, 2), (2, 2), (2, 2), (3, 3)]
+    df = spark.createDataFrame(rows, "a int, b int")
+    few = contracts.duplicate_count(df).first()
+    monkeypatch.setattr(contracts, "MAX_SUSPECTS", 0)
+    assert contracts.duplicate_count(df).first() == few
+    assert (few.n_rows, few.n_duplicate_rows, few.duplicate_ratio) == (7, 3, round(3 / 7, 6))
+
+
 def test_nan_counts_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
     assert contracts.missing_counts(df).first().n_missing == 2
