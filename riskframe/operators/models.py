@@ -6,8 +6,9 @@ import itertools
 import random
 from collections.abc import Callable
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -28,6 +29,7 @@ from pyspark.ml.param.shared import (
     HasRawPredictionCol,
     HasRegParam,
     HasStandardization,
+    HasTol,
 )
 from pyspark.ml.util import (
     DefaultParamsReadable,
@@ -54,7 +56,7 @@ UNLIMITED_DEPTH = 30
 
 class _MarginParams(
     HasFeaturesCol, HasLabelCol, HasPredictionCol, HasProbabilityCol, HasRawPredictionCol,
-    HasMaxIter, HasRegParam, HasStandardization,
+    HasMaxIter, HasRegParam, HasStandardization, HasTol,
 ):
     keyCol = Param(Params._dummy(), "keyCol", "unique row key that decides the fold", TypeConverters.toString)
     numFolds = Param(Params._dummy(), "numFolds", "number of members", TypeConverters.toInt)
@@ -76,6 +78,7 @@ class CalibratedMarginClassifier(Estimator, _MarginParams, DefaultParamsReadable
         numFolds: int = 3,
         maxIter: int = 100,
         regParam: float = 0.0,
+        tol: float = 1e-3,
         standardization: bool = True,
     ):
         super().__init__()
@@ -86,6 +89,7 @@ class CalibratedMarginClassifier(Estimator, _MarginParams, DefaultParamsReadable
             numFolds=3,
             maxIter=100,
             regParam=0.0,
+            tol=1e-3,
             standardization=True,
         )
         self._set(**self._input_kwargs)
@@ -95,20 +99,25 @@ class CalibratedMarginClassifier(Estimator, _MarginParams, DefaultParamsReadable
         k = self.getOrDefault(self.numFolds)
         fold = F.pmod(F.xxhash64(F.col(self.getOrDefault(self.keyCol))), F.lit(k))
         rows = dataset.select(x, F.col(y).cast("double").alias("_y"), fold.alias("_fold"))
-        members = []
-        for i in range(k):
+
+        def member(i: int) -> list[float]:
             svc = LinearSVC(
                 featuresCol=x,
                 labelCol="_y",
                 maxIter=self.getMaxIter(),
                 regParam=self.getRegParam(),
+                tol=self.getTol(),
                 standardization=self.getStandardization(),
             ).fit(rows.where(F.col("_fold") != i))
             weights = [float(w) for w in svc.coefficients.toArray()]
             margin = dot(F.col(x), weights) + F.lit(float(svc.intercept))
             held = rows.where(F.col("_fold") == i).select(array_to_vector(F.array(margin)).alias("_m"), "_y")
             sigmoid = LogisticRegression(featuresCol="_m", labelCol="_y", maxIter=100).fit(held)
-            members.append([*weights, float(svc.intercept), float(sigmoid.coefficients[0]), float(sigmoid.intercept)])
+            return [*weights, float(svc.intercept), float(sigmoid.coefficients[0]), float(sigmoid.intercept)]
+
+        # Members are independent fits; Spark interleaves their jobs.
+        with ThreadPool(k) as pool:
+            members = pool.map(inheritable_thread_target(dataset.sparkSession)(member), range(k))
         model = CalibratedMarginModel(members=members)
         return self._copyValues(model)
 
