@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,11 +43,9 @@ def _count_copies(df: DataFrame, columns: list[str]) -> tuple[int, DataFrame]:
     """
     names = [f"`{c}`" for c in columns]
     row_hash = F.xxhash64(*names).alias("_hash")
-    seen = Observation()
+    n_rows = df.count()
     copies = df.select(row_hash).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
-    copies = copies.observe(seen, F.sum("_n").alias("rows"))
     suspects = materialise(copies.where(F.col("_n") > 1).select("_hash"), "suspects")
-    n_rows = int(seen.get["rows"] or 0)
     candidates = df.select(*names)
     if suspects.count() <= MAX_SUSPECTS:
         candidates = df.select(*names, row_hash).join(F.broadcast(suspects), "_hash", "left_semi")
