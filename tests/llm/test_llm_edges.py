@@ -209,7 +209,7 @@ def test_top_k(spark):
     draw = np.random.default_rng(2)
     vectors = [(i, [float(x) for x in draw.integers(-2, 3, 6) / 4]) for i in range(400)]
     vectors += [(400 + i, [0.5] * 6) for i in range(300)]
-    vectors += [(900, None), (1000, [float("nan")] * 6), (1100, [1.0, None, 0, 0, 0, 0]), (None, [1.0] * 6), (0, [9.0] * 6), (1200, [float("inf")] * 6), (1300, [0.25]), (1400, [])]
+    vectors += [(900, None), (1000, [float("nan")] * 6), (1100, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (None, [1.0] * 6), (0, [9.0] * 6), (1200, [float("inf")] * 6), (1300, [0.25]), (1400, [])]
     df = spark.createDataFrame([(*v, 5) for v in vectors], "vec_id long, embedding array<double>, id int").repartition(5)
     old, topk.TILE, topk.QUERY_BLOCK = (topk.TILE, topk.QUERY_BLOCK), 100, 4
     try:
