@@ -9,7 +9,9 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from riskframe.operators import models  # noqa: E402
 from riskframe.plans import QUERIES  # noqa: E402
+from riskframe.plans.learning import month_model  # noqa: E402
 from riskframe.session import local_session  # noqa: E402
 
 HEADLINE = [
@@ -46,6 +48,17 @@ HEADLINE = [
 ]
 
 
+def timed(action) -> float:
+    started = time.perf_counter()
+    action()
+    return round(time.perf_counter() - started, 3)
+
+
+def run(df) -> None:
+    # The noop sink runs the whole plan without moving rows to the driver.
+    df.write.format("noop").mode("overwrite").save()
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -53,11 +66,15 @@ def main() -> None:
     spark = local_session(cpus, app="bench")
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
+    # Untimed: starts the session and compiles common code.
+    run(QUERIES["ag15_rate_by_group"](spark, sf_dir))
     for name in only or HEADLINE:
-        started = time.perf_counter()
-        # The noop sink runs the whole plan without moving rows to the driver.
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - started, 3)
+        times[name] = timed(lambda name=name: run(QUERIES[name](spark, sf_dir)))
+    if not only:
+        # Fitting and scoring apart, as published figures have them.
+        fitted = []
+        times["month_model_fit"] = timed(lambda: fitted.extend(month_model(spark, sf_dir)))
+        times["month_model_score"] = timed(lambda: run(models.score_batch(*fitted, ["row_id"])))
     print(
         json.dumps(
             {

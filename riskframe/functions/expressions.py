@@ -66,10 +66,13 @@ def typed_param(value: Column) -> Column:
     Order of attempts: null, bool, int, float, string.
     """
     is_null = value.isNull() | (value == "None")
-    is_bool = value.isin("True", "False")
+    lowered = F.lower(value)
+    is_bool = lowered.isin("true", "false")
     as_long = value.try_cast("long")
     is_long = value.rlike(r"^\s*[+-]?[0-9]+\s*$") & as_long.isNotNull()
-    as_double = value.try_cast("double")
+    # The cast alone would also read type suffixes such as "1d".
+    number = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf|infinity|nan)\s*$"
+    as_double = F.when(lowered.rlike(number), value.try_cast("double"))
     kind = (
         F.when(is_null, "null")
         .when(is_bool, "bool")
@@ -79,7 +82,7 @@ def typed_param(value: Column) -> Column:
     )
     return F.struct(
         kind.alias("kind"),
-        F.when(kind == "bool", value == "True").alias("as_bool"),
+        F.when(kind == "bool", lowered == "true").alias("as_bool"),
         F.when(kind == "int", as_long).alias("as_long"),
         F.when(kind == "float", as_double).alias("as_double"),
         F.when(kind == "string", value).alias("as_string"),
@@ -92,7 +95,8 @@ UNKNOWN_FAMILY_RANK = 99
 
 
 def family_rank(family: Column) -> Column:
-    """0 linear, 1 tree, 2 ensemble, 99 otherwise."""
+    """0 linear, 1 tree, 2 ensemble, 99 otherwise; an absent family counts as an ensemble."""
+    family = F.coalesce(family, F.lit("ensemble"))
     rank = F.lit(UNKNOWN_FAMILY_RANK)
     for name, position in FAMILY_RANK.items():
         rank = F.when(family == name, F.lit(position)).otherwise(rank)
@@ -122,7 +126,7 @@ def short_digest(hex_digest: Column, n: int = 8) -> Column:
 
 
 def name_prefix(name: Column) -> Column:
-    """Text before the last underscore-number suffix: ``pay_amt3`` and ``pay_3`` give ``pay``."""
+    """The leading letters: ``pay_amt3`` and ``pay_3`` give ``pay``."""
     return F.regexp_extract(name, r"^([A-Za-z]+)", 1)
 
 

@@ -8,8 +8,11 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def is_significant(p_value: Column, alpha: float) -> Column:
@@ -38,6 +41,40 @@ def ks_p_value(statistic: Column, n_ref: Column, n_cur: Column, terms: int = 100
     return F.when(statistic == 0, F.lit(1.0)).otherwise(p)
 
 
+def ks_exact_probability(distance: int, m: int, n: int) -> float:
+    """P(largest gap >= distance / (m n)) for two samples of m and n from one distribution.
+
+    The merged samples are a random walk from (0, 0) to (m, n); walks that keep both shares closer than the
+    distance are followed step by step, all positions of a step at once.
+    """
+    if distance <= 0:
+        return 1.0
+    i = np.arange(m + 1)
+    inside = np.zeros(m + 1)
+    inside[0] = 1.0
+    for step in range(1, m + n + 1):
+        j = step - i
+        left = m + n - step + 1
+        from_first = np.zeros(m + 1)
+        from_first[1:] = inside[:-1] * (m - i[:-1]) / left
+        from_second = inside * np.clip(n - (j - 1), 0, None) / left
+        inside = from_first + from_second
+        inside[(j < 0) | (j > n) | (np.abs(i * n - j * m) >= distance)] = 0.0
+    return float(min(1.0, max(0.0, 1.0 - inside[m])))
+
+
+@F.pandas_udf(T.DoubleType())
+def ks_exact_p_value(statistic: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
+    """Exact two-sample p-value of finished tests: one row per feature, samples of a bounded size."""
+    return pd.Series(
+        [
+            None if pd.isna(s) or not m or not n else ks_exact_probability(round(s * m * n), int(m), int(n))
+            for s, m, n in zip(statistic, n_ref, n_cur)
+        ],
+        dtype="float64",
+    )
+
+
 def erfc(z: Column) -> Column:
     """Complementary error function of a non-negative column.
 

@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.session import materialise
-
 
 def _is_missing(df: DataFrame, column: str) -> Column:
     if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
@@ -30,35 +28,27 @@ def missing_counts(df: DataFrame) -> DataFrame:
     return counted.select(F.inline(F.array(*pairs)))
 
 
-# Largest list of suspect row hashes that may be broadcast: a million longs are 8 MB.
-MAX_SUSPECTS = 1_000_000
-
-
-def _count_copies(df: DataFrame, columns: list[str]) -> tuple[int, DataFrame]:
-    """Number of rows, and (n_duplicate_rows) as one row.
+def _count_copies(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(n_rows, n_duplicate_rows) as one row, in two lazy passes.
 
-    Only 8-byte row hashes are shuffled at first.  Rows whose hash is unique are unique;
-    the rest is compared in full, found by a broadcast of the suspect hashes while these
-    are few and by grouping whole rows otherwise.  Either way the count is exact.
+    Only 8-byte row hashes are shuffled at first.  Rows whose hash is unique are unique; the rest is
+    found by a join with the repeated hashes and compared in full, so the count is exact.
     """
     names = [f"`{c}`" for c in columns]
     row_hash = F.xxhash64(*names).alias("_hash")
-    n_rows = df.count()
     copies = df.select(row_hash).groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"))
-    suspects = materialise(copies.where(F.col("_n") > 1).select("_hash"), "suspects")
-    candidates = df.select(*names)
-    if suspects.count() <= MAX_SUSPECTS:
-        candidates = df.select(*names, row_hash).join(F.broadcast(suspects), "_hash", "left_semi")
-    exact = candidates.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
-    return n_rows, exact.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicate_rows"))
+    rows = copies.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"))
+    suspects = copies.where(F.col("_n") > 1).select("_hash")
+    exact = df.select(*names, row_hash).join(suspects, "_hash", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    # Two one-row tables.
+    return rows.crossJoin(F.broadcast(exact.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("n_duplicate_rows"))))
 
 
 def duplicate_count(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(n_rows, n_duplicate_rows, duplicate_ratio): all but the first copy count."""
-    n_rows, copies = _count_copies(df, columns or df.columns)
-    ratio = F.round(F.try_divide(F.col("n_duplicate_rows"), F.lit(n_rows)), 6)
-    return copies.select(
-        F.lit(n_rows).cast("long").alias("n_rows"),
+    ratio = F.round(F.try_divide(F.col("n_duplicate_rows"), F.col("n_rows")), 6)
+    return _count_copies(df, columns or df.columns).select(
+        F.col("n_rows").cast("long").alias("n_rows"),
         "n_duplicate_rows",
         F.coalesce(ratio, F.lit(0.0)).alias("duplicate_ratio"),
     )
@@ -102,20 +92,22 @@ class Contract:
     n_rows: int | None = None
     allowed: dict[str, list[int]] = field(default_factory=dict)
 
-    def check(self, df: DataFrame) -> DataFrame:
+    def check(self, df: DataFrame, only: list[str] | None = None) -> DataFrame:
         """(position, check, severity, passed, observed, expected), fatal checks in order.
 
-        Duplicates need a shuffle (of row hashes); missing cells are one aggregate.
+        ``only`` names the checks to make; the others cost nothing.  Row and cell counts are one aggregate,
+        duplicates need a shuffle (of row hashes).
         """
-        n_rows, copies = _count_copies(df, df.columns)
+        asked = {"row_count", "column_count", "target_present", "no_missing", "no_duplicates", "domain"}
+        asked = asked if only is None else asked & set(only)
         n_missing = reduce(
             lambda a, b: a + b, [F.when(_is_missing(df, c), 1).otherwise(0) for c in df.columns]
         )
-        missing = df.agg(F.coalesce(F.sum(n_missing), F.lit(0)).alias("missing"))
-        # Two one-row tables.
-        summary = copies.crossJoin(F.broadcast(missing)).select(
-            F.lit(n_rows).alias("rows"), "missing", F.col("n_duplicate_rows").alias("copies")
-        )
+        summary = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(n_missing), F.lit(0)).alias("missing"))
+        if "no_duplicates" in asked:
+            # Two one-row tables.
+            copies = _count_copies(df, df.columns).select(F.col("n_duplicate_rows").alias("copies"))
+            summary = summary.crossJoin(F.broadcast(copies))
 
         def row(position: int, name: str, observed: Column, expected: Column) -> Column:
             return F.struct(
@@ -127,17 +119,17 @@ class Contract:
                 expected.cast("long").alias("expected"),
             )
 
-        rows = []
+        facts = {
+            "column_count": (2, F.lit(len(df.columns)), F.lit(self.n_columns)),
+            "target_present": (3, F.lit(int(self.target in df.columns)), F.lit(1)),
+            "no_missing": (4, F.col("missing"), F.lit(0)),
+            "no_duplicates": (5, F.col("copies"), F.lit(0)),
+        }
         if self.n_rows is not None:
-            rows.append(row(1, "row_count", F.col("rows"), F.lit(self.n_rows)))
-        rows += [
-            row(2, "column_count", F.lit(len(df.columns)), F.lit(self.n_columns)),
-            row(3, "target_present", F.lit(int(self.target in df.columns)), F.lit(1)),
-            row(4, "no_missing", F.col("missing"), F.lit(0)),
-            row(5, "no_duplicates", F.col("copies"), F.lit(0)),
-        ]
-        fatal = summary.select(F.inline(F.array(*rows)))
-        if not any(c in df.columns for c in self.allowed):
+            facts = {"row_count": (1, F.col("rows"), F.lit(self.n_rows)), **facts}
+        rows = [row(position, name, *pair) for name, (position, *pair) in facts.items() if name in asked]
+        fatal = summary.select(F.inline(F.array(*rows))) if rows else None
+        if "domain" not in asked or not any(c in df.columns for c in self.allowed):
             return fatal
         warnings = domain_violations(df, self.allowed).select(
             F.lit(6).alias("position"),
@@ -147,12 +139,12 @@ class Contract:
             F.col("n").alias("observed"),
             F.lit(0).cast("long").alias("expected"),
         )
-        return fatal.unionByName(warnings)
+        return warnings if fatal is None else fatal.unionByName(warnings)
 
     def enforce(self, df: DataFrame) -> list[str]:
         """Raise on the first failed fatal check, else return the warnings."""
-        failed = self.check(df).where(~F.col("passed"))
-        first = failed.where(F.col("severity") == "fatal").orderBy("position").limit(1).collect()
+        fatal = ["row_count", "column_count", "target_present", "no_missing", "no_duplicates"]
+        first = first_failure(self.check(df, only=fatal)).collect()
         if first:
             raise ValueError(
                 f"contract broken: {first[0]['check']} is {first[0]['observed']}, "

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.significance import chi2_p_value, is_degraded, is_significant, ks_p_value
-from riskframe.operators.prefix import exact_quantiles, prefix_counts
+from riskframe.functions.significance import chi2_p_value, is_degraded, is_significant, ks_exact_p_value, ks_p_value
+from riskframe.operators.prefix import exact_quantiles, number, prefix_counts
 from riskframe.roles import Roles
 
 
@@ -17,7 +17,10 @@ def stack_sides(
     keep = keep or []
 
     def side(df: DataFrame, flag: int) -> DataFrame:
-        wide = df.select(*keep, *[F.col(f"`{c}`").cast(to_type).alias(c) for c in features])
+        def cell(c: str) -> Column:
+            return number(F.col(f"`{c}`")) if to_type == "double" else F.col(f"`{c}`").cast(to_type)
+
+        wide = df.select(*keep, *[cell(c).alias(c) for c in features])
         return wide.unpivot(keep, features, "feature", "value").withColumn("side", F.lit(flag))
 
     return side(reference, 0).unionByName(side(current, 1)).where(F.col("value").isNotNull())
@@ -30,8 +33,17 @@ def _side_weights() -> dict[str, Column]:
     }
 
 
+# Rows per side up to which the p-value is exact; beyond that it is asymptotic.
+EXACT_ROWS = 10_000
+
+
 def ks_statistics(
-    stacked: DataFrame, group: list[str], *, n_groups: int | None = None, weight: Column | None = None
+    stacked: DataFrame,
+    group: list[str],
+    *,
+    n_groups: int | None = None,
+    weight: Column | None = None,
+    exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """(group, statistic, p_value) of rows (group..., side, value [, weight]).
 
@@ -48,14 +60,20 @@ def ks_statistics(
     out = table.groupBy(*group).agg(
         F.max(gap).alias("statistic"), F.max("ref_total").alias("n_ref"), F.max("cur_total").alias("n_cur")
     )
-    p = F.when(F.col("statistic").isNotNull(), ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur")))
+    sizes = (F.col("statistic"), F.col("n_ref"), F.col("n_cur"))
+    p = F.when(F.col("statistic").isNotNull(), ks_p_value(*sizes))
+    if exact_rows:
+        few = F.greatest("n_ref", "n_cur") <= exact_rows
+        # Larger tests are not handed to the exact form at all.
+        out = out.withColumn("_exact", ks_exact_p_value(F.when(few, sizes[0]), F.when(few, sizes[1]), F.when(few, sizes[2])))
+        p = F.coalesce(F.nanvl("_exact", F.lit(None).cast("double")), p)
     return out.select(*group, "statistic", p.alias("p_value"))
 
 
-def ks_drift(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
+def ks_drift(reference: DataFrame, current: DataFrame, features: list[str], *, exact_rows: int = EXACT_ROWS) -> DataFrame:
     """(feature, statistic, p_value), all continuous features in one shuffle."""
     stacked = stack_sides(reference, current, features, "double")
-    return ks_statistics(stacked, ["feature"], n_groups=len(features))
+    return ks_statistics(stacked, ["feature"], n_groups=len(features), exact_rows=exact_rows)
 
 
 def category_counts(reference: DataFrame, current: DataFrame, features: list[str]) -> DataFrame:
@@ -238,7 +256,7 @@ def drift_summary(report: DataFrame) -> DataFrame:
 def drift_metric_rows(report: DataFrame) -> DataFrame:
     """(key, value): one p-value metric per feature, for the run log."""
     return report.select(
-        F.concat(F.lit("drift_p_"), "feature").alias("key"), F.col("p_value").alias("value")
+        F.concat(F.lit("pval_"), "feature").alias("key"), F.col("p_value").alias("value")
     )
 
 

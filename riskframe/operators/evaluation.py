@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.operators.prefix import prefix_counts
+from riskframe.operators.prefix import join_groups, prefix_counts
 from riskframe.operators.splits import digest
 
 
@@ -30,7 +30,11 @@ def harmonic0(a: Column, b: Column) -> Column:
 
 
 def confusion(df: DataFrame, group: list[str], y: str = "y", prediction: str = "prediction") -> DataFrame:
-    """(group, tn, fp, fn, tp)."""
+    """(group, tn, fp, fn, tp) of labels 0 and 1; rows with any other label or prediction fail, as do missing
+    ones, instead of vanishing from the counts."""
+    usable = F.col(y).isin(0, 1) & F.col(prediction).isin(0, 1)
+    message = F.concat(F.lit("not a 0/1 label and prediction: "), F.concat_ws(", ", F.coalesce(F.col(y).cast("string"), F.lit("null")), F.coalesce(F.col(prediction).cast("string"), F.lit("null"))))
+    df = df.withColumn(y, F.when(F.coalesce(usable, F.lit(False)), F.col(y)).otherwise(F.raise_error(message).cast("int")))
 
     def count(a: int, b: int) -> Column:
         return F.count(F.when((F.col(y) == a) & (F.col(prediction) == b), 1))
@@ -164,17 +168,26 @@ def curve_points(table: DataFrame, group: list[str], score: str = "score") -> Da
 def roc_curve(
     df: DataFrame, group: list[str], y: str = "y", score: str = "score", *, n_groups: int | None = None
 ) -> DataFrame:
-    """One point per distinct score; the origin (threshold infinity) is implied."""
+    """One point per distinct score, and the origin at threshold infinity."""
     points = curve_points(score_table(df, group, y, score, n_groups=n_groups), group, score)
-    return points.select(*group, "threshold", "fpr", "tpr")
+    origin = _anchor(points, group, {"fpr": 0.0, "tpr": 0.0})
+    return points.select(*group, "threshold", "fpr", "tpr").unionByName(origin)
+
+
+def _anchor(points: DataFrame, group: list[str], values: dict[str, float]) -> DataFrame:
+    """The point of each curve at which nobody is positive."""
+    return points.groupBy(*group).agg(
+        F.lit(float("inf")).alias("threshold"), *[F.lit(v).alias(n) for n, v in values.items()]
+    )
 
 
 def precision_recall_curve(
     df: DataFrame, group: list[str], y: str = "y", score: str = "score", *, n_groups: int | None = None
 ) -> DataFrame:
-    """One point per distinct score."""
+    """One point per distinct score, and recall 0 with precision 1 at threshold infinity."""
     points = curve_points(score_table(df, group, y, score, n_groups=n_groups), group, score)
-    return points.select(*group, "threshold", "precision", "recall")
+    first = _anchor(points, group, {"precision": 1.0, "recall": 0.0})
+    return points.select(*group, "threshold", "precision", "recall").unionByName(first)
 
 
 def average_precision(
@@ -292,6 +305,7 @@ def overfitting_score(metrics: DataFrame) -> DataFrame:
     Needs train_accuracy, test_accuracy, depth, min_leaf_rows, n_leaves.
     """
     gap = F.col("train_accuracy") - F.col("test_accuracy")
+    # The bounds of the five signs and of the two verdicts.
     signs = {
         "high_train_accuracy": F.col("train_accuracy") > 0.95,
         "wide_gap": gap > 0.05,
@@ -309,6 +323,12 @@ def overfitting_score(metrics: DataFrame) -> DataFrame:
     return out.withColumn("high_risk", F.col("risk_score") >= 3)
 
 
+def low_recall(cells: DataFrame, bound: float = 0.5) -> DataFrame:
+    """Add ``recall`` of the positive class and ``low_recall``: fewer than ``bound`` of the positives are found."""
+    out = cells.withColumn("recall", ratio0(F.col("tp"), F.col("tp") + F.col("fn")))
+    return out.withColumn("low_recall", F.col("recall") < float(bound))
+
+
 def error_economics(cells: DataFrame, portfolio: int) -> DataFrame:
     """Missed and false alarms, their ratio, detected positives, and both errors on a portfolio."""
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
@@ -340,16 +360,23 @@ def threshold_costs(
     score: str = "score",
     n_groups: int | None = None,
 ) -> DataFrame:
-    """(group, threshold, fn, fp, cost) for every distinct score as decision threshold."""
+    """(group, threshold, fn, fp, cost) for every distinct score as decision threshold, and for infinity:
+    nobody is positive."""
     points = curve_points(score_table(df, group, y, score, n_groups=n_groups), group, score)
     out = points.select(*group, "threshold", (F.col("pos_total") - F.col("tp")).alias("fn"), "fp")
+    nobody = points.groupBy(*group).agg(
+        F.lit(float("inf")).alias("threshold"), F.max("pos_total").alias("fn"), F.lit(0).cast("long").alias("fp")
+    )
+    out = out.unionByName(nobody)
     return out.withColumn("cost", F.col("fn") * float(cost_fn) + F.col("fp") * float(cost_fp))
 
 
 def cheapest_threshold(costs: DataFrame, group: list[str]) -> DataFrame:
     """(group, threshold, cost) of the lowest cost; the lowest threshold on a tie."""
-    best = costs.groupBy(*group).agg(F.min(F.struct("cost", "threshold")).alias("b"))
-    return best.select(*group, F.col("b.threshold").alias("threshold"), F.col("b.cost").alias("cost"))
+    # Minima of numbers are hash aggregates; of a struct all rows would be sorted.
+    best = costs.groupBy(*group).agg(F.min("cost").alias("_best"))
+    cheapest = join_groups(costs, best, group).where(F.col("cost") == F.col("_best"))
+    return cheapest.groupBy(*group).agg(F.min("threshold").alias("threshold"), F.min("cost").alias("cost"))
 
 
 def mcnemar(df: DataFrame, y: str, first: str, second: str) -> DataFrame:

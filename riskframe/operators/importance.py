@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.expressions import name_prefix
@@ -67,37 +65,50 @@ def consensus(weights: DataFrame) -> DataFrame:
     ).orderBy("mean_rank", "feature")
 
 
-def shuffle_column(df: DataFrame, key: str, column: str, *, seed: int = 42, buckets: int | None = None) -> DataFrame:
-    """The table with one column's values permuted among rows of the same key-hash bucket.
+def shuffle_columns(df: DataFrame, key: str, columns: list[str], *, seed: int = 42, buckets: int | None = None) -> DataFrame:
+    """The table with, per listed column, a column ``_given_<column>`` of its values permuted.
 
-    Values are matched by their rank in two different hash orders, bucket by bucket, so
-    the permutation is exact, repeatable and never sorts the whole table.
+    Values move among rows of the same key-hash bucket, all columns of a row together.  They are matched by their
+    rank in two different hash orders, bucket by bucket, so the permutation is exact, repeatable and never
+    sorts the whole table, and all columns take one shuffle and one join.
     """
     buckets = buckets or default_buckets(df)
     tagged = df.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets)))
 
-    def ranked(order_seed: int) -> Window:
+    def order(order_seed: int) -> Window:
         return Window.partitionBy("_bucket").orderBy(F.xxhash64(F.lit(order_seed), F.col(key)), F.col(key))
 
-    takers = tagged.withColumn("_rank", F.row_number().over(ranked(seed + 1)))
+    takers = tagged.withColumn("_rank", F.row_number().over(order(seed + 1)))
     givers = tagged.select(
-        "_bucket", F.col(column).alias("_given"), F.row_number().over(ranked(seed + 2)).alias("_rank")
+        "_bucket", *[F.col(c).alias(f"_given_{c}") for c in columns], F.row_number().over(order(seed + 2)).alias("_rank")
     )
-    joined = takers.join(givers, ["_bucket", "_rank"])
-    return joined.select(*[F.col("_given").alias(c) if c == column else F.col(c) for c in df.columns])
+    return takers.join(givers, ["_bucket", "_rank"]).drop("_bucket", "_rank")
+
+
+def shuffle_column(df: DataFrame, key: str, column: str, *, seed: int = 42, buckets: int | None = None) -> DataFrame:
+    """The table with one column's values permuted."""
+    joined = shuffle_columns(df, key, [column], seed=seed, buckets=buckets)
+    return joined.select(*[F.col(f"_given_{c}").alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def permutation_importance(
     model, df: DataFrame, roles: Roles, features: list[str] | None = None, *, seed: int = 42
 ) -> DataFrame:
-    """(feature, roc_auc, drop): loss of ROC-AUC when a column is shuffled."""
+    """(feature, roc_auc, drop): loss of ROC-AUC when a column is shuffled.
+
+    The permuted values of all features come from one join; each row is then written out once as it is and
+    once per feature with that value exchanged, and all of them are scored in one pass.
+    """
     features = features or roles.features
-    parts = [scored(model.transform(df), roles, F.lit("").alias("feature"))]
-    for c in features:
-        shuffled = shuffle_column(df, roles.key, c, seed=seed)
-        parts.append(scored(model.transform(shuffled), roles, F.lit(c).alias("feature")))
-    stacked = reduce(lambda a, b: a.unionByName(b), parts)
-    areas = evaluation.roc_auc(stacked, ["feature"], n_groups=len(parts))
+    joined = shuffle_columns(df, roles.key, features, seed=seed)
+
+    def variant(feature: str) -> Column:
+        cells = [F.col(f"_given_{c}").alias(c) if c == feature else F.col(c) for c in df.columns]
+        return F.struct(F.lit(feature).alias("_feature"), *cells)
+
+    rows = joined.select(F.inline(F.array(*[variant(f) for f in ["", *features]])))
+    stacked = scored(model.transform(rows), roles, F.col("_feature").alias("feature"))
+    areas = evaluation.roc_auc(stacked, ["feature"], n_groups=1 + len(features))
     base = areas.where(F.col("feature") == "").select(F.col("roc_auc").alias("_base"))
     # ``base`` is one row.
     out = areas.where(F.col("feature") != "").crossJoin(F.broadcast(base))

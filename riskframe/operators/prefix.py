@@ -16,9 +16,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.session import materialise
+
 # Largest boundary / offset table that may be broadcast by hint, in array cells.
-# 2 million doubles are 16 MB; anything above is left to adaptive execution.
+# 2 million doubles are 16 MB; a larger one is joined with every group dealt to several tasks.
 BROADCAST_CELLS = 2_000_000
+# Tasks over which one group is dealt, for its sketches and for the join with its boundaries.
+SALTS = 32
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -33,10 +37,22 @@ def default_buckets(df: DataFrame) -> int:
 def to_long(df: DataFrame, features: list[str], keep: list[str] | None = None) -> DataFrame:
     """(keep..., feature, value) with every feature cast to double; one pass, no shuffle."""
     keep = keep or []
-    wide = df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(c) for c in features])
+    wide = df.select(*keep, *[number(F.col(f"`{c}`")).alias(c) for c in features])
     return wide.unpivot(keep, features, "feature", "value")
 
 
+def number(column: Column) -> Column:
+    """As a double; NaN, like null, is no value."""
+    return F.nanvl(column.cast("double"), F.lit(None).cast("double"))
+
+
+def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys where null equals null, as it does in ``groupBy``."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def value_histogram(df: DataFrame, group: list[str], value: str, weights: dict[str, Column]) -> DataFrame:
     """One row per (group, value) with summed weights; null values and zero weights go."""
     hist = df.where(F.col(value).isNotNull()).groupBy(*group, value)
@@ -44,8 +60,13 @@ def value_histogram(df: DataFrame, group: list[str], value: str, weights: dict[s
     return hist.where(reduce(lambda a, b: a | b, [F.col(n) != 0 for n in weights]))
 
 
-def _small(df: DataFrame, cells: int | None) -> DataFrame:
-    return F.broadcast(df) if cells is not None and cells <= BROADCAST_CELLS else df
+def _attach(rows: DataFrame, per_group: DataFrame, keys: list[str], salt_by: str, cells: int | None) -> DataFrame:
+    """Join a small table per group to its rows, without sending a group to one task."""
+    if cells is not None and cells <= BROADCAST_CELLS:
+        return join_groups(rows, F.broadcast(per_group), keys)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)).cast("int"))
+    copies = per_group.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return join_groups(salted, copies, [*keys, "_salt"]).drop("_salt")
 
 
 def _bucket_of(value: Column, bounds: Column, buckets: int) -> Column:
@@ -86,10 +107,14 @@ def prefix_counts(
     hist = value_histogram(df, group, value, weights)
 
     probs = [i / buckets for i in range(1, buckets)]
-    bounds = hist.groupBy(*group).agg(F.percentile_approx(value, probs, 10 * buckets).alias("_bounds"))
+    # Two levels, as the sketches of a group's partitions would otherwise meet in one task.
+    salt = F.pmod(F.xxhash64(value), F.lit(SALTS)).alias("_salt")
+    parts = hist.groupBy(*group, salt).agg(F.percentile_approx(value, probs, 2 * buckets).alias("_part"))
+    marks = parts.select(*group, F.explode("_part").alias("_mark"))
+    bounds = marks.groupBy(*group).agg(F.percentile_approx("_mark", probs, 2 * buckets).alias("_bounds"))
     cells = n_groups * buckets if n_groups is not None else None
     bucketed = (
-        hist.join(_small(bounds, cells), group)
+        _attach(hist, bounds, group, value, cells)
         .withColumn("_bucket", _bucket_of(F.col(value), F.col("_bounds"), buckets))
         .drop("_bounds")
     )
@@ -116,7 +141,9 @@ def prefix_counts(
     inside = (
         Window.partitionBy(*group, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
-    joined = bucketed.join(_small(offsets, cells), [*group, "_bucket"])
+    keys = [*group, "_bucket"]
+    small = cells is not None and cells <= BROADCAST_CELLS
+    joined = join_groups(bucketed, F.broadcast(offsets) if small else offsets, keys)
     return joined.select(
         *group,
         value,
@@ -129,6 +156,25 @@ def prefix_counts(
     )
 
 
+def ranked(df: DataFrame, group: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """``df`` with the 1-based place of each row in its group, by any order of columns.
+
+    Rows are dealt by ranges of (group, order), so a group of any size spreads over tasks; a place is the
+    place inside a range plus the group's rows in the ranges before it.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.repartitionByRange(parts, *[F.col(g) for g in group], *order)
+    written = materialise(ranges.withColumn("_part", F.spark_partition_id()), "ranked")
+    inside = Window.partitionBy("_part", *group).orderBy(*order)
+    sizes = written.groupBy("_part", *group).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range and group.
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    placed = join_groups(written, starts, ["_part", *group])
+    return placed.withColumn(name, (F.col("_start") + F.row_number().over(inside)).cast("int")).drop("_part", "_start")
+
+
 def average_ranks(df: DataFrame, group: list[str], value: str, *, n_groups: int | None = None) -> DataFrame:
     """(group, value, n, avg_rank): 1-based rank, ties share the mean of their ranks."""
     ranks = prefix_counts(df, group, value, {"n": F.lit(1)}, n_groups=n_groups)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators import contracts
-from riskframe.operators.prefix import exact_quantiles, prefix_counts, to_long
+from riskframe.operators.prefix import exact_quantiles, number, prefix_counts, to_long, value_histogram
 from riskframe.roles import numeric_columns
 
 # --- counts -------------------------------------------------------------------------
@@ -31,9 +31,10 @@ def missing_summary(df: DataFrame) -> DataFrame:
 def class_balance(df: DataFrame, target: str, threshold: float = 0.20) -> DataFrame:
     """(label, n, ratio, is_minority, imbalance_warning), ratio to 4 digits.
 
-    The minority class is the rarest; on a tie the smallest label.
+    The minority class is the rarest; on a tie the smallest label.  Rows without a label are no class;
+    ``missing_report`` counts them.
     """
-    counts = df.groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(F.col(target).isNotNull()).groupBy(F.col(target).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     everything = Window.partitionBy(F.lit(0))
     shares = counts.withColumn(
         "ratio", F.round(F.col("n") / F.sum("n").over(everything), 4)
@@ -119,7 +120,7 @@ def quartiles(df: DataFrame, columns: list[str], *, approximate: bool = False, a
 def _per_column(df: DataFrame, columns: list[str], measures: dict) -> DataFrame:
     """(feature, measure...) from one wide aggregate; the table is not multiplied by its columns."""
     sums = [
-        f(F.col(f"`{c}`").cast("double")).alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()
+        f(number(F.col(f"`{c}`"))).alias(f"{m}_{i}") for i, c in enumerate(columns) for m, f in measures.items()
     ]
     rows = [
         F.struct(F.lit(c).alias("feature"), *[F.col(f"{m}_{i}").alias(m) for m in measures])
@@ -177,18 +178,25 @@ def outlier_rows(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return to_long(df, columns, keep=[key]).join(bounds, "feature").where(_outside()).select(key, "feature", "value")
 
 
-def outlier_counts(df: DataFrame, columns: list[str], top: int = 20) -> DataFrame:
-    """(feature, n_outliers, share_pct) for features that have any, most first."""
+def outlier_counts(df: DataFrame, columns: list[str], top: int | None = None) -> DataFrame:
+    """(feature, n_outliers, share_pct) for features that have any, most first.
+
+    Counts come from the histogram that also gives the quartiles, so the table is read once.  The share
+    is of all rows, those without a value included.
+    """
     bounds = F.broadcast(iqr_bounds(df, columns))
+    per_value = value_histogram(to_long(df, columns), ["feature"], "value", {"n": F.lit(1)})
+    n_rows = F.broadcast(df.agg(F.count(F.lit(1)).alias("_n")))
     counted = (
-        to_long(df, columns)
-        .join(bounds, "feature")
+        per_value.join(bounds, "feature")
         .groupBy("feature")
-        .agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(_outside(), 1)).alias("n_outliers"))
+        .agg(F.coalesce(F.sum(F.when(_outside(), F.col("n"))), F.lit(0)).alias("n_outliers"))
+        .crossJoin(n_rows)  # one row
     )
     share = F.round(100.0 * F.col("n_outliers") / F.col("_n"), 2).alias("share_pct")
     found = counted.where(F.col("n_outliers") > 0).select("feature", "n_outliers", share)
-    return found.orderBy(F.desc("n_outliers"), "feature").limit(top)
+    found = found.orderBy(F.desc("n_outliers"), "feature")
+    return found.limit(top) if top else found
 
 
 def equal_width_histogram(df: DataFrame, columns: list[str], bins: int = 50) -> DataFrame:
@@ -227,10 +235,10 @@ def target_correlation(df: DataFrame, target: str, columns: list[str]) -> DataFr
     One aggregate over the table; ``F.corr`` is guarded because a constant column
     raises under ANSI.
     """
-    y = F.col(f"`{target}`").cast("double")
+    y = number(F.col(f"`{target}`"))
     sums = []
     for i, c in enumerate(columns):
-        x = F.col(f"`{c}`").cast("double")
+        x = number(F.col(f"`{c}`"))
         both = x.isNotNull() & y.isNotNull()
         sums += [
             F.covar_pop(x, y).alias(f"_c{i}"),
@@ -266,14 +274,39 @@ def signed_ranking(df: DataFrame, target: str, columns: list[str], first: int |
 
 
 def target_spearman(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
-    """(feature, corr): Spearman with a 0/1 target, ties sharing their mean rank.
+    """(feature, corr): Spearman with a numeric target, ties sharing their mean rank."""
+    y = number(F.col(f"`{target}`"))
+    others = df.where(y.isNotNull() & ~y.isin(0.0, 1.0))
+    return _ranked_spearman(df, target, columns) if others.limit(1).count() else _folded_spearman(df, target, columns)
+
+
+def _ranked_spearman(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
+    """Any target: both sides are ranked among the rows where both have a value."""
+    labelled = df.withColumn("_y", number(F.col(f"`{target}`"))).where(F.col("_y").isNotNull())
+    cells = to_long(labelled, columns, keep=["_y"]).where(F.col("value").isNotNull())
+    cells = cells.groupBy("feature", "value", "_y").agg(F.count(F.lit(1)).alias("_n"))
+    weight = {"n": F.col("_n")}
+
+    def ranks(column: str) -> DataFrame:
+        counts = prefix_counts(cells, ["feature"], column, weight, n_groups=len(columns))
+        rank = F.col("n_before") + (F.col("n") + 1) / 2.0 - (F.col("n_total") + 1) / 2.0
+        return counts.select("feature", column, rank.alias(f"_rank_{column}"))
+
+    both = cells.join(ranks("value"), ["feature", "value"]).join(ranks("_y"), ["feature", "_y"])
+    rx, ry, n = F.col("_rank_value"), F.col("_rank__y"), F.col("_n")
+    sums = both.groupBy("feature").agg(F.sum(n * rx * rx).alias("xx"), F.sum(n * ry * ry).alias("yy"), F.sum(n * rx * ry).alias("xy"))
+    corr = F.when((F.col("xx") > 0) & (F.col("yy") > 0), F.col("xy") / F.sqrt(F.col("xx")) / F.sqrt(F.col("yy")))
+    return sums.select("feature", corr.alias("corr"))
+
+
+def _folded_spearman(df: DataFrame, target: str, columns: list[str]) -> DataFrame:
+    """A 0/1 target.
 
     The rank of a binary target takes two values, so the whole coefficient follows from
     the positives and negatives per distinct value; rows never meet their ranks.
     """
-    y = F.col(f"`{target}`")
-    labelled = df.where(y.isNotNull()).withColumn("_y", y.cast("int"))
-    long = to_long(labelled, columns, keep=["_y"])
+    labelled = df.withColumn("_y", number(F.col(f"`{target}`")).cast("int")).where(F.col("_y").isNotNull())
+    long = to_long(labelled, columns, keep=["_y"]).where(F.col("value").isNotNull())
     weights = {"neg": F.when(F.col("_y") == 0, 1).otherwise(0), "pos": F.when(F.col("_y") == 1, 1).otherwise(0)}
     table = prefix_counts(long, ["feature"], "value", weights, n_groups=len(columns))
     n = F.col("neg") + F.col("pos")
@@ -295,7 +328,7 @@ def target_spearman(df: DataFrame, target: str, columns: list[str]) -> DataFrame
 
 
 def top_spearman(df: DataFrame, target: str, columns: list[str] | None = None, top: int = 10) -> DataFrame:
-    """(feature, corr): absolute Spearman with a 0/1 target to 4 digits, strongest first."""
+    """(feature, corr): absolute Spearman with the target to 4 digits, strongest first."""
     columns = columns or numeric_columns(df, exclude=[target])
     out = target_spearman(df, target, columns).withColumn("corr", F.abs("corr"))
     out = out.orderBy(F.desc_nulls_last("corr"), "feature").limit(top)
@@ -308,7 +341,7 @@ def pearson_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     Each unordered pair is one moment; the mirror image and the diagonal are added to
     the single result row.
     """
-    cols = {c: F.col(f"`{c}`").cast("double") for c in columns}
+    cols = {c: number(F.col(f"`{c}`")) for c in columns}
     sums, rows = [], []
 
     def entry(a: str, b: str, corr: Column) -> Column:
@@ -366,7 +399,7 @@ def diagnostics(
             "is_minority": F.col("is_minority").cast("int"),
             "imbalance_warning": F.col("imbalance_warning").cast("int"),
         }),
-        rows(outlier_counts(df, columns, top=len(columns)), "outliers", F.col("feature"), {
+        rows(outlier_counts(df, columns), "outliers", F.col("feature"), {
             "n_outliers": F.col("n_outliers")
         }),
         rows(top_pearson(df, target, columns, top), "pearson", F.col("feature"), {"abs_corr": F.col("corr")}),

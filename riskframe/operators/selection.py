@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.functions.expressions import contains, family_rank, fixed_point, metric_or, reduction_label
+from riskframe.operators.prefix import ranked
 
 TIE_DELTA = 1e-4
 
@@ -29,7 +30,9 @@ def _within(value: Column, best: Column) -> Column:
 
 
 def cascade_winner(runs: DataFrame, group: list[str]) -> DataFrame:
-    """(group, run_id, decision_step, n_candidates): winner of the tolerance cascade.
+    """(group, run_id, decision_step, reason, n_candidates): winner of the tolerance cascade.
+
+    ``reason`` names the criterion of the deciding step and the winner's value.
 
     Every step keeps the runs within ``TIE_DELTA`` of the best survivor; the first step
     with a single survivor decides, otherwise the simplest family and then the lowest
@@ -41,7 +44,7 @@ def cascade_winner(runs: DataFrame, group: list[str]) -> DataFrame:
         *group,
         "run_id",
         *[v.alias(c) for c, v in values.items()],
-        family_rank(F.coalesce(F.col("model_family"), F.lit("ensemble"))).alias("_rank"),
+        family_rank(F.col("model_family")).alias("_rank"),
     )
     survives: Column = F.lit(True)
     state: DataFrame | None = None
@@ -61,13 +64,21 @@ def cascade_winner(runs: DataFrame, group: list[str]) -> DataFrame:
     final = final.groupBy(*group).agg(
         *[F.max(c).alias(c) for c in carried],
         F.count(F.lit(1)).alias(f"_n{last}"),
-        F.min(F.struct("_rank", "run_id")).alias("_first"),
+        F.min(F.struct("_rank", "run_id", *values)).alias("_first"),
     )
     step = F.lit(last + 1)
     for i in range(last, 0, -1):
         step = F.when(F.col(f"_n{i}") == 1, F.lit(i)).otherwise(step)
+    reason = F.concat(F.lit("model_family rank "), F.col("_first._rank").cast("string"))
+    for i, (name, _, _) in reversed(list(enumerate(CASCADE, 1))):
+        text = F.concat(F.lit(f"{name} "), fixed_point(F.col(f"_first.{name}"), 6))
+        reason = F.when(step == i, text).otherwise(reason)
     return final.select(
-        *group, F.col("_first.run_id").alias("run_id"), step.alias("decision_step"), F.col("_n0").alias("n_candidates")
+        *group,
+        F.col("_first.run_id").alias("run_id"),
+        step.alias("decision_step"),
+        reason.alias("reason"),
+        F.col("_n0").alias("n_candidates"),
     )
 
 
@@ -88,14 +99,19 @@ def top_runs(runs: DataFrame, n: int = 5) -> DataFrame:
     return runs.orderBy(*selection_order()).limit(n)
 
 
-def ranked_report(runs: DataFrame, group: list[str], max_rows: int = 1000) -> DataFrame:
-    """(rank, ...) of the first ``max_rows`` runs of each group.
+def ordered_runs(runs: DataFrame) -> DataFrame:
+    """All runs in selection order."""
+    return runs.orderBy(*selection_order())
+
+
+def ranked_report(runs: DataFrame, group: list[str], max_rows: int | None = None) -> DataFrame:
+    """(rank, ...) of every run in its group, or of the first ``max_rows`` where a caller wants a top list.
 
-    The rank filter lets Spark cut each task's rows to ``max_rows`` per group before the
-    shuffle, so a group with a large share of the runs does not flood one task.
+    For a top list the rank filter lets Spark cut each task's rows before the shuffle; the whole order is
+    ranked by ranges, so a group with a large share of the runs does not go to one task either.
     """
-    if not 0 < max_rows <= 1000:
-        raise ValueError("a report holds 1 to 1000 rows per group")
+    if max_rows is None:
+        return ranked(runs, group, selection_order())
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*selection_order()))
     return runs.withColumn("rank", rank).where(F.col("rank") <= max_rows)
 
@@ -117,9 +133,10 @@ def report_columns(ranked: DataFrame, group: list[str]) -> DataFrame:
 
 
 def enrich_runs(runs: DataFrame, extra: DataFrame) -> DataFrame:
-    """Left join by run name with defaults where a run has no extra row.
+    """Left join by run name with defaults where a run has no extra row: every run once.
 
-    ``extra``: (run_name, model_name, dimred_method, dimred_n_components, explained_variance).
+    ``extra``: (run_name, start_time, run_id, model_name, dimred_method, dimred_n_components,
+    explained_variance); of rows that share a name the one that started last counts, then the largest id.
     """
     defaults = {
         "model_name": "",
@@ -127,7 +144,11 @@ def enrich_runs(runs: DataFrame, extra: DataFrame) -> DataFrame:
         "dimred_n_components": "0",
         "explained_variance": "na",
     }
-    renamed = extra.select("run_name", *[F.col(c).alias(f"_{c}") for c in defaults])
+    latest = extra.groupBy("run_name").agg(F.max("start_time").alias("_last"))
+    newest = extra.join(latest, "run_name").where(F.col("start_time").eqNullSafe(F.col("_last")))
+    # What is left per name are ties, a few rows.
+    one = newest.groupBy("run_name").agg(F.max(F.struct("run_id", *defaults)).alias("_row"))
+    renamed = one.select("run_name", *[F.col(f"_row.{c}").alias(f"_{c}") for c in defaults])
     kept = [c for c in runs.columns if c not in defaults]
     filled = [F.coalesce(F.col(f"_{c}"), F.lit(d)).alias(c) for c, d in defaults.items()]
     return runs.select(*kept).join(renamed, "run_name", "left").select(*kept, *filled)
@@ -135,8 +156,11 @@ def enrich_runs(runs: DataFrame, extra: DataFrame) -> DataFrame:
 
 def latest_baseline(runs: DataFrame) -> DataFrame:
     """(model_name, run_id) of the most recent baseline run per model."""
-    base = runs.where(F.col("stage") == "baseline")
-    return base.groupBy("model_name").agg(F.max_by("run_id", F.struct("start_time", "run_id")).alias("run_id"))
+    base = runs.where(F.col("stage") == "baseline").select("model_name", "start_time", "run_id")
+    # A time is a number, so its maximum is a hash aggregate; only ties are left to compare by id.
+    last = base.groupBy("model_name").agg(F.max("start_time").alias("_last"))
+    newest = base.join(last, "model_name").where(F.col("start_time") == F.col("_last"))
+    return newest.groupBy("model_name").agg(F.max("run_id").alias("run_id"))
 
 
 def attach_baseline(runs: DataFrame) -> DataFrame:

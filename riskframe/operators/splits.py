@@ -9,12 +9,15 @@ the same answer whatever the file layout.  Finding the boundary counts rows per
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_CLASSES = 1000
+from riskframe.session import materialise
+
+# Classes up to which boundaries are written into the plan.
+INLINE_CLASSES = 50
 
 
 def digest(key: str, seed: int) -> Column:
@@ -33,15 +36,31 @@ class Cuts:
     boundaries: dict[object, list[str]]
 
     def assign(self, df: DataFrame, column: str = "split") -> DataFrame:
-        """Add the part name of every row; rows of a class unseen by ``fit`` get null."""
+        """Add the part name of every row; rows of a class unseen by ``fit`` get null.
+
+        Few classes become one expression per row; many become a table of boundaries joined by class, so
+        the plan does not grow with them.  Both compare the same digests.
+        """
         row_digest = digest(self.key, self.seed)
+
+        def part_of(ends) -> Column:
+            part = F.lit(self.names[-1])
+            for i, name in reversed(list(enumerate(self.names[:-1]))):
+                part = F.when(row_digest <= ends(i), F.lit(name)).otherwise(part)
+            return part
+
+        if len(self.boundaries) > INLINE_CLASSES:
+            kind = df.schema[self.label].dataType
+            rows = [(value, ends) for value, ends in self.boundaries.items()]
+            schema = T.StructType([T.StructField("_class", kind), T.StructField("_ends", T.ArrayType(T.StringType()))])
+            table = df.sparkSession.createDataFrame(rows, schema)
+            joined = df.join(table, F.col(self.label).eqNullSafe(F.col("_class")), "left")
+            part = F.when(F.col("_ends").isNotNull(), part_of(lambda i: F.col("_ends")[i]))
+            return joined.withColumn(column, part).drop("_class", "_ends")
         assigned = F.lit(None)
         for value, ends in self.boundaries.items():
-            part = F.lit(self.names[-1])
-            for name, end in reversed(list(zip(self.names, ends))):
-                part = F.when(row_digest <= F.lit(end), F.lit(name)).otherwise(part)
             same = F.col(self.label).isNull() if value is None else F.col(self.label) == F.lit(value)
-            assigned = F.when(same, part).otherwise(assigned)
+            assigned = F.when(same, part_of(lambda i, e=ends: F.lit(e[i]))).otherwise(assigned)
         return df.withColumn(column, assigned)
 
 
@@ -73,32 +92,20 @@ def _fit_cuts(
         ((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n")))
         | ((F.col("rank") <= 0) & (F.col("before") == 0))
     )
-    limit = MAX_CLASSES * len(ends)
     found = located.select("label", "prefix", "cut", (F.col("rank") - F.col("before")).alias("nth"))
-    found = found.limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes")
-
-    boundaries: dict[object, list[str]] = {r["label"]: [""] * len(ends) for r in found}
-    wanted = [r for r in found if r["nth"] > 0]
-    if wanted:
-        by_prefix: dict[str, set] = {}
-        for r in wanted:
-            by_prefix.setdefault(r["prefix"], set()).add(r["label"])
-        nth = Window.partitionBy("label", "prefix").orderBy("digest")
-        ranked = rows.where(F.col("prefix").isin(list(by_prefix))).withColumn("nth", F.row_number().over(nth))
-        hit = reduce(
-            lambda a, b: a | b,
-            [
-                F.col("label").eqNullSafe(F.lit(r["label"]))
-                & (F.col("prefix") == r["prefix"])
-                & (F.col("nth") == r["nth"])
-                for r in wanted
-            ],
-        )
-        digests = {(d["label"], d["prefix"], d["nth"]): d["digest"] for d in ranked.where(hit).collect()}
-        for r in wanted:
-            boundaries[r["label"]][r["cut"]] = digests[(r["label"], r["prefix"], r["nth"])]
+    # One row per class and cut: the size of the answer.
+    found = materialise(found, "cuts")
+    located_rows = found.collect()
+
+    boundaries: dict[object, list[str]] = {r["label"]: [""] * len(ends) for r in located_rows}
+    wanted = found.where(F.col("nth") > 0).withColumnsRenamed({"label": "_label", "prefix": "_prefix", "nth": "_nth"})
+    cells = wanted.select("_label", "_prefix").distinct()
+    nth = Window.partitionBy("label", "prefix").orderBy("digest")
+    same_cell = F.col("label").eqNullSafe(F.col("_label")) & (F.col("prefix") == F.col("_prefix"))
+    ranked = rows.join(cells, same_cell, "left_semi").withColumn("nth", F.row_number().over(nth))
+    hits = ranked.join(wanted, same_cell & (F.col("nth") == F.col("_nth")))
+    for r in hits.select("label", "cut", "digest").collect():
+        boundaries[r["label"]][r["cut"]] = r["digest"]
     return Cuts(key, label, seed, names, boundaries)
 
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import platform
 import time
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.operators import evaluation, selection
+from riskframe.functions.expressions import run_name, typed_param
+from riskframe.operators import contracts, evaluation, selection
+from riskframe.operators.features import preprocessor_stages, reduction_stages
 from riskframe.operators.models import (
     build_pipeline,
     model_spec,
@@ -22,8 +25,10 @@ from riskframe.operators.models import (
 from riskframe.operators.splits import assign_folds, fit_folds, fit_fractions
 from riskframe.roles import Roles
 from riskframe.session import materialise
+from riskframe.sources import runstore
 
 METRICS = ["roc_auc", "f1_macro", "precision_macro", "recall_macro", "accuracy"]
+FOLD_THREADS = 4
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -35,11 +40,45 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def fold_predictions(folded: DataFrame, pipeline: Pipeline, roles: Roles, k: int, fold: str = "fold") -> DataFrame:
     """(fold, key, y, score, prediction): every row scored by the model that did not see it."""
-    parts = []
-    for i in range(k):
+
+    def part(i: int) -> DataFrame:
         model = pipeline.fit(folded.where(F.col(fold) != i))
-        parts.append(scored(model.transform(folded.where(F.col(fold) == i)), roles, F.lit(i).alias("fold")))
-    return _union(parts)
+        return scored(model.transform(folded.where(F.col(fold) == i)), roles, F.lit(i).alias("fold"))
+
+    # Folds are independent fits; Spark interleaves their jobs.
+    with ThreadPool(min(k, FOLD_THREADS)) as pool:
+        return _union(pool.map(inheritable_thread_target(folded.sparkSession)(part), range(k)))
+
+
+class PreparedFolds:
+    """Vectors of every row under the preprocessing of each fold's training side, written once.
+
+    Preprocessing depends on the fold and not on the settings searched, so it is fitted ``k`` times whatever
+    the number of settings, and a fit reads finished vectors.
+    """
+
+    def __init__(self, folded: DataFrame, roles: Roles, k: int, reduction: tuple[str, int] | None = None):
+        self.roles, self.k = roles, k
+        self.column = "features" if reduction is None else "reduced"
+
+        def prepared(i: int) -> DataFrame:
+            stages = preprocessor_stages(roles, "features")
+            if reduction is not None:
+                stages += reduction_stages(*reduction, label_col=roles.target, input_col="features", output_col="reduced")
+            model = Pipeline(stages=stages).fit(folded.where(F.col("fold") != i))
+            kept = model.transform(folded).select(roles.key, roles.target, "fold", self.column)
+            return materialise(kept, "prepared")
+
+        with ThreadPool(min(k, FOLD_THREADS)) as pool:
+            self.tables = pool.map(inheritable_thread_target(folded.sparkSession)(prepared), range(k))
+
+    def predictions(self, classifier: Estimator) -> DataFrame:
+        """(fold, key, y, score, prediction) of one classifier over all folds."""
+        parts = []
+        for i, table in enumerate(self.tables):
+            model = classifier.fit(table.where(F.col("fold") != i))
+            parts.append(scored(model.transform(table.where(F.col("fold") == i)), self.roles, F.lit(i).alias("fold")))
+        return _union(parts)
 
 
 def fold_metrics(predictions: DataFrame, group: list[str] | None = None, n_groups: int | None = None) -> DataFrame:
@@ -70,14 +109,13 @@ def search(
     n_iter: int = 30,
     grid: dict[str, list] | None = None,
     metric: str = "roc_auc",
-    parallelism: int = 2,
+    parallelism: int = 4,
     reduction: tuple[str, int] | None = None,
 ) -> tuple[PipelineModel, dict, DataFrame]:
     """Best model refitted on all rows, its settings, and (combo, settings..., score).
 
-    Every combination is a whole pipeline, scored by the mean of the metric over the
-    stratified folds.  Combinations run side by side on driver threads; the data are
-    written with their folds once, so every fit reads the table and not its lineage.
+    Every combination is scored by the mean of the metric over the stratified folds, on vectors prepared
+    once per fold.  Combinations run side by side on driver threads.
     (``CrossValidator`` would pass the fold column through a Python function per row.)
     """
     if metric not in ("roc_auc", "f1_macro"):
@@ -86,11 +124,14 @@ def search(
     points = search_points(name, n_iter=n_iter, seed=seed, grid=grid)
     folded = materialise(assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed)), "folds")
 
+    prepared = PreparedFolds(folded, roles, k, reduction)
+
     def pipeline(p: dict) -> Pipeline:
         return build_pipeline(name, roles, n_train=n_train, seed=seed, params=p, reduction=reduction)
 
     def score(p: dict) -> float:
-        rows = fold_metrics(fold_predictions(folded, pipeline(p), roles, k), n_groups=k)
+        classifier = model_spec(name).make(roles, n_train, prepared.column, seed, **p)
+        rows = fold_metrics(prepared.predictions(classifier), n_groups=k)
         value = rows.where(F.col("metric") == metric).agg(F.avg("value").alias("score")).first()["score"]
         return float("-inf") if value is None else float(value)
 
@@ -129,20 +170,27 @@ def learning_curve(
     fractions = fractions or [i / 10 for i in range(1, 11)]
     folded = materialise(assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed)), "folds")
     n_train = df.count()
-    parts = []
+    sides = []
     for i in range(k):
         train = folded.where(F.col("fold") != i)
         held = folded.where(F.col("fold") == i)
         cuts = fit_fractions(train, roles.key, roles.target, fractions, seed=seed + 1)
-        ranked = cuts.assign(train, "part").where(F.col("part") != "unused")
-        for j, fraction in enumerate(fractions):
+        sides.append((cuts.assign(train, "part").where(F.col("part") != "unused"), held))
+
+    def areas_at(j: int) -> DataFrame:
+        """(fraction, side, fold, roc_auc): one written table per fraction, so that no plan holds all scorings."""
+        parts = []
+        for i, (ranked, held) in enumerate(sides):
             some = ranked.where(F.col("part").cast("int") <= j)
-            n = max(1, int(n_train * fraction * (k - 1) / k))
+            n = max(1, int(n_train * fractions[j] * (k - 1) / k))
             model = build_pipeline(name, roles, n_train=n, seed=seed, params=params).fit(some)
             for side, rows in (("train", some), ("validation", held)):
-                tags = [F.lit(fraction).alias("fraction"), F.lit(side).alias("side"), F.lit(i).alias("fold")]
+                tags = [F.lit(float(fractions[j])).alias("fraction"), F.lit(side).alias("side"), F.lit(i).alias("fold")]
                 parts.append(scored(model.transform(rows), roles, *tags))
-    areas = evaluation.roc_auc(_union(parts), ["fraction", "side", "fold"], n_groups=len(parts))
+        return materialise(evaluation.roc_auc(_union(parts), ["fraction", "side", "fold"], n_groups=2 * k), "curve")
+
+    with ThreadPool(FOLD_THREADS) as pool:
+        areas = _union(pool.map(inheritable_thread_target(df.sparkSession)(areas_at), range(len(fractions))))
     return areas.groupBy("fraction", "side").agg(
         F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")
     )
@@ -170,7 +218,7 @@ def train_and_evaluate(
     params: dict | None = None,
     grid: dict[str, list] | None = None,
     n_iter: int = 30,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> tuple[PipelineModel, dict]:
     """Cross-validate, optionally search, fit, score validation; returns model and run record.
 
@@ -205,14 +253,17 @@ def train_and_evaluate(
     metrics["training_time_s"] = time.perf_counter() - started
     metrics.update(cv_summary(pipeline))
 
-    started = time.perf_counter()
     predictions = scored(model.transform(val), roles, F.lit(name).alias("model"))
-    row = evaluation.all_metrics(predictions, ["model"], n_groups=1).first()
     n_val = val.count()
+    # Scoring alone is timed: nothing is aggregated or kept.
+    started = time.perf_counter()
+    predictions.write.format("noop").mode("overwrite").save()
     metrics["inference_latency_ms"] = (time.perf_counter() - started) * 1000.0 / max(n_val, 1)
+    row = evaluation.all_metrics(predictions, ["model"], n_groups=1).first()
     metrics.update({m: row[m] for m in METRICS})
 
     method, size = reduction or ("none", 0)
+    shares = [float(v) for s in model.stages if hasattr(s, "explainedVariance") for v in s.explainedVariance.toArray()]
     record = {
         "model_name": name,
         "model_family": model_spec(name).family,
@@ -220,6 +271,7 @@ def train_and_evaluate(
         "search_type": model_spec(name).search if tune else "none",
         "dimred_method": method,
         "dimred_n_components": str(size),
+        "dimred_explained_variance": str(sum(shares)) if shares else "na",
         "n_train": n_train,
         "n_val": n_val,
         "seed": seed,
@@ -230,6 +282,89 @@ def train_and_evaluate(
     return model, record
 
 
+def run_frame(
+    spark: SparkSession,
+    record: dict,
+    *,
+    run_id: str,
+    experiment: str,
+    start_time: int,
+    data_digest: str,
+    code_digest: str,
+    preproc: str = "numstd_catoh",
+    project_part: str = "part_3",
+    baseline_run_id: str = "",
+) -> DataFrame:
+    """One row (run_id, experiment, run_name, start_time, params, tags, metrics) of a training run."""
+    method, size = record["dimred_method"], record["dimred_n_components"]
+    reduced = "none" if method == "none" else f"{method}_k{size}"
+    lit = {k: F.lit(str(v)) for k, v in record.items() if not isinstance(v, dict)}
+    name = run_name(
+        lit["stage"], lit["model_name"], F.lit(preproc), F.lit(reduced), lit["search_type"], lit["seed"],
+        F.lit(data_digest[:8]), F.lit(code_digest[:7]),
+    )
+    maps = runstore.run_record(
+        name,
+        tags={
+            "model_family": lit["model_family"],
+            "git_commit": F.lit(code_digest),
+            "dataset_fingerprint": F.lit(data_digest),
+            "compute_profile_s": F.lit(str(record["metrics"]["training_time_s"])),
+            "project_part": F.lit(project_part),
+            "framework": F.lit(f"spark {spark.version}"),
+            "python_version": F.lit(platform.python_version()),
+            "os_platform": F.lit(platform.platform()),
+            "dimred_method": F.lit(method),
+            "dimred_n_components": F.lit(size),
+            "dimred_explained_variance": lit["dimred_explained_variance"],
+            "baseline_run_id": F.lit(baseline_run_id),
+        },
+        metrics={m: F.lit(v) for m, v in record["metrics"].items()},
+        params={
+            "scoring_primary": F.lit("roc_auc"),
+            "split_strategy": F.lit("stratified_70_15_15"),
+            **{p: lit[p] for p in runstore.PARAMS if p in lit},
+        },
+        clf_params={k: F.lit(v) for k, v in record["params"].items()},
+    )
+    return spark.range(1).select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(experiment).alias("experiment"),
+        name.alias("run_name"),
+        F.lit(start_time).cast("long").alias("start_time"),
+        *maps,
+    )
+
+
+def log_run(run: DataFrame, path: str) -> None:
+    """Append a run to the store; a run without all required parameters is refused."""
+    missing = contracts.missing_param_keys(run, runstore.PARAMS).limit(1).collect()
+    if missing:
+        raise ValueError(f"run {missing[0]['run_id']} lacks {missing[0]['missing']}")
+    runstore.append_runs(run, path)
+
+
+def logged_settings(runs: DataFrame, run_id: str) -> dict:
+    """What a run logged, read back from its texts: model, seed, reduction and typed classifier settings."""
+    params = runstore.explode_map(runs.where(F.col("run_id") == run_id), "params")
+    rows = params.select("key", "value", typed_param(F.col("value")).alias("p")).select("key", "value", "p.*").collect()
+    if not rows:
+        raise ValueError(f"no run {run_id!r} in the store")
+    text = {r["key"]: r["value"] for r in rows}
+    typed = {
+        r["key"].removeprefix("clf__"): {"bool": r["as_bool"], "int": r["as_long"], "float": r["as_double"], "string": r["as_string"]}.get(r["kind"])
+        for r in rows
+        if r["key"].startswith("clf__")
+    }
+    method, size = text.get("dimred_method", "none"), int(text.get("dimred_n_components", "0"))
+    return {
+        "name": text["model_name"],
+        "seed": int(text.get("seed", "42")),
+        "reduction": (method, size) if method != "none" and size else None,
+        "params": typed,
+    }
+
+
 def train_sweep(
     names: list[str],
     reductions: list[tuple[str, int] | None],
@@ -258,7 +393,7 @@ def final_evaluation(
     reduction: tuple[str, int] | None = None,
     seed: int = 42,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Refit on train and validation with the winner's settings; one test evaluation."""
+    """Refit on train and validation with given settings; one test evaluation."""
     both = train.unionByName(val)
     pipeline = build_pipeline(name, roles, n_train=both.count(), seed=seed, params=params, reduction=reduction)
     model = pipeline.fit(both)
@@ -266,33 +401,37 @@ def final_evaluation(
     return model, evaluation.all_metrics(predictions, ["model"], n_groups=1)
 
 
+def evaluate_winner(
+    runs: DataFrame, run_id: str, train: DataFrame, val: DataFrame, test: DataFrame, roles: Roles
+) -> tuple[PipelineModel, DataFrame]:
+    """The final model of a stored run: settings from its log, refit, one test evaluation."""
+    logged = logged_settings(runs, run_id)
+    return final_evaluation(logged.pop("name"), train, val, test, roles, **logged)
+
+
 # --- audit --------------------------------------------------------------------------
 
 
 def audit_run(
-    record: dict,
+    runs: DataFrame,
     train: DataFrame,
     val: DataFrame,
     roles: Roles,
     *,
     run_id: str,
     tolerance: float = 1e-4,
-    params: dict | None = None,
 ) -> DataFrame:
-    """(run_id, metric, logged, recomputed, diff, matches): refit a run and compare its log."""
-    spark = train.sparkSession
-    method = record.get("dimred_method", "none")
-    reduction = None if method == "none" else (method, int(record["dimred_n_components"]))
+    """(run_id, metric, logged, recomputed, diff, matches): refit a run from its logged parameters and
+    compare its logged metrics."""
+    logged = logged_settings(runs, run_id)
     pipeline = build_pipeline(
-        record["model_name"], roles, n_train=train.count(), seed=record.get("seed", 42), params=params,
-        reduction=reduction,
+        logged["name"], roles, n_train=train.count(), seed=logged["seed"], params=logged["params"],
+        reduction=logged["reduction"],
     )
     predictions = scored(pipeline.fit(train).transform(val), roles, F.lit(run_id).alias("run_id"))
     recomputed = evaluation.to_metric_rows(
         evaluation.all_metrics(predictions, ["run_id"], n_groups=1), ["run_id"], METRICS
     )
-    logged = spark.createDataFrame(
-        [(run_id, m, float(v)) for m, v in record["metrics"].items() if m in METRICS],
-        "run_id string, metric string, value double",
-    )
-    return selection.metric_mismatches(logged, recomputed, tolerance)
+    stored = runstore.explode_map(runs.where(F.col("run_id") == run_id), "metrics")
+    metrics = stored.select("run_id", F.col("key").alias("metric"), "value").where(F.col("metric").isin(METRICS))
+    return selection.metric_mismatches(metrics, recomputed, tolerance)

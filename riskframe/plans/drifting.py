@@ -53,10 +53,38 @@ def ks_sql(value: str, source: str, name: str) -> str:
     + ks_sql("value", "ev", "value") + " UNION ALL " + ks_sql("user_id", "ev", "user_id") + ")",
 )
 def dr01(spark, sf):
-    out = drift.ks_drift(*sides(spark, sf), ["value", "user_id"])
+    out = drift.ks_drift(*sides(spark, sf), ["value", "user_id"], exact_rows=0)
     return out.select("feature", F.round("statistic", 8).alias("statistic"), F.round("p_value", 6).alias("p_value"))
 
 
+@query("dr01_ks_exact")
+def dr01c(spark, sf):
+    """Exact p-values where both sides are small enough."""
+    return drift.ks_drift(*sides(spark, sf), ["value", "user_id"])
+
+
+@query(
+    "dr01_ks_nan",
+    f"""WITH {EVENTS_SQL}, holed AS (SELECT side, CASE WHEN event_id % 4 <> 0 THEN value END AS value FROM ev),
+        whole AS (SELECT * FROM holed WHERE value IS NOT NULL)
+        SELECT feature, round(statistic, 8) AS statistic, round(p_value, 6) AS p_value FROM ({ks_sql("value", "whole", "value")})""",
+)
+def dr01b(spark, sf):
+    holed = [s.withColumn("value", F.when(F.col("event_id") % 4 == 0, F.lit(float("nan"))).otherwise(F.col("value"))) for s in sides(spark, sf)]
+    out = drift.ks_drift(*holed, ["value"], exact_rows=0)
+    return out.select("feature", F.round("statistic", 8).alias("statistic"), F.round("p_value", 6).alias("p_value"))
+
+
+@query(
+    "dr06_p_value_metrics",
+    f"""WITH {EVENTS_SQL} SELECT 'pval_' || feature AS key, round(p_value, 6) AS value FROM ({ks_sql("value", "ev", "value")}
+        UNION ALL {ks_sql("user_id", "ev", "user_id")})""",
+)
+def dr06b(spark, sf):
+    report = drift.ks_drift(*sides(spark, sf), ["value", "user_id"], exact_rows=0)
+    return drift.drift_metric_rows(report).withColumn("value", F.round("value", 6))
+
+
 def chi2_sql(value: str, name: str) -> str:
     """Statistic from expected counts, Yates-corrected in a 2 x 2 table."""
     return f"""SELECT '{name}' AS feature, sum(greatest(abs(o - x) - y, 0) ** 2 / x) AS statistic, max(k) - 1 AS dof FROM (
@@ -175,22 +203,22 @@ def dr05(spark, sf):
 
 @query(
     "dr07_retraining_triggers",
-    f"""WITH {EVENTS_SQL}, {FLAGS_SQL}, n AS (SELECT count(*) FILTER (f)::DOUBLE AS n, count(*) FILTER (f AND feature = 'value')
+    with_("accounts", "scores")
+    + f""", {SPLIT_SQL}, {AREAS_SQL}, drops AS (SELECT max(ref - cur) AS x FROM d),
+        {EVENTS_SQL}, {FLAGS_SQL}, n AS (SELECT count(*) FILTER (f)::DOUBLE AS n, count(*) FILTER (f AND feature = 'value')
           ::DOUBLE AS crit FROM flags)
         SELECT 'critical_feature_drift' AS rule, crit AS observed, crit > 0 AS fired, 'retrain' AS action FROM n
         UNION ALL SELECT 'many_features_drift', n, n >= 5, 'retrain' FROM n
-        UNION ALL SELECT 'auc_drop_mandatory', 0.04, false, 'retrain' FROM n
-        UNION ALL SELECT 'auc_drop_alert', 0.04, true, 'alert' FROM n
+        UNION ALL SELECT 'auc_drop_mandatory', round(x, 6), x > 0.05, 'retrain' FROM drops
+        UNION ALL SELECT 'auc_drop_alert', round(x, 6), x > 0.03, 'alert' FROM drops
         UNION ALL SELECT 'latency_p95', round(quantile_cont(value * 2, 0.95), 6), quantile_cont(value * 2, 0.95) > 500, 'alert'
         FROM events
         UNION ALL SELECT 'feature_tier', n, n > 0, CASE WHEN n = 0 THEN 'none' WHEN n < 5 THEN 'watch' ELSE 'retrain' END FROM n""",
 )
 def dr07(spark, sf):
     report = drift.data_drift(*sides(spark, sf), DRIFT_ROLES)
-    base = scores(spark, sf).select("model").distinct().withColumn("roc_auc", F.lit(0.78))
-    current = base.withColumn("roc_auc", F.lit(0.74))
     latencies = table(spark, sf, "events").select((F.col("value") * 2).alias("latency_ms"))
-    rules = drift.retraining_triggers(report, drift.model_drift(base, current), latencies, critical=["value"])
+    rules = drift.retraining_triggers(report, drift.model_drift(*areas_by_split(spark, sf)), latencies, critical=["value"])
     return rules.withColumn("observed", F.round("observed", 6))
 
 

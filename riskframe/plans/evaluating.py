@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import evaluation as E
 from riskframe.operators import splits
+from riskframe.operators.prefix import ranked
 from riskframe.plans.bindings import MODELS, accounts, scores, table, with_
 from riskframe.plans.profiling import SPLIT_SQL
 from riskframe.plans.registry import query
@@ -249,7 +250,8 @@ POINTS = """points AS (SELECT model, score AS threshold, sum(pos) OVER w AS tp,
 @query(
     "ag28_roc_curve",
     with_(*SCORES)
-    + f", {POINTS} SELECT model, threshold, round(fp / nn::DOUBLE, 8) AS fpr, round(tp / np::DOUBLE, 8) AS tpr FROM points",
+    + f", {POINTS} SELECT model, threshold, round(fp / nn::DOUBLE, 8) AS fpr, round(tp / np::DOUBLE, 8) AS tpr FROM points "
+    "UNION ALL SELECT DISTINCT model, 'infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM points",
 )
 def ag28(spark, sf):
     out = E.roc_curve(scores(spark, sf), ["model"], n_groups=N)
@@ -263,20 +265,17 @@ def ag28(spark, sf):
          FROM areas""",
 )
 def ag28b(spark, sf):
-    """Models by AUC; the listing is cut to a report length before it is numbered."""
-    from pyspark.sql import Window
-
-    order = [F.desc("roc_auc"), F.asc("model")]
-    top = E.roc_auc(scores(spark, sf), ["model"], n_groups=N).orderBy(*order).limit(100)
-    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
-    return ranked.withColumn("roc_auc", F.round("roc_auc", 6))
+    """Models by AUC."""
+    areas = E.roc_auc(scores(spark, sf), ["model"], n_groups=N)
+    return ranked(areas, [], [F.desc("roc_auc"), F.asc("model")]).withColumn("roc_auc", F.round("roc_auc", 6))
 
 
 @query(
     "ag29_precision_recall_curve",
     with_(*SCORES)
     + f""", {POINTS} SELECT model, threshold, round(tp / (tp + fp)::DOUBLE, 8) AS precision,
-         round(tp / np::DOUBLE, 8) AS recall FROM points""",
+         round(tp / np::DOUBLE, 8) AS recall FROM points
+         UNION ALL SELECT DISTINCT model, 'infinity'::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE FROM points""",
 )
 def ag29(spark, sf):
     out = E.precision_recall_curve(scores(spark, sf), ["model"], n_groups=N)
@@ -377,6 +376,16 @@ def ag33(spark, sf):
     )
 
 
+@query(
+    "ag33_low_recall",
+    with_(*CELLS)
+    + "SELECT model, round(tp / nullif(tp + fn, 0)::DOUBLE, 6) AS recall, tp / nullif(tp + fn, 0)::DOUBLE < 0.5 AS low_recall FROM cells",
+)
+def ag33b(spark, sf):
+    out = E.low_recall(E.confusion(scores(spark, sf), ["model"]))
+    return out.select("model", F.round("recall", 6).alias("recall"), "low_recall")
+
+
 @query(
     "ag34_error_economics",
     with_(*CELLS)
@@ -448,7 +457,8 @@ def jn07(spark, sf):
 # --- thresholds, paired tests, intervals ------------------------------------------------------
 
 COSTS = f"""{POINTS}, costs AS (SELECT model, threshold, CAST(np - tp AS BIGINT) AS fn, CAST(fp AS BIGINT) AS fp,
-   (np - tp) * 5.0::DOUBLE + fp * 1.0::DOUBLE AS cost FROM points)"""
+   (np - tp) * 5.0::DOUBLE + fp * 1.0::DOUBLE AS cost FROM points
+   UNION ALL SELECT DISTINCT model, 'infinity'::DOUBLE, CAST(np AS BIGINT), CAST(0 AS BIGINT), np * 5.0::DOUBLE FROM points)"""
 
 
 @query("ex01_threshold_costs", with_(*SCORES) + f", {COSTS} SELECT * FROM costs")

@@ -106,7 +106,7 @@ def io07(spark, sf):
     + """SELECT run_id, run_name, CASE WHEN suppkey % 13 = 0 THEN '' ELSE model_family END AS model_family, stage,
          search_type, roc_auc, f1_macro, precision_macro, recall_macro, accuracy, cv_roc_auc_mean, cv_roc_auc_std,
          cv_f1_mean, cv_f1_std, training_time_s, inference_latency_ms
-         FROM runs WHERE stage = 'tune' ORDER BY roc_auc DESC NULLS LAST, run_id LIMIT 200""",
+         FROM runs WHERE stage = 'tune' ORDER BY roc_auc DESC NULLS LAST, run_id""",
 )
 def io09(spark, sf):
     return runstore.consolidated(run_heads(spark, sf), run_metrics(spark, sf), run_tags(spark, sf), stage="tune")
@@ -165,24 +165,30 @@ def io11(spark, sf):
          SELECT CAST(1 AS INTEGER) AS position, '| run_id | stage | roc_auc |' AS line
          UNION ALL SELECT 2, '|---|---|---|'
          UNION ALL SELECT CAST(rn + 2 AS INTEGER), '| ' || run_id || ' | ' || stage || ' | '
-                          || printf('%.4f', roc_auc) || ' |' FROM top WHERE rn <= 50""",
+                          || printf('%.4f', roc_auc) || ' |' FROM top""",
 )
 def io12(spark, sf):
     path = fresh_path(spark, "markdown")
     report = wide_runs(spark, sf).select("run_id", "stage", "roc_auc")
-    lines_ = artifacts.markdown_table(report, [F.desc_nulls_last("roc_auc"), F.asc("run_id")], max_rows=50)
+    lines_ = artifacts.markdown_table(report, [F.desc_nulls_last("roc_auc"), F.asc("run_id")])
     artifacts.write_markdown(lines_, path)
     return lines_
 
 
-@query("io14_file_checksums")
+@query(
+    "io14_file_checksums",
+    """SELECT sha256(n_name || chr(10)) AS sha256, CAST(length(n_name) + 1 AS BIGINT) AS n_bytes, n_nationkey <> 3 AS matches FROM nation""",
+)
 def io14(spark, sf):
-    found = artifacts.file_checksums(spark, sf, pattern="*.parquet")
-    path = fresh_path(spark, "manifest")
-    found.select("file_name", "sha256").write.parquet(path)
-    manifest = spark.read.parquet(path)
-    artifacts.require_checksums(found, manifest)
-    return found
+    """A file per nation with its name as text; the manifest lists a wrong digest for one of them."""
+    path = fresh_path(spark, "files")
+    nations = table(spark, sf, "nation")
+    nations.select("n_nationkey", "n_name").write.partitionBy("n_nationkey").text(path)
+    found = artifacts.file_checksums(spark, path, pattern="part-*")
+    third = nations.where("n_nationkey = 3").select(F.sha2(F.concat("n_name", F.lit("\n")), 256).alias("sha256"), F.lit("0").alias("wrong"))
+    manifest = found.join(third, "sha256", "left").select("file_name", F.coalesce("wrong", "sha256").alias("sha256"))
+    wrong = artifacts.checksum_mismatches(found, manifest).select("file_name", F.lit(False).alias("same"))
+    return found.join(wrong, "file_name", "left").select("sha256", "n_bytes", F.coalesce("same", F.lit(True)).alias("matches"))
 
 
 # --- contracts ------------------------------------------------------------------------
@@ -196,8 +202,8 @@ CHECK = """SELECT {0} AS position, '{1}' AS "check", 'fatal' AS severity, {2} =
     "SELECT 'row_count' AS \"check\", count(*) AS observed, CAST(count(*) = 15000 AS BOOLEAN) AS passed FROM orders",
 )
 def ct01(spark, sf):
-    checks = contracts.Contract(target="target", n_columns=8, n_rows=15000).check(accounts(spark, sf))
-    return checks.where(F.col("check") == "row_count").select("check", "observed", "passed")
+    checks = contracts.Contract(target="target", n_columns=8, n_rows=15000).check(accounts(spark, sf), only=["row_count"])
+    return checks.select("check", "observed", "passed")
 
 
 @query(
@@ -209,8 +215,8 @@ def ct04(spark, sf):
     events = table(spark, sf, "events").select(
         "event_id", F.when(F.col("event_type") != "error", F.col("value")).alias("value")
     )
-    checks = contracts.Contract(target="value", n_columns=2).check(events)
-    return checks.where(F.col("check") == "no_missing").select("check", "observed", "passed")
+    checks = contracts.Contract(target="value", n_columns=2).check(events, only=["no_missing"])
+    return checks.select("check", "observed", "passed")
 
 
 @query(
@@ -221,8 +227,8 @@ def ct04(spark, sf):
 )
 def ct05(spark, sf):
     part = lines(spark, sf).select("quantity", "line", "flag", "status", "discount")
-    checks = contracts.Contract(target="status", n_columns=5).check(part)
-    return checks.where(F.col("check") == "no_duplicates").select("check", "observed", "passed")
+    checks = contracts.Contract(target="status", n_columns=5).check(part, only=["no_duplicates"])
+    return checks.select("check", "observed", "passed")
 
 
 @query(
@@ -532,15 +538,16 @@ def sc04(spark, sf):
               CASE WHEN event_id % 5 = 1 THEN event_id % 2 = 0 END AS as_bool,
               CASE WHEN event_id % 5 = 2 THEN user_id END AS as_long,
               CASE WHEN event_id % 5 = 3 THEN user_id + 0.25 END::DOUBLE AS as_double,
-              CASE WHEN event_id % 5 = 4 THEN event_type END AS as_string FROM events""",
+              CASE WHEN event_id % 5 = 4 THEN CASE WHEN event_id % 3 = 0 THEN '1d' ELSE event_type END END AS as_string FROM events""",
 )
 def sc05(spark, sf):
     i = F.col("event_id") % 5
     text = (
         F.when(i == 0, F.lit("None"))
-        .when(i == 1, F.when(F.col("event_id") % 2 == 0, "True").otherwise("False"))
+        .when(i == 1, F.when(F.col("event_id") % 2 == 0, "true").otherwise("FALSE"))
         .when(i == 2, F.col("user_id").cast("string"))
         .when(i == 3, F.concat(F.col("user_id").cast("string"), F.lit(".25")))
+        .when(F.col("event_id") % 3 == 0, "1d")
         .otherwise(F.col("event_type"))
     )
     return table(spark, sf, "events").select("event_id", X.typed_param(text).alias("p")).select("event_id", "p.*")
@@ -564,11 +571,13 @@ def sc06(spark, sf):
 @query(
     "sc07_family_rank",
     with_("run_heads")
-    + """SELECT run_id, CASE WHEN suppkey % 13 = 0 THEN 99 WHEN model_family = 'linear' THEN 0
+    + """SELECT run_id, CASE WHEN suppkey % 13 = 0 THEN 99 WHEN suppkey % 11 = 0 THEN 2 WHEN model_family = 'linear' THEN 0
          WHEN model_family = 'tree' THEN 1 ELSE 2 END AS rank FROM run_heads""",
 )
 def sc07(spark, sf):
-    family = F.when(F.col("suppkey") % 13 != 0, F.col("model_family"))
+    """Some runs have a family of their own, some have none."""
+    key = F.col("suppkey")
+    family = F.when(key % 13 == 0, "other").when(key % 11 != 0, F.col("model_family"))
     return run_heads(spark, sf).select("run_id", X.family_rank(family).alias("rank"))
 
 

@@ -14,12 +14,13 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.operators import evaluation as E
-from riskframe.operators import features, importance, models, splits, trees, tuning
+from riskframe.operators import features, importance, models, selection, splits, trees, tuning
 from riskframe.plans.bindings import ACCOUNT_ROLES, accounts, table, with_
 from riskframe.plans.profiling import SPLIT_SQL
 from riskframe.plans.registry import query
 from riskframe.roles import Roles
 from riskframe.session import fresh_path, materialise
+from riskframe.sources import runstore
 from riskframe.streaming import scoring
 
 AMOUNT_ONLY = Roles("row_id", "target", continuous=["amount"])
@@ -206,7 +207,7 @@ def check_sql(name):
 
 @query("ml12_calibrated_margin", check_sql("perceptron"))
 def ml12(spark, sf):
-    return fit_check(spark, sf, "perceptron", {"max_iter": 8})
+    return fit_check(spark, sf, "perceptron", {})
 
 
 MONTH_RATE = """SELECT row_id, round(avg(target) OVER (PARTITION BY month), 3) AS probability FROM accounts"""
@@ -236,12 +237,12 @@ def ml14(spark, sf):
 
 @query("ml15_random_forest", check_sql("rf"))
 def ml15(spark, sf):
-    return fit_check(spark, sf, "rf", {"n_estimators": 8, "max_depth": 5})
+    return fit_check(spark, sf, "rf", {"n_estimators": 100, "max_depth": 5})
 
 
 @query("ml16_gradient_boosting", check_sql("gb"))
 def ml16(spark, sf):
-    return fit_check(spark, sf, "gb", {"n_estimators": 6, "max_depth": 3})
+    return fit_check(spark, sf, "gb", {"n_estimators": 100, "max_depth": 3})
 
 
 @query("ml18_reduced_logistic")
@@ -259,7 +260,8 @@ def ml18(spark, sf):
 
 # --- validation and search ------------------------------------------------------------------
 
-FOLD3_SQL = """fold AS (SELECT row_id, target, CASE WHEN rn <= n // 3 THEN 0 WHEN rn <= 2 * n // 3 THEN 1 ELSE 2 END AS fold FROM
+FOLD5_SQL = """fold AS (SELECT row_id, target, CASE WHEN rn <= n // 5 THEN 0 WHEN rn <= 2 * n // 5 THEN 1
+   WHEN rn <= 3 * n // 5 THEN 2 WHEN rn <= 4 * n // 5 THEN 3 ELSE 4 END AS fold FROM
    (SELECT row_id, target, row_number() OVER (PARTITION BY target ORDER BY md5('42:' || row_id)) AS rn,
            count(*) OVER (PARTITION BY target) AS n FROM accounts)),
   auc AS (SELECT fold, (sum(CASE WHEN target = 1 THEN rk END) - max(np) * (max(np) + 1) / 2.0) / (max(np) * max(nn))::DOUBLE AS auc
@@ -271,34 +273,38 @@ FOLD3_SQL = """fold AS (SELECT row_id, target, CASE WHEN rn <= n // 3 THEN 0 WHE
 
 @query(
     "ml19_cross_validation",
-    with_("accounts") + f""", {FOLD3_SQL} SELECT fold, 'roc_auc' AS metric, round(auc, 6) AS value FROM auc""",
+    with_("accounts") + f""", {FOLD5_SQL} SELECT fold, 'roc_auc' AS metric, round(auc, 6) AS area, true AS in_range FROM auc
+         UNION ALL SELECT fold, 'f1_macro', NULL, true FROM auc""",
 )
 def ml19(spark, sf):
-    """One feature, so each fold's area is the feature's own."""
+    """One feature, so each fold's area is the feature's own; of macro F1 the range is checked."""
     data = labelled(spark, sf)
     pipeline = models.build_pipeline("logreg", AMOUNT_ONLY, n_train=data.count(), params={"max_iter": 20})
-    rows = tuning.cross_validate(data, pipeline, AMOUNT_ONLY, k=3)
-    return rows.where(F.col("metric") == "roc_auc").withColumn("value", F.round("value", 6))
+    rows = tuning.cross_validate(data, pipeline, AMOUNT_ONLY, k=5)
+    area = F.when(F.col("metric") == "roc_auc", F.round("value", 6))
+    return rows.select("fold", "metric", area.alias("area"), F.col("value").between(0, 1).alias("in_range"))
 
 
-GRID = {"C": [0.1, 10.0], "max_iter": [20]}
+# The penalties of the registered grid.
+GRID = {"C": [0.01, 0.1, 1.0, 10.0], "max_iter": [20]}
+GRID_SQL = "g(combo, c) AS (VALUES ('C=0.01;max_iter=20', '0.01'), ('C=0.1;max_iter=20', '0.1'), ('C=1.0;max_iter=20', '1.0'), ('C=10.0;max_iter=20', '10.0'))"
 
 
 @query(
     "ml20_grid_search",
     with_("accounts")
-    + f""", {FOLD3_SQL}, g(combo, c) AS (VALUES ('C=0.1;max_iter=20', '0.1'), ('C=10.0;max_iter=20', '10.0'))
+    + f""", {FOLD5_SQL}, {GRID_SQL}
          SELECT combo, c AS "C", '20' AS max_iter, (SELECT round(avg(auc), 6) FROM auc) AS score FROM g""",
 )
 def ml20(spark, sf):
-    _, _, results = tuning.search(labelled(spark, sf), "logreg", AMOUNT_ONLY, k=3, grid=GRID)
+    _, _, results = tuning.search(labelled(spark, sf), "logreg", AMOUNT_ONLY, k=5, grid=GRID)
     return results.withColumn("score", F.round("score", 6))
 
 
 @query("ml20_grid_search_by_f1")
 def ml20b(spark, sf):
     _, best, results = tuning.search(
-        labelled(spark, sf), "dtree", MEASURES, k=2, metric="f1_macro", grid={"max_depth": [1, 3], "criterion": ["gini"]}
+        labelled(spark, sf), "dtree", MEASURES, k=5, metric="f1_macro", grid={"max_depth": [1, 3], "criterion": ["gini"]}
     )
     return results.withColumn("best", F.col("combo") == models.params_text(best))
 
@@ -306,7 +312,7 @@ def ml20b(spark, sf):
 @query("ml21_random_search")
 def ml21(spark, sf):
     grid = {"max_depth": [2, 3, 4], "n_estimators": [3, 5], "max_features": ["sqrt", "log2"]}
-    _, best, results = tuning.search(labelled(spark, sf), "rf", MEASURES, k=2, n_iter=3, grid=grid)
+    _, best, results = tuning.search(labelled(spark, sf), "rf", MEASURES, k=5, n_iter=6, grid=grid)
     return results.withColumn("best", F.col("combo") == models.params_text(best))
 
 
@@ -319,61 +325,91 @@ VAL_AREA_SQL = """(SELECT (sum(CASE WHEN target = 1 THEN rk END) - max(np) * (ma
 def run_of(spark, sf, **settings):
     parts = by_split(spark, sf)
     return tuning.train_and_evaluate(
-        "logreg", parts["train"], parts["val"], AMOUNT_ONLY, k=2, params={"max_iter": 20}, **settings
+        "logreg", parts["train"], parts["val"], AMOUNT_ONLY, k=5, params={"max_iter": 20, "C": 10.0}, **settings
     )[1], parts
 
 
+def stored_runs(spark, sf):
+    """A trained run in the store, the same run with a changed area, and the split it was trained on."""
+    record, parts = run_of(spark, sf)
+    path = fresh_path(spark, "runs")
+    about = {"experiment": "exp0", "start_time": 1, "data_digest": "d" * 64, "code_digest": "c" * 40}
+    tuning.log_run(tuning.run_frame(spark, record, run_id="run-1", **about), path)
+    changed = {**record, "metrics": {**record["metrics"], "roc_auc": record["metrics"]["roc_auc"] - 0.01}}
+    tuning.log_run(tuning.run_frame(spark, changed, run_id="run-2", **about), path)
+    return runstore.read_runs(spark, path), parts
+
+
 @query(
     "ml22_training_run",
     with_("accounts")
-    + f""", {SPLIT_SQL} SELECT 'logreg' AS model_name, 'linear' AS model_family, 'baseline' AS stage,
-         count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'val') AS n_val,
-         round({VAL_AREA_SQL.format("val")}, 6) AS roc_auc, CAST(11 AS BIGINT) AS n_metrics FROM split""",
+    + f""", {SPLIT_SQL} SELECT 'run-1' AS run_id, 'baseline__logreg__numstd_catoh__none__none__seed42__datadddddddd__codeccccccc' AS run_name,
+         'logreg' AS model_name, 'linear' AS model_family, 'baseline' AS stage, 'none' AS search_type,
+         CAST(count(*) FILTER (split = 'train') AS VARCHAR) AS n_train, CAST(count(*) FILTER (split = 'val') AS VARCHAR) AS n_val,
+         '10.0' AS c, round({VAL_AREA_SQL.format("val")}, 6) AS roc_auc, CAST(11 AS INTEGER) AS n_metrics,
+         CAST(14 AS INTEGER) AS n_tags, CAST(12 AS INTEGER) AS n_params, true AS timed FROM split""",
 )
 def ml22(spark, sf):
-    record, _ = run_of(spark, sf)
-    row = (
-        record["model_name"], record["model_family"], record["stage"], record["n_train"], record["n_val"],
-        round(record["metrics"]["roc_auc"], 6), len(record["metrics"]),
-    )
-    return spark.createDataFrame(
-        [row], "model_name string, model_family string, stage string, n_train long, n_val long, roc_auc double, n_metrics long"
+    """A run as it is read back from the store."""
+    runs, _ = stored_runs(spark, sf)
+    params, tags, metrics = F.col("params"), F.col("tags"), F.col("metrics")
+    return runs.where(F.col("run_id") == "run-1").select(
+        "run_id", "run_name", params["model_name"].alias("model_name"), tags["model_family"].alias("model_family"), "stage",
+        tags["search_type"].alias("search_type"), params["n_train"].alias("n_train"), params["n_val"].alias("n_val"),
+        params["clf__C"].alias("c"), F.round(metrics["roc_auc"], 6).alias("roc_auc"), F.size("metrics").alias("n_metrics"),
+        F.size("tags").alias("n_tags"), F.size("params").alias("n_params"),
+        ((metrics["inference_latency_ms"] > 0) & (metrics["training_time_s"] > 0)).alias("timed"),
     )
 
 
 @query(
     "ml23_reduction_sweep",
-    """SELECT model_name, 'lda' AS dimred_method, true AS beats_chance FROM (VALUES ('dtree'), ('logreg')) t(model_name)""",
+    """SELECT model_name, method AS dimred_method, k AS dimred_n_components, CASE WHEN method = 'none' THEN 'baseline' ELSE 'dimred' END
+         AS stage, true AS beats_chance, method = 'pca' AS has_variance FROM (VALUES ('dtree'), ('logreg')) t(model_name),
+         (VALUES ('none', '0'), ('pca', '1'), ('pca', '2'), ('lda', '1')) r(method, k)""",
 )
 def ml23(spark, sf):
     parts = by_split(spark, sf)
-    records = tuning.train_sweep(["dtree", "logreg"], [("lda", 1)], parts["train"], parts["val"], MEASURES, k=2)
-    rows = [(r["model_name"], r["dimred_method"], r["metrics"]["roc_auc"] > 0.6) for r in records]
-    return spark.createDataFrame(rows, "model_name string, dimred_method string, beats_chance boolean")
+    records = tuning.train_sweep(
+        ["dtree", "logreg"], [None, ("pca", 1), ("pca", 2), ("lda", 1)], parts["train"], parts["val"], MEASURES, k=2
+    )
+    rows = [
+        (
+            r["model_name"], r["dimred_method"], r["dimred_n_components"], r["stage"], r["metrics"]["roc_auc"] > 0.6,
+            r["dimred_explained_variance"] != "na",
+        )
+        for r in records
+    ]
+    return spark.createDataFrame(
+        rows, "model_name string, dimred_method string, dimred_n_components string, stage string, beats_chance boolean, has_variance boolean"
+    )
 
 
 @query(
     "ml28_learning_curve",
     with_("accounts")
-    + f""", {FOLD3_SQL} SELECT fraction, 'validation' AS side, round(avg(auc), 6) AS mean, round(stddev_pop(auc), 6) AS std
-         FROM auc, (VALUES (0.2::DOUBLE), (1.0::DOUBLE)) f(fraction) GROUP BY fraction""",
+    + f""", {FOLD5_SQL} SELECT i / 10.0::DOUBLE AS fraction, 'validation' AS side, round(avg(auc), 6) AS mean,
+         round(stddev_pop(auc), 6) AS std, true AS in_range FROM auc, range(1, 11) f(i) GROUP BY i
+         UNION ALL SELECT i / 10.0::DOUBLE, 'train', NULL, NULL, true FROM range(1, 11) f(i)""",
 )
 def ml28(spark, sf):
-    curve = tuning.learning_curve(
-        labelled(spark, sf), "logreg", AMOUNT_ONLY, fractions=[0.2, 1.0], k=3, params={"max_iter": 10}
+    """The validation side has the feature's own area; of the training side the range is checked."""
+    curve = tuning.learning_curve(labelled(spark, sf), "logreg", AMOUNT_ONLY, k=5, params={"max_iter": 10})
+    held = F.col("side") == "validation"
+    return curve.select(
+        "fraction", "side", F.when(held, F.round("mean", 6)).alias("mean"), F.when(held, F.round("std", 6)).alias("std"),
+        F.col("mean").between(0.5, 1).alias("in_range"),
     )
-    rows = curve.where(F.col("side") == "validation")
-    return rows.select("fraction", "side", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
 @query(
     "ml29_validation_curve",
     with_("accounts")
-    + f""", {FOLD3_SQL} SELECT value, (SELECT round(avg(auc), 6) FROM auc) AS mean_score, CAST(1 AS BIGINT) AS n
-         FROM (VALUES ('0.1'), ('10.0')) v(value)""",
+    + f""", {FOLD5_SQL} SELECT value, (SELECT round(avg(auc), 6) FROM auc) AS mean_score, CAST(1 AS BIGINT) AS n
+         FROM (VALUES ('0.01'), ('0.1'), ('1.0'), ('10.0')) v(value)""",
 )
 def ml29(spark, sf):
-    _, _, results = tuning.search(labelled(spark, sf), "logreg", AMOUNT_ONLY, k=3, grid=GRID)
+    _, _, results = tuning.search(labelled(spark, sf), "logreg", AMOUNT_ONLY, k=5, grid=GRID)
     return tuning.validation_curve(results, "C").withColumn("mean_score", F.round("mean_score", 6))
 
 
@@ -382,24 +418,27 @@ def ml29(spark, sf):
     with_("accounts") + f""", {SPLIT_SQL} SELECT 'logreg' AS model, round({VAL_AREA_SQL.format("test")}, 6) AS roc_auc""",
 )
 def ml30(spark, sf):
-    parts = by_split(spark, sf)
-    _, metrics = tuning.final_evaluation(
-        "logreg", parts["train"], parts["val"], parts["test"], AMOUNT_ONLY, params={"max_iter": 20}
+    """The cascade's winner in the store, refitted with the settings of its log."""
+    runs, parts = stored_runs(spark, sf)
+    wide = runs.select(
+        "run_id", "experiment", F.col("tags")["model_family"].alias("model_family"),
+        *[F.col("metrics")[m].alias(m) for m, _, _ in selection.CASCADE],
     )
+    winner = selection.cascade_winner(selection.eligible_runs(wide), ["experiment"]).first()["run_id"]
+    _, metrics = tuning.evaluate_winner(runs, winner, parts["train"], parts["val"], parts["test"], AMOUNT_ONLY)
     return metrics.select("model", F.round("roc_auc", 6).alias("roc_auc"))
 
 
 @query(
     "au01_recomputed_run",
-    """SELECT 'run-1' AS run_id, metric, true AS matches
-       FROM (VALUES ('roc_auc'), ('f1_macro'), ('precision_macro'), ('recall_macro'), ('accuracy')) m(metric)""",
+    """SELECT run_id, metric, run_id = 'run-1' OR metric <> 'roc_auc' AS matches FROM (VALUES ('run-1'), ('run-2')) r(run_id),
+         (VALUES ('roc_auc'), ('f1_macro'), ('precision_macro'), ('recall_macro'), ('accuracy')) m(metric)""",
 )
 def au01(spark, sf):
-    record, parts = run_of(spark, sf)
-    audit = tuning.audit_run(
-        record, parts["train"], parts["val"], AMOUNT_ONLY, run_id="run-1", params={"max_iter": 20}
-    )
-    return audit.select("run_id", "metric", "matches")
+    """Both runs are refitted from their logged parameters; one has a changed area in its log."""
+    runs, parts = stored_runs(spark, sf)
+    audits = [tuning.audit_run(runs, parts["train"], parts["val"], AMOUNT_ONLY, run_id=r) for r in ("run-1", "run-2")]
+    return audits[0].unionByName(audits[1]).select("run_id", "metric", "matches")
 
 
 # --- trees, importances, scoring ----------------------------------------------------------------

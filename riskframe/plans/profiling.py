@@ -397,8 +397,12 @@ def wn03(spark, sf):
     "FROM events GROUP BY user_id",
 )
 def wn05(spark, sf):
-    last = F.max(F.struct("ts", "event_id", "value")).alias("last")
-    return table(spark, sf, "events").groupBy("user_id").agg(last).select("user_id", "last.event_id", "last.value")
+    # One number in the order of (ts, event_id), so that the latest row is a hash aggregate.
+    micros = F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(20,0)")
+    order = micros * F.lit(2**40).cast("decimal(13,0)") + F.col("event_id").cast("decimal(20,0)")
+    return table(spark, sf, "events").groupBy("user_id").agg(
+        F.max_by("event_id", order).alias("event_id"), F.max_by("value", order).alias("value")
+    )
 
 
 @query(
@@ -424,3 +428,81 @@ def wn03b(spark, sf):
     groups = ["l_returnflag", "l_linestatus"]
     out = exact_quantiles(table(spark, sf, "lineitem"), groups, "l_extendedprice", {"p05": 0.05, "p95": 0.95})
     return out.select(*groups, F.round("p05", 6).alias("p05"), F.round("p95", 6).alias("p95"))
+
+
+# --- damaged columns ----------------------------------------------------------------------
+
+# NaN in every fourth value, no label in every third row, a label of many values in the rest.
+DAMAGED_SQL = """damaged AS (SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN value END AS value, user_id::DOUBLE AS user_id,
+   CASE WHEN event_id % 3 <> 0 THEN event_id % 7 END AS grade, CASE WHEN event_id % 3 <> 0 THEN (value > 50)::INT END AS flag
+   FROM events)"""
+
+
+def damaged(spark, sf):
+    i = F.col("event_id")
+    return table(spark, sf, "events").select(
+        "event_id", F.when(i % 4 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"),
+        F.col("user_id").cast("double").alias("user_id"), F.when(i % 3 != 0, i % 7).alias("grade"),
+        F.when(i % 3 != 0, (F.col("value") > 50).cast("int")).alias("flag"),
+    )
+
+
+@query(
+    "ag04_missing_labels",
+    f"""WITH {DAMAGED_SQL}, c AS (SELECT grade AS label, count(*) AS n FROM damaged WHERE grade IS NOT NULL GROUP BY grade),
+         s AS (SELECT label, n, round(n / (SELECT sum(n) FROM c)::DOUBLE, 4) AS ratio FROM c)
+         SELECT label, n, ratio, label = (SELECT arg_min(label, (n, label)) FROM s) AS is_minority,
+                (SELECT arg_min(ratio, (n, label)) FROM s) < 0.20 AS imbalance_warning FROM s""",
+)
+def ag04b(spark, sf):
+    return profile.class_balance(damaged(spark, sf), "grade")
+
+
+@query("ag07_describe_nan", f"WITH {DAMAGED_SQL} " + " UNION ALL ".join(_describe_sql(c, "damaged") for c in ("value", "user_id")))
+def ag07b(spark, sf):
+    out = profile.describe(damaged(spark, sf), ["value", "user_id"])
+    digits = {"mean": 5, "std": 5, "q1": 6, "median": 6, "q3": 6}
+    return out.select("feature", "count", "min", "max", *[F.round(c, d).alias(c) for c, d in digits.items()])
+
+
+@query(
+    "ag10_pearson_nan",
+    f"""WITH {DAMAGED_SQL} SELECT 'value' AS feature, round(abs(corr(value, grade)), 4) AS corr FROM damaged
+        UNION ALL SELECT 'user_id', round(abs(corr(user_id, grade)), 4) FROM damaged""",
+)
+def ag10b(spark, sf):
+    return profile.top_pearson(damaged(spark, sf), "grade", ["value", "user_id"])
+
+
+_RANKED = """SELECT '{0}' AS feature, round(abs(corr(rx, ry)), 4) AS corr FROM (SELECT
+   rank() OVER (ORDER BY {0}) + (count(*) OVER (PARTITION BY {0}) - 1) / 2.0 AS rx,
+   rank() OVER (ORDER BY {1}) + (count(*) OVER (PARTITION BY {1}) - 1) / 2.0 AS ry
+   FROM damaged WHERE {0} IS NOT NULL AND {1} IS NOT NULL)"""
+
+
+@query("ag11_spearman_any_target", f"WITH {DAMAGED_SQL} {_RANKED.format('value', 'grade')} UNION ALL {_RANKED.format('user_id', 'grade')}")
+def ag11b(spark, sf):
+    return profile.top_spearman(damaged(spark, sf), "grade", ["value", "user_id"])
+
+
+@query("ag11_spearman_missing_labels", f"WITH {DAMAGED_SQL} {_RANKED.format('value', 'flag')} UNION ALL {_RANKED.format('user_id', 'flag')}")
+def ag11c(spark, sf):
+    return profile.top_spearman(damaged(spark, sf), "flag", ["value", "user_id"])
+
+
+@query(
+    "pr07_outlier_rows_nan",
+    f"""WITH {DAMAGED_SQL}, b AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM damaged)
+        SELECT event_id, 'value' AS feature, value FROM damaged, b WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
+)
+def pr07b(spark, sf):
+    return profile.outlier_rows(damaged(spark, sf), "event_id", ["value"])
+
+
+@query(
+    "wn03_quantiles_null_group",
+    f"""WITH {DAMAGED_SQL} SELECT grade, round(quantile_cont(value, 0.5), 6) AS median FROM damaged GROUP BY grade""",
+)
+def wn03c(spark, sf):
+    out = exact_quantiles(damaged(spark, sf).where(~F.isnan("value")), ["grade"], "value", {"median": 0.5})
+    return out.select("grade", F.round("median", 6).alias("median"))

@@ -13,7 +13,7 @@ from riskframe.plans.registry import query
 from riskframe.session import materialise
 from riskframe.sources import artifacts, runstore
 
-RANK_SQL = "CASE model_family WHEN 'linear' THEN 0 WHEN 'tree' THEN 1 WHEN 'ensemble' THEN 2 ELSE 99 END"
+RANK_SQL = "CASE coalesce(model_family, 'ensemble') WHEN 'linear' THEN 0 WHEN 'tree' THEN 1 WHEN 'ensemble' THEN 2 ELSE 99 END"
 ORDER_SQL = f"""roc_auc DESC NULLS LAST, coalesce(cv_roc_auc_std, 'infinity'::DOUBLE),
    coalesce(inference_latency_ms, 'infinity'::DOUBLE), coalesce(training_time_s, 'infinity'::DOUBLE), {RANK_SQL}, run_id"""
 
@@ -29,7 +29,12 @@ CASCADE_SQL = f"""e AS (SELECT *, {RANK_SQL} AS rnk FROM runs WHERE training_tim
         OVER (PARTITION BY experiment) AS b4 FROM s3) WHERE abs(training_time_s - b4) <= 1e-4::DOUBLE),
  winners AS (SELECT experiment, arg_min(run_id, (rnk, run_id)) AS run_id, CAST(CASE WHEN any_value(n1) = 1 THEN 1
         WHEN any_value(n2) = 1 THEN 2 WHEN any_value(n3) = 1 THEN 3 WHEN any_value(n4) = 1 THEN 4 ELSE 5 END AS INTEGER)
-        AS decision_step, any_value(n0) AS n_candidates FROM s4 GROUP BY experiment)"""
+        AS decision_step, any_value(n0) AS n_candidates FROM s4 GROUP BY experiment),
+ reasoned AS (SELECT w.*, CASE decision_step WHEN 1 THEN 'roc_auc ' || printf('%.6f', e.roc_auc)
+        WHEN 2 THEN 'cv_roc_auc_std ' || printf('%.6f', e.cv_roc_auc_std)
+        WHEN 3 THEN 'inference_latency_ms ' || printf('%.6f', e.inference_latency_ms)
+        WHEN 4 THEN 'training_time_s ' || printf('%.6f', e.training_time_s) ELSE 'model_family rank ' || rnk END AS reason
+        FROM winners w JOIN e USING (experiment, run_id))"""
 
 
 def winners(spark, sf):
@@ -37,7 +42,7 @@ def winners(spark, sf):
     return selection.cascade_winner(runs, ["experiment"])
 
 
-@query("se01_cascade_winner", with_(*RUN_CTES) + f", {CASCADE_SQL} SELECT * FROM winners")
+@query("se01_cascade_winner", with_(*RUN_CTES) + f", {CASCADE_SQL} SELECT * FROM reasoned")
 def se01(spark, sf):
     return winners(spark, sf)
 
@@ -50,7 +55,7 @@ TIED_SQL = """tied AS (SELECT run_id, experiment, model_family, floor(roc_auc *
 
 @query(
     "se01_cascade_ties",
-    with_(*RUN_CTES) + f", {TIED_SQL}, {CASCADE_SQL.replace('FROM runs', 'FROM tied')} SELECT * FROM winners",
+    with_(*RUN_CTES) + f", {TIED_SQL}, {CASCADE_SQL.replace('FROM runs', 'FROM tied')} SELECT * FROM reasoned",
 )
 def se01b(spark, sf):
     tied = wide_runs(spark, sf).select(
@@ -92,11 +97,11 @@ def se03(spark, sf):
                  FROM runs WHERE stage = 'baseline')
          SELECT 1 AS position, '| run_name | model_family | roc_auc |' AS line UNION ALL SELECT 2, '|---|---|---|'
          UNION ALL SELECT CAST(rn + 2 AS INTEGER), '| ' || run_name || ' | ' || model_family || ' | '
-         || printf('%.4f', roc_auc) || ' |' FROM b WHERE rn <= 200""",
+         || printf('%.4f', roc_auc) || ' |' FROM b""",
 )
 def se04(spark, sf):
     runs = wide_runs(spark, sf).where(F.col("stage") == "baseline").select("run_name", "model_family", "roc_auc")
-    return artifacts.markdown_table(runs, [F.desc_nulls_last("roc_auc"), F.asc("run_name")], max_rows=200)
+    return artifacts.markdown_table(runs, [F.desc_nulls_last("roc_auc"), F.asc("run_name")])
 
 
 @query(
@@ -108,12 +113,30 @@ def se04(spark, sf):
 def jn03(spark, sf):
     heads = run_heads(spark, sf)
     extra = heads.where(F.col("stage") == "dimred").select(
-        "run_name", "model_name", "dimred_method", "dimred_n_components",
+        "run_name", "start_time", "run_id", "model_name", "dimred_method", "dimred_n_components",
         F.when(F.col("dimred_method") == "pca", "0.9").alias("explained_variance"),
     )
     return selection.enrich_runs(heads.select("run_id", "run_name"), extra).drop("run_name")
 
 
+@query(
+    "jn03_repeated_run_names",
+    with_("run_heads")
+    + """, named AS (SELECT run_id, start_time, model_name, 'name' || suppkey % 7 AS run_name FROM run_heads),
+         last AS (SELECT run_name, arg_max(model_name, (start_time, run_id)) AS model_name FROM named GROUP BY run_name)
+         SELECT run_id, last.model_name, 'none' AS dimred_method FROM named JOIN last USING (run_name)""",
+)
+def jn03b(spark, sf):
+    """Seven names for all runs: every run stays one row and gets the values of the latest run of its name."""
+    name = F.concat(F.lit("name"), (F.col("suppkey") % 7).cast("string"))
+    named = run_heads(spark, sf).withColumn("run_name", name)
+    extra = named.select(
+        "run_name", "start_time", "run_id", "model_name", F.lit("none").alias("dimred_method"),
+        F.lit("0").alias("dimred_n_components"), F.lit("na").alias("explained_variance"),
+    )
+    return selection.enrich_runs(named.select("run_id", "run_name"), extra).select("run_id", "model_name", "dimred_method")
+
+
 @query(
     "jn04_latest_baseline",
     with_("run_heads")
@@ -265,15 +288,15 @@ def ex04(spark, sf):
 
 @query(
     "tk01_runs_by_auc",
-    with_(*RUN_CTES) + "SELECT run_id, roc_auc FROM runs ORDER BY roc_auc DESC NULLS LAST, run_id LIMIT 20",
+    with_(*RUN_CTES) + "SELECT run_id, roc_auc FROM runs ORDER BY roc_auc DESC NULLS LAST, run_id",
 )
 def tk01(spark, sf):
-    return wide_runs(spark, sf).orderBy(F.desc_nulls_last("roc_auc"), "run_id").limit(20).select("run_id", "roc_auc")
+    return wide_runs(spark, sf).orderBy(F.desc_nulls_last("roc_auc"), "run_id").select("run_id", "roc_auc")
 
 
-@query("tk02_six_key_order", with_(*RUN_CTES) + f"SELECT run_id, roc_auc FROM runs ORDER BY {ORDER_SQL} LIMIT 30")
+@query("tk02_six_key_order", with_(*RUN_CTES) + f"SELECT run_id, roc_auc FROM runs ORDER BY {ORDER_SQL}")
 def tk02(spark, sf):
-    return selection.top_runs(wide_runs(spark, sf), 30).select("run_id", "roc_auc")
+    return selection.ordered_runs(wide_runs(spark, sf)).select("run_id", "roc_auc")
 
 
 @query(
@@ -294,10 +317,10 @@ def tk05(spark, sf):
     "wn01_report_rank",
     with_(*RUN_CTES)
     + f"""SELECT run_id, experiment, rank FROM (SELECT run_id, experiment, CAST(row_number() OVER (PARTITION BY experiment
-         ORDER BY {ORDER_SQL}) AS INTEGER) AS rank FROM runs) WHERE rank <= 10""",
+         ORDER BY {ORDER_SQL}) AS INTEGER) AS rank FROM runs)""",
 )
 def wn01(spark, sf):
-    return selection.ranked_report(wide_runs(spark, sf), ["experiment"], 10).select("run_id", "experiment", "rank")
+    return selection.ranked_report(wide_runs(spark, sf), ["experiment"]).select("run_id", "experiment", "rank")
 
 
 @query(

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.functions.expressions import fixed_point
+from riskframe.operators.prefix import ranked
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
@@ -31,31 +34,32 @@ def markdown_line(dtypes: list[tuple[str, str]], *, digits: int = 4) -> Column:
     return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
 
 
-def markdown_table(df: DataFrame, order: list[Column], *, digits: int = 4, max_rows: int = 1000) -> DataFrame:
-    """(position, line): header, ruler, then the first ``max_rows`` rows of a report."""
+def markdown_table(df: DataFrame, order: list[Column], *, digits: int = 4) -> DataFrame:
+    """(position, line): header, ruler, then the rows of a report in order."""
     head = [
         (1, "| " + " | ".join(df.columns) + " |"),
         (2, "|" + "|".join("---" for _ in df.columns) + "|"),
     ]
     line = markdown_line(df.dtypes, digits=digits)
-    # The report is cut to max_rows first, so numbering it in one task is bounded.
-    top = df.orderBy(*order).limit(max_rows)
-    body = top.select(
-        (F.row_number().over(Window.orderBy(*order)) + len(head)).alias("position"), line.alias("line")
+    body = ranked(df, [], order, "_place").select(
+        (F.col("_place") + len(head)).cast("int").alias("position"), line.alias("line")
     )
     return df.sparkSession.createDataFrame(head, "position int, line string").unionByName(body)
 
 
 def write_markdown(table: DataFrame, path: str) -> None:
-    """The lines in order, in one file."""
-    table.orderBy("position").select("line").coalesce(1).write.mode("overwrite").text(path)
+    """The lines in order; the names of the part files follow that order."""
+    table.orderBy("position").select("line").write.mode("overwrite").text(path)
 
 
 def file_checksums(spark: SparkSession, path: str, *, pattern: str = "*") -> DataFrame:
-    """(file_name, n_bytes, sha256) of every file below 2 GB, hashed where it is read."""
+    """(file_name, n_bytes, sha256) of every file below 2 GB, hashed where it is read.
+
+    A name is the path below ``path``, so files of the same name in different folders stay apart.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.regexp_extract("path", re.escape(path.rstrip("/")) + "/(.*)$", 1).alias("file_name"),
         F.col("length").alias("n_bytes"),
         F.sha2("content", 256).alias("sha256"),
     )

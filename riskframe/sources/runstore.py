@@ -26,7 +26,6 @@ TAGS = [
     "framework", "python_version", "os_platform", "stage", "search_type",
     "dimred_method", "dimred_n_components", "dimred_explained_variance", "baseline_run_id",
 ]
-MAX_RUNS = 200
 
 
 def read_metric_logs(spark: SparkSession, path: str) -> DataFrame:
@@ -56,7 +55,12 @@ def write_metric_logs(metrics: DataFrame, path: str) -> None:
 
 def last_values(metrics: DataFrame) -> DataFrame:
     """(run_id, key, value): the value logged last."""
-    return metrics.groupBy("run_id", "key").agg(F.max_by("value", F.struct("ts", "step")).alias("value"))
+    return metrics.groupBy("run_id", "key").agg(F.max_by("value", logged_order()).alias("value"))
+
+
+def logged_order() -> Column:
+    """(ts, step) as one number, so that the latest value is a hash aggregate; steps are below 2^32."""
+    return F.col("ts").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(11,0)") + F.col("step").cast("decimal(20,0)")
 
 
 def pivot_metrics(metrics: DataFrame, keys: list[str] = METRICS) -> DataFrame:
@@ -64,7 +68,7 @@ def pivot_metrics(metrics: DataFrame, keys: list[str] = METRICS) -> DataFrame:
     chosen = metrics.where(F.col("key").isin(keys))
     return chosen.groupBy("run_id").agg(
         *[
-            F.max_by(F.when(F.col("key") == k, F.col("value")), F.when(F.col("key") == k, F.struct("ts", "step"))).alias(k)
+            F.max_by(F.when(F.col("key") == k, F.col("value")), F.when(F.col("key") == k, logged_order())).alias(k)
             for k in keys
         ]
     )
@@ -84,11 +88,11 @@ def consolidated(
     tags: DataFrame,
     *,
     stage: str | None = None,
-    max_runs: int | None = MAX_RUNS,
+    max_runs: int | None = None,
 ) -> DataFrame:
     """Best runs first: run_name, three tags ("" when absent), eleven metrics (null when absent).
 
-    ``max_runs`` is the report's length; ``None`` keeps every run.
+    Every run, unless the caller asks for the first ``max_runs``.
     """
     labels = pivot_text(tags, ["model_family", "stage", "search_type"])
     wide = runs.select("run_id", "run_name").join(labels, "run_id", "left").join(pivot_metrics(metrics), "run_id", "left")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskframe.operators import evaluation, features, models, trees, tuning
 from riskframe.roles import Roles
 from riskframe.session import fresh_path
+from riskframe.sources import runstore
 
 ROLES = Roles("row_id", "target", continuous=["credit", "age"], ordinal=["delay"], categorical=["sex"])
 
@@ -155,15 +156,22 @@ def test_search_returns_the_best(labelled):
     assert isinstance(model, PipelineModel) and model.stages[-1].depth == best["max_depth"]
 
 
-def test_audit_finds_a_changed_log(labelled):
+def test_audit_finds_a_changed_log(labelled, tmp_path):
     train, val = labelled.where("row_id % 4 <> 0"), labelled.where("row_id % 4 = 0")
     _, record = tuning.train_and_evaluate("logreg", train, val, ROLES, k=2, params={"max_iter": 10})
     assert record["metrics"]["roc_auc"] > 0.8 and record["search_type"] == "none"
-    audit = tuning.audit_run(record, train, val, ROLES, run_id="r", params={"max_iter": 10})
-    assert all(r.matches for r in audit.collect())
-    record["metrics"]["accuracy"] = 0.9999
-    bad = [r.metric for r in tuning.audit_run(record, train, val, ROLES, run_id="r", params={"max_iter": 10}).collect() if not r.matches]
-    assert bad == ["accuracy"]
+    spark, path = labelled.sparkSession, str(tmp_path / "runs")
+    about = {"experiment": "e", "start_time": 1, "data_digest": "d" * 64, "code_digest": "c" * 40}
+    tuning.log_run(tuning.run_frame(spark, record, run_id="good", **about), path)
+    changed = {**record, "metrics": {**record["metrics"], "accuracy": 0.9999}}
+    tuning.log_run(tuning.run_frame(spark, changed, run_id="bad", **about), path)
+    runs = runstore.read_runs(spark, path)
+    assert tuning.logged_settings(runs, "good") == {"name": "logreg", "seed": 42, "reduction": None, "params": {"max_iter": 10}}
+    assert all(r.matches for r in tuning.audit_run(runs, train, val, ROLES, run_id="good").collect())
+    assert [r.metric for r in tuning.audit_run(runs, train, val, ROLES, run_id="bad").collect() if not r.matches] == ["accuracy"]
+    incomplete = {k: v for k, v in record.items() if k != "n_val"}
+    with pytest.raises(ValueError, match="n_val"):
+        tuning.log_run(tuning.run_frame(spark, incomplete, run_id="x", **about), path)
 
 
 def test_pca_projection_is_centred(labelled):

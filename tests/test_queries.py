@@ -4,14 +4,10 @@ import pytest
 from check import compare, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
+from riskframe.plans import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
-# Several fits each; their operators are exercised by the remaining queries.
-SLOW = {"ml12_calibrated_margin", "ml20_grid_search_by_f1", "ml23_reduction_sweep", "ml29_validation_curve"}
-# Fewer rows than one window at this scale.
-EMPTY = {"ss03_count_window_drift"}
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -26,7 +22,7 @@ def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW - EMPTY))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    ok, message, _ = compare(spark, con, name, queries()[name], oracle_sql().get(name), SF)
+    ok, message, _ = compare(spark, con, name, QUERIES[name], ORACLES.get(name), SF)
     assert ok, message
