@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskframe.functions.significance import chi2_p_value, is_degraded, is_significant, ks_exact_p_value, ks_p_value
 from riskframe.operators.prefix import exact_quantiles, number, prefix_counts
 from riskframe.roles import Roles
+from riskframe.session import ship
 
 
 def stack_sides(
@@ -60,14 +61,20 @@ def ks_statistics(
     out = table.groupBy(*group).agg(
         F.max(gap).alias("statistic"), F.max("ref_total").alias("n_ref"), F.max("cur_total").alias("n_cur")
     )
+    return _with_ks_p_value(out, exact_rows).select(*group, "statistic", "p_value")
+
+
+def _with_ks_p_value(tests: DataFrame, exact_rows: int) -> DataFrame:
+    """Add ``p_value`` to (statistic, n_ref, n_cur): exact up to ``exact_rows`` per side, else asymptotic."""
     sizes = (F.col("statistic"), F.col("n_ref"), F.col("n_cur"))
     p = F.when(F.col("statistic").isNotNull(), ks_p_value(*sizes))
     if exact_rows:
+        ship(tests.sparkSession)
         few = F.greatest("n_ref", "n_cur") <= exact_rows
         # Larger tests are not handed to the exact form at all.
-        out = out.withColumn("_exact", ks_exact_p_value(F.when(few, sizes[0]), F.when(few, sizes[1]), F.when(few, sizes[2])))
+        tests = tests.withColumn("_exact", ks_exact_p_value(*[F.when(few, c) for c in sizes]))
         p = F.coalesce(F.nanvl("_exact", F.lit(None).cast("double")), p)
-    return out.select(*group, "statistic", p.alias("p_value"))
+    return tests.withColumn("p_value", p)
 
 
 def ks_drift(reference: DataFrame, current: DataFrame, features: list[str], *, exact_rows: int = EXACT_ROWS) -> DataFrame:
@@ -149,8 +156,7 @@ def ks_against_reference(
     out = joined.groupBy(*group, "feature").agg(
         F.max(gap).alias("statistic"), F.max("ref_total").alias("n_ref"), F.max("cur_total").alias("n_cur")
     )
-    p = F.when(F.col("statistic").isNotNull(), ks_p_value(F.col("statistic"), F.col("n_ref"), F.col("n_cur")))
-    return out.select(*group, "feature", "statistic", p.alias("p_value"))
+    return _with_ks_p_value(out, EXACT_ROWS).select(*group, "feature", "statistic", "p_value")
 
 
 def chi2_against_reference(reference: DataFrame, current: DataFrame, group: list[str]) -> DataFrame:

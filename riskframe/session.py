@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -55,3 +56,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in Python workers; call it before handing Spark a Python function.
+
+    Workers that start in the package's folder or with it in PYTHONPATH have it already; others get it as an
+    archive, once per session.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    if os.getcwd() == root or root in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    context = spark.sparkContext
+    if not getattr(context, "_riskframe_shipped", False):
+        folder = tempfile.mkdtemp(prefix="riskframe-code-")
+        context.addPyFile(shutil.make_archive(os.path.join(folder, "riskframe"), "zip", root, "riskframe"))
+        context._riskframe_shipped = True
