@@ -38,8 +38,8 @@ ORDER = 2
 STRENGTH = 200.0
 ADDED = 0.1
 #: Bytes of text in a block, and text whose n-grams share a bucket.
-BLOCK_BYTES = 4 << 20
-BUCKET_BYTES = 32 << 20
+BLOCK_BYTES = 2 << 20
+BUCKET_BYTES = 12 << 20
 
 _START = np.uint64(xxhash.xxh64_intdigest(b"start of text"))
 _END = np.uint64(xxhash.xxh64_intdigest(b"end of text"))
@@ -160,6 +160,8 @@ def _send(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                         mine = slice(bounds[bucket], bounds[bucket + 1])
                         gaps = np.diff(keys[mine], prepend=np.uint64(0))
                         rows.append((n, int(bucket), number, _planes(gaps), _planes(counts[mine].astype(np.uint32))))
+                del block
+                pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
                     names=["n", "bucket", "block", "gaps", "counts"],
@@ -170,6 +172,7 @@ def _send(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
 
 def _add_up(group: pa.Table) -> pa.Table:
     """Totals of one bucket, handed to each block in the order of its keys."""
+    pa.default_memory_pool().release_unused()
     numbers = group["block"].to_pylist()
     keys = [np.cumsum(_from_planes(g.as_py(), np.uint64)) for g in group["gaps"]]
     counts = [_from_planes(c.as_py(), np.uint32) for c in group["counts"]]
@@ -219,6 +222,7 @@ def score(
     kind = docs.schema[key].dataType.simpleString()
 
     def traverse(block: pa.Table, parts: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         here = Block(block["payload"][0].as_py(), order)
         found: dict[int, list[tuple[int, np.ndarray]]] = {}
         for n, bucket, data in zip(parts["n"].to_pylist(), parts["bucket"].to_pylist(), parts["totals"]):
