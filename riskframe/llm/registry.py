@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskframe.session import ship
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -14,7 +16,11 @@ ORACLES: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn
