@@ -26,7 +26,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         (remainder("doc_id", 5) == 0).alias("held_out"),
         F.col("_score").alias("score"),
         (F.col("_score") >= 0.5).cast("int").alias("predicted"),
-        F.col("_spans").alias("spans"),
+        F.array_join(F.transform("_spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
     )
 
 

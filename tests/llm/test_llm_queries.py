@@ -196,3 +196,25 @@ def test_pipeline_keeps_what_each_stage_keeps(spark, con, docs):
     rows = QUERIES["pipeline"](spark, SF).collect()
     assert rows and {r["doc_id"] for r in rows} <= set(kept)
     assert os.path.basename(corpus_pipeline.__file__) == "corpus_pipeline.py"
+
+
+def test_stages_take_damaged_and_clashing_columns(spark, tmp_path):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    rows = [(1, "An idiot and a moron wrote this. " * 3), (2, None), (3, ""), (None, "no id"), (4, "mail a@b.example.com now"), (4, "mail a@b.example.com now"), (5, "word " * 30000), (6, "mail a@b.example.com now")]
+    names = ["_score", "_spans", "_words", "_items", "_fp", "_row", "row", "_found_email", "_pii_email", "block", "rank", "task"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", F.lit("en").alias("lang"), F.lit(None).cast("string").alias("source"), F.length("text").cast("long").alias("n_chars"), *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, 0, 1), (4, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, "no id"), (None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    for kept in (docs, docs.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            before, kept = kept, stage(spark, kept, folder)
+            if name != "packing":
+                assert kept.columns == docs.columns
+            if name == "near_duplicates" and before.count():
+                assert sorted((r["doc_id"] or 0) for r in kept.collect() if r["text"] and "mail" in r["text"]) == [4]
+            if name == "personal_data":
+                assert {r["text"] for r in kept.collect() if r["text"] and "mail" in r["text"]} <= {"mail <email> now"}
+        assert {r["doc_id"] for r in kept.collect()} <= {1, 2, 4, 5}
