@@ -158,6 +158,18 @@ def ml10(spark, sf):
     return shares.agg(*reached)
 
 
+@query(
+    "ml10_components_of_pair",
+    with_("accounts")
+    + f""", {PAIR_SQL}, {EIGEN_SQL} SELECT t AS threshold, CASE WHEN l1 / (l1 + l2) >= t THEN 1 ELSE 2 END AS k
+         FROM eig, (VALUES (0.5::DOUBLE), (0.85::DOUBLE), (0.9999::DOUBLE)) v(t)""",
+)
+def ml10b(spark, sf):
+    data = pair(spark, sf)
+    rows = [(t, features.components_for_variance(data, t)) for t in (0.5, 0.85, 0.9999)]
+    return spark.createDataFrame(rows, "threshold double, k int")
+
+
 @query(
     "ml11_fisher_projection",
     with_("accounts")
@@ -258,6 +270,28 @@ def ml18(spark, sf):
     return E.all_metrics(out, ["reduction"], n_groups=2)
 
 
+VAL_AREA_SQL = """(SELECT (sum(CASE WHEN target = 1 THEN rk END) - max(np) * (max(np) + 1) / 2.0) / (max(np) * max(nn))::DOUBLE
+   FROM (SELECT target, rank() OVER (ORDER BY amount) + (count(*) OVER (PARTITION BY amount) - 1) / 2.0 AS rk,
+         sum(target) OVER () AS np, sum(1 - target) OVER () AS nn
+         FROM split JOIN (SELECT row_id, amount FROM accounts) USING (row_id) WHERE split = '{0}'))"""
+
+
+@query(
+    "ml18_reduced_one_feature",
+    with_("accounts")
+    + f""", {SPLIT_SQL} SELECT r AS reduction, round({VAL_AREA_SQL.format("val")}, 6) AS roc_auc FROM (VALUES ('pca_k1'), ('lda_k1')) t(r)""",
+)
+def ml18b(spark, sf):
+    """A projection of one feature keeps its order, so the area is the feature's own."""
+    parts = by_split(spark, sf)
+    out = None
+    for method in ("pca", "lda"):
+        pipeline = models.build_pipeline("logreg", AMOUNT_ONLY, n_train=parts["train"].count(), reduction=(method, 1))
+        part = models.scored(pipeline.fit(parts["train"]).transform(parts["val"]), AMOUNT_ONLY, F.lit(f"{method}_k1").alias("reduction"))
+        out = part if out is None else out.unionByName(part)
+    return E.all_metrics(out, ["reduction"], n_groups=2).select("reduction", F.round("roc_auc", 6).alias("roc_auc"))
+
+
 # --- validation and search ------------------------------------------------------------------
 
 FOLD5_SQL = """fold AS (SELECT row_id, target, CASE WHEN rn <= n // 5 THEN 0 WHEN rn <= 2 * n // 5 THEN 1
@@ -316,12 +350,6 @@ def ml21(spark, sf):
     return results.withColumn("best", F.col("combo") == models.params_text(best))
 
 
-VAL_AREA_SQL = """(SELECT (sum(CASE WHEN target = 1 THEN rk END) - max(np) * (max(np) + 1) / 2.0) / (max(np) * max(nn))::DOUBLE
-   FROM (SELECT target, rank() OVER (ORDER BY amount) + (count(*) OVER (PARTITION BY amount) - 1) / 2.0 AS rk,
-         sum(target) OVER () AS np, sum(1 - target) OVER () AS nn
-         FROM split JOIN (SELECT row_id, amount FROM accounts) USING (row_id) WHERE split = '{0}'))"""
-
-
 def run_of(spark, sf, **settings):
     parts = by_split(spark, sf)
     return tuning.train_and_evaluate(
