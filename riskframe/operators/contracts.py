@@ -59,12 +59,6 @@ def drop_duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return df.dropDuplicates(columns) if columns else df.dropDuplicates()
 
 
-def allowed_domain(df: DataFrame, allowed: dict[str, list[int]]) -> DataFrame:
-    """The allowed codes as a (column, code) table; its size is the size of ``allowed``."""
-    rows = [(c, int(v)) for c, values in allowed.items() for v in values]
-    return df.sparkSession.createDataFrame(rows, "column string, code long")
-
-
 def code_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, code, n) for integer-coded columns, all columns in one shuffle."""
     wide = df.select(*[F.col(f"`{c}`").cast("long").alias(c) for c in columns])

@@ -8,6 +8,7 @@ distinct score, so neither depends on how many rows share a model or a score.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -394,29 +395,34 @@ def mcnemar(df: DataFrame, y: str, first: str, second: str) -> DataFrame:
     return out.withColumn("p_value", chi2_p_value(F.col("statistic"), F.lit(1)))
 
 
-# Cumulative Poisson(1) probabilities, fixed values.
-POISSON_STEPS = [
-    0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-    0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253,
-]
+def poisson_steps() -> list[float]:
+    """Cumulative Poisson(1) probabilities as far as 53 random bits can tell them from 1."""
+    steps, share, k = [], math.exp(-1.0), 0
+    while share > 2.0**-53:
+        steps.append(share + (steps[-1] if steps else 0.0))
+        k += 1
+        share /= k
+    return steps
 
 
 def bootstrap_accuracy(
-    df: DataFrame, key: str, group: list[str], *, replicates: int = 100, blocks: int = 1000, seed: int = 42,
+    df: DataFrame, key: str, group: list[str], *, replicates: int = 100, blocks: int | None = 1000, seed: int = 42,
     y: str = "y", prediction: str = "prediction",
 ) -> DataFrame:
     """(group, low, median, high): percentile interval of accuracy from a Poisson bootstrap.
 
     Rows fall into blocks by a hash of their key and are counted once per block; each
     replicate then weighs the blocks, so only ``blocks x replicates`` small rows per
-    group are ever drawn.  Random blocks give a ratio the same spread as single rows.
+    group are ever drawn.  Random blocks give a ratio the same spread as single rows.  ``blocks=None`` draws a
+    weight for every row and replicate instead.
     """
-    block = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(blocks)).alias("_block")
+    row_hash = F.xxhash64(F.lit(seed), F.col(key))
+    block = (row_hash if blocks is None else F.pmod(row_hash, F.lit(blocks))).alias("_block")
     hit = F.when(F.col(y) == F.col(prediction), 1).otherwise(0)
     cells = df.groupBy(*group, block).agg(F.count(F.lit(1)).alias("_n"), F.sum(hit).alias("_k"))
     drawn = cells.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
     bits = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("_rep"), F.col("_block")), F.lit(2**53))
-    weight = reduce(lambda a, b: a + b, [F.when(F.col("_bits") > int(s * 2**53), 1).otherwise(0) for s in POISSON_STEPS])
+    weight = reduce(lambda a, b: a + b, [F.when(F.col("_bits") > int(s * 2**53), 1).otherwise(0) for s in poisson_steps()])
     drawn = drawn.withColumn("_bits", bits).withColumn("_w", weight)
     per = drawn.groupBy(*group, "_rep").agg(
         F.try_divide(F.sum(F.col("_w") * F.col("_k")), F.sum(F.col("_w") * F.col("_n"))).alias("_accuracy")

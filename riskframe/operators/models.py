@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.operators.features import dot, preprocessor_stages, reduction_stages
+from riskframe.operators.splits import assign_folds, fit_folds
 from riskframe.roles import Roles
 
 # Spark caps tree depth at 30; an unlimited depth means this.
@@ -97,8 +98,10 @@ class CalibratedMarginClassifier(Estimator, _MarginParams, DefaultParamsReadable
     def _fit(self, dataset: DataFrame) -> "CalibratedMarginModel":
         x, y = self.getFeaturesCol(), self.getLabelCol()
         k = self.getOrDefault(self.numFolds)
-        fold = F.pmod(F.xxhash64(F.col(self.getOrDefault(self.keyCol))), F.lit(k))
-        rows = dataset.select(x, F.col(y).cast("double").alias("_y"), fold.alias("_fold"))
+        # Stratified, so that a rare class is in every fold.
+        key = self.getOrDefault(self.keyCol)
+        labelled = dataset.select(x, F.col(key).alias("_key"), F.col(y).cast("double").alias("_y"))
+        rows = assign_folds(labelled, fit_folds(labelled, "_key", "_y", k=k), "_fold")
 
         def member(i: int) -> list[float]:
             svc = LinearSVC(
@@ -308,12 +311,12 @@ def _boosting(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
 
 
 # Names, families, searches and grids.  The margin classifier has no learning
-# rate and no elastic-net penalty, so its grid varies penalty strength and scaling; the
+# rate and no elastic-net penalty, so its grid has penalties of its own and scaling; the
 # logistic solver is always the same, as the optimum does not depend on it.
 MODELS: dict[str, ModelSpec] = {
     "perceptron": ModelSpec(
         _margin,
-        {"max_iter": [300, 1000], "penalty": [0.01, 0.1, 1.0], "standardize": [False, True]},
+        {"max_iter": [300, 1000], "penalty": [1e-5, 1e-4, 1e-3], "standardize": [False, True]},
         "grid",
         "linear",
     ),

@@ -117,13 +117,11 @@ def dr02b(spark, sf):
 
 @query(
     "jn05_aligned_counts",
-    f"""WITH {EVENTS_SQL}, c AS (SELECT user_id, count(*) FILTER (side = 0 AND event_type = 'error') AS r,
-          count(*) FILTER (side = 1 AND event_type = 'error') AS c FROM ev GROUP BY user_id)
-        SELECT 'user_id' AS feature, CAST(user_id AS VARCHAR) AS value, r AS ref, c AS cur FROM c WHERE r + c > 0""",
+    f"""WITH {EVENTS_SQL} SELECT 'user_id' AS feature, CAST(user_id AS VARCHAR) AS value, count(*) FILTER (side = 0) AS ref,
+        count(*) FILTER (side = 1) AS cur FROM ev GROUP BY user_id""",
 )
 def jn05(spark, sf):
-    ref, cur = (s.where(F.col("event_type") == "error") for s in sides(spark, sf))
-    return drift.category_counts(ref, cur, ["user_id"])
+    return drift.category_counts(*sides(spark, sf), ["user_id"])
 
 
 @query(
