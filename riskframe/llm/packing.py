@@ -35,9 +35,14 @@ _PIECE = "piece int, start bigint, length bigint, ids_crc32 bigint, task bigint,
 
 
 def pieces(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end: int = END, with_ids: bool = False
+    docs: DataFrame, key: str = "doc_id", text: str = "text", tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end: int = END, with_ids: bool = False,
+    kept_pieces: int = tokens.KEPT_PIECES, part_bytes: int = tokens.PART_BYTES,
 ) -> DataFrame:
-    """One row per piece of at most ``capacity`` ids, with its rank among equal lengths of its task."""
+    """One row per piece of at most ``capacity`` ids, with its rank among equal lengths of its task.
+
+    ``kept_pieces`` and ``part_bytes`` bound a worker's memory at the price of encoding more words twice; a
+    worker that keeps fewer than usual also gives its memory back after each task.
+    """
     schema = f"{docs.select(key).schema.fields[0].dataType.simpleString()}"
     columns = f"`{key}` {schema}, {_PIECE}" + (", ids array<bigint>" if with_ids else "")
 
@@ -47,7 +52,7 @@ def pieces(
         closing = np.array([end], np.uint32)
         for batch in batches:
             rows, number, start, length, crc, nth, kept = [], [], [], [], [], [], []
-            for row, ids in enumerate(tokens.ids(batch.column("text"), tokenizer)):
+            for row, ids in enumerate(tokens.ids(batch.column("text"), tokenizer, kept_pieces, part_bytes)):
                 ids = np.concatenate([ids, closing]).astype("<u4")
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
@@ -73,6 +78,8 @@ def pieces(
                 made.append(pa.array(kept, pa.list_(pa.int64())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(made, names=names)
+        if kept_pieces < tokens.KEPT_PIECES:
+            tokens.forget()
 
     return docs.select(F.col(key), F.col(text).alias("text")).mapInArrow(cut, columns)
 

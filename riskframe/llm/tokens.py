@@ -76,7 +76,8 @@ def cut_of(path: str) -> str:
 class Encoder:
     """Ids of strings, with those of recent strings kept."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT_PIECES):
+        self.kept = kept
         if path.endswith(".model"):
             import sentencepiece
 
@@ -99,7 +100,7 @@ class Encoder:
 
     def places(self, strings: list[str]) -> np.ndarray:
         """Index of each string into ``start`` and ``length``, valid until the next call."""
-        if len(self._place) > KEPT_PIECES:
+        if len(self._place) > self.kept:
             self._clear()
         known = self._place
         new = list(dict.fromkeys(s for s in strings if s not in known))
@@ -130,14 +131,20 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def encoder(tokenizer: str) -> Encoder:
+def encoder(tokenizer: str, kept: int = KEPT_PIECES) -> Encoder:
     """One per worker process and tokenizer."""
     path = resolve(tokenizer)
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, kept)
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Give back the memory of all encoders of this worker."""
+    _ENCODERS.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def parts(column: pa.Array, most: int = PART_BYTES) -> Iterator[pa.Array]:
     """Slices of a string column of about ``most`` bytes; nulls become empty."""
     column = column.fill_null("")
@@ -190,10 +197,10 @@ def count(column: pa.Array, tokenizer: str) -> np.ndarray:
     return np.concatenate(out)
 
 
-def ids(column: pa.Array, tokenizer: str) -> Iterator[np.ndarray]:
+def ids(column: pa.Array, tokenizer: str, kept: int = KEPT_PIECES, part_bytes: int = PART_BYTES) -> Iterator[np.ndarray]:
     """Token ids of each text, as unsigned 32-bit numbers."""
-    tool = encoder(tokenizer)
-    for part in parts(column):
+    tool = encoder(tokenizer, kept)
+    for part in parts(column, part_bytes):
         if tool.cut != "words":
             yield from (np.array(x, np.uint32) for x in tool.whole(part.to_pylist()))
             continue

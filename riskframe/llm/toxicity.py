@@ -41,7 +41,7 @@ MAX_FEATURES = 2_000
 LEAST_DOCS, LEAST_RATIO, LEAST_G = 3, 6.0, 12.0
 PREFIXES = (7, 6, 5, 4)
 #: Words a worker remembers the feature of; bounds memory, not results.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 200_000
 STEPS = 30
 
 
