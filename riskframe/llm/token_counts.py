@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import tokens
-from riskframe.session import fresh_path
+from riskframe.session import fresh_path, materialise
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -65,7 +65,9 @@ def count(
         F.col(key), content.alias("text"), F.unhex(F.sha2(content, 256)).alias("digest"), F.octet_length(content).cast("long").alias("n_bytes")
     )
     fill(keyed.select("digest", "text"), cache, tokenizer)
-    counts = cached(docs.sparkSession, cache, tokens.version(tokenizer))
+    # Written, so that both sides of the join come straight from a shuffle and Spark can split a content that a
+    # large share of the rows has.
+    counts = materialise(cached(docs.sparkSession, cache, tokens.version(tokenizer)), "token-counts")
     return keyed.drop("text").join(counts, "digest").select(
         key, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
