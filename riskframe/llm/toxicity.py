@@ -10,7 +10,8 @@ Tokens without a feature all look alike to the field, so a run of them is one ma
 two states: the passes visit tokens with a feature only and are exact for texts of any length.
 
 The fit uses a bounded sample of labelled rows, ``MAX_TRAIN_DOCS`` for features and score curve and
-``MAX_FIELD_DOCS`` for the field; scoring covers everything.
+``MAX_FIELD_DOCS`` for the field; scoring covers everything.  The field starts from the features' log-odds and is
+penalised for leaving them, so a feature that no row of the field has keeps its log-odds.
 
 Defined results: a null or empty text has no tokens and gets the score of a text without evidence; labels that
 are null do not count and repeated labels of a document are averaged; without labels of both classes every
@@ -153,7 +154,10 @@ def passes(seq: Sequences, shared: np.ndarray, emission: np.ndarray, backward: b
 
 
 def fit_field(docs: list[tuple[int, list[int], list[int], list[int]]], n_classes: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(shared, emission) of largest likelihood.  docs: words, places, classes and labels of evidence."""
+    """(shared, emission) of largest likelihood, with a penalty on shared weights and on moves from ``start``.
+
+    docs: words, places, classes and labels of evidence.  A class that no document has stays at its start.
+    """
     seq = Sequences([d[:3] for d in docs])
     # Counts of the labelled paths: all tokens without a label 1 are in state 0.
     gold_shared, gold = np.zeros(4), np.zeros(n_classes)
@@ -182,7 +186,7 @@ def fit_field(docs: list[tuple[int, list[int], list[int], list[int]]], n_classes
             down[part][j % 4 if j < 4 else 0] -= small
             rate = (passes(seq, *up, backward=False)[0] - passes(seq, *down, backward=False)[0]).sum() / (2 * small)
             slope[j] = (gold_shared[j] if j < 4 else 0.0) - rate
-        slope -= 0.1 * np.concatenate([shared, emission])
+        slope -= 0.1 * np.concatenate([shared, emission - start])
         moment = 0.8 * moment + 0.2 * slope
         spread = 0.95 * spread + 0.05 * slope**2
         change = 0.3 * (moment / (1 - 0.8**t)) / (np.sqrt(spread / (1 - 0.95**t)) + 1e-8)
