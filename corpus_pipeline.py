@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, near_copies, packing, pii, toxicity
+from riskframe.llm import decontaminate, packing, pii, simhash, toxicity
 from riskframe.llm.registry import query, table
 from riskframe.session import materialise, ship
 
@@ -22,24 +22,40 @@ def nested(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a score below 0.5, under a model of the labelled ones among them."""
+    """Documents with a score below 0.5, under a model of the labelled ones among them.
+
+    A null text is scored as an empty one.  Without labelled rows every score is the same and below 0.5, so all
+    rows stay; repeated rows stay or go together; an empty table stays empty.
+    """
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.scored(nested(docs), model).where("_score < 0.5").select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts with a five-word Jaccard similarity of 0.8, the one with the smallest id."""
-    return near_copies.one_of_each(nested(docs)).select("row.*")
+    """One document of each group of three-word fingerprints linked by at most three differing bits.
+
+    The row with the smallest id stays; a row without an id only where its group has no other.  Null, empty and
+    blank texts share fingerprint zero and are one group; of repeated rows one stays; an empty table stays empty.
+    """
+    kept = simhash.one_of_each(nested(docs), shingle=simhash.SHINGLE, radius=simhash.RADIUS)
+    return kept.select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark window occurs."""
+    """Documents in which no benchmark window occurs.
+
+    Null and empty texts have no words and stay; items without words ask for nothing; repeated rows stay or go together.
+    """
     marked = decontaminate.mark(nested(docs), table(spark, sf_dir, "benchmark"))
     return marked.where(F.size("_spans") == 0).select("row.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data in their texts replaced by its kind."""
+    """All documents, personal data in their texts replaced by its kind, ``n_chars`` counted anew.
+
+    Of spans that overlap the earliest counts, then the longest.  A null text stays null (as does its length), an
+    empty one empty; no row is dropped.
+    """
     new = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -48,7 +64,11 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences."""
+    """Pieces of all documents and their places in sequences.
+
+    A null or empty text is the end token alone; a text beyond a sequence is cut into several pieces; repeated
+    rows are packed as often as they occur; no documents give no pieces.
+    """
     # Workers still hold what earlier stages left, and the JVM its heap: less is kept here than by the query.
     return packing.pack(docs, kept_pieces=150_000, part_bytes=4 << 20)
 
