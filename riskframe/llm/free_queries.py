@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontaminate, language_model, packing, simhash, token_counts, topk, toxicity
+from riskframe.llm import collocations, decontaminate, filter_audit, language_model, packing, quality, simhash, token_counts, topk, toxicity
 from riskframe.llm.registry import query, table
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -91,3 +91,86 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+_OP11_SQL = f"""
+WITH pieces AS (
+  SELECT lang, unnest(string_split(translate(t, '.,;:!?' || chr(11) || chr(12) || chr(13), repeat(chr(10), 9)), chr(10))) AS piece
+  FROM (SELECT coalesce(lang, '{collocations.UNKNOWN}') AS lang, {_LOWER} AS t FROM documents)),
+numbered AS (SELECT row_number() OVER () AS pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+w AS (SELECT pid, lang, unnest(ws) AS w1, unnest(range(len(ws))) AS i FROM numbered),
+places AS (SELECT lang, w1, lead(w1, 1) OVER piece AS w2, lead(w1, 2) OVER piece AS w3 FROM w WINDOW piece AS (PARTITION BY pid ORDER BY i)),
+totals AS (SELECT lang, count(*) AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, w1 AS p, count(*) AS n FROM places GROUP BY ALL UNION ALL
+  SELECT lang, w1 || ' ' || w2, count(*) FROM places WHERE w2 IS NOT NULL GROUP BY ALL UNION ALL
+  SELECT lang, w1 || ' ' || w2 || ' ' || w3, count(*) FROM places WHERE w3 IS NOT NULL GROUP BY ALL),
+cand AS (SELECT lang, p, n AS a, string_split(p, ' ') AS ws FROM f WHERE n >= {collocations.LEAST} AND contains(p, ' ')),
+halves AS (
+  SELECT *, array_to_string(ws[1:cut], ' ') AS lp, array_to_string(ws[cut + 1:len(ws)], ' ') AS rp
+  FROM (SELECT lang, p, a, ws, unnest(range(1, len(ws))) AS cut FROM cand)),
+cuts AS (
+  SELECT h.lang, h.p, a, cut, l.n AS l, r.n AS r, (1000000::HUGEINT * a * a // (l.n::HUGEINT * r.n))::BIGINT AS score
+  FROM halves h JOIN f l ON l.lang = h.lang AND l.p = lp JOIN f r ON r.lang = h.lang AND r.p = rp),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, q, max(a) AS longer FROM (
+    SELECT lang, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS q, a FROM cand WHERE len(ws) = 3) GROUP BY ALL),
+shown AS (
+  SELECT best.* FROM best LEFT JOIN inside ON inside.lang = best.lang AND q = p WHERE longer IS NULL OR longer * 100 < a * {collocations.HIDES}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank FROM shown)
+SELECT lang, rank, p AS phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {collocations.TOP}
+"""
+
+
+@query("op11_collocations", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+_SPACED = r"[^\x20\x09-\x0D]+"
+_OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{_SPACED}') AS ws, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+fails AS (
+  SELECT doc_id, part,
+    [len(ws) < {filter_audit.LEAST_WORDS}, 100 * len(list_distinct(ws)) < {filter_audit.LEAST_DISTINCT} * len(ws),
+     100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > {filter_audit.MOST_CAPITALS} * length(t),
+     regexp_matches(t, '{filter_audit.SYMBOLS}'), coalesce(first < doc_id, FALSE)] AS x
+  FROM w),
+said AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+counted AS (
+  SELECT part, x, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM fails LEFT JOIN said USING (doc_id) GROUP BY part, x),
+letters(c) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+perms AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order
+  FROM letters a JOIN letters b ON b.c <> a.c JOIN letters c ON c.c NOT IN (a.c, b.c) JOIN letters d ON d.c NOT IN (a.c, b.c, c.c)
+  JOIN letters e ON e.c NOT IN (a.c, b.c, c.c, d.c)),
+steps AS (
+  SELECT filter_order, step, strpos('ABCDE', filter_order[step]) AS own,
+    list_transform(range(1, step), lambda i: strpos('ABCDE', filter_order[i])) AS before
+  FROM (SELECT filter_order, unnest(range(1, 6))::INT AS step FROM perms)),
+judged AS (
+  SELECT part, filter_order, step, own, x[own] AS fails, len(list_filter(before, lambda i: x[i])) > 0 AS gone,
+    len(list_filter(x, lambda v: v)) AS k, n, good, toxic
+  FROM counted, steps),
+told AS (
+  SELECT part, filter_order, step, own, coalesce(sum(n) FILTER (NOT fails AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (fails AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails AND k = 1), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (fails AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM told
+"""
+
+
+@query("op12_filter_audit", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_quality")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
