@@ -10,7 +10,8 @@ its frequency.
 
 Counting sends, per task and bucket of phrases, one compressed list of distinct phrases with their sums; buckets
 are dealt by a hash of the whole phrase, so no frequent word, pair or language gathers in one of them, and hold
-about ``BUCKET`` phrases whatever the corpus.  Only phrases with the least frequency leave a bucket: the parts of
+about ``BUCKET`` phrases whatever the corpus.  Where more than ``FAN`` buckets are needed, lists are dealt in steps and
+added up in between, so the number of lists follows the corpus and not its square.  Only phrases with the least frequency leave a bucket: the parts of
 a frequent phrase are as frequent as itself, so nothing that a score needs is missing.
 
 Defined results: a null text is empty; a null language is ``und``; empty texts, pieces and tables give nothing;
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -42,10 +44,12 @@ UNKNOWN = "und"
 #: One pair of neighbouring words in so many is a trigger, about.
 TRIGGER = 8
 OVERLAP = LONGEST - 1
-#: Chunks and words that a task holds before it hands on their sums, and phrases in a bucket (memory, not results).
-KEPT_CHUNKS = 150_000
-KEPT_WORDS = 400_000
-BUCKET = 300_000
+#: Pieces and words that a task holds before it hands on their sums, phrases in a bucket, and buckets that a list is
+#: dealt to at once (memory, not results).
+KEPT_PIECES = 150_000
+KEPT_WORDS = 1_000_000
+BUCKET = 1_000_000
+FAN = 512
 #: Rows of a language are ranked in so many parts first.
 RANK_PARTS = 64
 
@@ -57,152 +61,194 @@ def _packed(value: bytes) -> bytes:
     return pa.compress(value, "zstd", asbytes=True)
 
 
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = len(self)
+        return value
+
+
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
         value = self[word] = crc32(word)
         return value
 
 
-def chunks(piece: list[bytes], hashes: dict, trigger: int = TRIGGER) -> Iterator[tuple[bytes, int]]:
-    """(text, number of words that are no closing trigger) of the chunks of a piece."""
-    values = [hashes[w] for w in piece]
-    start = 0
-    for at in range(1, len(piece) - OVERLAP):
-        # The factor keeps the pair's order; the shift takes bits that depend on both words.
-        if (values[at] * 31 + values[at + 1] >> 7) % trigger == 0:
-            yield b" ".join(piece[start : at + OVERLAP]), at - start
-            start = at
-    yield b" ".join(piece[start:]), len(piece) - start
+def _spread(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every element of runs of the given sizes: its place in its run, and the size of that run."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes), np.repeat(sizes, sizes)
 
 
-def pieces(text: bytes | None) -> Iterator[list[bytes]]:
-    for line in (text or b"").translate(_FOLD).split(b"\n"):
-        if words := line.split():
-            yield words
+def chunks(parsed: list[list[bytes]], hashes: dict, trigger: int = TRIGGER) -> Iterator[tuple[int, bytes, int, int]]:
+    """(number of the piece, text, words, words before the closing trigger) of the chunks of pieces."""
+    sizes = np.fromiter(map(len, parsed), np.int64, len(parsed))
+    values = np.fromiter(map(hashes.__getitem__, chain.from_iterable(parsed)), np.uint64, int(sizes.sum()))
+    place, size = _spread(sizes)
+    # The factor keeps the pair's order; the shift takes bits that depend on both words.
+    pair = (values[:-1] * np.uint64(31) + values[1:] >> np.uint64(7)) % np.uint64(trigger) == 0
+    cuts = np.flatnonzero(pair & (place[:-1] >= 1) & (place[:-1] < size[:-1] - OVERLAP))
+    cuts_of = np.split(place[cuts], np.searchsorted(cuts, np.cumsum(sizes)[:-1])) if len(sizes) else []
+    for number, (piece, at) in enumerate(zip(parsed, cuts_of)):
+        start = 0
+        for cut in at.tolist():
+            yield number, b" ".join(piece[start : cut + OVERLAP]), cut + OVERLAP - start, cut - start
+            start = cut
+        yield number, b" ".join(piece[start:]), len(piece) - start, len(piece) - start
 
 
 def dictionary(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, chunk, own, n): distinct chunks, their words before the closing trigger, and their frequency."""
+    """(lang, chunk, size, own, n): distinct chunks, their words, those before the closing trigger, their frequency."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-        hashes = _Hashes()
-
-        def flush() -> pa.RecordBatch:
-            keys = list(found)
-            columns = [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array([k[1] for k in keys], pa.binary()),
-                pa.array([k[2] for k in keys], pa.int32()),
-                pa.array(found.values(), pa.int64()),
-            ]
+        # Equal pieces of a task are parsed once.
+        found: dict[str, Counter] = {}
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            hashes = _Hashes()
+            for name, counts in found.items():
+                parsed, weights = [], []
+                for piece, n in counts.items():
+                    if words := piece.split():
+                        parsed.append(words)
+                        weights.append(n)
+                number, chunk, size, own = list(zip(*chunks(parsed, hashes))) or [()] * 4
+                sums = np.array(weights, np.int64)[np.array(number, np.int64)]
+                columns = [pa.array([name] * len(chunk), pa.string()), pa.array(chunk, pa.binary()), pa.array(size, pa.int32()), pa.array(own, pa.int32()), pa.array(sums)]
+                yield from pa.Table.from_arrays(columns, names=["lang", "chunk", "size", "own", "n"]).to_batches(max_chunksize=20_000)
             found.clear()
-            return pa.RecordBatch.from_arrays(columns, names=["lang", "chunk", "own", "n"])
 
+        held = 0
         for batch in batches:
             for name, value in zip(batch.column("lang").to_pylist(), as_bytes(batch.column("text"))):
-                for piece in pieces(value):
-                    found.update((name, chunk, own) for chunk, own in chunks(piece, hashes))
-                    if len(found) >= KEPT_CHUNKS:
-                        yield flush()
-        yield flush()
+                pieces = (value or b"").translate(_FOLD).split(b"\n")
+                found.setdefault(name, Counter()).update(pieces)
+                held += len(pieces)
+                if held >= KEPT_PIECES:
+                    yield from flush()
+                    held = 0
+        yield from flush()
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"), F.col(text).alias("text"))
-    parsed = rows.mapInArrow(parse, "lang string, chunk binary, own int, n bigint")
-    return parsed.groupBy("lang", "chunk", "own").agg(F.sum("n").alias("n"))
+    parsed = rows.mapInArrow(parse, "lang string, chunk binary, size int, own int, n bigint")
+    return parsed.groupBy("lang", "chunk", "size", "own").agg(F.sum("n").alias("n"))
 
 
 class _Block:
-    """Words of many chunks as numbers, and the sums of the phrases among them."""
-
-    def __init__(self, buckets: int):
-        self.buckets = buckets
-        self._clear()
-
-    def _clear(self) -> None:
-        self.numbers: dict[str, dict[bytes, int]] = {}
-        self.size = 0
-        self.words: list[int] = []
-        self.lengths: list[int] = []
-        self.owned: list[int] = []
-        self.weights: list[int] = []
-
-    def add(self, lang: str, chunk: bytes, own: int, n: int) -> None:
-        known = self.numbers.setdefault(lang, {})
-        words = chunk.split(b" ")
-        for w in words:
-            at = known.get(w)
-            if at is None:
-                at = known[w] = self.size
-                self.size += 1
-            self.words.append(at)
-        self.lengths.append(len(words))
+    """Words of many chunks of a language as numbers, and the sums of the phrases among them."""
+
+    def __init__(self) -> None:
+        self.numbers = _Numbers()
+        self.words: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+        self.owned: list[np.ndarray] = []
+        self.weights: list[np.ndarray] = []
+
+    def add(self, chunk: list[bytes], size: np.ndarray, own: np.ndarray, n: np.ndarray) -> int:
+        flat = b" ".join(chunk).split(b" ")
+        self.words.append(np.fromiter(map(self.numbers.__getitem__, flat), np.int64, len(flat)))
+        self.sizes.append(size)
         self.owned.append(own)
         self.weights.append(n)
-
-    def _sums(self, numbers: np.ndarray) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
-        """Per length: the words of distinct phrases, a column per place, and their weighted counts."""
-        lengths, owned = np.array(self.lengths), np.array(self.owned)
-        ends = np.repeat(np.cumsum(lengths), lengths)
-        at = np.arange(len(numbers))
-        place = at - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        starts = place < np.repeat(owned, lengths)
-        weights = np.repeat(np.array(self.weights, np.int64), lengths)
-        bits = max(1, int(self.size - 1).bit_length())
+        return len(flat)
+
+    def sums(self, fan: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+        """(phrases, counts, buckets) of the distinct phrases of each length."""
+        vocabulary = pa.array(self.numbers, pa.binary())
+        order = pc.sort_indices(vocabulary)
+        vocabulary = vocabulary.take(order)
+        rank = np.empty(len(vocabulary), np.int64)
+        rank[order.to_numpy()] = np.arange(len(vocabulary))
+        hashed = np.fromiter(map(xxhash.xxh64_intdigest, vocabulary.to_pylist()), np.uint64, len(vocabulary))
+        words = rank[np.concatenate(self.words)]
+        sizes = np.concatenate(self.sizes)
+        place, size = _spread(sizes)
+        starts = place < np.repeat(np.concatenate(self.owned), sizes)
+        weights = np.repeat(np.concatenate(self.weights), sizes)
+        # Blocks have fewer than 2^21 words, so three numbers fit into 63 bits.
+        bits = max(1, int(len(vocabulary) - 1).bit_length())
         for n in range(1, LONGEST + 1):
-            first = at[starts & (at + n <= ends)]
+            first = np.flatnonzero(starts & (place + n <= size))
             if not len(first):
                 continue
-            # Vocabularies of a block stay far below 2^21, so three numbers fit into 63 bits.
-            key = numbers[first].astype(np.int64)
+            key = words[first]
             for k in range(1, n):
-                key = key << bits | numbers[first + k]
-            order = np.argsort(key, kind="stable")
-            key = key[order]
+                key = key << bits | words[first + k]
+            by_key = np.argsort(key, kind="stable")
+            key = key[by_key]
             new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            sums = np.add.reduceat(weights[first][order], new)
-            key = key[new]
-            yield [key >> bits * (n - 1 - k) & (1 << bits) - 1 for k in range(n)], sums
-
-    def flush(self) -> Iterator[tuple[str, int, int, bytes, bytes, int]]:
-        """(lang, bucket, size, phrases, counts, rows) of every bucket that has phrases."""
-        if not self.words:
-            return
-        order = sorted((lang, w, k) for lang, known in self.numbers.items() for w, k in known.items())
-        number = np.empty(self.size, np.int64)
-        number[[k for _, _, k in order]] = np.arange(self.size)
-        text = np.empty(self.size, object)
-        text[:] = [w for _, w, _ in order]
-        names = sorted(self.numbers)
-        name_of = np.searchsorted(np.array(names, object), np.array([lang for lang, _, _ in order], object))
-        hashed = np.array([xxhash.xxh64_intdigest(w) for _, w, _ in order], np.uint64)
-        phrases, counts, dealt = [], [], []
-        for columns, sums in self._sums(number[self.words]):
-            joined, mixed = text[columns[0]], hashed[columns[0]]
+            counts = np.add.reduceat(weights[first[by_key]], new)
+            columns = [key[new] >> bits * (n - 1 - k) & (1 << bits) - 1 for k in range(n)]
+            mixed = hashed[columns[0]]
             for c in columns[1:]:
-                joined = joined + b" " + text[c]
                 mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + hashed[c]
             mixed = (mixed ^ mixed >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
-            bucket = (mixed >> np.uint64(33)) % np.uint64(self.buckets)
-            phrases.append(joined)
-            counts.append(sums)
-            dealt.append(name_of[columns[0]].astype(np.int64) * self.buckets + bucket.astype(np.int64))
-        self._clear()
-        phrases, counts, dealt = np.concatenate(phrases), np.concatenate(counts), np.concatenate(dealt)
-        order = np.argsort(dealt, kind="stable")
-        phrases, counts, dealt = phrases[order], counts[order], dealt[order]
-        ends = np.flatnonzero(np.concatenate([dealt[1:] != dealt[:-1], [True]])) + 1
-        begin = 0
-        for end in ends.tolist():
-            blob = b"\n".join(phrases[begin:end])
-            lang, bucket = divmod(int(dealt[begin]), self.buckets)
-            yield names[lang], bucket, len(blob), _packed(blob), _packed(counts[begin:end].tobytes()), end - begin
-            begin = end
-
-
-_SENT = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("size", pa.int64()), ("phrases", pa.binary()), ("counts", pa.binary()), ("rows", pa.int64())])
+            parts = [vocabulary.take(pa.array(c)) for c in columns]
+            phrases = pc.binary_join_element_wise(*parts, b" ") if n > 1 else parts[0]
+            yield phrases, counts, ((mixed >> np.uint64(33)) % np.uint64(fan)).astype(np.int64)
+
+
+_SENT = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("size", pa.int64()), ("rows", pa.int64()), ("phrases", pa.binary()), ("counts", pa.binary())])
+_SENT_TYPE = "lang string, bucket bigint, size bigint, rows bigint, phrases binary, counts binary"
+
+
+def _sent(lang: str, phrases: pa.Array, counts: np.ndarray, buckets: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row per bucket: its phrases and their counts, compressed."""
+    order = np.argsort(buckets, kind="stable")
+    phrases, counts, buckets = phrases.take(pa.array(order)), counts[order], buckets[order]
+    ends = np.flatnonzero(np.concatenate([buckets[1:] != buckets[:-1], [True]])) + 1
+    begins = np.concatenate([[0], ends[:-1]])
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(np.append(begins, ends[-1]), pa.int32()), phrases), b"\n")
+    for at in range(0, len(ends), 128):
+        rows = []
+        for i in range(at, min(at + 128, len(ends))):
+            blob = joined[i].as_py()
+            rows.append((lang, int(buckets[begins[i]]), len(blob), int(ends[i] - begins[i]), _packed(blob), _packed(counts[begins[i] : ends[i]].tobytes())))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
+
+
+def _total(sent: pa.Table | pa.RecordBatch) -> pa.Table:
+    """(phrase, n) of the distinct phrases in rows that were sent."""
+    phrases, counts = [], []
+    for size, rows, blob, numbers in zip(*(sent[c].to_pylist() for c in ("size", "rows", "phrases", "counts"))):
+        one = pa.array([pa.decompress(blob, size, "zstd", asbytes=True)], pa.binary())
+        phrases.append(pc.split_pattern(one, b"\n").flatten())
+        counts.append(np.frombuffer(pa.decompress(numbers, 8 * rows, "zstd", asbytes=True), np.int64))
+    table = pa.table({"phrase": pa.chunked_array(phrases, pa.binary()), "n": np.concatenate(counts)})
+    return table.group_by("phrase").aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+
+
+def _dealt_finer(sums: DataFrame, fan: int, level: int) -> DataFrame:
+    """Each bucket of ``sums`` dealt to ``fan`` buckets; lists of several blocks are added up on the way."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            lang, bucket = held[0]["lang"][0].as_py(), held[0]["bucket"][0].as_py()
+            total = _total(pa.Table.from_batches(held))
+            held.clear()
+            phrases = total["phrase"].combine_chunks()
+            digest = np.fromiter((xxhash.xxh64_intdigest(p, level) for p in phrases.to_pylist()), np.uint64, len(phrases))
+            yield from _sent(lang, phrases, total["n"].to_numpy(), bucket * fan + (digest % np.uint64(fan)).astype(np.int64))
+
+        n, last = 0, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                at = (row["lang"][0].as_py(), row["bucket"][0].as_py())
+                if held and (at != last or n >= KEPT_WORDS):
+                    yield from flush()
+                    n = 0
+                last = at
+                held.append(row)
+                n += row["rows"][0].as_py()
+        if held:
+            yield from flush()
+
+    near = sums.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket")
+    return near.mapInArrow(deal, _SENT_TYPE)
 
 
 def phrase_counts(parsed: DataFrame, least: int = LEAST) -> DataFrame:
@@ -210,37 +256,41 @@ def phrase_counts(parsed: DataFrame, least: int = LEAST) -> DataFrame:
     ship(parsed.sparkSession)
     total = parsed.agg(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
     buckets = max(1, -(-LONGEST * total // BUCKET))
+    fan = min(buckets, FAN)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = _Block(buckets)
+        blocks: dict[str, _Block] = {}
 
-        def sent() -> Iterator[pa.RecordBatch]:
-            rows = list(block.flush())
-            for at in range(0, len(rows), 256):
-                columns = list(zip(*rows[at : at + 256]))
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _SENT)], schema=_SENT)
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang in list(blocks):
+                for phrases, counts, dealt in blocks.pop(lang).sums(fan):
+                    yield from _sent(lang, phrases, counts, dealt)
 
+        held = 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("lang", "chunk", "own", "n"))):
-                block.add(*row)
-                if len(block.words) >= KEPT_WORDS:
-                    yield from sent()
-        yield from sent()
+            langs = batch.column("lang").dictionary_encode()
+            codes, chunk = langs.indices.to_numpy(), batch.column("chunk")
+            numbers = [batch.column(c).to_numpy().astype(np.int64) for c in ("size", "own", "n")]
+            for code, lang in enumerate(langs.dictionary.to_pylist()):
+                mine = np.flatnonzero(codes == code)
+                held += blocks.setdefault(lang, _Block()).add(chunk.take(pa.array(mine)).to_pylist(), *(x[mine] for x in numbers))
+            if held >= KEPT_WORDS:
+                yield from flush()
+                held = 0
+        yield from flush()
 
     def merge(sent: pa.Table) -> pa.Table:
-        phrases, counts = [], []
-        for size, blob, numbers, rows in zip(*(sent[c].to_pylist() for c in ("size", "phrases", "counts", "rows"))):
-            phrases.append(pa.array(pa.decompress(blob, size, "zstd", asbytes=True).split(b"\n"), pa.binary()))
-            counts.append(np.frombuffer(pa.decompress(numbers, 8 * rows, "zstd", asbytes=True), np.int64))
-        table = pa.table({"phrase": pa.chunked_array(phrases), "n": np.concatenate(counts)})
-        total = table.group_by("phrase").aggregate([("n", "sum")])
-        total = total.filter(pc.greater_equal(total["n_sum"], least))
+        total = _total(sent)
+        total = total.filter(pc.greater_equal(total["n"], least))
         lang = pa.array([sent["lang"][0].as_py()] * total.num_rows, pa.string())
-        return pa.table({"lang": lang, "phrase": total["phrase"].cast(pa.string()), "n": total["n_sum"]})
-
-    sums = parsed.select("lang", "chunk", "own", "n").mapInArrow(
-        count, "lang string, bucket bigint, size bigint, phrases binary, counts binary, rows bigint"
-    )
+        return pa.table({"lang": lang, "phrase": total["phrase"].cast(pa.string()), "n": total["n"]})
+
+    sums = parsed.select("lang", "chunk", "size", "own", "n").mapInArrow(count, _SENT_TYPE)
+    level = 1
+    while fan < buckets:
+        step = min(FAN, -(-buckets // fan))
+        sums = _dealt_finer(sums, step, level)
+        fan, level = fan * step, level + 1
     return sums.groupBy("lang", "bucket").applyInArrow(merge, "lang string, phrase string, n bigint")
 
 

@@ -73,7 +73,7 @@ def test_collocations_of_damaged_rows(spark, least):
 
 def test_collocations_with_small_blocks_and_buckets(spark, monkeypatch):
     rows = damaged(random.Random(12))
-    for name, value in (("KEPT_CHUNKS", 20), ("KEPT_WORDS", 200), ("BUCKET", 50)):
+    for name, value in (("KEPT_PIECES", 20), ("KEPT_WORDS", 200), ("BUCKET", 5000), ("FAN", 4)):
         monkeypatch.setattr(collocations, name, value)
     got = collocations.mine(frame(spark, rows), least=3, top=15).collect()
     assert sorted(tuple(r) for r in got) == [r for r in phrases(rows, 3) if r[1] <= 15]
@@ -81,19 +81,22 @@ def test_collocations_with_small_blocks_and_buckets(spark, monkeypatch):
 
 def test_chunks_cover_each_phrase_once():
     draw = random.Random(3)
-    for _ in range(300):
-        piece = [draw.choice("abcdefgh").encode() for _ in range(draw.randint(1, 60))]
-        parts = list(collocations.chunks(piece, collocations._Hashes(), trigger=3))
+    pieces = [[draw.choice("abcdefgh").encode() for _ in range(draw.randint(1, 60))] for _ in range(300)]
+    parts = collections.defaultdict(list)
+    for number, text, size, own in collocations.chunks(pieces, collocations._Hashes(), trigger=3):
+        assert size == len(text.split())
+        parts[number].append((text.split(), own))
+    for number, piece in enumerate(pieces):
         for k in (1, 2, 3):
             counted = collections.Counter()
-            for text, own in parts:
-                words = text.split()
+            for words, own in parts[number]:
                 counted.update(tuple(words[i : i + k]) for i in range(own) if i + k <= len(words))
             assert counted == collections.Counter(tuple(piece[i : i + k]) for i in range(len(piece) - k + 1))
+    assert list(collocations.chunks([], collocations._Hashes())) == []
     # Where a passage stands does not change its inner chunks.
     passage = [f"w{i}".encode() for i in range(200)]
-    inside = {c for c, _ in list(collocations.chunks(passage, collocations._Hashes()))[1:-1]}
-    moved = {c for c, _ in collocations.chunks([b"x", b"y", *passage, b"z", b"x"], collocations._Hashes())}
+    inside = {c[1] for c in list(collocations.chunks([passage], collocations._Hashes()))[1:-1]}
+    moved = {c[1] for c in collocations.chunks([[b"x", b"y", *passage, b"z", b"x"]], collocations._Hashes())}
     assert len(inside) > 5 and inside <= moved
 
 
