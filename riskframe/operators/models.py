@@ -11,7 +11,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import (
-    DecisionTreeClassifier,
     GBTClassifier,
     LinearSVC,
     LogisticRegression,
@@ -44,8 +43,10 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.operators.entropy_trees import grow
 from riskframe.operators.features import dot, preprocessor_stages, reduction_stages
 from riskframe.operators.splits import assign_folds, fit_folds
+from riskframe.operators.trees import pruned
 from riskframe.roles import Roles
 
 # Spark caps tree depth at 30; an unlimited depth means this.
@@ -177,14 +178,28 @@ class LeafRateClassifier(Estimator, _RateParams):
     Spark's classification trees merge leaves that predict the same class, which throws
     away differing rates and with them the order of scores.  On a 0/1 label the variance
     criterion picks the same splits as Gini impurity (it is half of it) and nothing is merged.
+    Nodes with fewer than ``min_split`` rows are not split.
     """
 
-    def __init__(self, regressor: Estimator):
+    def __init__(self, regressor: Estimator, min_split: int = 2):
         super().__init__()
         self.regressor = regressor.copy().setPredictionCol("_rate")
+        self.min_split = min_split
 
     def _fit(self, dataset: DataFrame) -> "LeafRateModel":
-        return self._copyValues(LeafRateModel(self.regressor.fit(dataset)))
+        return self._copyValues(LeafRateModel(pruned(self.regressor.fit(dataset), self.min_split)))
+
+
+class EntropyTreeClassifier(Estimator, _RateParams):
+    """A tree by information gain whose leaves keep their rates."""
+
+    def __init__(self, features: str, label: str, max_depth: int, min_split: int, max_bins: int):
+        super().__init__()
+        self.columns = (features, label)
+        self.settings = {"max_depth": max_depth, "min_split": min_split, "max_bins": max_bins}
+
+    def _fit(self, dataset: DataFrame) -> "LeafRateModel":
+        return self._copyValues(LeafRateModel(grow(dataset, *self.columns, **self.settings).setPredictionCol("_rate")))
 
 
 class LeafRateModel(Model, _RateParams, MLWritable, MLReadable):
@@ -272,7 +287,6 @@ def _tree_settings(p: dict) -> dict:
     depth = p.get("max_depth", UNLIMITED_DEPTH)
     return {
         "maxDepth": UNLIMITED_DEPTH if depth is None else depth,
-        "minInstancesPerNode": max(1, p.get("min_samples_split", 2) // 2),
         "maxBins": p.get("max_bins", 64),
     }
 
@@ -280,8 +294,10 @@ def _tree_settings(p: dict) -> dict:
 def _decision_tree(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
     common = {"featuresCol": x, "labelCol": roles.target, "seed": seed, **_tree_settings(p)}
     if p.get("criterion", "gini") == "gini":
-        return LeafRateClassifier(DecisionTreeRegressor(**common))
-    return DecisionTreeClassifier(impurity=p["criterion"], **common)
+        return LeafRateClassifier(DecisionTreeRegressor(**common), p.get("min_samples_split", 2))
+    if p["criterion"] != "entropy":
+        raise ValueError(f"unknown criterion {p['criterion']!r}; known: entropy, gini")
+    return EntropyTreeClassifier(x, roles.target, common["maxDepth"], p.get("min_samples_split", 2), common["maxBins"])
 
 
 def _random_forest(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
@@ -294,7 +310,7 @@ def _random_forest(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estima
         **_tree_settings(p),
     }
     if p.get("criterion", "gini") == "gini":
-        return LeafRateClassifier(RandomForestRegressor(**common))
+        return LeafRateClassifier(RandomForestRegressor(**common), p.get("min_samples_split", 2))
     return RandomForestClassifier(impurity=p["criterion"], **common)
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.ml.functions import vector_to_array
 
-from riskframe.session import fresh_path
+from riskframe.session import fresh_path, ship
 
 
 def node_table(model, spark) -> DataFrame:
@@ -32,6 +34,66 @@ def node_table(model, spark) -> DataFrame:
     )
 
 
+def _cut_below(min_split: int):
+    """Nodes of one tree that stay when none with fewer than ``min_split`` rows is split, numbered anew."""
+
+    def cut(nodes: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values("id")
+        rows, left, right = (nodes[c].to_numpy() for c in ("rawCount", "leftChild", "rightChild"))
+        stays = np.zeros(len(nodes), bool)
+        stays[0] = True
+        splits = (left >= 0) & (rows >= min_split)
+        # A node has a smaller number than what is below it.
+        for i in np.flatnonzero(splits):
+            if stays[i]:
+                stays[left[i]] = stays[right[i]] = True
+        number = np.cumsum(stays) - 1
+        out = nodes.assign(
+            new_id=number, new_left=np.where(splits, number[left], -1), new_right=np.where(splits, number[right], -1)
+        )
+        return out.loc[stays, ["tree", "id", "new_id", "new_left", "new_right"]]
+
+    return cut
+
+
+def pruned(model, min_split: int):
+    """The tree or forest as if no node with fewer than ``min_split`` rows had been split.
+
+    Splits are chosen from the top, so what is above such a node does not depend on it: the fully grown model is cut
+    there and loaded again.  Every node keeps the prediction that it has over its own rows.
+    """
+    if min_split <= 2:
+        return model
+    spark = model._sparkSession if hasattr(model, "_sparkSession") else model.write().sparkSession
+    ship(spark)
+    path, cut_path = fresh_path(spark, "grown"), fresh_path(spark, "pruned")
+    model.write().save(path)
+    data = spark.read.parquet(f"{path}/data")
+    forest = "treeID" in data.columns
+    flat = data.select(F.col("treeID").alias("tree"), "nodeData.*") if forest else data.select(F.lit(0).alias("tree"), "*")
+    # One group per tree; a model is held by the driver anyway.
+    kept = flat.select("tree", "id", "rawCount", "leftChild", "rightChild").groupBy("tree").applyInPandas(
+        _cut_below(min_split), "tree int, id int, new_id int, new_left int, new_right int"
+    )
+    joined = flat.join(kept, ["tree", "id"])
+    leaf = F.col("new_left") < 0
+    split = flat.schema["split"].dataType
+    new = {
+        "id": F.col("new_id"),
+        "leftChild": F.col("new_left"),
+        "rightChild": F.col("new_right"),
+        "gain": F.when(leaf, -1.0).otherwise(F.col("gain")),
+        "split": F.when(leaf, F.struct(F.lit(-1), F.array().cast("array<double>"), F.lit(-1)).cast(split)).otherwise(F.col("split")),
+    }
+    columns = [new.get(c, F.col(c)).alias(c) for c in flat.columns if c != "tree"]
+    out = joined.select(F.col("tree").alias("treeID"), F.struct(*columns).alias("nodeData")) if forest else joined.select(*columns)
+    out.write.parquet(f"{cut_path}/data")
+    spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{cut_path}/metadata")
+    if forest:
+        spark.read.parquet(f"{path}/treesMetadata").write.parquet(f"{cut_path}/treesMetadata")
+    return type(model).load(cut_path)
+
+
 def tree_stats(nodes: DataFrame, depth: int) -> DataFrame:
     """(n_nodes, n_leaves, n_internal, depth, leaf rows min / mean / max, nodes per leaf)."""
     leaf = F.col("left") < 0

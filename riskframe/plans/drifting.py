@@ -280,6 +280,46 @@ def ss02b(spark, sf):
     )
 
 
+def week_sketches(spark, sf, features):
+    out, checkpoint = fresh_path(spark, "sketches"), fresh_path(spark, "sketches-checkpoint")
+    sketches = stream_drift.window_sketches(event_stream(spark, sf), features)
+    stream_drift.start_window_histograms(sketches, out=out, checkpoint=checkpoint).awaitTermination()
+    return spark.read.schema(sketches.schema).parquet(out)
+
+
+def _exact_weeks(value: str) -> str:
+    """Exact statistic of every closed week against the events before 10 January."""
+    return f"""SELECT w, '{value}' AS feature, max(nc) AS n, max(nr) AS n_ref, max(abs(cr / nr::DOUBLE - cc / nc::DOUBLE)) AS d FROM (
+        SELECT w, sum(r) OVER o AS cr, sum(c) OVER o AS cc, sum(r) OVER (PARTITION BY w) AS nr, sum(c) OVER (PARTITION BY w) AS nc
+        FROM (SELECT w, v, sum(r) AS r, sum(c) AS c FROM (
+          SELECT w, {value}::DOUBLE AS v, 0 AS r, 1 AS c FROM wk WHERE w IN (SELECT w FROM closed)
+          UNION ALL SELECT w, {value}::DOUBLE, 1, 0 FROM closed, (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-10')) GROUP BY w, v)
+        WINDOW o AS (PARTITION BY w ORDER BY v)) GROUP BY w"""
+
+
+@query(
+    "ss02_sketched_drift",
+    f"""WITH {WEEK_SQL}, k AS ({_exact_weeks("value")} UNION ALL {_exact_weeks("user_id")}),
+        e AS (SELECT *, round(n_ref::DOUBLE * n / (n_ref + n)) AS en FROM k),
+        l AS (SELECT *, sqrt(en) * d + 1 / (6 * sqrt(en)) + (sqrt(en) * d - 1) / (4 * en) AS lam FROM e)
+        SELECT strftime(w, '%Y-%m-%d') AS week, feature, CAST(n AS BIGINT) AS n, TRUE AS within, CASE WHEN lam < 0.2 THEN FALSE ELSE
+          2 * list_sum(list_transform(range(1, 101), lambda j: (CASE WHEN j % 2 = 1 THEN 1 ELSE -1 END) * exp(-2.0 * j * j * lam * lam))) < 0.05
+          END AS drift_detected FROM l""",
+)
+def ss02c(spark, sf):
+    """From quantile sketches; ``within``: the statistic is no further from the exact one than the stated error."""
+    early = table(spark, sf, "events").where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz"))
+    features = ["value", "user_id"]
+    found = stream_drift.sketch_drift(early, week_sketches(spark, sf, features), features, ["window_start"])
+    exact = stream_drift.window_drift(early, week_histograms(spark, sf, features), features, [])
+    exact = exact.select("window_start", "feature", F.col("statistic").alias("exact"))
+    both = found.join(exact, ["window_start", "feature"])
+    return both.select(
+        F.date_format("window_start", "yyyy-MM-dd").alias("week"), "feature", "n",
+        (F.abs(F.col("statistic") - F.col("exact")) <= F.col("error")).alias("within"), "drift_detected",
+    )
+
+
 @query(
     "ss03_count_windows",
     """SELECT event_id, CAST((row_number() OVER (ORDER BY event_id) - 1) // 1000 AS BIGINT) AS window_id FROM events""",

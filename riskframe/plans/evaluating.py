@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskframe.operators import evaluation as E
-from riskframe.operators import splits
+from riskframe.operators import intervals, splits
 from riskframe.operators.prefix import ranked
 from riskframe.plans.bindings import MODELS, accounts, scores, table, with_
 from riskframe.plans.profiling import SPLIT_SQL
@@ -495,4 +495,73 @@ def ex02(spark, sf):
 
 @query("ex02_bootstrap_interval")
 def ex02b(spark, sf):
-    return E.bootstrap_accuracy(scores(spark, sf), "key", ["model"], replicates=50)
+    """Accuracy, from 1,000 samples of all rows."""
+    found = intervals.bootstrap_intervals(scores(spark, sf), ["model"])
+    return found.where(F.col("metric") == "accuracy").select("model", "low", "median", "high")
+
+
+@query("ex02_metric_bootstrap")
+def ex02c(spark, sf):
+    return intervals.bootstrap_intervals(scores(spark, sf), ["model"])
+
+
+# Placements of every row among the rows of the other class, ties half.
+PLACED = """folded AS (SELECT model, score, sum(y)::DOUBLE AS p, sum(1 - y)::DOUBLE AS q FROM scores GROUP BY model, score),
+  below AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS qb,
+            coalesce(sum(p) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0) AS pa,
+            sum(p) OVER (PARTITION BY model) AS np, sum(q) OVER (PARTITION BY model) AS nq FROM folded),
+  placed AS (SELECT s.key, s.model, s.y, CASE WHEN s.y = 1 THEN (qb + q / 2) / nq ELSE (pa + p / 2) / np END AS v
+             FROM scores s JOIN below b ON s.model = b.model AND s.score = b.score)"""
+Z95 = intervals.quantile_of_normal(0.95)
+
+
+@query(
+    "ex02_auc_interval",
+    with_(*AREAS)
+    + f""", {PLACED}, e AS (SELECT model, sqrt(var_samp(v) FILTER (y = 1) / count(*) FILTER (y = 1)
+             + var_samp(v) FILTER (y = 0) / count(*) FILTER (y = 0)) AS se FROM placed GROUP BY model)
+        SELECT model, round(roc_auc, 8) AS roc_auc, round(se, 8) AS std_error, round(greatest(roc_auc - {Z95!r}::DOUBLE * se, 0.0::DOUBLE), 8) AS low,
+               round(least(roc_auc + {Z95!r}::DOUBLE * se, 1.0::DOUBLE), 8) AS high FROM areas JOIN e USING (model)""",
+)
+def ex02d(spark, sf):
+    out = intervals.auc_intervals(scores(spark, sf), ["model"], n_groups=N)
+    return out.select("model", *[F.round(c, 8).alias(c) for c in ("roc_auc", "std_error", "low", "high")])
+
+
+@query(
+    "ex02_auc_difference",
+    with_(*AREAS)
+    + f""", {PLACED}, w AS (SELECT a.model AS first, b.model AS second, a.y, a.v - b.v AS d
+             FROM placed a JOIN placed b ON a.key = b.key AND a.model < b.model),
+        e AS (SELECT first, second, sqrt(var_samp(d) FILTER (y = 1) / count(*) FILTER (y = 1)
+             + var_samp(d) FILTER (y = 0) / count(*) FILTER (y = 0)) AS se FROM w GROUP BY first, second),
+        t AS (SELECT first, second, x.roc_auc AS auc_first, z.roc_auc AS auc_second, x.roc_auc - z.roc_auc AS d, se
+              FROM e JOIN areas x ON x.model = first JOIN areas z ON z.model = second)
+        SELECT first, second, round(auc_first, 8) AS auc_first, round(auc_second, 8) AS auc_second, round(d, 8) AS difference,
+               round(se, 8) AS std_error, round(d - {Z95!r}::DOUBLE * se, 8) AS low, round(d + {Z95!r}::DOUBLE * se, 8) AS high,
+               round(d / se, 4) AS z FROM t""",
+)
+def ex02e(spark, sf):
+    out = intervals.auc_differences(scores(spark, sf), "key", MODELS)
+    eight = ("auc_first", "auc_second", "difference", "std_error", "low", "high")
+    return out.select("first", "second", *[F.round(c, 8).alias(c) for c in eight], F.round("z", 4).alias("z"))
+
+
+@query(
+    "ex02_f1_interval",
+    with_(*CELLS)
+    + f""", s AS (SELECT model, tn / n AS tn, tp / n AS tp, e / n AS e, n FROM (
+          SELECT model, tn::DOUBLE AS tn, tp::DOUBLE AS tp, (fp + fn)::DOUBLE AS e, (tn + fp + fn + tp)::DOUBLE AS n FROM cells)),
+        g AS (SELECT *, 2 * e / (2 * tp + e) ** 2 AS g1, -2 * tp / (2 * tp + e) ** 2 AS h1,
+              2 * e / (2 * tn + e) ** 2 AS g0, -2 * tn / (2 * tn + e) ** 2 AS h0 FROM s),
+        r AS (SELECT model, 'f1' AS metric, 2 * tp / (2 * tp + e) AS v,
+                sqrt((tp * g1 ** 2 + e * h1 ** 2 - (tp * g1 + e * h1) ** 2) / n) AS se FROM g
+              UNION ALL SELECT model, 'f1_macro', tp / (2 * tp + e) + tn / (2 * tn + e),
+                sqrt((tp * (g1 / 2) ** 2 + tn * (g0 / 2) ** 2 + e * ((h1 + h0) / 2) ** 2
+                  - (tp * g1 / 2 + tn * g0 / 2 + e * (h1 + h0) / 2) ** 2) / n) FROM g)
+        SELECT model, metric, round(v, 8) AS value, round(se, 8) AS std_error, round(greatest(v - {Z95!r}::DOUBLE * se, 0.0::DOUBLE), 8) AS low,
+               round(least(v + {Z95!r}::DOUBLE * se, 1.0::DOUBLE), 8) AS high FROM r""",
+)
+def ex02f(spark, sf):
+    out = intervals.f1_intervals(E.confusion(scores(spark, sf), ["model"]), ["model"])
+    return out.select("model", "metric", *[F.round(c, 8).alias(c) for c in ("value", "std_error", "low", "high")])

@@ -247,6 +247,52 @@ def ml14(spark, sf):
     return out.select("row_id", F.round("probability_positive", 6).alias("probability"))
 
 
+@query(
+    "ml14_entropy_tree_rates",
+    with_("accounts")
+    + "SELECT row_id, round(avg(target) OVER (PARTITION BY segment, priority), 6) AS probability FROM accounts",
+)
+def ml14b(spark, sf):
+    """So does a tree by information gain: leaves of one class are not merged."""
+    data = labelled(spark, sf)
+    model = models.build_pipeline("dtree", CODES, n_train=1, params={"max_depth": 12, "criterion": "entropy"}).fit(data)
+    out = models.score_batch(model, data, ["row_id"])
+    return out.select("row_id", F.round("probability_positive", 6).alias("probability"))
+
+
+def _impurity(criterion: str, p: str, n: str) -> str:
+    if criterion == "gini":
+        return f"2 * ({p} / {n}) * (1 - {p} / {n})"
+    return " + ".join(f"coalesce(-({s}) * log2(nullif({s}, 0)), 0)" for s in (f"{p} / {n}", f"1 - {p} / {n}"))
+
+
+def _stump_sql(criterion: str) -> str:
+    """The best cut of one ordinal by running sums."""
+    return f"""SELECT '{criterion}' AS criterion, g.age, round(CASE WHEN g.age <= b.age THEN b.lp / b.ln ELSE (b.p - b.lp) / (b.n - b.ln) END, 6) AS probability
+        FROM g, (SELECT * FROM s WHERE ln < n ORDER BY round(ln / n * ({_impurity(criterion, "lp", "ln")})
+          + (n - ln) / n * ({_impurity(criterion, "(p - lp)", "(n - ln)")}), 12), age LIMIT 1) b"""
+
+
+@query(
+    "ml14_split_minimum",
+    with_("accounts")
+    + """, g AS (SELECT age, count(*)::DOUBLE AS k, sum(target)::DOUBLE AS q FROM accounts GROUP BY age),
+        s AS (SELECT age, sum(k) OVER (ORDER BY age) AS ln, sum(q) OVER (ORDER BY age) AS lp, sum(k) OVER () AS n, sum(q) OVER () AS p FROM g) """
+    + " UNION ALL ".join(f"SELECT * FROM ({_stump_sql(c)})" for c in ("gini", "entropy")),
+)
+def ml14c(spark, sf):
+    """Only the root has as many rows as a split asks for."""
+    data = labelled(spark, sf)
+    roles = Roles("row_id", "target", continuous=[], ordinal=["age"], categorical=[])
+    out = None
+    for criterion in ("gini", "entropy"):
+        params = {"max_depth": 5, "min_samples_split": data.count(), "criterion": criterion}
+        model = models.build_pipeline("dtree", roles, n_train=1, params=params).fit(data)
+        part = models.score_batch(model, data, ["age"]).select(F.lit(criterion).alias("criterion"), "age", F.round("probability_positive", 6).alias("probability"))
+        out = part if out is None else out.unionByName(part)
+    return out.distinct()
+
+
 @query("ml15_random_forest", check_sql("rf"))
 def ml15(spark, sf):
     return fit_check(spark, sf, "rf", {"n_estimators": 100, "max_depth": 5})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from riskframe.operators import contracts, profile, splits
+from riskframe.operators import contracts, correlation, profile, splits
 from riskframe.operators.prefix import average_ranks, exact_quantiles, prefix_counts, to_long
 from riskframe.plans.bindings import BILLS, LINE_FEATURES, PAYMENTS, accounts, lines, panel, table, with_
 from riskframe.plans.io_contracts import derived
@@ -189,6 +189,47 @@ def ag12(spark, sf):
     return out.withColumn("corr", F.round("corr", 6))
 
 
+#: Lagged and mixed measures of the panel: 48 columns, with holes of their own.
+WIDE = {
+    **{f"b{i}": f"bill{i}" for i in range(1, 7)},
+    **{f"p{i}": f"paid{i}" for i in range(1, 7)},
+    **{f"d{i}": f"CAST(delay{i} AS DOUBLE)" for i in range(1, 7)},
+    **{f"r{i}": f"CASE WHEN bill{i} > 0 THEN paid{i} / bill{i} END" for i in range(1, 7)},
+    **{f"s{i}{j}": f"bill{i} - bill{j}" for i in range(1, 6) for j in range(i + 1, 7)},
+    **{f"u{i}": f"CASE WHEN delay{i} > 0 THEN bill{i} / credit END" for i in range(1, 7)},
+    "credit": "credit",
+    "constant": "CASE WHEN credit > 0 THEN 7.0 END",
+    "empty": "CASE WHEN credit IS NULL THEN 1.0 END",
+}
+
+
+@query(
+    "ag12_pearson_matrix_wide",
+    with_("panel")
+    + ", wide AS (SELECT "
+    + ", ".join(f"CAST({e} AS DOUBLE) AS {c}" for c, e in WIDE.items())
+    + " FROM panel), pairs AS (SELECT "
+    + ", ".join(
+        f"CASE WHEN stddev_pop({a}) FILTER ({b} IS NOT NULL) > 0 AND stddev_pop({b}) FILTER ({a} IS NOT NULL) > 0 "
+        f"THEN corr({a}, {b}) END AS {a}__{b}"
+        for i, a in enumerate(WIDE)
+        for b in list(WIDE)[:i]
+    )
+    + ", "
+    + ", ".join(f"CASE WHEN stddev_pop({a}) > 0 THEN 1.0::DOUBLE END AS {a}__{a}" for a in WIDE)
+    + " FROM wide), long AS (SELECT unnest(["
+    + ", ".join(f"{{'pair': '{a}__{b}', 'corr': {a}__{b}}}" for i, a in enumerate(WIDE) for b in list(WIDE)[: i + 1])
+    + "], recursive := true) FROM pairs)"
+    + " SELECT split_part(pair, '__', 1) AS feature_a, split_part(pair, '__', 2) AS feature_b, round(corr, 6) AS corr FROM long"
+    + " UNION ALL SELECT split_part(pair, '__', 2), split_part(pair, '__', 1), round(corr, 6) FROM long"
+    + " WHERE split_part(pair, '__', 1) <> split_part(pair, '__', 2)",
+)
+def ag12b(spark, sf):
+    """In blocks of 16 columns."""
+    wide = panel(spark, sf).select(*[F.expr(e).cast("double").alias(c) for c, e in WIDE.items()])
+    return correlation.pearson(wide, list(WIDE), block=16).withColumn("corr", F.round("corr", 6))
+
+
 PANEL_TARGET = "CASE WHEN bill6 > 500000 THEN 1 ELSE 0 END"
 
 

@@ -181,3 +181,72 @@ def test_pca_projection_is_centred(labelled):
     assert abs(out.m) < 1e-9
     shares = features.explained_variance(model)
     assert 0 < sum(shares) <= 1 and shares == sorted(shares, reverse=True)
+
+
+# --- split minimum and information gain ------------------------------------------------------
+
+
+def by_hand(rows, names, criterion, max_depth, min_split):
+    """Rates of rows (x..., y) from a tree grown as stated: best gain first, ties to the first feature and value."""
+
+    def impurity(ys):
+        p = sum(ys) / len(ys)
+        if criterion == "gini":
+            return 2 * p * (1 - p)
+        return -sum(s * np.log2(s) for s in (p, 1 - p) if s > 0)
+
+    def grow(part, depth):
+        ys = [r[-1] for r in part]
+        rate = sum(ys) / len(ys)
+        if depth == max_depth or len(part) < max(2, min_split) or rate in (0, 1):
+            return {r[0]: rate for r in part}
+        options = []
+        for j in range(len(names)):
+            for t in sorted({r[1 + j] for r in part})[:-1]:
+                left = [r for r in part if r[1 + j] <= t]
+                right = [r for r in part if r[1 + j] > t]
+                below = (len(left) * impurity([r[-1] for r in left]) + len(right) * impurity([r[-1] for r in right])) / len(part)
+                options.append((-round(impurity(ys) - below, 12), j, t, left, right))
+        if not options or min(options)[0] > -1e-12:
+            return {r[0]: rate for r in part}
+        _, _, _, left, right = min(options, key=lambda o: o[:3])
+        return grow(left, depth + 1) | grow(right, depth + 1)
+
+    return grow(rows, 0)
+
+
+@pytest.mark.parametrize("criterion, max_depth, min_split", [("entropy", 4, 2), ("entropy", 30, 60), ("gini", 30, 60), ("gini", 30, 200), ("entropy", 2, 500)])
+def test_trees_split_as_by_hand(spark, criterion, max_depth, min_split):
+    draw = np.random.default_rng(17)
+    rows = [(i, int(draw.integers(0, 7)), int(draw.integers(0, 5)), 0) for i in range(700)]
+    rows = [(i, a, b, int(draw.random() < (0.1 + 0.1 * a if b < 3 else 0.6 - 0.07 * a))) for i, a, b, _ in rows]
+    df = spark.createDataFrame(rows, "row_id long, a int, b int, target int")
+    roles = Roles("row_id", "target", continuous=[], ordinal=["a", "b"], categorical=[])
+    params = {"max_depth": max_depth if max_depth < 30 else None, "min_samples_split": min_split, "criterion": criterion}
+    model = models.build_pipeline("dtree", roles, n_train=1, params=params).fit(df)
+    got = {r["row_id"]: r["probability_positive"] for r in models.score_batch(model, df, ["row_id"]).collect()}
+    want = by_hand(rows, ["a", "b"], criterion, max_depth, min_split)
+    assert got == pytest.approx(want, abs=1e-9)
+    path = fresh_path(spark, "model")
+    model.write().save(path)
+    assert models.score_batch(model, df, ["row_id"]).exceptAll(models.score_batch(PipelineModel.load(path), df, ["row_id"])).isEmpty()
+
+
+def test_forest_nodes_respect_the_split_minimum(spark, labelled):
+    params = {"n_estimators": 3, "max_depth": 8, "min_samples_split": 150}
+    model = models.build_pipeline("rf", ROLES, n_train=1200, params=params).fit(labelled).stages[-1]
+    path = fresh_path(spark, "forest")
+    model.tree.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*")
+    assert nodes.where("leftChild >= 0").agg(F.min("rawCount")).first()[0] >= 150
+    assert nodes.groupBy("treeID").agg(F.max("id") + 1 == F.count("*")).where("NOT ((max(id) + 1) = count(1))").count() == 0
+    assert nodes.where("leftChild < 0 AND rawCount < 75").count() > 0 or nodes.where("leftChild < 0").count() > 3
+
+
+def test_entropy_tree_without_a_split(spark):
+    df = spark.createDataFrame([(i, 1, 1) for i in range(9)], "row_id long, a int, target int")
+    roles = Roles("row_id", "target", continuous=[], ordinal=["a"], categorical=[])
+    for target in (df, df.withColumn("target", (F.col("row_id") % 2).cast("int"))):
+        model = models.build_pipeline("dtree", roles, n_train=1, params={"criterion": "entropy"}).fit(target)
+        rates = {r["probability_positive"] for r in models.score_batch(model, target, ["row_id"]).collect()}
+        assert rates == {target.agg(F.avg("target")).first()[0]}
