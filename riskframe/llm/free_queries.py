@@ -55,12 +55,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OP3_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pairs AS (
-  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
-  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
+  SELECT a.rid, a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.rid <> b.rid),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 

@@ -1,17 +1,19 @@
 """License phrases, and an exact set-similarity join of text blocks with license notices.
 
-Native: DataFrame functions only.  A block is a line.  A notice is found in a block if at least
-``threshold`` of its distinct words are in the block.  The join is exact by three filters: words are
-ordered by how often the whole corpus has them, rarest first; a block and a notice that share enough
-words share one among the first few of each (prefix); a block has at least as many words of the
-vocabulary as must be shared (length); and at the place of a shared word enough words must be left on
-both sides (position).  What passes is counted in full.
+Native: DataFrame functions only, all inside one row, so nothing is shuffled.  A block is any run of
+consecutive words, across line ends and comment marks, that is no longer than a notice allows: as many
+words as the notice has, divided by the threshold.  A notice is found in a block if at least ``threshold``
+of its distinct words are there.  The join is exact by three filters.  Words are ordered by how often the
+whole corpus has them, rarest first; a block that shares enough words with a notice has one of its first
+few (prefix), so only blocks around such a word are looked at.  A surrounding that has fewer of the
+notice's words than must be shared is passed over (length).  At a place of the prefix the blocks that hold
+it begin within one block's length before it (position).  What is left is counted in full.
 
-Only words of notices can be shared, so a block is first cut down to those; the notices are a
-setting, so their index is small and is broadcast.
+The notices are a setting of a few entries, so they become expressions of a row.
 
 Defined results: a null text is empty: no words, no places, empty labels, score 0.  Repeated rows get
-the same result each; results belong to a text (by its digest), so a row needs no key of its own.
+the same result each.  A notice that is wrapped, indented or commented is found like one on a line; one that
+is cut at the end of a text counts by the words that are there.
 """
 
 from __future__ import annotations
@@ -58,53 +60,85 @@ def needed(n_words: int, threshold: float) -> int:
 def corpus_order(docs: DataFrame, text: str, vocabulary: list[str]) -> list[str]:
     """``vocabulary`` by the number of its occurrences in all texts, rarest first."""
     spark = docs.sparkSession
-    known = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "known string"))
+    known = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "known string"))  # a setting of a few hundred
     every = docs.select(F.explode(F.split(F.lower(F.col(text)), GAP, -1)).alias("word"))
     counted = every.join(known, F.col("word") == F.col("known")).groupBy("known").agg(F.count("*").alias("n"))
     n = {r["known"]: r["n"] for r in counted.collect()}  # at most one row per word of a notice
     return sorted(vocabulary, key=lambda w: (n.get(w, 0), w))
 
 
-def find_notices(docs: DataFrame, text: str = "text", notices: Mapping[str, str] = NOTICES, threshold: float = THRESHOLD) -> DataFrame:
-    """(digest, block, label, containment) of every notice in every line of every distinct text."""
-    spark = docs.sparkSession
-    word_sets = {label: notice_words(notice) for label, notice in notices.items()}
-    order = corpus_order(docs, text, sorted({w for ws in word_sets.values() for w in ws}))
+def longest_block(notice: str, threshold: float) -> int:
+    """Words in the longest block that may stand for a notice."""
+    return max(1, math.floor(len(re.findall(WORD, notice.lower())) / threshold + 1e-9))
+
+
+def containments(words: Column, anchors: Column, notices: Mapping[str, str], order: list[str], threshold: float) -> dict[str, Column]:
+    """Per label the best share of its notice's words in one block of ``words``; 0 where it is below the threshold.
+
+    ``anchors`` lists the places (from 0) of words that are in the prefix of some notice.
+    """
     rank = {w: i for i, w in enumerate(order)}
-    index = []
-    for label, ws in word_sets.items():
-        ordered = sorted(ws, key=rank.__getitem__)
-        least = needed(len(ordered), threshold)
-        for i in range(len(ordered) - least + 1):
-            index.append((ordered[i], label, i, len(ordered), least, ordered))
-    prefixes = F.broadcast(
-        spark.createDataFrame(index, "word string, label string, i int, n int, least int, words array<string>")
-    )
+
+    def best(notice: str) -> Column:
+        distinct = sorted(notice_words(notice), key=rank.__getitem__)
+        least, length = needed(len(distinct), threshold), longest_block(notice, threshold)
+        prefix = distinct[: len(distinct) - least + 1]
+        listed = F.lit(distinct)
+
+        def shared(block: Column) -> Column:
+            return F.size(F.array_intersect(block, listed))
+
+        def around(at: Column) -> Column:
+            first = F.greatest(at - (length - 1), F.lit(0))
+            return F.slice(words, first + 1, at + length - first)
+
+        def at_anchor(at: Column) -> Column:
+            starts = F.sequence(F.greatest(at - (length - 1), F.lit(0)), at)
+            counts = F.transform(starts, lambda s: shared(F.slice(words, s + 1, length)))
+            return F.when(shared(around(at)) >= least, F.array_max(counts)).otherwise(0)
+
+        mine = F.filter(anchors, lambda at: F.get(words, at).isin(prefix))
+        most = F.coalesce(F.array_max(F.transform(mine, at_anchor)), F.lit(0))
+        return F.when(most >= least, most / F.lit(float(len(distinct)))).otherwise(0.0)
+
+    return {label: best(notice) for label, notice in notices.items()}
+
+
+def prefix_words(notices: Mapping[str, str], order: list[str], threshold: float) -> list[str]:
+    """Words one of which every block of some notice has."""
+    rank = {w: i for i, w in enumerate(order)}
+    found = set()
+    for notice in notices.values():
+        distinct = sorted(notice_words(notice), key=rank.__getitem__)
+        found |= set(distinct[: len(distinct) - needed(len(distinct), threshold) + 1])
+    return sorted(found)
+
+
+def with_notices(docs: DataFrame, text: str = "text", notices: Mapping[str, str] = NOTICES, threshold: float = THRESHOLD, name: str = "_notices") -> DataFrame:
+    """``docs`` with array<struct<label, containment>> of the notices found in each text, best block each."""
+    vocabulary = sorted({w for notice in notices.values() for w in notice_words(notice)})
+    order = corpus_order(docs, text, vocabulary)
+    prefixes = prefix_words(notices, order, threshold)
+    whole = F.coalesce(F.col(text), F.lit(""))
     # A text without any word of a prefix has no notice: a substring test spares it the cutting into words.
-    whole = F.lower(F.col(text))
     possible = F.lit(False)
-    for word in sorted({row[0] for row in index}):
-        possible = possible | whole.contains(word)
-    blocks = (
-        docs.where(possible)
-        .select(F.md5(text).alias("digest"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("block", "line"))
-        .withColumn("tokens", F.array_intersect(F.lit(order), F.split(lower_ascii(F.col("line")), GAP, -1)))
-        .where(F.size("tokens") > 0)
-        .select("digest", "block", "tokens", F.posexplode("tokens").alias("j", "word"))
-    )
-    size = F.size("tokens")
-    candidates = (
-        blocks.join(prefixes, "word")
-        .where(size >= F.col("least"))
-        .where(F.col("j") < size - F.col("least") + 1)
-        .where(F.least(F.col("n") - F.col("i"), size - F.col("j")) >= F.col("least"))
-    )
-    shared = F.size(F.array_intersect("tokens", "words"))
-    return (
-        candidates.where(shared >= F.col("least"))
-        .select("digest", "block", "label", (shared / F.col("n")).alias("containment"))
-        .distinct()
+    for word in prefixes:
+        possible = possible | F.lower(whole).contains(word)
+    cut = F.when(possible, F.regexp_extract_all(lower_ascii(whole), F.lit(WORD), F.lit(0)))
+    places = F.sequence(F.lit(0), F.size("_cut") - 1)
+    anchors = F.filter(places, lambda i: F.get("_cut", i).isin(prefixes))
+    # Columns of their own, and tested for null: what is inside a lambda would be evaluated anew per element.
+    steps = docs.withColumn("_cut", cut).withColumn("_anchors", F.when(F.size("_cut") > 0, anchors))
+    found = F.array(
+        *[
+            F.struct(F.lit(label).alias("label"), share.alias("containment"))
+            for label, share in containments(F.col("_cut"), F.col("_anchors"), notices, order, threshold).items()
+        ]
     )
+    none = F.expr("array()").cast("array<struct<label:string,containment:double>>")
+    there = (F.size("_anchors") > 0) & F.col("_cut").isNotNull()
+    steps = steps.withColumn(name, F.when(there, found).otherwise(none))
+    return steps.withColumn(name, F.filter(name, lambda f: f["containment"] > 0)).drop("_cut", "_anchors")
 
 
 def _phrase(phrase: str) -> str:
@@ -138,7 +172,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: Mapp
         possible = possible | F.lower(whole).contains(word)
     none = F.expr("array()").cast("array<string>")
     cut = F.when(possible & any_phrase, F.regexp_extract_all(lower_ascii(whole), F.lit(WORD), F.lit(0))).otherwise(none)
-    base = docs.select(F.col(key), F.md5(whole).alias("digest"), F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_words"), cut.alias("_words"))
+    marked = with_notices(docs.select(key, text), text, notices, threshold)
+    base = marked.select(F.col(key), "_notices", F.regexp_count(whole, F.lit(WORD)).cast("long").alias("n_words"), cut.alias("_words"))
     cases = F.size("_words") > 0
     places = {p: f"_at_{i}" for i, p in enumerate(phrases)}
     ints = F.expr("array()").cast("array<int>")
@@ -147,20 +182,15 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: Mapp
     named = F.array_compact(F.array(*(F.when(F.size(c) > 0, F.lit(phrases[p])) for p, c in places.items())))
     base = base.select(
         key,
-        "digest",
         "n_words",
         F.size(starts).cast("long").alias("n_base"),
         F.array_min(starts).cast("long").alias("first_word"),
         F.array_max(starts).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(named)).alias("_base"),
+        "_notices",
     )
-    found = (
-        find_notices(docs, text, notices, threshold)
-        .groupBy("digest")
-        .agg(F.collect_set("label").alias("_labels"), F.max("containment").alias("_score"))
-    )
-    every = F.array_sort(F.array_distinct(F.concat("_base", F.coalesce("_labels", none))))
-    return base.join(found, "digest", "left").select(
+    every = F.array_sort(F.array_distinct(F.concat("_base", F.col("_notices.label"))))
+    return base.select(
         key,
         "n_words",
         "n_base",
@@ -168,5 +198,5 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", phrases: Mapp
         "last_word",
         F.array_join("_base", ",").alias("base_labels"),
         F.array_join(every, ",").alias("labels"),
-        F.coalesce("_score", F.lit(0.0)).alias("score"),
+        F.coalesce(F.array_max(F.col("_notices.containment")), F.lit(0.0)).alias("score"),
     )

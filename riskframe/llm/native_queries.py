@@ -15,40 +15,49 @@ RULES = (
     url_filters.Rule("block", "example.com", "/de/"),
     url_filters.Rule("allow", "org", "/fr/"),
 )
-#: Pages of hosts with such a first label are reported; their addresses make up the block list.
-REPORTED_HOSTS = r"^(free-bets|spam-farm)\."
+#: First labels of reported hosts, after the prefixes that canonical addresses lack.
+REPORTED = ("casino-win", "cheap-pills", "free-bets", "spam-farm")
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 _HOST_SQL = _LOWER.format("coalesce(regexp_extract(url, '://([^/?#]*)', 1), '')")
+_REPORTED_SQL = rf"(^|\.)({'|'.join(REPORTED)})\."
 _OP10_SQL = f"""
-WITH parsed AS (
-  SELECT page_id, {_HOST_SQL} AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
+WITH bad AS (SELECT url, html, {_HOST_SQL} AS host FROM pages WHERE regexp_matches({_HOST_SQL}, '{_REPORTED_SQL}')),
+links AS (
+  SELECT CASE WHEN starts_with(l, '//') THEN 'http:' || l WHEN starts_with(l, '/') THEN 'http://' || host || l
+    WHEN contains(l, '://') THEN l END AS url
+  FROM (SELECT host, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS l FROM bad)),
+urls AS (SELECT page_id, url, TRUE AS judged FROM pages UNION ALL SELECT NULL, url, FALSE FROM links UNION ALL SELECT NULL, url, FALSE FROM bad),
+parsed AS (
+  SELECT page_id, judged, {_HOST_SQL} AS host, coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path,
     coalesce(regexp_extract(url, '://[^?#]*\\?([^#]*)', 1), '') AS q
-  FROM pages),
+  FROM urls),
 addressed AS (
   SELECT *, list_filter(string_split(q, '&'), lambda x: NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|$)')) AS kept FROM parsed),
 canonical AS (
-  SELECT page_id, host, path, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '/+$', '')
+  SELECT page_id, judged, host, path, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '/+$', '')
     || CASE WHEN ltrim(array_to_string(kept, '&'), '&') <> '' THEN '?' || ltrim(array_to_string(kept, '&'), '&') ELSE '' END END AS address
   FROM addressed),
-listed AS (SELECT DISTINCT address FROM canonical WHERE regexp_matches(host, '{REPORTED_HOSTS}') AND address IS NOT NULL),
+listed AS (SELECT DISTINCT address FROM canonical WHERE NOT judged AND address IS NOT NULL),
 rules(rule, verdict, rhost, rpath) AS (VALUES ('net/', 'block', 'net', '/'), ('example.net/en/', 'allow', 'example.net', '/en/'),
   ('example.com/de/', 'block', 'example.com', '/de/'), ('org/fr/', 'allow', 'org', '/fr/')),
 fits AS (
   SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
-  FROM canonical JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
+  FROM canonical JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) WHERE judged GROUP BY page_id)
 SELECT c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, CASE WHEN l.address IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
-FROM canonical c LEFT JOIN fits f USING (page_id) LEFT JOIN listed l ON c.address = l.address
+FROM (SELECT * FROM canonical WHERE judged) c LEFT JOIN fits f USING (page_id) LEFT JOIN listed l ON c.address = l.address
 """
 
 
 @query("op10_url_filters", _OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list: addresses of reported hosts, whatever prefix they have, and all that their pages link to."""
     pages = table(spark, sf_dir, "pages")
-    reported = pages.where(url_filters.host(F.col("url")).rlike(REPORTED_HOSTS))
-    return url_filters.judge(pages, url_filters.listed_urls(reported, "url"), RULES)
+    reported = pages.where(url_filters.host(F.col("url")).rlike(rf"(^|\.)({'|'.join(REPORTED)})\."))
+    named = reported.select("url").unionByName(url_filters.linked(reported))
+    return url_filters.judge(pages, url_filters.listed_urls(named, "url"), RULES)
 
 
 def _pii_sql() -> str:
@@ -104,10 +113,16 @@ places AS (
 base AS (SELECT rid, count(*) AS n, min(i) AS f, max(i) AS l, list(DISTINCT label) AS labels FROM places GROUP BY rid),
 notices(label, notice) AS (VALUES {notices}),
 sets AS (SELECT label, list_distinct(regexp_extract_all(lower(notice), '{_WORD}')) AS ts FROM notices),
-lines AS (SELECT rid, regexp_extract_all(unnest(string_split(t, chr(10))), '{_WORD}') AS ls FROM d),
-hits AS (
-  SELECT rid, label, len(list_intersect(ls, ts)) / len(ts) AS score FROM lines, sets
-  WHERE len(list_intersect(ls, ts)) >= ceil({licenses.THRESHOLD} * len(ts) - 1e-9)),
+sized AS (SELECT label, unnest(ts) AS word, len(ts) AS n, floor(len(regexp_extract_all(lower(notice), '{_WORD}')) / {licenses.THRESHOLD}::DOUBLE + 1e-9) AS length
+  FROM notices JOIN sets USING (label)),
+tokens AS (SELECT rid, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM w),
+mine AS (SELECT rid, label, n, length, word, i FROM tokens JOIN sized USING (word)),
+enough AS (SELECT rid, label FROM mine GROUP BY rid, label HAVING count(DISTINCT word) >= ceil({licenses.THRESHOLD} * any_value(n) - 1e-9)),
+here AS (SELECT * FROM mine SEMI JOIN enough USING (rid, label)),
+runs AS (
+  SELECT a.rid, a.label, a.i, a.n, count(DISTINCT b.word) AS k
+  FROM here a JOIN here b ON a.rid = b.rid AND a.label = b.label AND b.i >= a.i AND b.i < a.i + a.length GROUP BY ALL),
+hits AS (SELECT rid, label, max(k / n::DOUBLE) AS score FROM runs WHERE k >= ceil({licenses.THRESHOLD} * n - 1e-9) GROUP BY rid, label),
 best AS (SELECT rid, list(DISTINCT label) AS labels, max(score) AS score FROM hits GROUP BY rid)
 SELECT d.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(b.n, 0) AS n_base, b.f AS first_word, b.l AS last_word,
   array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,

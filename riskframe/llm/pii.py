@@ -3,7 +3,8 @@
 Native: DataFrame functions only, all inside one row, so nothing is shuffled.
 
 A pattern's places follow from splitting the text by it: the lengths of the pieces and matches
-before a match add up to its start.  The patterns are possessive or bounded, so long runs neither
+before a match add up to its start.  They are added up in two levels, so that a text with very many
+matches takes time in proportion to them, about.  The patterns are possessive or bounded, so long runs neither
 backtrack nor recurse; where that changes the form, the comment says why the matches are the same.
 
 Defined results: a null text is an empty one and has no spans; positions are code points from 0, end
@@ -19,6 +20,12 @@ from pyspark.sql import functions as F
 
 #: Characters before a span in which context words count.
 CONTEXT_CHARS = 40
+#: Matches whose lengths are added up in one go.
+RUN = 64
+#: Matches before a match that may hold some of its context: the shortest match has five characters.
+NEAR_MATCHES = CONTEXT_CHARS // 5
+#: Characters in a piece of a text that is put together anew.
+PIECE = 1024
 
 # A match starts at the start of a run of local-part characters, or where the last match ended.
 EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -94,19 +101,36 @@ MORE = (
 SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
-def _kind_spans(text: Column, found: Column, pieces: Column, kind: Kind) -> Column:
-    """array<struct<kind, start, end, score>> of one kind, by start."""
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
+
+
+def _run_starts(lengths: Column) -> Column:
+    """array<bigint>: what lies before every run of ``RUN`` lengths, by the same sums over runs of runs."""
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / RUN).cast("int")), lambda r: _sum(F.slice(lengths, r * RUN + 1, RUN)))
+    state = F.struct(F.lit(0).cast("long").alias("sum"), F.expr("array()").cast("array<bigint>").alias("starts"))
+    # One step per run, so the list that grows stays short.
+    return F.aggregate(
+        runs, state, lambda a, x: F.struct((a["sum"] + x).alias("sum"), F.concat(a["starts"], F.array(a["sum"])).alias("starts")), lambda a: a["starts"]
+    )
+
+
+def _kind_spans(found: Column, near: Column, lengths: Column, starts: Column, kind: Kind) -> Column:
+    """array<struct<kind, start, end, score>> of one kind, by start.
+
+    ``near`` holds the characters before each match, ``lengths`` the length of each match and of the piece before it,
+    ``starts`` what lies before each run of them.
+    """
 
     def place(i: Column) -> Column:
-        before = F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0), lambda a, x: a + F.length(x))
-        start = before + F.aggregate(F.slice(found, F.lit(1), i), F.lit(0), lambda a, x: a + F.length(x))
-        return F.struct(start.alias("start"), F.get(found, i).alias("match"))
+        run = F.floor(i / RUN).cast("int")
+        upto = F.get(starts, run) + _sum(F.slice(lengths, run * RUN + 1, i % RUN + 1))
+        start = upto - F.length(F.get(found, i))
+        return F.struct(start.alias("start"), F.get(found, i).alias("match"), F.get(near, i).alias("before"))
 
     def span(p: Column) -> Column:
         start = p["start"]
-        before = F.substr(
-            text, F.greatest(start - CONTEXT_CHARS, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT_CHARS))
-        )
+        before = p["before"]
         near = before.rlike(rf"(?i)(?<![A-Za-z])({kind.context})")
         return F.struct(
             F.lit(kind.name).alias("kind"),
@@ -118,7 +142,8 @@ def _kind_spans(text: Column, found: Column, pieces: Column, kind: Kind) -> Colu
     places = F.transform(F.sequence(F.lit(0), F.size(found) - 1), place)
     kept = F.transform(F.filter(places, lambda p: kind.confirmed(p["match"])), span)
     kept = F.filter(kept, lambda s: s["score"] >= kind.least)
-    return F.when(F.size(found) > 0, kept).otherwise(F.expr("array()").cast(SPANS))
+    there = (F.size(found) > 0) & near.isNotNull() & lengths.isNotNull() & starts.isNotNull()
+    return F.when(there, kept).otherwise(F.expr("array()").cast(SPANS))
 
 
 def listed(spans: Column) -> Column:
@@ -136,15 +161,41 @@ def spans(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = BASE +
         nothing = F.expr("array()").cast("array<string>")
         return F.when(possible, F.regexp_extract_all(whole, F.lit(k.pattern), F.lit(0))).otherwise(nothing)
 
-    # Columns of their own, as an expression inside a lambda is evaluated anew for each element.
+    # Columns of their own, as an expression inside a lambda is evaluated anew for each element; the optimizer leaves
+    # a column alone that is asked for twice, hence the tests for null.
     steps = docs.withColumns({f"_found_{k.name}": found(k) for k in kinds})
+    def per_match(k: Kind, made) -> Column:
+        places = F.sequence(F.lit(0), F.size(f"_found_{k.name}") - 1)
+        return F.when((F.size(f"_found_{k.name}") > 0) & F.col(f"_pieces_{k.name}").isNotNull(), F.transform(places, made))
+
+    def length(k: Kind):
+        return lambda i: (F.length(F.get(f"_pieces_{k.name}", i)) + F.length(F.get(f"_found_{k.name}", i))).cast("long")
+
+    def near(k: Kind):
+        """The last characters before a match: its piece, and where that is short the matches and pieces before."""
+
+        def made(i: Column) -> Column:
+            # So many pieces and matches are sure to hold CONTEXT_CHARS characters, as a match has several.
+            first = F.greatest(i - NEAR_MATCHES, F.lit(0))
+            parts = F.transform(
+                F.sequence(first, i),
+                lambda j: F.concat(F.get(f"_pieces_{k.name}", j), F.when(j < i, F.get(f"_found_{k.name}", j)).otherwise(F.lit(""))),
+            )
+            return F.right(F.array_join(parts, ""), F.lit(CONTEXT_CHARS))
+
+        return made
+
+    for name, made in (
+        ("_pieces_", lambda k: F.when(F.size(f"_found_{k.name}") > 0, F.split(whole, k.pattern, -1))),
+        ("_lengths_", lambda k: per_match(k, length(k))),
+        ("_near_", lambda k: per_match(k, near(k))),
+        ("_starts_", lambda k: F.when(F.size(f"_found_{k.name}") > 0, _run_starts(F.col(f"_lengths_{k.name}")))),
+    ):
+        steps = steps.withColumns({name + k.name: made(k) for k in kinds})
     steps = steps.withColumns(
-        {f"_pieces_{k.name}": F.when(F.size(f"_found_{k.name}") > 0, F.split(whole, k.pattern, -1)) for k in kinds}
-    )
-    steps = steps.withColumns(
-        {prefix + k.name: _kind_spans(whole, F.col(f"_found_{k.name}"), F.col(f"_pieces_{k.name}"), k) for k in kinds}
+        {prefix + k.name: _kind_spans(*(F.col(f"_{c}_{k.name}") for c in ("found", "near", "lengths", "starts")), k) for k in kinds}
     )
-    return steps.drop(*(f"{p}{k.name}" for p in ("_found_", "_pieces_") for k in kinds))
+    return steps.drop(*(f"_{c}_{k.name}" for c in ("found", "pieces", "lengths", "near", "starts") for k in kinds))
 
 
 def redact(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = BASE + MORE) -> DataFrame:
@@ -157,26 +208,31 @@ def redact(docs: DataFrame, text: str = "text", kinds: tuple[Kind, ...] = BASE +
     found = spans(docs, text, kinds, prefix)
     every = F.concat(*(F.col(prefix + k.name) for k in kinds))
     ordered = F.array_sort(F.transform(every, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["kind"].alias("kind"))))
-    state = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    state = F.struct(F.lit(0).cast("long").alias("at"), F.expr("array()").cast("array<string>").alias("parts"))
+
+    def between(start: Column, end: Column) -> Column:
+        """Characters of the text, from the pieces that hold them: places far into a text cost no more than early ones."""
+        first = F.floor(start / PIECE).cast("int")
+        held = F.array_join(F.slice("_pii_cut", first + 1, F.floor(end / PIECE).cast("int") - first + 1), "")
+        return F.substring(held, (start - first * PIECE + 1).cast("int"), (end - start).cast("int"))
 
     def step(a: Column, s: Column) -> Column:
-        part = F.concat(
-            a["out"],
-            F.substring(F.col(text), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")),
-            F.lit("<"),
-            s["kind"],
-            F.lit(">"),
-        )
+        before = between(a["at"], s["start"])
+        part = F.concat(before, F.lit("<"), s["kind"], F.lit(">"))
         take = s["start"] >= a["at"]
         return F.struct(
-            F.when(take, -s["back"]).otherwise(a["at"]).alias("at"), F.when(take, part).otherwise(a["out"]).alias("out")
+            F.when(take, -s["back"]).otherwise(a["at"]).alias("at"),
+            F.when(take, F.concat(a["parts"], F.array(part))).otherwise(a["parts"]).alias("parts"),
         )
 
     def end(a: Column) -> Column:
-        return F.concat(a["out"], F.substr(F.col(text), (a["at"] + 1).cast("int")))
+        return F.concat(F.array_join(a["parts"], ""), F.substr(F.col(text), (a["at"] + 1).cast("int")))
 
-    clean = F.when(F.size("_spans") > 0, F.aggregate("_spans", state, step, end)).otherwise(F.col(text))
-    return found.withColumn("_spans", ordered).withColumn(text, clean).select(*docs.columns)
+    cut = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    there = (F.size("_pii_spans") > 0) & F.col("_pii_cut").isNotNull()
+    clean = F.when(there, F.aggregate("_pii_spans", state, step, end)).otherwise(F.col(text))
+    found = found.withColumn("_pii_spans", ordered).withColumn("_pii_cut", F.when(F.size("_pii_spans") > 0, cut))
+    return found.withColumn(text, clean).select(*docs.columns)
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

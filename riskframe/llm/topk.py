@@ -9,10 +9,11 @@ the ties on it those with the smallest ids.
 A tile reports buckets from its highest score down to its own k-th only: the k-th value of all cannot be
 lower.  So a pass moves at most k counts per query and tile.
 
-Defined results: vectors that are null or hold null or non-finite components take no part; an id stands for
-one vector, and if rows repeat an id the smallest vector counts; rows without an id take no part; shorter
-vectors are filled up with zeros; scores are 64-bit and wrap around beyond; fewer than k other vectors
-give as many ranks; an empty table gives no rows.
+Defined results: vectors that are null or hold null or non-finite components take no part; every row is a vector
+of its own and is scored against every other row, so rows that repeat an id are candidates (and queries) one by
+one, a query's own row alone excepted; rows without an id take no part; shorter vectors are filled up with zeros;
+scores are 64-bit and wrap around beyond; fewer than k other vectors give as many ranks; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -58,18 +59,18 @@ class Scores:
     """Scores of a block of queries against a tile of vectors, query by query."""
 
     def __init__(self, queries: pa.Table, vectors: pa.Table, width: int):
-        self.ids = vectors["id"].to_numpy()
+        self.rows, self.ids = vectors["row"].to_numpy(), vectors["id"].to_numpy()
         q, v = _matrix(queries["v"], width), _matrix(vectors["v"], width)
         largest = float(np.abs(q.astype(float)).sum(axis=1).max(initial=0)) * float(np.abs(v.astype(float)).max(initial=0))
         # Sums below 2^53 are exact in doubles, for which matrix products are fast.
         self._q, self._v = (q.astype(float), v.astype(float).T) if largest < 2**53 else (q, v.T)
-        self._own = queries["id"].to_numpy()
+        self._own = queries["row"].to_numpy()
 
     def __iter__(self):
         for at in range(0, len(self._own), 64):
             scores = (self._q[at : at + 64] @ self._v).astype(np.int64)
             for row, own in zip(scores, self._own[at : at + 64]):
-                others = self.ids != own
+                others = self.rows != own
                 yield row[others], self.ids[others]
 
 
@@ -79,8 +80,8 @@ def _tiles(vectors: DataFrame, queries: DataFrame, n: int, n_queries: int):
     def all_of(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    left = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(n_blocks)).cast("int")).withColumn("tile", all_of(n_tiles))
-    right = vectors.withColumn("tile", F.pmod(F.xxhash64("id"), F.lit(n_tiles)).cast("int")).withColumn("block", all_of(n_blocks))
+    left = queries.withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(n_blocks)).cast("int")).withColumn("tile", all_of(n_tiles))
+    right = vectors.withColumn("tile", F.pmod(F.xxhash64("row"), F.lit(n_tiles)).cast("int")).withColumn("block", all_of(n_blocks))
     return left.groupBy("tile", "block").cogroup(right.groupBy("tile", "block"))
 
 
@@ -88,7 +89,8 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
     """(query_id, rank, vec_id, score) of the k best other vectors for each row where ``is_query`` holds."""
     rows = vectors.where(usable(F.col(vector)) & F.col(key).isNotNull())
     one = rows.select(F.col(key).cast("long").alias("id"), quantised(F.col(vector)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    one = materialise(one.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")), "vectors")
+    # Rows are numbered once and written, so that a repeated task does not number them anew.
+    one = materialise(one.withColumn("row", F.monotonically_increasing_id()), "vectors")
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, n_queries, width, most = one.select("asks", F.size("v").alias("w"), norm.alias("norm")).agg(
         F.count("*"), F.coalesce(F.sum(F.col("asks").cast("int")), F.lit(0)), F.coalesce(F.max("w"), F.lit(0)), F.coalesce(F.max("norm"), F.lit(0.0))
@@ -98,13 +100,13 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
         return one.limit(0).select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("score"))
     # No score is beyond the product of the two lengths.
     reach = F.least(F.ceil(F.sqrt(norm * F.lit(most))) + 1, F.lit(float(2**61))).cast("long")
-    queries = one.where("asks").select("id", "v", (-reach).alias("low"), (2 * reach + 1).alias("width"), F.lit(wanted).cast("long").alias("want"))
-    candidates = one.select("id", "v")
+    queries = one.where("asks").select("row", "id", "v", (-reach).alias("low"), (2 * reach + 1).alias("width"), F.lit(wanted).cast("long").alias("want"))
+    candidates = one.select("row", "id", "v")
 
     def histogram(asked: pa.Table, tile: pa.Table) -> pa.Table:
         out_id, out_bucket, out_n = [], [], []
         if asked.num_rows and tile.num_rows:
-            state = zip(*(asked[c].to_pylist() for c in ("id", "low", "width", "want")))
+            state = zip(*(asked[c].to_pylist() for c in ("row", "low", "width", "want")))
             for (query, low, span, want), (scores, _) in zip(state, Scores(asked, tile, width)):
                 scores = scores[(scores >= low) & (scores - low < span)]
                 if len(scores) > want:
@@ -113,38 +115,39 @@ def search(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: st
                 out_id += [query] * len(buckets)
                 out_bucket += buckets.tolist()
                 out_n += counts.tolist()
-        return pa.table({"id": pa.array(out_id, pa.int64()), "bucket": pa.array(out_bucket, pa.int64()), "n": pa.array(out_n, pa.int64())})
+        return pa.table({"row": pa.array(out_id, pa.int64()), "bucket": pa.array(out_bucket, pa.int64()), "n": pa.array(out_n, pa.int64())})
 
     while queries.agg(F.max("width")).first()[0] > 1:
-        counted = _tiles(candidates, queries, n, n_queries).applyInArrow(histogram, "id bigint, bucket bigint, n bigint")
-        down = Window.partitionBy("id").orderBy(F.desc("bucket"))
+        counted = _tiles(candidates, queries, n, n_queries).applyInArrow(histogram, "row bigint, bucket bigint, n bigint")
+        down = Window.partitionBy("row").orderBy(F.desc("bucket"))
         reached = (
-            counted.groupBy("id", "bucket")
+            counted.groupBy("row", "bucket")
             .agg(F.sum("n").alias("n"))
             .withColumn("sofar", F.sum("n").over(down))
-            .join(queries, "id")
+            .join(queries, "row")
             .where((F.col("sofar") >= F.col("want")) & (F.col("sofar") - F.col("n") < F.col("want")))
         )
         step = F.ceil(F.col("width") / BUCKETS)
         queries = materialise(
             reached.select(
-                "id", "v", (F.col("low") + F.col("bucket") * step).alias("low"), step.alias("width"), (F.col("want") - F.col("sofar") + F.col("n")).alias("want")
+                "row", "id", "v", (F.col("low") + F.col("bucket") * step).alias("low"), step.alias("width"), (F.col("want") - F.col("sofar") + F.col("n")).alias("want")
             ),
             "top-k",
         )
 
     def keep(asked: pa.Table, tile: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64),) * 3]
+        out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 4]
         if asked.num_rows and tile.num_rows:
-            state = zip(*(asked[c].to_pylist() for c in ("id", "low", "want")))
-            for (query, least, want), (scores, ids) in zip(state, Scores(asked, tile, width)):
+            state = zip(*(asked[c].to_pylist() for c in ("row", "id", "low", "want")))
+            for (row, query, least, want), (scores, ids) in zip(state, Scores(asked, tile, width)):
                 ties = np.sort(ids[scores == least])[:want]
                 above = scores > least
-                out.append((np.full(above.sum() + len(ties), query), np.concatenate([ids[above], ties]), np.concatenate([scores[above], np.full(len(ties), least)])))
+                found = above.sum() + len(ties)
+                out.append((np.full(found, row), np.full(found, query), np.concatenate([ids[above], ties]), np.concatenate([scores[above], np.full(len(ties), least)])))
         columns = [pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)]
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns)))
+        return pa.table(dict(zip(("row", "query_id", "vec_id", "score"), columns)))
 
-    kept = _tiles(candidates, queries, n, n_queries).applyInArrow(keep, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    kept = _tiles(candidates, queries, n, n_queries).applyInArrow(keep, "row bigint, query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

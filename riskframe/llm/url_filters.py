@@ -105,6 +105,21 @@ def listed_urls(listed: DataFrame, url: str) -> DataFrame:
     return listed.select(canonical(F.col(url)).alias("listed_url")).where("listed_url IS NOT NULL").distinct()
 
 
+def linked(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(url) of every link on ``pages`` with a host of its own, or from the root of its page's host.
+
+    Links relative to a page, anchors and other schemes name no address and are left out.
+    """
+    links = pages.select(host(F.col(url)).alias("from"), F.explode(F.regexp_extract_all(F.col(html), F.lit('href="([^"]*)"'), F.lit(1))).alias("link"))
+    link = F.col("link")
+    whole = (
+        F.when(link.startswith("//"), F.concat(F.lit("http:"), link))
+        .when(link.startswith("/"), F.concat(F.lit("http://"), "from", link))
+        .when(link.contains("://"), link)
+    )
+    return links.select(whole.alias("url")).where("url IS NOT NULL")
+
+
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule], key: str = "page_id", url: str = "url") -> DataFrame:
     """(key, host, path, rule, verdict) of every page; ``listed`` comes from :func:`listed_urls`.
 
