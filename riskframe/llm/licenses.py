@@ -48,6 +48,8 @@ NOTICES = {
 }
 THRESHOLD = 0.8
 
+_IN_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
+
 
 def notice_words(notice: str) -> list[str]:
     return sorted(set(re.findall(WORD, notice.lower())))
@@ -61,7 +63,10 @@ def corpus_order(docs: DataFrame, text: str, vocabulary: list[str]) -> list[str]
     """``vocabulary`` by the number of its occurrences in all texts, rarest first."""
     spark = docs.sparkSession
     known = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "known string"))  # a setting of a few hundred
-    every = docs.select(F.explode(F.split(F.lower(F.col(text)), GAP, -1)).alias("word"))
+    # Any order gives the same matches; words between blanks, line ends and common marks are close enough for a good one.
+    marks = "\n\t\r.,;:!?()\"'/*#-"
+    plain = F.translate(F.lower(F.col(text)), marks, " " * len(marks))
+    every = docs.select(F.explode(F.split(plain, " ", -1)).alias("word"))
     counted = every.join(known, F.col("word") == F.col("known")).groupBy("known").agg(F.count("*").alias("n"))
     n = {r["known"]: r["n"] for r in counted.collect()}  # at most one row per word of a notice
     return sorted(vocabulary, key=lambda w: (n.get(w, 0), w))
@@ -120,10 +125,11 @@ def with_notices(docs: DataFrame, text: str = "text", notices: Mapping[str, str]
     order = corpus_order(docs, text, vocabulary)
     prefixes = prefix_words(notices, order, threshold)
     whole = F.coalesce(F.col(text), F.lit(""))
-    # A text without any word of a prefix has no notice: a substring test spares it the cutting into words.
-    possible = F.lit(False)
+    # A text without any word of a prefix has no notice: two tests, the cheap one first, spare it the cutting into words.
+    contained = F.lit(False)
     for word in prefixes:
-        possible = possible | F.lower(whole).contains(word)
+        contained = contained | F.lower(whole).contains(word)
+    possible = contained & whole.rlike(rf"(?i)(?<!{_IN_WORD})(?:{'|'.join(map(re.escape, prefixes))})(?!{_IN_WORD})")
     cut = F.when(possible, F.regexp_extract_all(lower_ascii(whole), F.lit(WORD), F.lit(0)))
     places = F.sequence(F.lit(0), F.size("_cut") - 1)
     anchors = F.filter(places, lambda i: F.get("_cut", i).isin(prefixes))
