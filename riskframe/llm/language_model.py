@@ -1,15 +1,18 @@
 """Log-probabilities of texts under a smoothed n-gram model, read off a weighted backoff automaton.
 
-States of the automaton are the histories seen in training.  From a state, a token that followed it has an
-arc of its own; any other takes the failure arc to the next shorter history, down to the root, which has an
-arc for every word and one for all unknown words.  Weights come from a hierarchical Dirichlet prior:
-P(w | h) = (c(h w) + m P(w | shorter h)) / (c(h) + m), so an arc is the whole fraction and a failure arc
-m / (c(h) + m); the root is additive, (c(w) + 0.1) / (N + 0.1 (V + 1)).  All sum to 1.
+States are the histories seen in training.  From a state, a token that followed it has an arc of its own;
+any other takes the failure arc to the next shorter history, down to the root, which has an arc for every
+word and one for all unknown words.  An arc ends in the longest history that the new token makes.  A text is
+read once from left to right: the walk carries its state and adds up the log-weights of the arcs it takes.
+
+Weights come from a hierarchical Dirichlet prior: P(w | h) = (c(h w) + m P(w | shorter h)) / (c(h) + m), so an
+arc weighs the whole fraction and a failure arc m / (c(h) + m); the root is additive,
+(c(w) + 0.1) / (N + 0.1 (V + 1)).  All sum to 1.
 
 The automaton of a corpus grows with it and is never in one place.  Documents go in blocks of a few MB.  Each
 block sends its distinct n-grams, as 64-bit keys with training counts, to buckets of the key space; a bucket
-adds up the counts of all blocks and sends each block the totals of its own n-grams.  With these a block has
-the part of the automaton that its documents can reach, and one pass over its tokens gathers the weights.
+adds up the counts of all blocks and sends each block the totals of its own n-grams.  With these a block builds
+the part of the automaton that its documents can reach, and walks it.
 Keys of two different n-grams fall together with probability n^2 / 2^65 (three in a million for ten million
 words); then their counts add up.
 
@@ -40,6 +43,9 @@ ADDED = 0.1
 #: Bytes of text in a block, and text whose n-grams share a bucket.
 BLOCK_BYTES = 2 << 20
 BUCKET_BYTES = 12 << 20
+#: Text whose n-grams a task of a shuffle reads.
+TASK_BYTES = 32 << 20
+LEAST_TASKS = 16
 
 _START = np.uint64(xxhash.xxh64_intdigest(b"start of text"))
 _END = np.uint64(xxhash.xxh64_intdigest(b"end of text"))
@@ -194,6 +200,86 @@ def _add_up(group: pa.Table) -> pa.Table:
     )
 
 
+class Automaton:
+    """States, arcs and failure arcs that the texts of a block can reach.
+
+    State 0 is the root, state 1 the start of a text; every other is an n-gram of the block, shorter than
+    ``order``, that training has seen.  Words are numbers of the block's distinct words.
+    """
+
+    ROOT, START = 0, 1
+
+    def __init__(self, block: Block, totals: list[np.ndarray], n_start: int, root: np.ndarray, strength: float):
+        order = len(block.grams)
+        _, words, word_at, _ = block.grams[0]
+        self.width = len(words)
+        # Without histories there is the root alone.
+        self.begin = self.START if order > 1 else self.ROOT
+        first = np.zeros(len(word_at), bool)
+        first[block.starts] = True
+        # Per state: its count in training and the state that its failure arc leads to.
+        counts, shorter = [np.array([0, n_start])], [np.zeros(2, np.int64)]
+        # Per arc: state and word that take it, weight, state it leads to.
+        sources, labels, weights, targets = [], [], [], []
+        made = 2  # states so far
+        states = weight = None  # of the n-grams one token shorter, by position
+        for (at, distinct, index, _), total in zip(block.grams, totals):
+            n = len(sources) + 1
+            # All about an n-gram is read at one position where it ends.
+            where = np.empty(len(distinct), np.int64)
+            where[index] = at
+            if n == 1:
+                history = np.zeros(len(distinct), np.int64)
+                suffix = history
+                own = root
+            else:
+                before = np.concatenate([[self.START], states[:-1]])
+                if n == 2:
+                    before[first] = self.START
+                history, suffix = before[where], states[where]
+                own = (total + strength * weight[where]) / (np.concatenate(counts)[history] + strength)
+            seen = total > 0
+            state = np.full(len(distinct), self.ROOT)
+            if n < order:
+                state[seen] = made + np.arange(seen.sum())
+                made += int(seen.sum())
+                counts.append(total[seen])
+                shorter.append(suffix[seen])
+            # The root has an arc for every word; an unknown one leads back to it.
+            arc = np.ones(len(distinct), bool) if n == 1 else seen
+            sources.append(history[arc])
+            labels.append(word_at[where[arc]])
+            weights.append(own[arc])
+            targets.append((state if n < order else suffix)[arc])
+            by_position = np.zeros(len(word_at), np.int64)
+            by_position[at] = state[index]
+            states = by_position
+            if n == 1:
+                weight = own[index]
+            else:
+                weight = weight.copy()
+                weight[at] = own[index]
+        size = np.concatenate(counts)
+        self.fall = np.log10(strength / (size + strength)).tolist()
+        self.shorter = np.concatenate(shorter).tolist()
+        keys = np.concatenate(sources) * self.width + np.concatenate(labels)
+        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
+        self.weights = np.log10(np.concatenate(weights)).tolist()
+        self.targets = np.concatenate(targets).tolist()
+
+    def walk(self, words: list[int]) -> float:
+        """log10 probability of one text."""
+        find, width, weights, targets = self.arcs.get, self.width, self.weights, self.targets
+        state, total = self.begin, 0.0
+        for word in words:
+            while (arc := find(state * width + word)) is None:
+                total += self.fall[state]
+                state = self.shorter[state]
+            total += weights[arc]
+            state = targets[arc]
+        return total
+
+
 def score(
     docs: DataFrame,
     key: str = "doc_id",
@@ -207,12 +293,16 @@ def score(
 
     ``train`` is a boolean column: the model is learnt from the rows where it is true.
     """
+    if order < 1 or not strength > 0:
+        raise ValueError("order must be 1 or more and strength positive")
     stored = materialise(blocks(docs, key, text, train), "lm-blocks")
     size = stored.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
+    # Tasks in proportion to the text, so that none reads more on a larger corpus.
+    tasks = max(LEAST_TASKS, math.ceil(size / TASK_BYTES))
     sent = _send(stored, order, buckets)
     totals = materialise(
-        sent.groupBy("n", "bucket").applyInArrow(_add_up, "block bigint, n int, bucket int, totals binary, seen bigint, tokens bigint"),
+        sent.repartition(tasks, "n", "bucket").groupBy("n", "bucket").applyInArrow(_add_up, "block bigint, n int, bucket int, totals binary, seen bigint, tokens bigint"),
         "lm-totals",
     )
     known = totals.where("n = 1").agg(F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
@@ -227,24 +317,14 @@ def score(
         found: dict[int, list[tuple[int, np.ndarray]]] = {}
         for n, bucket, data in zip(parts["n"].to_pylist(), parts["bucket"].to_pylist(), parts["totals"]):
             found.setdefault(n, []).append((bucket, _from_planes(data.as_py(), np.int64)))
-        weight = history = None
-        for n, (at, _, index, _) in enumerate(here.grams, 1):
-            count = np.concatenate([c for _, c in sorted(found[n], key=lambda x: x[0])])[index]
-            if n == 1:
-                weight = (count + added) / (n_train + added * (vocabulary + 1))
-                base, seen = weight, count > 0
-                following = count
-            else:
-                # The history of a position is the shorter n-gram that ends before it.
-                history = np.concatenate([[train_docs], following[:-1]])
-                if n == 2:
-                    history[here.starts] = train_docs
-                failure = strength / (history[at] + strength)
-                arc = count / (history[at] + strength)
-                weight = weight.copy()
-                weight[at] = arc + failure * weight[at]
-                following = np.zeros(len(following), np.int64)
-                following[at] = count
+        # A block of empty texts has no n-gram of three or more.
+        none = [(0, np.zeros(0, np.int64))]
+        counts = [np.concatenate([c for _, c in sorted(found.get(n, none), key=lambda x: x[0])]) for n in range(1, order + 1)]
+        root = (counts[0] + added) / (n_train + added * (vocabulary + 1))
+        automaton = Automaton(here, counts, train_docs, root, strength)
+        words = here.grams[0][2]
+        scores = [automaton.walk(words[i:j].tolist()) for i, j in zip(here.starts.tolist(), here.ends.tolist())]
+        base, seen = root[words], counts[0][words] > 0
         first = here.starts
         return pa.table(
             {
@@ -253,13 +333,14 @@ def score(
                 "n_known": pa.array(np.add.reduceat(seen.astype(np.int64), first), pa.int64()),
                 "train_tokens": pa.array(np.full(len(first), n_train), pa.int64()),
                 "base_score": np.add.reduceat(np.log10(base), first),
-                "score": np.add.reduceat(np.log10(weight), first),
+                "score": pa.array(scores, pa.float64()),
             }
         )
 
     return (
         stored.select("block", "payload")
+        .repartition(tasks, "block")
         .groupBy("block")
-        .cogroup(totals.select("block", "n", "bucket", "totals").groupBy("block"))
+        .cogroup(totals.select("block", "n", "bucket", "totals").repartition(tasks, "block").groupBy("block"))
         .applyInArrow(traverse, f"`{key}` {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     )

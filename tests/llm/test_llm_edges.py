@@ -1,5 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import collections
+import math
 import random
 import re
 
@@ -394,6 +396,43 @@ def test_language_model(spark, docs, none):
     assert all(r["n_known"] == 0 and r["score"] == 0.0 for r in untrained)
 
 
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model_equals_backing_off_by_hand(spark, order):
+    draw = random.Random(order)
+    rows = [(i, " ".join(draw.choices(["a", "b", "c", "dd", f"only{i}"], k=draw.randint(0, 12))), i % 4 > 0) for i in range(120)]
+    tokens = {i: [None, *t.split(), "</s>"] for i, t, _ in rows}  # None starts a text
+    seen, after = collections.Counter(), collections.Counter()
+    for i, _, train in rows:
+        for end in range(1, len(tokens[i]) if train else 0):
+            for begin in range(max(0, end - order + 1), end + 1):
+                gram = tuple(tokens[i][begin : end + 1])
+                seen[gram] += 1
+                after[gram[:-1]] += 1
+    n, v = sum(c for g, c in seen.items() if len(g) == 1), sum(len(g) == 1 for g in seen)
+
+    def probability(history, word):
+        if not history:
+            return (seen[word,] + 0.1) / (n + 0.1 * (v + 1))
+        if seen[(*history, word)]:
+            return (seen[(*history, word)] + 3.0 * probability(history[1:], word)) / (after[history] + 3.0)
+        return 3.0 / (after[history] + 3.0) * probability(history[1:], word)
+
+    df = spark.createDataFrame(rows, "doc_id long, text string, train boolean")
+    got = {r["doc_id"]: r["score"] for r in language_model.score(df, order=order, strength=3.0).collect()}
+    for i, mine in tokens.items():
+        want = sum(math.log10(probability(tuple(mine[max(0, e - order + 1) : e]), mine[e])) for e in range(1, len(mine)))
+        assert got[i] == pytest.approx(want, rel=1e-9)
+
+
+def test_language_model_of_empty_texts(spark):
+    df = spark.createDataFrame([(1, "", True), (2, None, True), (3, " ", False)], "doc_id long, text string, train boolean")
+    rows = language_model.score(df, order=3).collect()
+    assert len({r["score"] for r in rows}) == 1 and {r["n_tokens"] for r in rows} == {1}
+    for wrong in ({"order": 0}, {"strength": 0.0}):
+        with pytest.raises(ValueError):
+            language_model.score(df, **wrong)
+
+
 def test_language_model_is_the_same_in_many_blocks(spark):
     draw = random.Random(6)
     rows = [(i, " ".join(draw.choices(["a", "b", "c", "dd", "E"], k=draw.randint(0, 30))), i % 3 > 0) for i in range(200)]
