@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import join_groups, prefix_counts
@@ -114,14 +114,14 @@ def class_report(cells: DataFrame, group: list[str]) -> DataFrame:
 
 
 def score_table(
-    df: DataFrame, group: list[str], y: str = "y", score: str = "score", *, n_groups: int | None = None
+    df: DataFrame, group: list[str], y: str = "y", score: str = "score", *, n_groups: int | None = None, with_bucket: bool = False
 ) -> DataFrame:
     """Positives and negatives per distinct score, below it and in total."""
     weights = {
         "pos": F.when(F.col(y) == 1, 1).otherwise(0),
         "neg": F.when(F.col(y) == 0, 1).otherwise(0),
     }
-    return prefix_counts(df, group, score, weights, n_groups=n_groups)
+    return prefix_counts(df, group, score, weights, n_groups=n_groups, with_bucket=with_bucket)
 
 
 def _wins() -> Column:
@@ -175,6 +175,28 @@ def roc_curve(
     return points.select(*group, "threshold", "fpr", "tpr").unionByName(origin)
 
 
+def roc_corners(
+    df: DataFrame, group: list[str], y: str = "y", score: str = "score", *, n_groups: int | None = None
+) -> DataFrame:
+    """``roc_curve`` without points on a straight line: a point whose step equals the next one's is left out.
+
+    The first and the last score stay, and so does the area.  A score is compared with the next lower one, which may
+    be the highest of an earlier bucket: each bucket hands its highest on.
+    """
+    table = score_table(df, group, y, score, n_groups=n_groups, with_bucket=True)
+    step = F.struct("pos", "neg")
+    inside = Window.partitionBy(*group, "_bucket").orderBy(score)
+    across = Window.partitionBy(*group).orderBy("_bucket")
+    highest = table.groupBy(*group, "_bucket").agg(F.max_by(step, score).alias("_highest"))
+    handed = highest.select(*group, "_bucket", F.lag("_highest").over(across).alias("_handed"))
+    stepped = join_groups(table.withColumn("_lower", F.lag(step).over(inside)), handed, [*group, "_bucket"])
+    lower = F.coalesce("_lower", "_handed")
+    first = (F.col("pos_before") + F.col("pos") == F.col("pos_total")) & (F.col("neg_before") + F.col("neg") == F.col("neg_total"))
+    points = curve_points(stepped.where(first | lower.isNull() | (lower != step)), group, score)
+    origin = _anchor(points, group, {"fpr": 0.0, "tpr": 0.0})
+    return points.select(*group, "threshold", "fpr", "tpr").unionByName(origin)
+
+
 def _anchor(points: DataFrame, group: list[str], values: dict[str, float]) -> DataFrame:
     """The point of each curve at which nobody is positive."""
     return points.groupBy(*group).agg(

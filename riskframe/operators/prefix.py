@@ -92,13 +92,14 @@ def prefix_counts(
     n_groups: int | None = None,
     buckets: int | None = None,
     keep_bucket: Callable[[DataFrame], Column] | None = None,
+    with_bucket: bool = False,
 ) -> DataFrame:
     """Per (group, value): each weight ``w``, ``w_before`` (sum over smaller values), ``w_total``.
 
     ``n_groups`` is the number of groups when the caller knows it from a schema; it
     decides whether the boundary table may be broadcast.  ``keep_bucket`` may drop
     whole buckets (it sees ``w`` per bucket, ``w_before`` and ``w_total``), so that a
-    quantile only sorts the buckets it falls into.
+    quantile only sorts the buckets it falls into.  ``with_bucket`` adds ``_bucket``, which grows with the value.
     """
     if not group:
         raise ValueError("prefix_counts needs at least one group column")
@@ -146,6 +147,7 @@ def prefix_counts(
     joined = join_groups(bucketed, F.broadcast(offsets) if small else offsets, keys)
     return joined.select(
         *group,
+        *(["_bucket"] if with_bucket else []),
         value,
         *names,
         *[

@@ -258,6 +258,23 @@ def ag28(spark, sf):
     return out.select("model", "threshold", F.round("fpr", 8).alias("fpr"), F.round("tpr", 8).alias("tpr"))
 
 
+@query(
+    "ag28_roc_corners",
+    with_(*SCORES)
+    + """, steps AS (SELECT model, score, sum(y) AS pos, sum(1 - y) AS neg FROM scores GROUP BY model, score),
+         near AS (SELECT model, score AS threshold, pos, neg, sum(pos) OVER d AS tp, sum(neg) OVER d AS fp,
+           sum(pos) OVER (PARTITION BY model) AS np, sum(neg) OVER (PARTITION BY model) AS nn, lag(pos) OVER d AS above,
+           lead(pos) OVER d AS next_pos, lead(neg) OVER d AS next_neg
+           FROM steps WINDOW d AS (PARTITION BY model ORDER BY score DESC))
+         SELECT model, threshold, round(fp / nn::DOUBLE, 8) AS fpr, round(tp / np::DOUBLE, 8) AS tpr FROM near
+         WHERE above IS NULL OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+         UNION ALL SELECT DISTINCT model, 'infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE FROM near""",
+)
+def ag28c(spark, sf):
+    out = E.roc_corners(scores(spark, sf), ["model"], n_groups=N)
+    return out.select("model", "threshold", F.round("fpr", 8).alias("fpr"), F.round("tpr", 8).alias("tpr"))
+
+
 @query(
     "ag28_auc_ranking",
     with_(*AREAS)

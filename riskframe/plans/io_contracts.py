@@ -46,7 +46,22 @@ def io01(spark, sf):
     path = fresh_path(spark, "titled")
     events = table(spark, sf, "events").select(*EVENT_SCHEMA.names)
     tables.write_titled_text(events, path, title="exported events")
-    return tables.read_titled_text(spark, path, EVENT_SCHEMA, title="exported events", id_col="event_id")
+    return tables.read_titled_text(spark, path, EVENT_SCHEMA, id_col="event_id")
+
+
+@query(
+    "io01_titled_text_head",
+    """SELECT CAST(user_id AS VARCHAR) AS user_id, event_type FROM events
+       UNION ALL SELECT 'user_id', 'event_type' UNION ALL SELECT 'exported events', NULL""",
+)
+def io01b(spark, sf):
+    """Data lines that equal the header or the title stay."""
+    path = fresh_path(spark, "titled")
+    events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("user_id"), "event_type")
+    tables.write_titled_text(events, path, title="exported events")
+    alike = spark.createDataFrame([("another title",), ("another header",), ("user_id,event_type",), ("exported events",)], "value string")
+    alike.coalesce(1).write.mode("append").text(path)
+    return tables.read_titled_text(spark, path, events.schema)
 
 
 @query("io02_normalised_names", "SELECT event_id, user_id, value FROM events")
@@ -175,20 +190,98 @@ def io12(spark, sf):
     return lines_
 
 
+#: Order keys in a file of the checksum queries, and bytes of its blocks.
+FILE_KEYS, FILE_BLOCK = 1024, 4096
+TITLE, HEADER = "exported orders", "key|customer|status"
+
+FILES_SQL = f"""lines AS (SELECT o_orderkey // {FILE_KEYS} AS bucket, o_orderkey AS k, o_orderkey || '|' || o_custkey || '|' AS head,
+    o_orderstatus AS good, CASE WHEN o_orderkey % 5000 = 1 THEN lower(o_orderstatus) ELSE o_orderstatus END AS bad FROM orders),
+  files AS (SELECT bucket, '{TITLE}' || chr(10) || '{HEADER}' || chr(10) || string_agg(head || good || chr(10), '' ORDER BY k) AS good,
+    '{TITLE}' || chr(10) || '{HEADER}' || chr(10) || string_agg(head || bad || chr(10), '' ORDER BY k) AS bad FROM lines GROUP BY bucket)"""
+
+
+def order_lines(spark, sf, altered: bool = False):
+    """(bucket, at, value): lines of the files that hold the orders, a file per FILE_KEYS keys.
+
+    Where ``altered``, the status of some orders is in small letters.
+    """
+    key, status = F.col("o_orderkey"), F.col("o_orderstatus")
+    if altered:
+        status = F.when(key % 5000 == 1, F.lower(status)).otherwise(status)
+    rows = table(spark, sf, "orders").select(
+        F.floor(key / FILE_KEYS).alias("bucket"), key.alias("at"), F.concat_ws("|", key.cast("string"), F.col("o_custkey").cast("string"), status).alias("value")
+    )
+    heads = F.array(*[F.struct(F.lit(at).cast("long").alias("at"), F.lit(text).alias("value")) for at, text in ((-2, TITLE), (-1, HEADER))])
+    return rows.unionByName(rows.select("bucket").distinct().select("bucket", F.inline(heads)))
+
+
+def order_files(spark, sf, altered: bool = False) -> str:
+    """The lines as files in order of their keys, one folder and file per bucket."""
+    path = fresh_path(spark, "files")
+    ordered = order_lines(spark, sf, altered).repartition("bucket").sortWithinPartitions("bucket", "at")
+    ordered.select("bucket", "value").write.partitionBy("bucket").text(path)
+    return path
+
+
+def given_contents(spark, sf):
+    """(file_name, content) of the unaltered files, made from the table and not from files; a file has few keys."""
+    lines_ = F.sort_array(F.collect_list(F.struct("at", "value")))
+    content = F.concat(F.array_join(F.transform(lines_, lambda x: x["value"]), "\n"), F.lit("\n"))
+    return order_lines(spark, sf).groupBy("bucket").agg(content.alias("content")).select(
+        F.concat(F.lit("bucket="), F.col("bucket").cast("string")).alias("file_name"), "content"
+    )
+
+
+def by_folder(checksums):
+    """File names without the part that differs from write to write."""
+    return checksums.withColumn("file_name", F.regexp_extract("file_name", "^([^/]*)", 1))
+
+
+def bucket_of_file():
+    return F.regexp_extract("file_name", "=(.*)$", 1).cast("long").alias("bucket")
+
+
 @query(
     "io14_file_checksums",
-    """SELECT sha256(n_name || chr(10)) AS sha256, CAST(length(n_name) + 1 AS BIGINT) AS n_bytes, n_nationkey <> 3 AS matches FROM nation""",
+    f"""WITH {FILES_SQL} SELECT bucket, CAST(length(bad) AS BIGINT) AS n_bytes, sha256(bad) AS sha256, good = bad AS matches FROM files""",
 )
 def io14(spark, sf):
-    """A file per nation with its name as text; the manifest lists a wrong digest for one of them."""
-    path = fresh_path(spark, "files")
-    nations = table(spark, sf, "nation")
-    nations.select("n_nationkey", "n_name").write.partitionBy("n_nationkey").text(path)
-    found = artifacts.file_checksums(spark, path, pattern="part-*")
-    third = nations.where("n_nationkey = 3").select(F.sha2(F.concat("n_name", F.lit("\n")), 256).alias("sha256"), F.lit("0").alias("wrong"))
-    manifest = found.join(third, "sha256", "left").select("file_name", F.coalesce("wrong", "sha256").alias("sha256"))
+    """Files of which some were altered after their digests were given."""
+    found = by_folder(artifacts.file_checksums(spark, order_files(spark, sf, altered=True), pattern="part-*"))
+    manifest = given_contents(spark, sf).select("file_name", F.sha2("content", 256).alias("sha256"))
     wrong = artifacts.checksum_mismatches(found, manifest).select("file_name", F.lit(False).alias("same"))
-    return found.join(wrong, "file_name", "left").select("sha256", "n_bytes", F.coalesce("same", F.lit(True)).alias("matches"))
+    return found.join(wrong, "file_name", "left").select(bucket_of_file(), "n_bytes", "sha256", F.coalesce("same", F.lit(True)).alias("matches"))
+
+
+@query(
+    "io14_block_checksums",
+    f"""WITH {FILES_SQL}, cut AS (SELECT bucket, good, bad, unnest(range(0, (length(bad) + {FILE_BLOCK - 1}) // {FILE_BLOCK})) AS block FROM files),
+        blocks AS (SELECT bucket, block, substr(good, block * {FILE_BLOCK} + 1, {FILE_BLOCK}) AS good,
+          substr(bad, block * {FILE_BLOCK} + 1, {FILE_BLOCK}) AS bad FROM cut)
+        SELECT bucket, block, CAST(length(bad) AS BIGINT) AS n_bytes, sha256(bad) AS sha256, good = bad AS matches FROM blocks""",
+)
+def io14b(spark, sf):
+    """The altered blocks are named, not only their files."""
+    found = by_folder(artifacts.block_checksums(spark, order_files(spark, sf, altered=True), pattern="part-*", block_bytes=FILE_BLOCK))
+    last = F.floor((F.length("content") - 1) / FILE_BLOCK)
+    manifest = given_contents(spark, sf).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    part = F.substring("content", (F.col("block") * FILE_BLOCK + 1).cast("int"), F.lit(FILE_BLOCK))
+    manifest = manifest.select("file_name", "block", F.sha2(part, 256).alias("sha256"))
+    wrong = artifacts.changed_blocks(found, manifest).select("file_name", "block", F.lit(False).alias("same"))
+    out = found.join(wrong, ["file_name", "block"], "left")
+    return out.select(bucket_of_file(), "block", "n_bytes", "sha256", F.coalesce("same", F.lit(True)).alias("matches"))
+
+
+@query(
+    "io14_block_file_digests",
+    f"""WITH {FILES_SQL}, cut AS (SELECT bucket, good, unnest(range(0, (length(good) + {FILE_BLOCK - 1}) // {FILE_BLOCK})) AS block FROM files)
+        SELECT bucket, CAST(length(any_value(good)) AS BIGINT) AS n_bytes, count(*) AS n_blocks,
+          sha256(string_agg(sha256(substr(good, block * {FILE_BLOCK} + 1, {FILE_BLOCK})), '' ORDER BY block)) AS digest FROM cut GROUP BY bucket""",
+)
+def io14c(spark, sf):
+    """One digest per file over the digests of its blocks."""
+    blocks = artifacts.block_checksums(spark, order_files(spark, sf), pattern="part-*", block_bytes=FILE_BLOCK)
+    return artifacts.file_digests(by_folder(blocks)).select(bucket_of_file(), "n_bytes", "n_blocks", "digest")
 
 
 # --- contracts ------------------------------------------------------------------------
@@ -365,9 +458,7 @@ def ct13(spark, sf):
     raw_path, clean_path = fresh_path(spark, "raw"), fresh_path(spark, "clean")
     raw = lines(spark, sf).select("quantity", "line", "flag", "status", "discount", "target")
     tables.write_titled_text(raw, raw_path, title="raw lines")
-    manifest = artifacts.file_checksums(spark, raw_path, pattern="part-*")
-    artifacts.require_checksums(artifacts.file_checksums(spark, raw_path, pattern="part-*"), manifest)
-    loaded = tables.read_titled_text(spark, raw_path, raw.schema, title="raw lines")
+    loaded = tables.read_titled_text(spark, raw_path, raw.schema)
     tables.write_parquet(contracts.drop_duplicates(loaded), clean_path)
     clean = spark.read.parquet(clean_path)
     contracts.Contract(target="target", n_columns=6, allowed={"flag": [0, 1, 2]}).enforce(clean)
@@ -380,6 +471,38 @@ def ct13(spark, sf):
     )
 
 
+@query(
+    "ct13_checked_build",
+    f"""WITH {FILES_SQL}
+        SELECT 'as given' AS build, CAST(0 AS BIGINT) AS n_changed, (SELECT count(*) FROM orders) AS n_read,
+          (SELECT count(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)) AS n_clean
+        UNION ALL SELECT 'altered', count(*) FILTER (good <> bad), NULL, NULL FROM files""",
+)
+def ct13b(spark, sf):
+    """A build from files whose digests were given before; it stops where one of them is wrong."""
+    manifest = given_contents(spark, sf).select("file_name", F.sha2("content", 256).alias("sha256"))
+    schema = T.StructType().add("key", "long").add("customer", "long").add("status", "string")
+    out = None
+    for build, altered in (("as given", False), ("altered", True)):
+        path = order_files(spark, sf, altered)
+        found = by_folder(artifacts.file_checksums(spark, path, pattern="part-*"))
+        changed = artifacts.checksum_mismatches(found, manifest).count()
+        n_read = n_clean = None
+        if not changed:
+            # Without the folders' column, which is no part of the files.
+            loaded = tables.read_titled_text(spark, path, schema, sep="|", id_col="key").select(
+                "customer", F.expr("instr('FOP', status)").alias("status"), (F.col("status") == "F").cast("int").alias("target")
+            )
+            clean_path = fresh_path(spark, "clean")
+            tables.write_parquet(contracts.drop_duplicates(loaded), clean_path)
+            clean = spark.read.parquet(clean_path)
+            contracts.Contract(target="target", n_columns=3, allowed={"status": [1, 2, 3]}).enforce(clean)
+            n_read, n_clean = loaded.count(), clean.count()
+        row = spark.createDataFrame([(build, changed, n_read, n_clean)], "build string, n_changed long, n_read long, n_clean long")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # --- projections and filters ------------------------------------------------------------
 
 

@@ -293,6 +293,36 @@ def ml14c(spark, sf):
     return out.distinct()
 
 
+@query(
+    "ag33_overfitting_of_tree",
+    with_("accounts")
+    + f""", {SPLIT_SQL}, a AS (SELECT age, accounts.target AS y, split FROM accounts JOIN split USING (row_id)),
+        g AS (SELECT age, count(*)::DOUBLE AS k, sum(y)::DOUBLE AS q FROM a WHERE split = 'train' GROUP BY age),
+        s AS (SELECT age, sum(k) OVER (ORDER BY age) AS ln, sum(q) OVER (ORDER BY age) AS lp, sum(k) OVER () AS n, sum(q) OVER () AS p FROM g),
+        b AS (SELECT * FROM s WHERE ln < n ORDER BY round(ln / n * ({_impurity("gini", "lp", "ln")})
+          + (n - ln) / n * ({_impurity("gini", "(p - lp)", "(n - ln)")}), 12), age LIMIT 1),
+        r AS (SELECT split, (y = (CASE WHEN a.age <= b.age THEN lp / ln ELSE (p - lp) / (n - ln) END > 0.5)::INT)::INT AS ok FROM a, b),
+        t AS (SELECT avg(ok) FILTER (split = 'train') AS tr, avg(ok) FILTER (split = 'test') AS te FROM r)
+        SELECT round(tr - te, 6) AS gap, CAST(least(ln, n - ln) AS BIGINT) AS min_leaf_rows, CAST(2 AS BIGINT) AS n_leaves,
+          CAST((tr > 0.95)::INT + (tr - te > 0.05)::INT + (least(ln, n - ln) < 5)::INT AS INTEGER) AS risk_score,
+          tr < 0.85 AS underfitting, abs(tr - te) < 0.02 AS generalises FROM t, b""",
+)
+def ag33c(spark, sf):
+    """Depth, leaves and accuracies of a fitted tree; its split minimum lets the root alone be split."""
+    parts = by_split(spark, sf)
+    roles = Roles("row_id", "target", continuous=[], ordinal=["age"], categorical=[])
+    model = models.build_pipeline("dtree", roles, n_train=1, params={"max_depth": 5, "min_samples_split": parts["train"].count()}).fit(parts["train"])
+    tree = model.stages[-1].tree
+    stats = trees.tree_stats(trees.node_table(tree, spark), tree.depth)
+    out = None
+    for name in ("train", "test"):
+        right = F.avg((F.col("y") == F.col("prediction")).cast("double")).alias(f"{name}_accuracy")
+        part = models.scored(model.transform(parts[name]), roles).agg(right)
+        out = part if out is None else out.crossJoin(part)  # one row each
+    scored = E.overfitting_score(out.crossJoin(stats))
+    return scored.select(F.round("gap", 6).alias("gap"), "min_leaf_rows", "n_leaves", "risk_score", "underfitting", "generalises")
+
+
 @query("ml15_random_forest", check_sql("rf"))
 def ml15(spark, sf):
     return fit_check(spark, sf, "rf", {"n_estimators": 100, "max_depth": 5})

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,13 +62,73 @@ def file_checksums(spark: SparkSession, path: str, *, pattern: str = "*") -> Dat
     A name is the path below ``path``, so files of the same name in different folders stay apart.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    return files.select(
-        F.regexp_extract("path", re.escape(path.rstrip("/")) + "/(.*)$", 1).alias("file_name"),
-        F.col("length").alias("n_bytes"),
-        F.sha2("content", 256).alias("sha256"),
+    return files.select(_below(path), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def _below(path: str) -> Column:
+    return F.regexp_extract("path", re.escape(path.rstrip("/")) + "/(.*)$", 1).alias("file_name")
+
+
+#: Bytes of a block that one digest stands for, and tasks at most.
+BLOCK_BYTES = 64 << 20
+MAX_TASKS = 100_000
+
+
+def block_checksums(spark: SparkSession, path: str, *, pattern: str = "*", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(file_name, block, n_bytes, sha256): a digest for every range of ``block_bytes`` of every file.
+
+    Files may have any size: the ranges of one are read by different tasks, a piece at a time.  Spark lists
+    no empty files, so these have no blocks.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    # Lengths are known from the listing; no content is read here.
+    number = F.ceil(F.col("length") / block_bytes)
+    blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)).alias("block"))
+    n_blocks = files.agg(F.coalesce(F.sum(number), F.lit(0))).first()[0]
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, found = [], []
+            for name, block in zip(batch.column("path").to_pylist(), batch.column("block").to_pylist()):
+                if name.startswith("file:"):
+                    system, place = fs.LocalFileSystem(), re.sub("^file:(//)?", "", name)
+                else:
+                    system, place = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", name))
+                digest, left = hashlib.sha256(), block_bytes
+                with system.open_input_file(place) as file:
+                    file.seek(block * block_bytes)
+                    while left and (piece := file.read(min(left, 1 << 20))):
+                        digest.update(piece)
+                        left -= len(piece)
+                sizes.append(block_bytes - left)
+                found.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), batch.column("block"), pa.array(sizes, pa.int64()), pa.array(found, pa.string())],
+                names=["path", "block", "n_bytes", "sha256"],
+            )
+
+    spread = blocks.select("path", "block").repartition(max(1, min(int(n_blocks), MAX_TASKS)), "path", "block")
+    hashed = spread.mapInArrow(digests, "path string, block bigint, n_bytes bigint, sha256 string")
+    return hashed.select(_below(path), "block", "n_bytes", "sha256")
+
+
+def file_digests(blocks: DataFrame) -> DataFrame:
+    """(file_name, n_bytes, n_blocks, digest): SHA-256 over a file's block digests in order."""
+    ordered = F.sort_array(F.collect_list(F.struct("block", "sha256")))
+    joined = F.array_join(F.transform(ordered, lambda b: b["sha256"]), "")
+    return blocks.groupBy("file_name").agg(
+        F.sum("n_bytes").alias("n_bytes"), F.count(F.lit(1)).alias("n_blocks"), F.sha2(joined, 256).alias("digest")
     )
 
 
+def changed_blocks(found: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(file_name, block, expected, found) where a block differs, is missing (found null) or not listed (expected null)."""
+    old = manifest.select("file_name", "block", F.col("sha256").alias("expected"))
+    new = found.select("file_name", "block", F.col("sha256").alias("found"))
+    both = old.join(new, ["file_name", "block"], "full")
+    return both.where(~F.col("expected").eqNullSafe(F.col("found")))
+
+
 def checksum_mismatches(checksums: DataFrame, manifest: DataFrame) -> DataFrame:
     """(file_name, expected, found) where a listed file is absent or differs."""
     expected = manifest.select("file_name", F.col("sha256").alias("expected"))

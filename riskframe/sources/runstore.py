@@ -6,6 +6,9 @@ value, ts, step), params and tags (run_id, key, value).
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,13 +134,44 @@ def run_record(
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
-    """Append run rows (run_id, ..., params, tags, metrics) to a table laid out by stage."""
-    runs.withColumn("stage", F.col("tags")["stage"]).write.mode("append").partitionBy("stage").parquet(path)
+    """Append run rows (run_id, ..., params, tags, metrics) to a table laid out by batch and stage.
+
+    A batch counts once its commit is written, after all its rows; what a failed write left behind is never read.
+    Runs that are committed already are not written again, so an append may be repeated.  One writer at a time.
+    A row without a ``run_id`` is an error.
+    """
+    spark = runs.sparkSession
+    committed = _committed(spark, path)
+    new = runs.withColumn("run_id", F.coalesce("run_id", F.raise_error(F.lit("a run needs a run_id"))))
+    if committed is not None:
+        new = new.join(committed.select("run_id"), "run_id", "left_anti").select(*runs.columns)
+    if new.isEmpty():
+        return
+    batch = f"b{uuid.uuid4().hex}"
+    new.withColumn("stage", F.col("tags")["stage"]).write.partitionBy("stage").parquet(f"{path}/batch={batch}")
+    spark.createDataFrame([(batch,)], "batch string").coalesce(1).write.mode("append").parquet(f"{path}/{_COMMITS}")
+
+
+#: Spark passes over folders with such a name unless it is asked for one.
+_COMMITS = "_commits"
+
+
+def _committed(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows of committed batches; None where nothing was ever committed."""
+    try:
+        commits = spark.read.schema("batch string").parquet(f"{path}/{_COMMITS}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return spark.read.parquet(path).join(commits, "batch", "left_semi").drop("batch")
 
 
 def read_runs(spark: SparkSession, path: str, stage: str | None = None) -> DataFrame:
-    """Stored runs; a stage reads only its own folder."""
-    runs = spark.read.parquet(path)
+    """Runs of committed batches; a stage reads only its own folders."""
+    runs = _committed(spark, path)
+    if runs is None:
+        raise FileNotFoundError(f"no committed runs in {path}")
     return runs.where(F.col("stage") == stage) if stage else runs
 
 

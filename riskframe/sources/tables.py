@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,28 +22,52 @@ def drop_id(df: DataFrame, id_col: str) -> DataFrame:
 
 
 def read_titled_text(
-    spark: SparkSession, path: str, schema: T.StructType, *, title: str, sep: str = ",", id_col: str | None = None
+    spark: SparkSession, path: str, schema: T.StructType, *, head_lines: int = 2, sep: str = ",", id_col: str | None = None
 ) -> DataFrame:
-    """Delimited text whose files start with a title line and a header line.
+    """Delimited text whose files start with ``head_lines`` lines that are no data: a title and a header.
 
-    Both lines are known text, so they are filtered by value: nothing depends on which
-    task reads the head of a file, and files stay splittable.
+    They are known by their place: a task that reads a file from its first byte passes over that many lines.
+    Their text may be anything, a data line that equals one of them stays, and files stay splittable.
+    Empty lines are no rows.
     """
-    lines = spark.read.text(path)
-    header = sep.join(schema.names)
-    body = lines.where((F.col("value") != title) & (F.col("value") != header) & (F.trim("value") != ""))
-    parsed = body.select(F.from_csv("value", schema.toDDL(), {"sep": sep}).alias("r"))
+    if head_lines < 0:
+        raise ValueError("head_lines must not be negative")
+    # Lines of a file's first split carry the file's number, all others null.
+    head = F.when(F.col("_metadata.file_block_start") == 0, F.xxhash64("_metadata.file_path"))
+    lines = spark.read.text(path).select("value", head.alias("head"))
+
+    def pass_over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, left = None, 0
+        for batch in batches:
+            # Runs of lines of one file; null stands for all lines that are in no first split.
+            runs = pc.run_end_encode(batch.column("head"))
+            keep, start = np.ones(batch.num_rows, bool), 0
+            for name, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                if name != file:
+                    file, left = name, head_lines
+                if name is not None:
+                    passed = min(left, end - start)
+                    keep[start : start + passed] = False
+                    left -= passed
+                start = end
+            yield pa.RecordBatch.from_arrays([batch.column("value").filter(pa.array(keep))], names=["value"])
+
+    body = lines.mapInArrow(pass_over, "value string") if head_lines else lines
+    parsed = body.where(F.trim("value") != "").select(F.from_csv("value", schema.toDDL(), {"sep": sep}).alias("r"))
     table = parsed.select("r.*")
     return drop_id(table, id_col) if id_col else table
 
 
 def write_titled_text(df: DataFrame, path: str, *, title: str, sep: str = ",") -> None:
-    """The inverse: one title line and one header line, then the rows, in one folder."""
-    spark = df.sparkSession
+    """The inverse: every file starts with a title line and a header line."""
+    head = [title, sep.join(df.columns)]
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pydict({"value": head})
+        yield from batches
+
     rows = df.select(F.to_csv(F.struct(*df.columns), {"sep": sep}).alias("value"))
-    head = spark.createDataFrame([(title,), (sep.join(df.columns),)], "value string").coalesce(1)
-    head.write.mode("append").text(path)
-    rows.write.mode("append").text(path)
+    rows.mapInArrow(begin, "value string").write.mode("append").text(path)
 
 
 def normalise_columns(df: DataFrame) -> DataFrame:

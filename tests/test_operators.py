@@ -557,3 +557,20 @@ def test_shuffle_keeps_the_values(customers):
 
 def test_to_long_keeps_order_of_features(customers):
     assert to_long(customers, ["age", "credit"], ["row_id"]).columns == ["row_id", "feature", "value"]
+
+
+def test_roc_corners_across_buckets(spark):
+    draw = random.Random(5)
+    rows = [(g, int(draw.random() < s / 90), float(s)) for g in (None, "b") for s in [draw.randrange(90) for _ in range(400)]]
+    rows += [("one", 1, 0.5), ("two", 1, 0.5), ("two", 0, 0.25)]
+    df = spark.createDataFrame(rows, "model string, y int, score double")
+    got = {(r.model, r.threshold) for r in evaluation.roc_corners(df, ["model"]).collect()}
+    want = set()
+    for g in {r[0] for r in rows}:
+        steps = collections.defaultdict(lambda: [0, 0])
+        for _, y, s in (r for r in rows if r[0] == g):
+            steps[s][y] += 1
+        order = sorted(steps, reverse=True)
+        want |= {(g, s) for i, s in enumerate(order) if i in (0, len(order) - 1) or steps[s] != steps[order[i + 1]]}
+        want.add((g, float("inf")))
+    assert got == want

@@ -1,5 +1,6 @@
 """Sources, sinks and streams."""
 
+import hashlib
 import json
 import os
 
@@ -21,11 +22,37 @@ def test_titled_text_in_several_files(spark):
     for i in range(3):
         with open(f"{path}/f{i}.csv", "w") as f:
             f.write(f"a title\nid,x,s\n{i},1.5,\"a,b\"\n{i + 10},,c\n")
-    got = tables.read_titled_text(spark, path, SCHEMA, title="a title", id_col="id")
+    got = tables.read_titled_text(spark, path, SCHEMA, id_col="id")
     assert got.columns == ["x", "s"] and got.count() == 6
     assert got.where("s = 'a,b'").count() == 3 and got.where("x is null").count() == 3
 
 
+@pytest.mark.parametrize("split_bytes", [64, 1000, 10**8])
+def test_head_lines_are_known_by_place(spark, split_bytes):
+    path = fresh_path(spark, "titled")
+    os.makedirs(path)
+    want = []
+    for i, n in enumerate([0, 1, 2, 5, 400]):
+        # Data lines that equal title or header, at all places; one file is shorter than its head.
+        lines_ = [f"title {i}", "id,x,s", *(["id,x,s", f"title {i}"] * n)]
+        with open(f"{path}/f{i}.csv", "w") as f:
+            f.write("\n".join(lines_[: 1 if n == 0 else None]) + "\n")
+        want += lines_[2:]
+    schema = T.StructType().add("a", "string").add("b", "string").add("c", "string")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        got = [r.a for r in tables.read_titled_text(spark, path, schema).collect()]
+        three = tables.read_titled_text(spark, path, schema, head_lines=3).count()
+        none = tables.read_titled_text(spark, path, schema, head_lines=0).count()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(got) == sorted(v.split(",")[0] for v in want)
+    assert (three, none) == (len(want) - 4, len(want) + 9)
+    with pytest.raises(ValueError):
+        tables.read_titled_text(spark, path, schema, head_lines=-1)
+
+
 def test_missing_id_column(customers):
     with pytest.raises(KeyError):
         tables.drop_id(customers, "ID")
@@ -53,6 +80,69 @@ def test_checksums(spark):
     artifacts.require_checksums(found, manifest.where("file_name = 'a.bin'"))
 
 
+def test_block_checksums(spark):
+    path = fresh_path(spark, "files")
+    os.makedirs(f"{path}/deep")
+    contents = {"a.bin": os.urandom(1000), "deep/b.bin": b"x" * 256, "empty.bin": b""}
+    for name, data in contents.items():
+        with open(f"{path}/{name}", "wb") as f:
+            f.write(data)
+
+    def blocks(data):
+        return [data[i : i + 128] for i in range(0, max(len(data), 1), 128)]
+
+    def listed(found):
+        return {(r.file_name, r.block): (r.n_bytes, r.sha256) for r in found.collect()}
+
+    reader = artifacts.block_checksums(spark, path, block_bytes=128)
+    top = {"a.bin": contents["a.bin"]}  # no files of folders below, unless these are partitions; no empty files
+    before = listed(reader)
+    assert before == {(n, i): (len(b), hashlib.sha256(b).hexdigest()) for n, d in top.items() for i, b in enumerate(blocks(d))}
+    whole = {r.file_name: (r.n_bytes, r.n_blocks, r.digest) for r in artifacts.file_digests(reader).collect()}
+    joined = "".join(hashlib.sha256(b).hexdigest() for b in blocks(contents["a.bin"]))
+    assert whole["a.bin"] == (1000, 8, hashlib.sha256(joined.encode()).hexdigest())
+    manifest = spark.createDataFrame([(n, b, h) for (n, b), (_, h) in before.items()], "file_name string, block long, sha256 string")
+    with open(f"{path}/a.bin", "r+b") as f:
+        f.seek(300)
+        f.write(bytes([contents["a.bin"][300] ^ 1]))
+    with open(f"{path}/empty.bin", "wb") as f:
+        f.write(b"y" * 200)
+    changed = artifacts.changed_blocks(artifacts.block_checksums(spark, path, block_bytes=128), manifest).collect()
+    assert {(r.file_name, r.block, r.expected is None) for r in changed} == {("a.bin", 2, False), ("empty.bin", 0, True), ("empty.bin", 1, True)}
+
+
+def test_runs_count_once_and_only_when_committed(spark):
+    path = fresh_path(spark, "runs")
+
+    def runs(names, bad=False):
+        rows = spark.createDataFrame([(n,) for n in names], "run_id string")
+        stage = F.when(F.lit(not bad) | (F.col("run_id") != names[-1]), "tune").otherwise(F.raise_error(F.lit("lost")))
+        return rows.repartition(4).select("run_id", F.create_map(F.lit("stage"), stage).alias("tags"))
+
+    def stored():
+        return sorted(r.run_id for r in runstore.read_runs(spark, path, "tune").collect())
+
+    with pytest.raises(FileNotFoundError):
+        runstore.read_runs(spark, path)
+    with pytest.raises(Exception, match="lost"):
+        runstore.append_runs(runs(["a", "b", "c", "d"], bad=True), path)
+    with pytest.raises(FileNotFoundError):
+        runstore.read_runs(spark, path)
+    runstore.append_runs(runs(["a", "b"]), path)
+    runstore.append_runs(runs(["a", "b"]), path)
+    assert stored() == ["a", "b"]
+    runstore.append_runs(runs(["b", "c"]), path)
+    assert stored() == ["a", "b", "c"]
+    # Rows whose commit is missing, as a writer leaves them that stops between the two.
+    left = runs(["x", "y"]).withColumn("stage", F.lit("tune"))
+    left.write.partitionBy("stage").parquet(f"{path}/batch=bstopped")
+    assert stored() == ["a", "b", "c"]
+    runstore.append_runs(runs(["x"]), path)
+    assert stored() == ["a", "b", "c", "x"]
+    with pytest.raises(Exception, match="run_id"):
+        runstore.append_runs(runs([None]), path)
+
+
 def test_split_files_are_pruned(spark, customers):
     path = fresh_path(spark, "splits")
     marked = customers.select("row_id", F.when(F.col("row_id") < 100, "test").otherwise("train").alias("split"))
