@@ -1,5 +1,6 @@
 """Operators against brute force, edge cases and invariants."""
 
+import collections
 import math
 import random
 
