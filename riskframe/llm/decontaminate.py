@@ -18,17 +18,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.text import GAP, append, as_bytes, words
+from riskframe.llm.text import append, as_bytes, words
 from riskframe.session import materialise
 
 WINDOW = 10
-#: Windows whose tables a task holds at a time.
+#: Pairs of a window and an item whose tables a task holds at a time, about.
 MAX_WINDOWS = 200_000
 #: Words in the blocks by which the search moves on.
 BLOCK = 2
@@ -60,24 +61,40 @@ class Patterns:
                 end += move
                 continue
             window = tuple(text[end - length : end])
-            for pattern, ids in self.buckets[seen].items() if block < length else ((seen, self.buckets[seen][seen]),):
-                if pattern == window:
-                    spans.append((end - length, end))
-                    items |= ids
-                    break
+            # A dictionary: it picks by the hash of the words and compares them.
+            if ids := self.buckets[seen].get(window):
+                spans.append((end - length, end))
+                items |= ids
             end += 1
 
 
-def build(rows: list[tuple[str, bytes]], window: int) -> list[Patterns]:
+def build(pairs: list[tuple[str, bytes]]) -> list[Patterns]:
+    """Tables of (item, window) pairs; the words of a window are joined by spaces."""
     tables: dict[int, Patterns] = {}
-    for item, text in rows:
-        ws = words(text)
-        length = min(window, len(ws))
-        for i in range(len(ws) - length + 1 if length else 0):
-            tables.setdefault(length, Patterns(length)).add(tuple(ws[i : i + length]), item)
+    for item, window in pairs:
+        ws = tuple(window.split(b" "))
+        tables.setdefault(len(ws), Patterns(len(ws))).add(ws, item)
     return list(tables.values())
 
 
+def windows(benchmark: DataFrame, item: str, item_text: str, window: int) -> DataFrame:
+    """(id, words): the distinct windows of every item, words joined by spaces."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, value in zip(batch.column("id").to_pylist(), as_bytes(batch.column("text"))):
+                ws = words(value)
+                length = min(window, len(ws))
+                starts = range(len(ws) - length + 1 if length else 0)
+                for part in range(0, len(starts), 10_000):
+                    found = [b" ".join(ws[i : i + length]) for i in starts[part : part + 10_000]]
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(found, pa.binary())], names=["id", "words"])
+
+    name = F.coalesce(F.col(item).cast("string"), F.lit("")).alias("id")
+    rows = benchmark.select(name, F.col(item_text).alias("text")).where(F.col("text").isNotNull())
+    return rows.mapInArrow(cut, "id string, words binary").distinct()
+
+
 def united(spans: list[tuple[int, int]]) -> list[int]:
     """Sorted, disjoint spans as one flat list."""
     out: list[int] = []
@@ -95,7 +112,7 @@ HITS = T.StructType().add("_words", "long").add("_spans", T.ArrayType(T.LongType
 def _pass(docs: DataFrame, text: str, tables: list[Patterns], window: int) -> DataFrame:
     """``docs`` with the hits of these tables, united with those of earlier passes."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(tables)  # at most MAX_WINDOWS windows
+    held = spark.sparkContext.broadcast(tables)  # about max_windows pairs
     before = "_words" in docs.columns
     inputs = [text, "_spans", "_items"] if before else [text]
 
@@ -137,18 +154,12 @@ def mark(
     max_windows: int = MAX_WINDOWS,
 ) -> DataFrame:
     """``docs`` with ``_words`` (their number), ``_spans`` (hit words, flat start and end pairs) and ``_items``."""
-    n_words = F.size(F.filter(F.split(F.coalesce(F.col(item_text), F.lit("")), GAP, -1), lambda w: w != ""))
-    rows = benchmark.select(
-        F.coalesce(F.col(item).cast("string"), F.lit("")).alias("id"),
-        F.col(item_text).cast("binary").alias("text"),
-        F.greatest(n_words - window + 1, F.lit(1)).alias("n"),
-    ).where(F.col("text").isNotNull())
-    total = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    passes = max(1, math.ceil(total / max_windows))
+    pairs = materialise(windows(benchmark, item, item_text, window), "windows")
+    passes = max(1, math.ceil(pairs.count() / max_windows))
     out = docs
     for k in range(passes):
-        part = rows.where(F.pmod(F.xxhash64("text"), F.lit(passes)) == k)
-        tables = build([(r["id"], bytes(r["text"])) for r in part.select("id", "text").collect()], window)
+        part = pairs.where(F.pmod(F.xxhash64("id", "words"), F.lit(passes)) == k)
+        tables = build([(r["id"], bytes(r["words"])) for r in part.collect()])
         out = _pass(out, text, tables, window)
         if k + 1 < passes:
             out = materialise(out, "decontaminate")

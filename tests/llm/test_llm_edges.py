@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -387,6 +388,24 @@ def test_components_of_long_chains(spark):
     assert {(r["node"], r["root"]) for r in rows} == {(i, i // 40 * 40) for i in range(120)}
 
 
+def test_patterns_that_end_alike_and_items_that_repeat(spark):
+    alike = [f"w{i} one two three four five six seven same end" for i in range(20_000)]
+    text = " ".join(["same end"] * 5_000) + " " + alike[7] + " " + alike[9]
+    tables = decontaminate.build([(str(i), t.encode()) for i, t in enumerate(alike)])
+    spans, items = [], set()
+    begun = time.perf_counter()
+    tables[0].search(text.encode().split(), spans, items)
+    assert time.perf_counter() - begun < 0.5
+    assert items == {"7", "9"} and len(spans) == 2
+    # One text under many ids, and an item of many windows, in passes of few pairs.
+    many = spark.range(300).selectExpr("string(id) AS item_id", "'red green blue' AS text")
+    long = spark.createDataFrame([("long", " ".join(f"x{i}" for i in range(400)))], "item_id string, text string")
+    df = spark.createDataFrame([(1, "a red green blue b"), (2, "x5 x6 x7 x8 and x9 x10 x11")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in decontaminate.report(df, many.unionByName(long), window=3, max_windows=200).collect()}
+    assert rows[1]["n_hit"] == 3 and rows[1]["items_sha256"] == decontaminate.digest([str(i) for i in range(300)])
+    assert rows[2]["n_hit"] == 7 and rows[2]["items_sha256"] == decontaminate.digest(["long"])
+
+
 def test_language_model(spark, docs, none):
     marked = docs.withColumn("train", F.coalesce(F.col("doc_id") != 1, F.lit(False)))
     rows = language_model.score(marked).collect()
