@@ -37,7 +37,6 @@ from riskframe.session import materialise
 
 MAX_TRAIN_DOCS = 20_000
 MAX_FIELD_DOCS = 2_000
-MAX_FEATURES = 2_000
 #: A feature counts from so many toxic documents, so much more often than in others, with such a test value.
 LEAST_DOCS, LEAST_RATIO, LEAST_G = 3, 6.0, 12.0
 PREFIXES = (7, 6, 5, 4)
@@ -302,7 +301,9 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, key
     sample = usable.where(F.pmod(F.xxhash64("_key", F.lit("train")), F.lit(1_000_000)) < int(share * 1_000_000))
     chosen = F.broadcast(sample)
     train = materialise(
-        docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(chosen, "_key").select("_key", "text", "_toxic"), "toxicity-train"
+        # One row per key, as any number of rows may have the same: their smallest text.
+        docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(chosen, "_key").groupBy("_key", "_toxic").agg(F.min("text").alias("text")),
+        "toxicity-train",
     )
     totals = {r["_toxic"]: r["count"] for r in train.groupBy("_toxic").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
@@ -334,7 +335,6 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, key
         .withColumns({"ratio": ratio, "test": test})
         .where((F.col("ratio") >= LEAST_RATIO) & (F.col("test") >= LEAST_G))
         .orderBy(F.desc("test"), "feature")
-        .limit(MAX_FEATURES)
         .collect()
     )
     if not picked:
@@ -388,7 +388,7 @@ SCORED = (
 
 def scored(docs: DataFrame, model: Field, text: str = "text") -> DataFrame:
     """``docs`` with ``_score`` and ``_spans`` (characters of offending tokens, with their marginals)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES features
+    held = docs.sparkSession.sparkContext.broadcast(model)  # features of the sampled rows
 
     def compute(column: pa.Array) -> list[pa.Array]:
         tool = scorer(held.value)
