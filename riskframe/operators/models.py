@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators.entropy_trees import grow
 from riskframe.operators.features import dot, preprocessor_stages, reduction_stages
+from riskframe.operators.perceptron import ALPHA, L1_RATIO, Settings, train
 from riskframe.operators.splits import assign_folds, fit_folds
 from riskframe.operators.trees import pruned
 from riskframe.roles import Roles
@@ -126,6 +127,77 @@ class CalibratedMarginClassifier(Estimator, _MarginParams, DefaultParamsReadable
         return self._copyValues(model)
 
 
+class CalibratedPerceptron(Estimator, _MarginParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Perceptrons, each calibrated by a sigmoid on the fold it did not see.
+
+    All members learn in the same passes; the probability is the mean over the members.
+    """
+
+    eta0 = Param(Params._dummy(), "eta0", "size of a step", TypeConverters.toFloat)
+    penalty = Param(Params._dummy(), "penalty", "none, l1, l2 or elasticnet", TypeConverters.toString)
+    alpha = Param(Params._dummy(), "alpha", "strength of the penalty", TypeConverters.toFloat)
+    l1Ratio = Param(Params._dummy(), "l1Ratio", "share of absolute weights in elasticnet", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(
+        self,
+        *,
+        featuresCol: str = "features",
+        labelCol: str = "label",
+        keyCol: str = "key",
+        numFolds: int = 3,
+        maxIter: int = 1000,
+        eta0: float = 1.0,
+        penalty: str = "none",
+        alpha: float = ALPHA,
+        l1Ratio: float = L1_RATIO,
+        tol: float = 1e-3,
+    ):
+        super().__init__()
+        self._setDefault(
+            predictionCol="prediction",
+            probabilityCol="probability",
+            rawPredictionCol="rawPrediction",
+            numFolds=3,
+            maxIter=1000,
+            eta0=1.0,
+            penalty="none",
+            alpha=ALPHA,
+            l1Ratio=L1_RATIO,
+            tol=1e-3,
+        )
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "CalibratedMarginModel":
+        x, y = self.getFeaturesCol(), self.getLabelCol()
+        k = self.getOrDefault(self.numFolds)
+        labelled = dataset.select(
+            x, F.col(self.getOrDefault(self.keyCol)).alias("_key"), F.col(y).cast("double").alias("_y")
+        )
+        rows = assign_folds(labelled, fit_folds(labelled, "_key", "_y", k=k), "_fold")
+        settings = Settings(
+            max_iter=self.getMaxIter(),
+            eta0=self.getOrDefault(self.eta0),
+            penalty=self.getOrDefault(self.penalty),
+            alpha=self.getOrDefault(self.alpha),
+            l1_ratio=self.getOrDefault(self.l1Ratio),
+            tol=self.getTol(),
+        )
+        weights = train(rows, x, "_y", "_key", fold="_fold", members=k, settings=settings).tolist()
+
+        def member(i: int) -> list[float]:
+            margin = dot(F.col(x), weights[i][:-1]) + F.lit(weights[i][-1])
+            held = rows.where(F.col("_fold") == i).select(array_to_vector(F.array(margin)).alias("_m"), "_y")
+            sigmoid = LogisticRegression(featuresCol="_m", labelCol="_y", maxIter=100).fit(held)
+            return [*weights[i], float(sigmoid.coefficients[0]), float(sigmoid.intercept)]
+
+        # The curves are independent fits; Spark interleaves their jobs.
+        with ThreadPool(k) as pool:
+            members = pool.map(inheritable_thread_target(dataset.sparkSession)(member), range(k))
+        model = CalibratedMarginModel(members=members)
+        return self._copyValues(model)
+
+
 class CalibratedMarginModel(Model, _MarginParams, DefaultParamsReadable, DefaultParamsWritable):
     """Each member is its weights, intercept, sigmoid slope and sigmoid shift."""
 
@@ -261,14 +333,14 @@ class ModelSpec:
     family: str
 
 
-def _margin(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
-    return CalibratedMarginClassifier(
+def _perceptron(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
+    return CalibratedPerceptron(
         featuresCol=x,
         labelCol=roles.target,
         keyCol=roles.key,
-        maxIter=p.get("max_iter", 100),
-        regParam=p.get("penalty", 1e-4),
-        standardization=p.get("standardize", False),
+        maxIter=p.get("max_iter", 1000),
+        eta0=p.get("eta0", 1.0),
+        penalty=p.get("penalty") or "none",
     )
 
 
@@ -326,13 +398,12 @@ def _boosting(roles: Roles, n_train: int, x: str, seed: int, **p) -> Estimator:
     )
 
 
-# Names, families, searches and grids.  The margin classifier has no learning
-# rate and no elastic-net penalty, so its grid has penalties of its own and scaling; the
-# logistic solver is always the same, as the optimum does not depend on it.
+# Names, families, searches and grids.  The logistic solver is always the same,
+# as the optimum does not depend on it.
 MODELS: dict[str, ModelSpec] = {
     "perceptron": ModelSpec(
-        _margin,
-        {"max_iter": [300, 1000], "penalty": [1e-5, 1e-4, 1e-3], "standardize": [False, True]},
+        _perceptron,
+        {"max_iter": [300, 1000], "eta0": [0.01, 0.1, 1.0], "penalty": ["l2", "elasticnet"]},
         "grid",
         "linear",
     ),

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.operators import evaluation as E
-from riskframe.operators import features, importance, models, selection, splits, trees, tuning
+from riskframe.operators import features, importance, models, perceptron, selection, splits, trees, tuning
 from riskframe.plans.bindings import ACCOUNT_ROLES, accounts, table, with_
 from riskframe.plans.profiling import SPLIT_SQL
 from riskframe.plans.registry import query
@@ -222,6 +222,19 @@ def ml12(spark, sf):
     return fit_check(spark, sf, "perceptron", {})
 
 
+@query(
+    "ml12_perceptron_separates",
+    with_("accounts") + f", {PAIR_SQL} SELECT row_id, (3 * u + v > 9)::INT AS prediction FROM pair WHERE abs(3 * u + v - 9) > 0.5",
+)
+def ml12b(spark, sf):
+    """Classes on either side of a line, with a gap between them: no row is on the wrong side of the weights."""
+    z = 3 * F.col("u") + F.col("v") - 9
+    data = pair(spark, sf).where(F.abs(z) > 0.5).withColumn("side", (z > 0).cast("int"))
+    weights = perceptron.train(data, "features", "side", "row_id")[0].tolist()
+    margin = features.dot(F.col("features"), weights[:-1]) + F.lit(weights[-1])
+    return data.select("row_id", (margin > 0).cast("int").alias("prediction"))
+
+
 MONTH_RATE = """SELECT row_id, round(avg(target) OVER (PARTITION BY month), 3) AS probability FROM accounts"""
 
 
@@ -368,6 +381,23 @@ def ml18b(spark, sf):
     return E.all_metrics(out, ["reduction"], n_groups=2).select("reduction", F.round("roc_auc", 6).alias("roc_auc"))
 
 
+@query(
+    "ml12_perceptron_one_feature",
+    with_("accounts")
+    + f""", {SPLIT_SQL} SELECT p AS penalty, round({VAL_AREA_SQL.format("val")}, 6) AS roc_auc FROM (VALUES ('elasticnet'), ('l2')) t(p)""",
+)
+def ml12c(spark, sf):
+    """The mean of increasing curves of one feature has the feature's own area, whatever the penalty."""
+    parts = by_split(spark, sf)
+    out = None
+    for penalty in models.model_spec("perceptron").grid["penalty"]:
+        pipeline = models.build_pipeline("perceptron", AMOUNT_ONLY, n_train=1, params={"penalty": penalty, "eta0": 0.1})
+        scored = pipeline.fit(parts["train"]).transform(parts["val"])
+        part = models.scored(scored, AMOUNT_ONLY, F.lit(penalty).alias("penalty"))
+        out = part if out is None else out.unionByName(part)
+    return E.roc_auc(out, ["penalty"], n_groups=2).select("penalty", F.round("roc_auc", 6).alias("roc_auc"))
+
+
 # --- validation and search ------------------------------------------------------------------
 
 FOLD5_SQL = """fold AS (SELECT row_id, target, CASE WHEN rn <= n // 5 THEN 0 WHEN rn <= 2 * n // 5 THEN 1

@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskframe.operators import evaluation, features, models, trees, tuning
+from riskframe.operators import evaluation, features, models, perceptron, trees, tuning
 from riskframe.roles import Roles
 from riskframe.session import fresh_path
 from riskframe.sources import runstore
@@ -94,6 +94,81 @@ def test_linear_models_agree_on_one_discriminant(labelled):
     assert found[0] == pytest.approx(found[1], abs=1e-6) and found[0] > 0.8
 
 
+def test_perceptron_steps_match_plain_code(spark, labelled, monkeypatch):
+    """One shard, no penalty: a mini-batch of one row is the perceptron rule, row by row."""
+    monkeypatch.setattr(perceptron, "BATCH_ROWS", 1)
+    data = features.build_preprocessor(ROLES).fit(labelled).transform(labelled)
+    settings = perceptron.Settings(max_iter=1, eta0=0.5)
+    # The rule is written out here; rows come in the order that the shard has.
+    rows = perceptron.shards(data, "features", "target", "row_id").collect()
+    assert len({r.shard for r in rows}) == 1 and len(rows) == 1200
+    w, total = np.zeros(len(rows[0].x) + 1), np.zeros(len(rows[0].x) + 1)
+    for r in rows:
+        x = np.array([*r.x, 1.0])
+        if r.y * (w @ x) <= 0:
+            w = w + 0.5 * r.y * x
+        total += w
+    start, blind = np.zeros((1, len(w))), np.array([-2])
+    frame = perceptron.shards(data, "features", "target", "row_id").toPandas()
+    learner = perceptron._Learner(start, blind, settings)
+    learner.read(np.column_stack([np.stack(frame.x), np.ones(len(frame))]), frame.y.to_numpy(), frame.fold.to_numpy())
+    row = learner.row()
+    assert np.allclose(np.array(row["ends"][0]) / 1200, w) and np.allclose(np.array(row["means"][0]) / 1200, total / 1200)
+
+
+def test_perceptron_mixes_shards(spark, labelled, monkeypatch):
+    """Several shards in any number of files: the mix is the mean of the shards' own ends, by rows."""
+    monkeypatch.setattr(perceptron, "SHARD_ROWS", 300)
+    data = features.build_preprocessor(ROLES).fit(labelled).transform(labelled)
+    rows = perceptron.shards(data, "features", "target", "row_id")
+    settings = perceptron.Settings(eta0=0.1, penalty="elasticnet")
+    start, blind = np.zeros((1, 7)), np.array([-2])
+    totals = perceptron._epoch(rows, start, blind, settings)
+    expected = np.zeros(7)
+    pdf = rows.toPandas()
+    assert pdf["shard"].nunique() == 4
+    for _, part in pdf.groupby("shard"):
+        learner = perceptron._Learner(start, blind, settings)
+        learner.read(np.column_stack([np.stack(part.x), np.ones(len(part))]), part.y.to_numpy(), part.fold.to_numpy())
+        expected += np.array(learner.row()["ends"][0])
+    assert np.allclose(totals["ends"][0], expected) and totals["rows"][0, 0] == 1200
+
+
+def test_perceptron_members_do_not_see_their_fold(spark, labelled):
+    data = features.build_preprocessor(ROLES).fit(labelled).transform(labelled).withColumn("part", F.col("row_id") % 3)
+    both = perceptron.train(data, "features", "target", "row_id", fold="part", members=3)
+    # Labels of a member's own fold do not matter to it, those of the others do.
+    turned = data.withColumn("target", F.when(F.col("part") == 0, 1 - F.col("target")).otherwise(F.col("target")))
+    other = perceptron.train(turned, "features", "target", "row_id", fold="part", members=3)
+    assert np.allclose(both[0], other[0]) and not np.allclose(both[1], other[1])
+
+
+def test_perceptron_edges(spark, labelled):
+    data = features.build_preprocessor(ROLES).fit(labelled).transform(labelled)
+    empty = perceptron.train(data.limit(0), "features", "target", "row_id")
+    assert empty.shape == (1, 1) and not empty.any()
+    unknown = data.withColumn("target", F.when(F.col("row_id") < 600, F.col("target")))
+    known = data.where("row_id < 600")
+    assert np.allclose(
+        perceptron.train(unknown, "features", "target", "row_id"), perceptron.train(known, "features", "target", "row_id")
+    )
+    one = perceptron.train(data.withColumn("target", F.lit(1)), "features", "target", "row_id")[0]
+    margins = data.select(features.dot(F.col("features"), one[:-1].tolist()).alias("m"))
+    assert margins.agg(F.min("m")).first()[0] + one[-1] > 0
+    with pytest.raises(ValueError):
+        perceptron.Settings(penalty="l3")
+
+
+def test_perceptron_area_is_near_the_margin_classifiers(labelled):
+    data = features.build_preprocessor(ROLES).fit(labelled).transform(labelled)
+    areas = []
+    for kind in (models.CalibratedPerceptron, models.CalibratedMarginClassifier):
+        model = kind(labelCol="target", keyCol="row_id").fit(data)
+        out = models.scored(model.transform(data), ROLES, F.lit("m").alias("model"))
+        areas.append(evaluation.roc_auc(out, ["model"], n_groups=1).first().roc_auc)
+    assert areas[0] > areas[1] - 0.01
+
+
 @pytest.mark.parametrize(
     "name, params",
     [("perceptron", {"max_iter": 5}), ("logreg", {}), ("dtree", {"max_depth": 4}),
