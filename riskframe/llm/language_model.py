@@ -9,10 +9,11 @@ Weights come from a hierarchical Dirichlet prior: P(w | h) = (c(h w) + m P(w | s
 arc weighs the whole fraction and a failure arc m / (c(h) + m); the root is additive,
 (c(w) + 0.1) / (N + 0.1 (V + 1)).  All sum to 1.
 
-The automaton of a corpus grows with it and is never in one place.  Documents go in blocks of a few MB.  Each
-block sends its distinct n-grams, as 64-bit keys with training counts, to buckets of the key space; a bucket
-adds up the counts of all blocks and sends each block the totals of its own n-grams.  With these a block builds
-the part of the automaton that its documents can reach, and walks it.
+The automaton of a corpus grows with it and is never in one place.  Documents go in blocks of a MB, blocks in
+groups of several MB.  A group adds up the counts of its blocks and sends its distinct n-grams, as 64-bit keys with
+training counts, to buckets of the key space; a bucket adds up the counts of all groups and sends each group the
+totals of its own n-grams.  From these each block takes its own, builds the part of the automaton that its documents
+can reach, and walks it.
 Keys of two different n-grams fall together with probability n^2 / 2^65 (three in a million for ten million
 words); then their counts add up.
 
@@ -40,8 +41,9 @@ ORDER = 2
 #: Weight of the shorter history, in tokens.
 STRENGTH = 200.0
 ADDED = 0.1
-#: Bytes of text in a block, and text whose n-grams share a bucket.
-BLOCK_BYTES = 2 << 20
+#: Bytes of text in a block and in a group of blocks, and text whose n-grams share a bucket.
+BLOCK_BYTES = 1 << 20
+GROUP_BYTES = 8 << 20
 BUCKET_BYTES = 12 << 20
 #: Text whose n-grams a task of a shuffle reads.
 TASK_BYTES = 32 << 20
@@ -51,40 +53,52 @@ _START = np.uint64(xxhash.xxh64_intdigest(b"start of text"))
 _END = np.uint64(xxhash.xxh64_intdigest(b"end of text"))
 
 
-def blocks(docs: DataFrame, key: str, text: str, train: str) -> DataFrame:
-    """(block, n_docs, n_bytes, payload): rows of a task in groups of about BLOCK_BYTES of text."""
+def groups(docs: DataFrame, key: str, text: str, train: str) -> DataFrame:
+    """(part, n_bytes, payloads): rows of a task in groups of about GROUP_BYTES of text, each a list of blocks."""
 
-    def row(task: int, number: int, batches: list[pa.RecordBatch], size: int) -> pa.RecordBatch:
+    def payload(batches: list[pa.RecordBatch]) -> bytes:
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, batches[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
             for batch in batches:
                 out.write_batch(batch)
-        return pa.RecordBatch.from_pydict(
-            {
-                "block": pa.array([(task << 32) + number], pa.int64()),
-                "n_docs": pa.array([sum(b.num_rows for b in batches)], pa.int64()),
-                "n_bytes": pa.array([size], pa.int64()),
-                "payload": pa.array([sink.getvalue().to_pybytes()], pa.binary()),
-            }
-        )
+        return sink.getvalue().to_pybytes()
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+        task, number = TaskContext.get().partitionId(), 0
+        payloads: list[bytes] = []
+        held: list[pa.RecordBatch] = []
+        size = in_group = 0
+
+        def group() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array([(task << 32) + number], pa.int64()),
+                    "n_bytes": pa.array([in_group], pa.int64()),
+                    "payloads": pa.array([payloads], pa.list_(pa.binary())),
+                }
+            )
+
         for batch in batches:
             sizes = pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False)
             at = 0
             for end, n in enumerate(sizes.tolist(), 1):
                 size += n
                 if size >= BLOCK_BYTES:
-                    yield row(task, number, [*held, batch.slice(at, end - at)], size)
-                    number, held, size, at = number + 1, [], 0, end
+                    payloads.append(payload([*held, batch.slice(at, end - at)]))
+                    in_group, held, size, at = in_group + size, [], 0, end
+                    if in_group >= GROUP_BYTES:
+                        yield group()
+                        number, payloads, in_group = number + 1, [], 0
             if at < batch.num_rows:
                 held.append(batch.slice(at))
         if held:
-            yield row(task, number, held, size)
+            payloads.append(payload(held))
+            in_group += size
+        if payloads:
+            yield group()
 
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(train).alias("train"))
-    return rows.mapInArrow(collect, "block bigint, n_docs bigint, n_bytes bigint, payload binary")
+    return rows.mapInArrow(collect, "part bigint, n_bytes bigint, payloads array<binary>")
 
 
 def _mix(keys: np.ndarray) -> np.ndarray:
@@ -154,32 +168,46 @@ def _bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, np.array(upper, np.uint64)), [len(keys)]]).astype(np.int64)
 
 
-def _send(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(counts, np.flatnonzero(first))
+
+
+def _send(stored: DataFrame, order: int, buckets: int) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for number, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                block = Block(payload.as_py(), order)
+            for number, payloads in zip(batch.column("part").to_pylist(), batch.column("payloads")):
+                found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(order)]
+                for payload in payloads:
+                    for parts, (_, keys, _, counts) in zip(found, Block(payload.as_py(), order).grams):
+                        parts.append((keys, counts))
                 rows: list[tuple] = []
-                for n, (_, keys, _, counts) in enumerate(block.grams, 1):
+                for n, parts in enumerate(found, 1):
+                    keys, counts = _added(*(np.concatenate(column) for column in zip(*parts)))
+                    parts.clear()
                     bounds = _bounds(keys, buckets)
                     for bucket in np.flatnonzero(np.diff(bounds)):
                         mine = slice(bounds[bucket], bounds[bucket + 1])
                         gaps = np.diff(keys[mine], prepend=np.uint64(0))
                         rows.append((n, int(bucket), number, _planes(gaps), _planes(counts[mine].astype(np.uint32))))
-                del block
                 pa.default_memory_pool().release_unused()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    names=["n", "bucket", "block", "gaps", "counts"],
+                    names=["n", "bucket", "part", "gaps", "counts"],
                 )
 
-    return blocks.select("block", "payload").mapInArrow(send, "n int, bucket int, block bigint, gaps binary, counts binary")
+    return stored.select("part", "payloads").mapInArrow(send, "n int, bucket int, part bigint, gaps binary, counts binary")
 
 
 def _add_up(group: pa.Table) -> pa.Table:
-    """Totals of one bucket, handed to each block in the order of its keys."""
+    """Totals of one bucket, handed to each group of blocks in the order of its keys."""
     pa.default_memory_pool().release_unused()
-    numbers = group["block"].to_pylist()
+    numbers = group["part"].to_pylist()
     keys = [np.cumsum(_from_planes(g.as_py(), np.uint64)) for g in group["gaps"]]
     counts = [_from_planes(c.as_py(), np.uint32) for c in group["counts"]]
     distinct, index = np.unique(np.concatenate(keys), return_inverse=True)
@@ -190,7 +218,7 @@ def _add_up(group: pa.Table) -> pa.Table:
     seen[0], tokens[0] = (total > 0).sum(), total.sum()
     return pa.table(
         {
-            "block": pa.array(numbers, pa.int64()),
+            "part": pa.array(numbers, pa.int64()),
             "n": group["n"],
             "bucket": group["bucket"],
             "totals": pa.array([_planes(total[part]) for part in np.split(index, ends[:-1])], pa.binary()),
@@ -295,14 +323,14 @@ def score(
     """
     if order < 1 or not strength > 0:
         raise ValueError("order must be 1 or more and strength positive")
-    stored = materialise(blocks(docs, key, text, train), "lm-blocks")
+    stored = materialise(groups(docs, key, text, train), "lm-groups")
     size = stored.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     # Tasks in proportion to the text, so that none reads more on a larger corpus.
     tasks = max(LEAST_TASKS, math.ceil(size / TASK_BYTES))
     sent = _send(stored, order, buckets)
     totals = materialise(
-        sent.repartition(tasks, "n", "bucket").groupBy("n", "bucket").applyInArrow(_add_up, "block bigint, n int, bucket int, totals binary, seen bigint, tokens bigint"),
+        sent.repartition(tasks, "n", "bucket").groupBy("n", "bucket").applyInArrow(_add_up, "part bigint, n int, bucket int, totals binary, seen bigint, tokens bigint"),
         "lm-totals",
     )
     known = totals.where("n = 1").agg(F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
@@ -311,15 +339,7 @@ def score(
     train_docs = docs.where(F.col(train)).count()
     kind = docs.schema[key].dataType.simpleString()
 
-    def traverse(block: pa.Table, parts: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
-        here = Block(block["payload"][0].as_py(), order)
-        found: dict[int, list[tuple[int, np.ndarray]]] = {}
-        for n, bucket, data in zip(parts["n"].to_pylist(), parts["bucket"].to_pylist(), parts["totals"]):
-            found.setdefault(n, []).append((bucket, _from_planes(data.as_py(), np.int64)))
-        # A block of empty texts has no n-gram of three or more.
-        none = [(0, np.zeros(0, np.int64))]
-        counts = [np.concatenate([c for _, c in sorted(found.get(n, none), key=lambda x: x[0])]) for n in range(1, order + 1)]
+    def walked(here: Block, counts: list[np.ndarray]) -> pa.Table:
         root = (counts[0] + added) / (n_train + added * (vocabulary + 1))
         automaton = Automaton(here, counts, train_docs, root, strength)
         words = here.grams[0][2]
@@ -337,10 +357,39 @@ def score(
             }
         )
 
+    def traverse(group: pa.Table, parts: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
+        payloads = group["payloads"][0]
+        # The group's distinct keys again, in the order in which their totals come.
+        found: list[list[np.ndarray]] = [[] for _ in range(order)]
+        if len(payloads) > 1:
+            for payload in payloads:
+                for keys, (_, distinct, _, _) in zip(found, Block(payload.as_py(), order).grams):
+                    keys.append(distinct)
+        own = [np.unique(np.concatenate(keys)) if keys else None for keys in found]
+        found.clear()
+        sent: dict[int, list[tuple[int, np.ndarray]]] = {}
+        for n, bucket, data in zip(parts["n"].to_pylist(), parts["bucket"].to_pylist(), parts["totals"]):
+            sent.setdefault(n, []).append((bucket, _from_planes(data.as_py(), np.int64)))
+        # A group of empty texts has no n-gram of three or more.
+        none = [(0, np.zeros(0, np.int64))]
+        totals_of = [np.concatenate([c for _, c in sorted(sent.get(n, none), key=lambda x: x[0])]) for n in range(1, order + 1)]
+        sent.clear()
+        tables = []
+        for payload in payloads:
+            here = Block(payload.as_py(), order)
+            counts = [
+                total if keys is None else total[np.searchsorted(keys, distinct)]
+                for keys, total, (_, distinct, _, _) in zip(own, totals_of, here.grams)
+            ]
+            tables.append(walked(here, counts))
+            pa.default_memory_pool().release_unused()
+        return pa.concat_tables(tables)
+
     return (
-        stored.select("block", "payload")
-        .repartition(tasks, "block")
-        .groupBy("block")
-        .cogroup(totals.select("block", "n", "bucket", "totals").repartition(tasks, "block").groupBy("block"))
+        stored.select("part", "payloads")
+        .repartition(tasks, "part")
+        .groupBy("part")
+        .cogroup(totals.select("part", "n", "bucket", "totals").repartition(tasks, "part").groupBy("part"))
         .applyInArrow(traverse, f"`{key}` {kind}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
     )

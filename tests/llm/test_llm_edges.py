@@ -456,14 +456,15 @@ def test_language_model_is_the_same_in_many_blocks(spark):
     draw = random.Random(6)
     rows = [(i, " ".join(draw.choices(["a", "b", "c", "dd", "E"], k=draw.randint(0, 30))), i % 3 > 0) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(3)
-    for order in (1, 2, 3):
+    # Groups of one block, of some, and of all blocks of a task.
+    for order, group in ((1, 1000), (2, 200), (2, 1000), (3, 10**6)):
         one = {r["doc_id"]: r for r in language_model.score(df, order=order, strength=2.0).collect()}
-        old = language_model.BLOCK_BYTES, language_model.BUCKET_BYTES
-        language_model.BLOCK_BYTES, language_model.BUCKET_BYTES = 200, 300
+        old = language_model.BLOCK_BYTES, language_model.GROUP_BYTES, language_model.BUCKET_BYTES
+        language_model.BLOCK_BYTES, language_model.GROUP_BYTES, language_model.BUCKET_BYTES = 200, group, 300
         try:
             many = {r["doc_id"]: r for r in language_model.score(df, order=order, strength=2.0).collect()}
         finally:
-            language_model.BLOCK_BYTES, language_model.BUCKET_BYTES = old
+            language_model.BLOCK_BYTES, language_model.GROUP_BYTES, language_model.BUCKET_BYTES = old
         assert one.keys() == many.keys()
         for k in one:
             assert one[k]["score"] == pytest.approx(many[k]["score"], rel=1e-9)
