@@ -359,15 +359,10 @@ def score(
 
     def traverse(group: pa.Table, parts: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
-        payloads = group["payloads"][0]
+        # All blocks of a group stay until they are walked: splitting texts twice costs more than that memory.
+        held = [Block(payload.as_py(), order) for payload in group["payloads"][0]]
         # The group's distinct keys again, in the order in which their totals come.
-        found: list[list[np.ndarray]] = [[] for _ in range(order)]
-        if len(payloads) > 1:
-            for payload in payloads:
-                for keys, (_, distinct, _, _) in zip(found, Block(payload.as_py(), order).grams):
-                    keys.append(distinct)
-        own = [np.unique(np.concatenate(keys)) if keys else None for keys in found]
-        found.clear()
+        own = [np.unique(np.concatenate([b.grams[n][1] for b in held])) if len(held) > 1 else None for n in range(order)]
         sent: dict[int, list[tuple[int, np.ndarray]]] = {}
         for n, bucket, data in zip(parts["n"].to_pylist(), parts["bucket"].to_pylist(), parts["totals"]):
             sent.setdefault(n, []).append((bucket, _from_planes(data.as_py(), np.int64)))
@@ -376,8 +371,9 @@ def score(
         totals_of = [np.concatenate([c for _, c in sorted(sent.get(n, none), key=lambda x: x[0])]) for n in range(1, order + 1)]
         sent.clear()
         tables = []
-        for payload in payloads:
-            here = Block(payload.as_py(), order)
+        held.reverse()
+        while held:
+            here = held.pop()
             counts = [
                 total if keys is None else total[np.searchsorted(keys, distinct)]
                 for keys, total, (_, distinct, _, _) in zip(own, totals_of, here.grams)
