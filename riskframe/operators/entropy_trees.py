@@ -19,6 +19,7 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegre
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.prefix import BROADCAST_CELLS, SALTS
 from riskframe.session import fresh_path, materialise
 
 
@@ -60,6 +61,23 @@ def _best_splits(level: DataFrame) -> DataFrame:
     return gains.withColumn("_at", F.row_number().over(order)).where("_at = 1").drop("_at")
 
 
+def _below(level: DataFrame, splits: DataFrame, n_splits: int) -> DataFrame:
+    """(y, bins, node): rows in the nodes of the next level, without those that end in a leaf.
+
+    Rows of few distinct bins take next to no space in files, however many they are, so Spark may not choose by
+    size which side is sent to every task: it is the splits, or neither where these are many.
+    """
+    if n_splits * len(splits.columns) <= BROADCAST_CELLS:
+        placed = level.join(F.broadcast(splits), "node")
+    else:
+        # A node may still hold a third of the rows: these are dealt to several tasks.
+        salted = level.withColumn("_salt", F.pmod(F.xxhash64("bins"), F.lit(SALTS)).cast("int"))
+        copies = splits.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        placed = salted.join(copies.hint("merge"), ["node", "_salt"])
+    moved = F.when(F.get("bins", F.col("feature")) <= F.col("cut"), F.col("to_left")).otherwise(F.col("to_right"))
+    return placed.select("y", "bins", moved.alias("node")).where("node >= 0")
+
+
 def grow(
     dataset: DataFrame, features: str, label: str, *, max_depth: int, min_split: int = 2, max_bins: int = 64
 ) -> DecisionTreeRegressionModel:
@@ -103,8 +121,7 @@ def grow(
         if active:
             # One short row per split of this level, each of which stands for at least two rows.
             table = spark.createDataFrame(chosen, "node int, feature int, cut int, to_left int, to_right int")
-            moved = F.when(F.get("bins", F.col("feature")) <= F.col("cut"), F.col("to_left")).otherwise(F.col("to_right"))
-            level = materialise(level.join(table, "node").select("y", "bins", moved.alias("node")).where("node >= 0"), "tree-rows")
+            level = materialise(_below(level, table, len(chosen)), "tree-rows")
     return _as_model(dataset, features, label, nodes)
 
 
