@@ -28,7 +28,7 @@ TASKS_PER_CORE = 4
 #: Spread below this share of the mean square is rounding: the column is constant.
 CONSTANT = 1e-13
 
-_SUMS = ("n", "xy", "x", "y", "xx", "yy")
+_SUMS = ("n", "xy", "x", "y", "xx", "yy", "odd")
 
 
 def _shifts(numbers: DataFrame, columns: list[str]) -> np.ndarray:
@@ -50,7 +50,8 @@ def _shifts(numbers: DataFrame, columns: list[str]) -> np.ndarray:
 def cross_products(df: DataFrame, columns: list[str], block: int = BLOCK) -> DataFrame:
     """(i, j, sums): per pair of blocks i >= j the sums over complete pairs, as arrays in row order of a matrix.
 
-    ``n`` rows with both values, ``xy``, ``x``, ``y``, ``xx``, ``yy`` sums of products and values, relative to a shift.
+    ``n`` rows with both values, ``xy``, ``x``, ``y``, ``xx``, ``yy`` sums of products and values, relative to a shift,
+    without infinite ones; ``odd`` infinite values in rows with both.
     """
     ship(df.sparkSession)
     numbers = df.select(*[number(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
@@ -63,8 +64,11 @@ def cross_products(df: DataFrame, columns: list[str], block: int = BLOCK) -> Dat
         for batch in batches:
             x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
             there = ~np.isnan(x)
-            x = np.where(there, x - shift, 0.0)
+            endless = np.isinf(x)
+            x = np.where(there & ~endless, x - shift, 0.0)
             m = there.astype(float)
+            e = endless.astype(float)
+            some = endless.any()
             xx = x * x
             for i, (a, b) in enumerate(cuts):
                 for j, (c, d) in enumerate(cuts[: i + 1]):
@@ -75,6 +79,7 @@ def cross_products(df: DataFrame, columns: list[str], block: int = BLOCK) -> Dat
                         m[:, a:b].T @ x[:, c:d],
                         xx[:, a:b].T @ m[:, c:d],
                         m[:, a:b].T @ xx[:, c:d],
+                        e[:, a:b].T @ m[:, c:d] + m[:, a:b].T @ e[:, c:d] if some else np.zeros((b - a, d - c)),
                     ]
                     if (i, j) in sums:
                         for total, one in zip(sums[i, j], found):
@@ -94,8 +99,8 @@ def cross_products(df: DataFrame, columns: list[str], block: int = BLOCK) -> Dat
 def pearson(df: DataFrame, columns: list[str], block: int = BLOCK) -> DataFrame:
     """(feature_a, feature_b, corr) for every ordered pair of ``columns``.
 
-    Over the rows that have both values; NaN is missing.  Null where either is constant there or no row has both;
-    a column with itself is 1.
+    Over the rows that have both values; NaN is missing.  Null where either is constant there or no row has both,
+    NaN where one of the values is infinite; a column with itself is 1.
     """
     products = materialise(cross_products(df, columns, block), "cross-products")
 
@@ -116,6 +121,8 @@ def pearson(df: DataFrame, columns: list[str], block: int = BLOCK) -> DataFrame:
         known = (sums["n"] > 0) & (spread["x"] > 0) & (spread["y"] > 0)
         scale = np.sqrt(np.where(known, spread["x"], 1.0)) * np.sqrt(np.where(known, spread["y"], 1.0))
         corr = np.clip((sums["xy"] - sums["x"] * sums["y"] / n) / scale, -1.0, 1.0)
+        # An infinite value has no distance from a mean.
+        corr, known = np.where(sums["odd"] > 0, np.nan, corr), known | (sums["odd"] > 0)
         a, b = np.meshgrid(np.arange(rows) + i * block, np.arange(width) + j * block, indexing="ij")
         a, b, corr, known = a.ravel(), b.ravel(), corr.ravel(), known.ravel()
         if i == j:
@@ -123,6 +130,6 @@ def pearson(df: DataFrame, columns: list[str], block: int = BLOCK) -> DataFrame:
         else:
             a, b, corr, known = np.concatenate([a, b]), np.concatenate([b, a]), np.tile(corr, 2), np.tile(known, 2)
         names = pa.array(columns, pa.string())
-        return pa.table({"feature_a": names.take(pa.array(a)), "feature_b": names.take(pa.array(b)), "corr": pa.array(corr, mask=~known)})
+        return pa.table({"feature_a": names.take(pa.array(a)), "feature_b": names.take(pa.array(b)), "corr": pa.array(corr, mask=~known, from_pandas=False)})
 
     return products.groupBy("i", "j").applyInArrow(finish, "feature_a string, feature_b string, corr double")

@@ -225,8 +225,14 @@ WIDE = {
     + " WHERE split_part(pair, '__', 1) <> split_part(pair, '__', 2)",
 )
 def ag12b(spark, sf):
-    """In blocks of 16 columns."""
-    wide = panel(spark, sf).select(*[F.expr(e).cast("double").alias(c) for c, e in WIDE.items()])
+    """In blocks of 16 columns; a bill over a credit of 0 is infinite, as in the SQL."""
+    exprs = {c: F.expr(e) for c, e in WIDE.items()}
+    bill, credit = (lambda i: F.col(f"bill{i}")), F.col("credit")
+    for i in range(1, 7):
+        over_zero = F.when(bill(i) > 0, float("inf")).when(bill(i) < 0, float("-inf"))
+        share = F.when(credit == 0, over_zero).otherwise(F.try_divide(bill(i), credit))
+        exprs[f"u{i}"] = F.when(F.col(f"delay{i}") > 0, share)
+    wide = panel(spark, sf).select(*[e.cast("double").alias(c) for c, e in exprs.items()])
     return correlation.pearson(wide, list(WIDE), block=16).withColumn("corr", F.round("corr", 6))
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators import correlation, evaluation, intervals, profile
+from riskframe.session import fresh_path
 from riskframe.streaming import drift as stream_drift
 
 
@@ -123,6 +124,35 @@ def test_blocked_correlations_equal_the_single_aggregate(spark):
     assert {r["corr"] for r in correlation.pearson(df.limit(0), names, 4).collect()} <= {None}
 
 
+def test_infinite_values_have_no_correlation(spark):
+    inf = float("inf")
+    rows = [(1.0, 2.0, None, 1.0), (2.0, 5.0, 1.0, 3.0), (inf, 3.0, None, 2.0), (4.0, 8.0, 6.0, 9.0), (7.0, None, 2.0, -inf)]
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(2)
+    for block in (2, 4):
+        got = {(r[0], r[1]): r[2] for r in correlation.pearson(df, names, block).collect()}
+        assert {pair for pair, v in got.items() if v is not None and math.isnan(v)} == {tuple(p) for p in ("ab", "ba", "ad", "da", "cd", "dc")}
+        assert all(got[n, n] == 1.0 for n in names)
+        # The infinite value of a stands in a row without c.
+        assert got["a", "c"] == pytest.approx(float(np.corrcoef([2, 4, 7], [1, 6, 2])[0, 1]))
+        assert got["b", "d"] == pytest.approx(float(np.corrcoef([2, 5, 3, 8], [1, 3, 2, 9])[0, 1]))
+
+
+def test_a_credit_of_zero_gives_infinite_shares(spark):
+    from riskframe.plans import QUERIES
+
+    at = fresh_path(spark, "tables")
+    i = F.col("id")
+    spark.range(8).select(i.alias("c_custkey"), F.when(i == 3, 0.0).otherwise(100.0 + i).alias("c_acctbal")).write.parquet(f"{at}/customer.parquet")
+    spark.range(96).select(
+        (i % 8).alias("o_custkey"), (100.0 + i * i % 37).alias("o_totalprice"), F.lit("P").alias("o_orderstatus"), F.lit("1-URGENT").alias("o_orderpriority"),
+        F.to_timestamp(F.concat((1995 + F.floor(i / 8) % 6).cast("string"), F.lit("-03-01"))).alias("o_orderdate"),
+    ).write.parquet(f"{at}/orders.parquet")
+    got = {(r[0], r[1]): r[2] for r in QUERIES["ag12_pearson_matrix_wide"](spark, at).collect()}
+    assert len(got) == 48 * 48
+    assert math.isnan(got["u1", "b1"]) and got["u1", "u1"] == 1.0 and -1 <= got["b1", "b2"] <= 1
+
+
 def test_two_thousand_columns(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(400, 2000))
