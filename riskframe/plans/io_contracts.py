@@ -25,7 +25,7 @@ from riskframe.plans.bindings import (
 )
 from riskframe.plans.registry import query
 from riskframe.roles import numeric_columns, split_features_target
-from riskframe.session import fresh_path
+from riskframe.session import fresh_path, materialise
 from riskframe.sources import artifacts, runstore, tables
 
 EVENT_SCHEMA = T.StructType(
@@ -262,7 +262,8 @@ def io14(spark, sf):
 )
 def io14b(spark, sf):
     """The altered blocks are named, not only their files."""
-    found = by_folder(artifacts.block_checksums(spark, order_files(spark, sf, altered=True), pattern="part-*", block_bytes=FILE_BLOCK))
+    blocks = artifacts.block_checksums(spark, order_files(spark, sf, altered=True), pattern="part-*", block_bytes=FILE_BLOCK)
+    found = materialise(by_folder(blocks), "digests")
     last = F.floor((F.length("content") - 1) / FILE_BLOCK)
     manifest = given_contents(spark, sf).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
     part = F.substring("content", (F.col("block") * FILE_BLOCK + 1).cast("int"), F.lit(FILE_BLOCK))

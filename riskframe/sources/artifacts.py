@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 
@@ -69,22 +70,25 @@ def _below(path: str) -> Column:
     return F.regexp_extract("path", re.escape(path.rstrip("/")) + "/(.*)$", 1).alias("file_name")
 
 
-#: Bytes of a block that one digest stands for, and tasks at most.
+#: Bytes of a block that one digest stands for, bytes that a task reads, and bytes that opening a file counts for.
 BLOCK_BYTES = 64 << 20
-MAX_TASKS = 100_000
+TASK_BYTES = 64 << 20
+OPEN_BYTES = 64 << 10
 
 
 def block_checksums(spark: SparkSession, path: str, *, pattern: str = "*", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(file_name, block, n_bytes, sha256): a digest for every range of ``block_bytes`` of every file.
 
-    Files may have any size: the ranges of one are read by different tasks, a piece at a time.  Spark lists
-    no empty files, so these have no blocks.
+    Files may have any size: the ranges of one are read by different tasks, a piece at a time; small ranges share
+    a task.  Spark lists no empty files, so these have no blocks.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     # Lengths are known from the listing; no content is read here.
     number = F.ceil(F.col("length") / block_bytes)
     blocks = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), number - 1)).alias("block"))
-    n_blocks = files.agg(F.coalesce(F.sum(number), F.lit(0))).first()[0]
+    n_blocks, n_bytes = files.agg(F.coalesce(F.sum(number), F.lit(0)), F.coalesce(F.sum("length"), F.lit(0))).first()
+    wanted = math.ceil((n_bytes + n_blocks * OPEN_BYTES) / TASK_BYTES)
+    tasks = max(1, min(int(n_blocks), max(wanted, spark.sparkContext.defaultParallelism)))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,7 +111,7 @@ def block_checksums(spark: SparkSession, path: str, *, pattern: str = "*", block
                 names=["path", "block", "n_bytes", "sha256"],
             )
 
-    spread = blocks.select("path", "block").repartition(max(1, min(int(n_blocks), MAX_TASKS)), "path", "block")
+    spread = blocks.select("path", "block").repartition(tasks, "path", "block")
     hashed = spread.mapInArrow(digests, "path string, block bigint, n_bytes bigint, sha256 string")
     return hashed.select(_below(path), "block", "n_bytes", "sha256")
 

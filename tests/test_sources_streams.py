@@ -111,6 +111,23 @@ def test_block_checksums(spark):
     assert {(r.file_name, r.block, r.expected is None) for r in changed} == {("a.bin", 2, False), ("empty.bin", 0, True), ("empty.bin", 1, True)}
 
 
+def test_small_blocks_share_tasks(spark):
+    path = fresh_path(spark, "files")
+    os.makedirs(path)
+    contents = {f"{i}.bin": os.urandom(200 + i) for i in range(150)}
+    for name, data in contents.items():
+        with open(f"{path}/{name}", "wb") as f:
+            f.write(data)
+    found = artifacts.block_checksums(spark, path, block_bytes=64)
+    assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    want = {
+        (name, at // 64): (len(data[at : at + 64]), hashlib.sha256(data[at : at + 64]).hexdigest())
+        for name, data in contents.items()
+        for at in range(0, len(data), 64)
+    }
+    assert {(r.file_name, r.block): (r.n_bytes, r.sha256) for r in found.collect()} == want
+
+
 def test_runs_count_once_and_only_when_committed(spark):
     path = fresh_path(spark, "runs")
 
