@@ -39,9 +39,12 @@ class Cuts:
         """Add the part name of every row; rows of a class unseen by ``fit`` get null.
 
         Few classes become one expression per row; many become a table of boundaries joined by class, so
-        the plan does not grow with them.  Both compare the same digests.
+        the plan does not grow with them.  Both compare the same digests, made once per row; a filter on the
+        part makes them again for every boundary, so write the rows before reading them by part.
         """
-        row_digest = digest(self.key, self.seed)
+        at = f"_{column}_digest"
+        row_digest = F.col(at)
+        df = df.withColumn(at, digest(self.key, self.seed))
 
         def part_of(ends) -> Column:
             part = F.lit(self.names[-1])
@@ -56,12 +59,12 @@ class Cuts:
             table = df.sparkSession.createDataFrame(rows, schema)
             joined = df.join(table, F.col(self.label).eqNullSafe(F.col("_class")), "left")
             part = F.when(F.col("_ends").isNotNull(), part_of(lambda i: F.col("_ends")[i]))
-            return joined.withColumn(column, part).drop("_class", "_ends")
+            return joined.withColumn(column, part).drop("_class", "_ends", at)
         assigned = F.lit(None)
         for value, ends in self.boundaries.items():
             same = F.col(self.label).isNull() if value is None else F.col(self.label) == F.lit(value)
             assigned = F.when(same, part_of(lambda i, e=ends: F.lit(e[i]))).otherwise(assigned)
-        return df.withColumn(column, assigned)
+        return df.withColumn(column, assigned).drop(at)
 
 
 def _fit_cuts(

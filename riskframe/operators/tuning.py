@@ -93,7 +93,9 @@ def cross_validate(
 ) -> DataFrame:
     """(fold, metric, value) of stratified k-fold cross-validation with two scorers."""
     cuts = fit_folds(df, roles.key, roles.target, k=k, seed=seed, prefix_digits=prefix_digits)
-    return fold_metrics(fold_predictions(assign_folds(df, cuts), pipeline, roles, k), n_groups=k)
+    # Written once: every pass of a fit would make the digests of all rows again.
+    folded = materialise(assign_folds(df, cuts), "folds")
+    return fold_metrics(fold_predictions(folded, pipeline, roles, k), n_groups=k)
 
 
 # --- search -------------------------------------------------------------------------
@@ -169,19 +171,27 @@ def learning_curve(
     """
     fractions = fractions or [i / 10 for i in range(1, 11)]
     folded = materialise(assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed)), "folds")
-    n_train = df.count()
-    sides = []
+    n_train = folded.count()
+
+    def cuts_of(i: int):
+        return fit_fractions(folded.where(F.col("fold") != i), roles.key, roles.target, fractions, seed=seed + 1)
+
+    with ThreadPool(min(k, FOLD_THREADS)) as pool:
+        cuts = pool.map(inheritable_thread_target(df.sparkSession)(cuts_of), range(k))
+    # The part of every row under each fold, written once: every pass of a fit would make the digests again.
+    ranked = folded
     for i in range(k):
-        train = folded.where(F.col("fold") != i)
-        held = folded.where(F.col("fold") == i)
-        cuts = fit_fractions(train, roles.key, roles.target, fractions, seed=seed + 1)
-        sides.append((cuts.assign(train, "part").where(F.col("part") != "unused"), held))
+        ranked = cuts[i].assign(ranked, f"_part{i}")
+    others = [c for c in ranked.columns if c not in {f"_part{i}" for i in range(k)}]
+    number = [F.when(F.col(f"_part{i}") != "unused", F.col(f"_part{i}")).cast("int").alias(f"_part{i}") for i in range(k)]
+    ranked = materialise(ranked.select(*others, *number), "parts")
+    sides = [(ranked.where(F.col("fold") != i), ranked.where(F.col("fold") == i)) for i in range(k)]
 
     def areas_at(j: int) -> DataFrame:
         """(fraction, side, fold, roc_auc): one written table per fraction, so that no plan holds all scorings."""
         parts = []
-        for i, (ranked, held) in enumerate(sides):
-            some = ranked.where(F.col("part").cast("int") <= j)
+        for i, (train, held) in enumerate(sides):
+            some = train.where(F.col(f"_part{i}") <= j)
             n = max(1, int(n_train * fractions[j] * (k - 1) / k))
             model = build_pipeline(name, roles, n_train=n, seed=seed, params=params).fit(some)
             for side, rows in (("train", some), ("validation", held)):
