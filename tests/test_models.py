@@ -325,3 +325,30 @@ def test_entropy_tree_without_a_split(spark):
         model = models.build_pipeline("dtree", roles, n_train=1, params={"criterion": "entropy"}).fit(target)
         rates = {r["probability_positive"] for r in models.score_batch(model, target, ["row_id"]).collect()}
         assert rates == {target.agg(F.avg("target")).first()[0]}
+
+
+def test_entropy_tree_sends_no_rows_to_all_tasks(spark):
+    """Rows of few distinct bins are small in files; a level's rows must stay where they are."""
+    i = F.col("id")
+    df = spark.range(200_000).select(i.alias("row_id"), (i % 5).alias("a"), (i % 4).alias("b"), (i * i % 20 < 7).cast("int").alias("target"))
+    roles = Roles("row_id", "target", continuous=[], ordinal=["a", "b"], categorical=[])
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "4m")
+    try:
+        model = models.build_pipeline("dtree", roles, n_train=1, params={"criterion": "entropy"}).fit(df)
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+    scored = models.score_batch(model, df, ["a", "b", "target"]).groupBy("a", "b")
+    for r in scored.agg(F.avg("target").alias("rate"), F.min("probability_positive").alias("lo"), F.max("probability_positive").alias("hi")).collect():
+        assert r["lo"] == r["hi"] == pytest.approx(r["rate"], abs=1e-12)
+
+
+def test_many_splits_move_rows_alike(spark, monkeypatch):
+    from riskframe.operators import entropy_trees
+
+    level = spark.range(300).select((F.col("id") % 2).cast("int").alias("y"), F.array((F.col("id") % 7).cast("int")).alias("bins"), (F.col("id") % 3).cast("int").alias("node"))
+    splits = spark.createDataFrame([(0, 0, 2, 3, 4), (1, 0, 3, -1, 5)], "node int, feature int, cut int, to_left int, to_right int")
+    sent = entropy_trees._below(level, splits, 2)
+    monkeypatch.setattr(entropy_trees, "BROADCAST_CELLS", 0)
+    dealt = entropy_trees._below(level, splits, 2)
+    assert sent.count() == level.where("node = 0 OR node = 1 AND bins[0] > 3").count()
+    assert sent.exceptAll(dealt).isEmpty() and dealt.exceptAll(sent).isEmpty()
