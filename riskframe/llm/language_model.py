@@ -3,7 +3,8 @@
 States are the histories seen in training.  From a state, a token that followed it has an arc of its own;
 any other takes the failure arc to the next shorter history, down to the root, which has an arc for every
 word and one for all unknown words.  An arc ends in the longest history that the new token makes.  A text is
-read once from left to right: the walk carries its state and adds up the log-weights of the arcs it takes.
+read from left to right: the walk carries its state and adds up the log-weights of the arcs it takes.  As a state
+holds a bounded number of tokens, all positions of a block are walked at once.
 
 Weights come from a hierarchical Dirichlet prior: P(w | h) = (c(h w) + m P(w | shorter h)) / (c(h) + m), so an
 arc weighs the whole fraction and a failure arc m / (c(h) + m); the root is additive,
@@ -288,24 +289,42 @@ class Automaton:
                 weight = weight.copy()
                 weight[at] = own[index]
         size = np.concatenate(counts)
-        self.fall = np.log10(strength / (size + strength)).tolist()
-        self.shorter = np.concatenate(shorter).tolist()
-        keys = np.concatenate(sources) * self.width + np.concatenate(labels)
-        self.arcs = dict(zip(keys.tolist(), range(len(keys))))
-        self.weights = np.log10(np.concatenate(weights)).tolist()
-        self.targets = np.concatenate(targets).tolist()
-
-    def walk(self, words: list[int]) -> float:
-        """log10 probability of one text."""
-        find, width, weights, targets = self.arcs.get, self.width, self.weights, self.targets
-        state, total = self.begin, 0.0
-        for word in words:
-            while (arc := find(state * width + word)) is None:
-                total += self.fall[state]
-                state = self.shorter[state]
-            total += weights[arc]
-            state = targets[arc]
-        return total
+        self.fall = np.log10(strength / (size + strength))
+        self.shorter = np.concatenate(shorter)
+        self.steps = order - 1
+        self.arcs = pa.array(np.concatenate(sources) * self.width + np.concatenate(labels))
+        self.weights = np.log10(np.concatenate(weights))
+        self.targets = np.concatenate(targets)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log-weight of the arcs that each state takes for its word, failure arcs first, and the states they end in."""
+        total = np.zeros(len(state))
+        arc = np.full(len(state), -1, np.int64)
+        left = np.arange(len(state))
+        while len(left):
+            found = pc.index_in(pa.array(state[left] * self.width + word[left]), value_set=self.arcs)
+            found = found.fill_null(-1).to_numpy(zero_copy_only=False)
+            arc[left] = found
+            left = left[found < 0]
+            total[left] += self.fall[state[left]]
+            state = state.copy()
+            state[left] = self.shorter[state[left]]
+        return total + self.weights[arc], self.targets[arc]
+
+    def walk(self, words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 probability of each text.
+
+        A state tells at most the last ``order`` - 1 tokens apart, so all positions of all texts walk at once: each
+        carries its state from that many tokens before it, or from the start of its text.
+        """
+        n = len(words)
+        place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
+        state = np.where(place <= self.steps, self.begin, self.ROOT)
+        for back in range(self.steps, 0, -1):
+            # A text's first tokens have fewer before them.
+            at = np.flatnonzero(place >= back)
+            state[at] = self.step(state[at], words[at - back])[1]
+        return np.add.reduceat(self.step(state, words)[0], starts)
 
 
 def score(
@@ -343,7 +362,7 @@ def score(
         root = (counts[0] + added) / (n_train + added * (vocabulary + 1))
         automaton = Automaton(here, counts, train_docs, root, strength)
         words = here.grams[0][2]
-        scores = [automaton.walk(words[i:j].tolist()) for i, j in zip(here.starts.tolist(), here.ends.tolist())]
+        scores = automaton.walk(words, here.starts)
         base, seen = root[words], counts[0][words] > 0
         first = here.starts
         return pa.table(

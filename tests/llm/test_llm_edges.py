@@ -7,6 +7,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -553,3 +554,30 @@ def test_toxicity(spark, docs, none):
     assert toxicity.scored(none, model).count() == 0
     empty = toxicity.learn(corpus, labelled.limit(0))
     assert {r["_score"] for r in toxicity.scored(corpus, empty).collect()} == {0.0}
+
+
+def test_walk_equals_the_automaton_read_token_by_token():
+    """Every position at once against one text after the other, each carrying its own state."""
+    import numpy as np
+
+    texts = ["a b a b c", "", "c", "b a b c a a b", "d d a b"]
+    rows = pa.table({"key": list(range(5)), "text": texts, "train": [True, True, False, True, False]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    for order in (1, 2, 3, 4):
+        block = language_model.Block(sink.getvalue().to_pybytes(), order)
+        counts = [g[3] for g in block.grams]
+        words = block.grams[0][2]
+        root = (counts[0] + 0.1) / (counts[0].sum() + 0.1 * (len(counts[0]) + 1))
+        automaton = language_model.Automaton(block, counts, 3, root, 2.0)
+        arcs = {key: i for i, key in enumerate(automaton.arcs.to_pylist())}
+        want = []
+        for i, j in zip(block.starts, block.ends):
+            state, total = automaton.begin, 0.0
+            for word in words[i:j]:
+                while (arc := arcs.get(int(state * automaton.width + word))) is None:
+                    total, state = total + automaton.fall[state], automaton.shorter[state]
+                total, state = total + automaton.weights[arc], automaton.targets[arc]
+            want.append(total)
+        assert np.allclose(automaton.walk(words, block.starts), want, atol=1e-12)
