@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from riskframe.operators import evaluation, features, models, perceptron, trees, tuning
+from riskframe.operators import evaluation, features, models, perceptron, splits, trees, tuning
 from riskframe.roles import Roles
 from riskframe.session import fresh_path
 from riskframe.sources import runstore
@@ -353,3 +353,18 @@ def test_many_splits_move_rows_alike(spark, monkeypatch):
     dealt = entropy_trees._below(level, splits, 2)
     assert sent.count() == level.where("node = 0 OR node = 1 AND bins[0] > 3").count()
     assert sent.exceptAll(dealt).isEmpty() and dealt.exceptAll(sent).isEmpty()
+
+
+def test_digests_are_made_once_per_row(spark, labelled, monkeypatch):
+    def digests(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("md5(")
+
+    assert digests(splits.assign_folds(labelled, splits.fit_folds(labelled, "row_id", "target", k=5))) == 1
+    seen, plain = [], tuning.scored
+    monkeypatch.setattr(tuning, "scored", lambda df, *rest: seen.append(df) or plain(df, *rest))
+    roles = Roles("row_id", "target", continuous=["credit"])
+    pipeline = models.build_pipeline("logreg", roles, n_train=1200, params={"max_iter": 3})
+    assert tuning.cross_validate(labelled, pipeline, roles, k=2).count() == 4
+    curve = tuning.learning_curve(labelled, "logreg", roles, k=2, fractions=[0.5, 1.0], params={"max_iter": 3})
+    assert curve.count() == 4 and len(seen) == 2 + 8
+    assert all(digests(df) == 0 for df in seen)
