@@ -50,11 +50,29 @@ def fold_predictions(folded: DataFrame, pipeline: Pipeline, roles: Roles, k: int
         return _union(pool.map(inheritable_thread_target(folded.sparkSession)(part), range(k)))
 
 
+def folded_rows(df: DataFrame, roles: Roles, *, k: int, seed: int, prefix_digits: int = 4) -> DataFrame:
+    """The rows with their fold, written once: every pass of a fit would make the digests of all rows again."""
+    cuts = fit_folds(df, roles.key, roles.target, k=k, seed=seed, prefix_digits=prefix_digits)
+    return materialise(assign_folds(df, cuts), "folds")
+
+
+def _prepared(
+    folded: DataFrame, seen: DataFrame, roles: Roles, reduction: tuple[str, int] | None
+) -> tuple[PipelineModel, DataFrame]:
+    """Preprocessing fitted on ``seen``, and the vectors of all folded rows under it, written once."""
+    stages, column = preprocessor_stages(roles, "features"), "features"
+    if reduction is not None:
+        stages += reduction_stages(*reduction, label_col=roles.target, input_col="features", output_col="reduced")
+        column = "reduced"
+    model = Pipeline(stages=stages).fit(seen)
+    return model, materialise(model.transform(folded).select(roles.key, roles.target, "fold", column), "prepared")
+
+
 class PreparedFolds:
     """Vectors of every row under the preprocessing of each fold's training side, written once.
 
-    Preprocessing depends on the fold and not on the settings searched, so it is fitted ``k`` times whatever
-    the number of settings, and a fit reads finished vectors.
+    Preprocessing depends on the fold and not on the classifier or its settings, so it is fitted ``k`` times whatever
+    their number, and a fit reads finished vectors.
     """
 
     def __init__(self, folded: DataFrame, roles: Roles, k: int, reduction: tuple[str, int] | None = None):
@@ -62,23 +80,39 @@ class PreparedFolds:
         self.column = "features" if reduction is None else "reduced"
 
         def prepared(i: int) -> DataFrame:
-            stages = preprocessor_stages(roles, "features")
-            if reduction is not None:
-                stages += reduction_stages(*reduction, label_col=roles.target, input_col="features", output_col="reduced")
-            model = Pipeline(stages=stages).fit(folded.where(F.col("fold") != i))
-            kept = model.transform(folded).select(roles.key, roles.target, "fold", self.column)
-            return materialise(kept, "prepared")
+            return _prepared(folded, folded.where(F.col("fold") != i), roles, reduction)[1]
 
         with ThreadPool(min(k, FOLD_THREADS)) as pool:
             self.tables = pool.map(inheritable_thread_target(folded.sparkSession)(prepared), range(k))
 
-    def predictions(self, classifier: Estimator) -> DataFrame:
+    def predictions(self, classifier: Estimator, threads: int = 1) -> DataFrame:
         """(fold, key, y, score, prediction) of one classifier over all folds."""
-        parts = []
-        for i, table in enumerate(self.tables):
+
+        def part(i: int) -> DataFrame:
+            table = self.tables[i]
             model = classifier.fit(table.where(F.col("fold") != i))
-            parts.append(scored(model.transform(table.where(F.col("fold") == i)), self.roles, F.lit(i).alias("fold")))
-        return _union(parts)
+            return scored(model.transform(table.where(F.col("fold") == i)), self.roles, F.lit(i).alias("fold"))
+
+        with ThreadPool(min(self.k, threads)) as pool:
+            return _union(pool.map(inheritable_thread_target(self.tables[0].sparkSession)(part), range(self.k)))
+
+
+class PreparedTraining:
+    """Training rows as vectors, under the preprocessing of all of them and of each fold.
+
+    No classifier changes them, so all models of a sweep read the same.  ``seconds`` is the time that a fit of
+    the whole pipeline would have spent on the preprocessing of all rows.
+    """
+
+    def __init__(self, folded: DataFrame, roles: Roles, k: int, reduction: tuple[str, int] | None = None):
+        started = time.perf_counter()
+        self.model, self.rows = _prepared(folded, folded, roles, reduction)
+        self.seconds = time.perf_counter() - started
+        self.folds = PreparedFolds(folded, roles, k, reduction)
+
+    def fit(self, pipeline: Pipeline) -> PipelineModel:
+        """The fitted pipeline; only its classifier is fitted here."""
+        return PipelineModel([*self.model.stages, pipeline.getStages()[-1].fit(self.rows)])
 
 
 def fold_metrics(predictions: DataFrame, group: list[str] | None = None, n_groups: int | None = None) -> DataFrame:
@@ -89,13 +123,25 @@ def fold_metrics(predictions: DataFrame, group: list[str] | None = None, n_group
 
 
 def cross_validate(
-    df: DataFrame, pipeline: Pipeline, roles: Roles, *, k: int = 5, seed: int = 42, prefix_digits: int = 4
+    df: DataFrame,
+    pipeline: Pipeline,
+    roles: Roles,
+    *,
+    k: int = 5,
+    seed: int = 42,
+    prefix_digits: int = 4,
+    prepared: PreparedFolds | None = None,
 ) -> DataFrame:
-    """(fold, metric, value) of stratified k-fold cross-validation with two scorers."""
-    cuts = fit_folds(df, roles.key, roles.target, k=k, seed=seed, prefix_digits=prefix_digits)
-    # Written once: every pass of a fit would make the digests of all rows again.
-    folded = materialise(assign_folds(df, cuts), "folds")
-    return fold_metrics(fold_predictions(folded, pipeline, roles, k), n_groups=k)
+    """(fold, metric, value) of stratified k-fold cross-validation with two scorers.
+
+    Folds that were ``prepared`` with the pipeline's preprocessing are not made again.
+    """
+    if prepared is not None:
+        predictions = prepared.predictions(pipeline.getStages()[-1], FOLD_THREADS)
+    else:
+        folded = folded_rows(df, roles, k=k, seed=seed, prefix_digits=prefix_digits)
+        predictions = fold_predictions(folded, pipeline, roles, k)
+    return fold_metrics(predictions, n_groups=k)
 
 
 # --- search -------------------------------------------------------------------------
@@ -113,6 +159,7 @@ def search(
     metric: str = "roc_auc",
     parallelism: int = 4,
     reduction: tuple[str, int] | None = None,
+    prepared: PreparedTraining | None = None,
 ) -> tuple[PipelineModel, dict, DataFrame]:
     """Best model refitted on all rows, its settings, and (combo, settings..., score).
 
@@ -124,23 +171,26 @@ def search(
         raise ValueError("search by 'roc_auc' or 'f1_macro'")
     n_train = df.count()
     points = search_points(name, n_iter=n_iter, seed=seed, grid=grid)
-    folded = materialise(assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed)), "folds")
-
-    prepared = PreparedFolds(folded, roles, k, reduction)
+    if prepared is None:
+        folded = folded_rows(df, roles, k=k, seed=seed)
+        folds = PreparedFolds(folded, roles, k, reduction)
+    else:
+        folds = prepared.folds
 
     def pipeline(p: dict) -> Pipeline:
         return build_pipeline(name, roles, n_train=n_train, seed=seed, params=p, reduction=reduction)
 
     def score(p: dict) -> float:
-        classifier = model_spec(name).make(roles, n_train, prepared.column, seed, **p)
-        rows = fold_metrics(prepared.predictions(classifier), n_groups=k)
+        classifier = model_spec(name).make(roles, n_train, folds.column, seed, **p)
+        rows = fold_metrics(folds.predictions(classifier), n_groups=k)
         value = rows.where(F.col("metric") == metric).agg(F.avg("value").alias("score")).first()["score"]
         return float("-inf") if value is None else float(value)
 
     with ThreadPool(max(1, min(parallelism, len(points)))) as pool:
         scores = pool.map(inheritable_thread_target(df.sparkSession)(score), points)
     best = max(range(len(points)), key=lambda i: scores[i])
-    best_model = pipeline(points[best]).fit(folded)
+    refit = pipeline(points[best])
+    best_model = refit.fit(folded) if prepared is None else prepared.fit(refit)
     names = sorted({k_ for p in points for k_ in p})
     table = df.sparkSession.createDataFrame(
         [
@@ -170,7 +220,7 @@ def learning_curve(
     Training parts are nested: each fraction contains the smaller ones.
     """
     fractions = fractions or [i / 10 for i in range(1, 11)]
-    folded = materialise(assign_folds(df, fit_folds(df, roles.key, roles.target, k=k, seed=seed)), "folds")
+    folded = folded_rows(df, roles, k=k, seed=seed)
     n_train = folded.count()
 
     def cuts_of(i: int):
@@ -229,17 +279,21 @@ def train_and_evaluate(
     grid: dict[str, list] | None = None,
     n_iter: int = 30,
     parallelism: int = 4,
+    prepared: PreparedTraining | None = None,
 ) -> tuple[PipelineModel, dict]:
     """Cross-validate, optionally search, fit, score validation; returns model and run record.
 
     The cross-validation figures are those of the settings that are finally fitted; for a
-    tuned run the figures before tuning are kept as ``cv_untuned_*``.
+    tuned run the figures before tuning are kept as ``cv_untuned_*``.  ``prepared`` holds the training rows
+    under the same folds and reduction; the time of its preprocessing counts as training time.
     """
     n_train = train.count()
     pipeline = build_pipeline(name, roles, n_train=n_train, seed=seed, params=params, reduction=reduction)
 
     def cv_summary(p: Pipeline) -> dict[str, float]:
-        rows = evaluation.fold_summary(cross_validate(train, p, roles, k=k, seed=seed).withColumn("g", F.lit(0)), ["g"])
+        folds = None if prepared is None else prepared.folds
+        by_fold = cross_validate(train, p, roles, k=k, seed=seed, prepared=folds)
+        rows = evaluation.fold_summary(by_fold.withColumn("g", F.lit(0)), ["g"])
         found = {r["metric"]: (r["mean"], r["std"]) for r in rows.collect()}
         return {
             "cv_roc_auc_mean": found["roc_auc"][0],
@@ -255,12 +309,13 @@ def train_and_evaluate(
         metrics.update({k_.replace("cv_", "cv_untuned_", 1): v for k_, v in cv_summary(pipeline).items()})
         started = time.perf_counter()
         model, chosen, _ = search(
-            train, name, roles, k=k, seed=seed, n_iter=n_iter, grid=grid, parallelism=parallelism, reduction=reduction
+            train, name, roles, k=k, seed=seed, n_iter=n_iter, grid=grid, parallelism=parallelism, reduction=reduction,
+            prepared=prepared,
         )
         pipeline = build_pipeline(name, roles, n_train=n_train, seed=seed, params=chosen, reduction=reduction)
     else:
-        model = pipeline.fit(train)
-    metrics["training_time_s"] = time.perf_counter() - started
+        model = pipeline.fit(train) if prepared is None else prepared.fit(pipeline)
+    metrics["training_time_s"] = time.perf_counter() - started + (0.0 if prepared is None else prepared.seconds)
     metrics.update(cv_summary(pipeline))
 
     predictions = scored(model.transform(val), roles, F.lit(name).alias("model"))
@@ -381,14 +436,19 @@ def train_sweep(
     train: DataFrame,
     val: DataFrame,
     roles: Roles,
+    *,
+    k: int = 5,
+    seed: int = 42,
     **settings,
 ) -> list[dict]:
-    """A run record per model and reduction."""
+    """A run record per model and reduction; all runs share their folds, those of a reduction their vectors."""
+    folded = folded_rows(train, roles, k=k, seed=seed)
     out = []
     for reduction in reductions:
         stage = "baseline" if reduction is None else "dimred"
+        shared = {"k": k, "seed": seed, "prepared": PreparedTraining(folded, roles, k, reduction)}
         for name in names:
-            out.append(train_and_evaluate(name, train, val, roles, stage=stage, reduction=reduction, **settings)[1])
+            out.append(train_and_evaluate(name, train, val, roles, stage=stage, reduction=reduction, **shared, **settings)[1])
     return out
 
 

@@ -368,3 +368,37 @@ def test_digests_are_made_once_per_row(spark, labelled, monkeypatch):
     curve = tuning.learning_curve(labelled, "logreg", roles, k=2, fractions=[0.5, 1.0], params={"max_iter": 3})
     assert curve.count() == 4 and len(seen) == 2 + 8
     assert all(digests(df) == 0 for df in seen)
+
+
+def test_a_sweep_shares_folds_and_vectors(labelled, monkeypatch):
+    """Folds are made once and preprocessing is fitted once per reduction and side, whatever the number of models."""
+    train, val = labelled.where("row_id % 4 <> 0"), labelled.where("row_id % 4 = 0")
+    settings = {"k": 2, "seed": 7, "params": {"max_depth": 3, "max_iter": 5}}
+    names, reductions = ["dtree", "logreg"], [None, ("pca", 2)]
+    alone = [
+        tuning.train_and_evaluate(n, train, val, ROLES, stage="dimred" if r else "baseline", reduction=r, **settings)[1]
+        for r in reductions for n in names
+    ]
+    calls, folds, scaler = [], tuning.fit_folds, features.PopulationScaler._fit
+    monkeypatch.setattr(tuning, "fit_folds", lambda *a, **k: calls.append("folds") or folds(*a, **k))
+    monkeypatch.setattr(features.PopulationScaler, "_fit", lambda self, df: calls.append("scaler") or scaler(self, df))
+    swept = tuning.train_sweep(names, reductions, train, val, ROLES, **settings)
+    assert calls.count("folds") == 1 and calls.count("scaler") == len(reductions) * 3
+    timed = {"training_time_s", "inference_latency_ms"}
+    for a, b in zip(alone, swept, strict=True):
+        assert a.keys() == b.keys() and a["metrics"].keys() == b["metrics"].keys()
+        assert all(a[key] == b[key] for key in a if key not in ("metrics", "dimred_explained_variance"))
+        assert all(a["metrics"][m] == pytest.approx(b["metrics"][m], abs=1e-6) for m in a["metrics"] if m not in timed)
+        assert b["metrics"]["training_time_s"] > 0
+        if b["dimred_method"] == "pca":
+            assert float(a["dimred_explained_variance"]) == pytest.approx(float(b["dimred_explained_variance"]))
+
+
+def test_a_tuned_run_of_shared_vectors(labelled):
+    roles = Roles("row_id", "target", continuous=["credit"])
+    train, val = labelled.where("row_id % 4 <> 0"), labelled.where("row_id % 4 = 0")
+    settings = {"k": 2, "tune": True, "grid": {"max_depth": [1, 3], "criterion": ["gini"]}}
+    _, alone = tuning.train_and_evaluate("dtree", train, val, roles, **settings)
+    (swept,) = tuning.train_sweep(["dtree"], [None], train, val, roles, **settings)
+    assert swept["params"] == alone["params"] and swept["search_type"] == alone["search_type"]
+    assert swept["metrics"]["roc_auc"] == pytest.approx(alone["metrics"]["roc_auc"], abs=1e-6)
