@@ -100,8 +100,8 @@ class PreparedFolds:
 class PreparedTraining:
     """Training rows as vectors, under the preprocessing of all of them and of each fold.
 
-    No classifier changes them, so all models of a sweep read the same.  ``seconds`` is the time that a fit of
-    the whole pipeline would have spent on the preprocessing of all rows.
+    No classifier changes them, so all models of a sweep read the same.  ``seconds`` is the time for fitting the
+    preprocessing of all rows and writing their vectors.
     """
 
     def __init__(self, folded: DataFrame, roles: Roles, k: int, reduction: tuple[str, int] | None = None):
