@@ -67,7 +67,10 @@ def file_checksums(spark: SparkSession, path: str, *, pattern: str = "*") -> Dat
 
 
 def _below(path: str) -> Column:
-    return F.regexp_extract("path", re.escape(path.rstrip("/")) + "/(.*)$", 1).alias("file_name")
+    # Spark names file:/x what a caller may name /x or file:///x; a relative path is found where it stands.
+    place = re.sub("^[^/:]+:(//[^/]*)?(?=/)", "", path.rstrip("/"))
+    start = "^(?:[^/:]+:)?(?://[^/]*)?" if place.startswith("/") else ""
+    return F.regexp_extract("path", start + re.escape(place) + "/(.*)$", 1).alias("file_name")
 
 
 #: Bytes of a block that one digest stands for, bytes that a task reads, and bytes that opening a file counts for.

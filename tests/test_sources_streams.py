@@ -128,6 +128,24 @@ def test_small_blocks_share_tasks(spark):
     assert {(r.file_name, r.block): (r.n_bytes, r.sha256) for r in found.collect()} == want
 
 
+def test_names_below_a_folder_given_as_uri(spark):
+    path = fresh_path(spark, "files")
+    os.makedirs(f"{path}/part=1")
+    with open(f"{path}/part=1/a.bin", "wb") as f:
+        f.write(b"x" * 100)
+    # The last one is the end of an absolute path, as a relative one is.
+    for spelled in (path, f"{path}/", f"file:{path}", f"file://{path}", f"file://{path}/", path[1:]):
+        below = spark.createDataFrame([(f"file:{path}/part=1/a.bin",)], "path string").select(artifacts._below(spelled))
+        assert below.first().file_name == "part=1/a.bin", spelled
+    for spelled in (path, f"file:{path}", f"file://{path}"):
+        assert [r.file_name for r in artifacts.file_checksums(spark, spelled).collect()] == ["part=1/a.bin"]
+        blocks = artifacts.block_checksums(spark, spelled, block_bytes=64)
+        assert {(r.file_name, r.block, r.n_bytes) for r in blocks.collect()} == {("part=1/a.bin", 0, 64), ("part=1/a.bin", 1, 36)}
+    remote = spark.createDataFrame([("hdfs://x/x/part=1/a.bin",)], "path string")
+    for spelled in ("hdfs://x/x", "hdfs:///x", "/x"):
+        assert remote.select(artifacts._below(spelled)).first().file_name == "part=1/a.bin"
+
+
 def test_runs_count_once_and_only_when_committed(spark):
     path = fresh_path(spark, "runs")
 
