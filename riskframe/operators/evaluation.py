@@ -9,13 +9,17 @@ distinct score, so neither depends on how many rows share a model or a score.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import join_groups, prefix_counts
 from riskframe.operators.splits import digest
+from riskframe.session import ship
 
 
 def ratio0(numerator: Column, denominator: Column) -> Column:
@@ -149,6 +153,133 @@ def roc_auc(
     return auc_of(score_table(df, group, y, score, n_groups=n_groups), group)
 
 
+# Rows whose scores a task sorts at a time, and scores of a bucket, about.
+RUN_ROWS = 1 << 19
+BUCKET_SCORES = 1 << 20
+# Sampled rows per bucket that its borders come from.
+BORDER_ROWS = 2_048
+
+
+def _packed(values: np.ndarray) -> tuple[bytes, bytes | None]:
+    """Ascending values, and how often each occurs if many are equal; without counts every value counts once."""
+    if len(values) < 2:
+        return values.tobytes(), None
+    # NaN, which sorts last, equals itself here as it does in a ``groupBy``.
+    first = np.flatnonzero(np.concatenate([[True], (values[1:] != values[:-1]) & ~np.isnan(values[:-1])]))
+    if 2 * len(first) > len(values):
+        return values.tobytes(), None
+    return values[first].tobytes(), np.diff(np.append(first, len(values))).astype(np.int64).tobytes()
+
+
+def _unpacked(values: list[bytes], counts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending values of several runs, and how many values there are up to each place."""
+    runs = [np.frombuffer(v, np.float64) for v in values]
+    times = [np.ones(len(r), np.int64) if c is None else np.frombuffer(c, np.int64) for r, c in zip(runs, counts, strict=True)]
+    joined, n = np.concatenate([np.zeros(0), *runs]), np.concatenate([np.zeros(0, np.int64), *times])
+    if all(c is None for c in counts):
+        joined.sort()
+    else:
+        order = np.argsort(joined)
+        joined, n = joined[order], n[order]
+    return joined, np.concatenate([[0], np.cumsum(n)])
+
+
+def _sorted_runs(borders: list[np.ndarray]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sorted scores of each class, per place in the array of scores and bucket."""
+
+    def pieces(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        y = np.concatenate([b.column("y").fill_null(-1).to_numpy(zero_copy_only=False) for b in batches])
+        flat = pa.concat_arrays([b.column("scores").flatten() for b in batches])
+        shape = (len(y), len(borders))
+        missing = flat.is_null().to_numpy(zero_copy_only=False).reshape(shape)
+        scores = flat.to_numpy(zero_copy_only=False).reshape(shape)
+        for at, ends in enumerate(borders):
+            column, here = scores[:, at], ~missing[:, at]
+            sides = []
+            for label in (1, 0):
+                values = np.sort(column[here & (y == label)])
+                sides.append(np.split(values, np.searchsorted(values, ends, "left")))
+            rows = [
+                (at, b, *_packed(positive), *_packed(negative))
+                for b, (positive, negative) in enumerate(zip(*sides, strict=True))
+                if len(positive) or len(negative)
+            ]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUNS)], schema=_RUNS)
+
+    def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= RUN_ROWS:
+                yield from pieces(held)
+                held, n = [], 0
+        if n:
+            yield from pieces(held)
+
+    return sort
+
+
+def _bucket_wins(runs: pa.Table) -> pa.Table:
+    """Scores of each class in a bucket, and twice the pairs that a positive one wins there."""
+    columns = {c: runs.column(c).to_pylist() for c in ("positive", "positives", "negative", "negatives")}
+    positive, up_to = _unpacked(columns["positive"], columns["positives"])
+    negative, below = _unpacked(columns["negative"], columns["negatives"])
+    won = below[np.searchsorted(negative, positive, "left")] + below[np.searchsorted(negative, positive, "right")]
+    return pa.Table.from_pydict(
+        {
+            "at": runs.column("at")[:1], "bucket": runs.column("bucket")[:1], "pos": [int(up_to[-1])],
+            "neg": [int(below[-1])], "wins": [int(np.dot(np.diff(up_to), won))],
+        },
+        schema=_WINS,
+    )
+
+
+_RUNS = pa.schema(
+    [
+        ("at", pa.int32()), ("bucket", pa.int32()), ("positive", pa.binary()), ("positives", pa.binary()),
+        ("negative", pa.binary()), ("negatives", pa.binary()),
+    ]
+)
+_WINS = pa.schema([("at", pa.int32()), ("bucket", pa.int32()), ("pos", pa.int64()), ("neg", pa.int64()), ("wins", pa.int64())])
+
+
+def roc_areas(rows: DataFrame, width: int, score: Callable[[DataFrame], DataFrame], key: str) -> DataFrame:
+    """(at, roc_auc): for each place of an array of ``width`` scores what ``roc_auc`` gives for the scores in that place.
+
+    ``score`` makes (y, scores) of rows.  A row is passed on once for all its scores.  Tasks sort the scores of some rows
+    and cut them at borders of buckets; a bucket of each place is joined from its sorted runs, and totals of buckets
+    become offsets.  Equal scores of a run are one value and a count.  Results are exact; only borders come from a
+    sketch, over rows picked by ``key`` before they are scored.
+    """
+    ship(rows.sparkSession)
+    n = rows.count()
+    buckets = max(1, math.ceil(n / BUCKET_SCORES))
+    borders: list[np.ndarray] = [np.zeros(0)] * width
+    if buckets > 1:
+        every = max(1, n // (buckets * BORDER_ROWS))
+        picked = score(rows.where(F.pmod(F.xxhash64(f"`{key}`"), F.lit(every)) == 0))
+        probs = [i / buckets for i in range(1, buckets)]
+        marks = picked.agg(
+            *[F.percentile_approx(F.get("scores", F.lit(at)), probs, 4 * buckets).alias(f"m{at}") for at in range(width)]
+        ).first()
+        borders = [np.unique(np.array(m or [], float)) for m in marks]
+    scored = score(rows).select(F.col("y").cast("int").alias("y"), "scores")
+    runs = scored.mapInArrow(
+        _sorted_runs(borders), "at int, bucket int, positive binary, positives binary, negative binary, negatives binary"
+    )
+    cells = runs.groupBy("at", "bucket").applyInArrow(_bucket_wins, "at int, bucket int, pos long, neg long, wins long")
+    # One row per place and bucket.
+    lower = Window.partitionBy("at").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("neg_before", F.coalesce(F.sum("neg").over(lower), F.lit(0)))
+    across = 2 * F.col("pos").cast("decimal(19,0)") * F.col("neg_before").cast("decimal(18,0)")
+    out = cells.groupBy("at").agg(
+        F.sum(across + F.col("wins")).alias("_w"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n")
+    )
+    return out.select("at", _area(F.col("_w"), F.col("_p"), F.col("_n")).alias("roc_auc"))
+
+
 def curve_points(table: DataFrame, group: list[str], score: str = "score") -> DataFrame:
     """(group, threshold, tp, fp, tpr, fpr, precision, recall) predicting 1 at score >= threshold."""
     out = table.select(

@@ -42,29 +42,60 @@ class Cuts:
         the plan does not grow with them.  Both compare the same digests, made once per row; a filter on the
         part makes them again for every boundary, so write the rows before reading them by part.
         """
-        at = f"_{column}_digest"
-        row_digest = F.col(at)
-        df = df.withColumn(at, digest(self.key, self.seed))
-
-        def part_of(ends) -> Column:
-            part = F.lit(self.names[-1])
-            for i, name in reversed(list(enumerate(self.names[:-1]))):
-                part = F.when(row_digest <= ends(i), F.lit(name)).otherwise(part)
-            return part
-
-        if len(self.boundaries) > INLINE_CLASSES:
-            kind = df.schema[self.label].dataType
-            rows = [(value, ends) for value, ends in self.boundaries.items()]
+        return assign_all(df, [self], [column])
+
+    def _part(self, row_digest: Column, ends: Column) -> Column:
+        """Name of the first part whose end is not below the digest.
+
+        A search in an array: a branch per boundary would make the compiled code too long for the JVM to compile it.
+        """
+        names = F.array(*[F.lit(n) for n in (self.names[-1], *self.names[:-1])])
+        at = F.array_position(F.transform(ends, lambda end: row_digest <= end), True).cast("int")
+        # Asking for null here keeps the digest out of the search, where it would be made for every boundary.
+        return F.when(ends.isNull(), None).when(row_digest.isNull(), F.lit(self.names[-1])).otherwise(F.get(names, at))
+
+
+def assign_all(df: DataFrame, cuts: list[Cuts], columns: list[str]) -> DataFrame:
+    """Add a part name per cuts, as ``Cuts.assign`` does; cuts of the same key and seed share the digests."""
+    digests = {(c.key, c.seed): f"_{column}_digest" for c, column in reversed(list(zip(cuts, columns, strict=True)))}
+    for (key, seed), at in digests.items():
+        df = df.withColumn(at, digest(key, seed))
+    for c, column in zip(cuts, columns, strict=True):
+        row_digest = F.col(digests[c.key, c.seed])
+        if len(c.boundaries) > INLINE_CLASSES:
+            kind = df.schema[c.label].dataType
+            rows = [(value, ends) for value, ends in c.boundaries.items()]
             schema = T.StructType([T.StructField("_class", kind), T.StructField("_ends", T.ArrayType(T.StringType()))])
             table = df.sparkSession.createDataFrame(rows, schema)
-            joined = df.join(table, F.col(self.label).eqNullSafe(F.col("_class")), "left")
-            part = F.when(F.col("_ends").isNotNull(), part_of(lambda i: F.col("_ends")[i]))
-            return joined.withColumn(column, part).drop("_class", "_ends", at)
-        assigned = F.lit(None)
-        for value, ends in self.boundaries.items():
-            same = F.col(self.label).isNull() if value is None else F.col(self.label) == F.lit(value)
-            assigned = F.when(same, part_of(lambda i, e=ends: F.lit(e[i]))).otherwise(assigned)
-        return df.withColumn(column, assigned).drop(at)
+            joined = df.join(table, F.col(c.label).eqNullSafe(F.col("_class")), "left")
+            df = joined.withColumn(column, c._part(row_digest, F.col("_ends"))).drop("_class", "_ends")
+            continue
+        ends = F.lit(None).cast("array<string>")
+        for value, listed in c.boundaries.items():
+            same = F.col(c.label).isNull() if value is None else F.col(c.label) == F.lit(value)
+            ends = F.when(same, F.array(*[F.lit(e) for e in listed])).otherwise(ends)
+        df = df.withColumn(column, c._part(row_digest, ends))
+    return df.drop(*digests.values())
+
+
+def _located(counts: DataFrame, by: list[str], ends: list[Column]) -> DataFrame:
+    """(by..., prefix, cut, nth): the prefix that holds each end, and the end's place among the rows of that prefix."""
+    whole = Window.partitionBy(*by)
+    running = whole.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(
+        *by,
+        "prefix",
+        "n",
+        F.coalesce(F.sum("n").over(running), F.lit(0)).alias("before"),
+        F.sum("n").over(whole).alias("n_class"),
+    )
+    cut = F.posexplode(F.array(*[e.cast("long") for e in ends])).alias("cut", "rank")
+    located = counts.select("*", cut)
+    located = located.where(
+        ((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n")))
+        | ((F.col("rank") <= 0) & (F.col("before") == 0))
+    )
+    return located.select(*by, "prefix", "cut", (F.col("rank") - F.col("before")).alias("nth"))
 
 
 def _fit_cuts(
@@ -80,22 +111,7 @@ def _fit_cuts(
     rows = df.select(F.col(label).alias("label"), digest(key, seed).alias("digest"))
     rows = rows.withColumn("prefix", F.substring("digest", 1, prefix_digits))
     counts = rows.groupBy("label", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy("label")
-    running = whole.orderBy("prefix").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(
-        "label",
-        "prefix",
-        "n",
-        F.coalesce(F.sum("n").over(running), F.lit(0)).alias("before"),
-        F.sum("n").over(whole).alias("n_class"),
-    )
-    cut = F.posexplode(F.array(*[e.cast("long") for e in ends])).alias("cut", "rank")
-    located = counts.select("*", cut)
-    located = located.where(
-        ((F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("before") + F.col("n")))
-        | ((F.col("rank") <= 0) & (F.col("before") == 0))
-    )
-    found = located.select("label", "prefix", "cut", (F.col("rank") - F.col("before")).alias("nth"))
+    found = _located(counts, ["label"], ends)
     # One row per class and cut: the size of the answer.
     found = materialise(found, "cuts")
     located_rows = found.collect()
@@ -112,6 +128,36 @@ def _fit_cuts(
     return Cuts(key, label, seed, names, boundaries)
 
 
+def fit_fold_fractions(
+    df: DataFrame, key: str, label: str, fractions: list[float], fold: str, k: int, *, seed: int = 42, prefix_digits: int = 4
+) -> list[Cuts]:
+    """For each of ``k`` folds what ``fit_fractions`` gives for the rows of all other folds, in two passes for all of them."""
+    names, ends = _fractions(fractions)
+    rows = df.where(F.col(fold).isNotNull()).select(
+        F.col(label).alias("label"), F.col(fold).alias("fold"), digest(key, seed).alias("digest")
+    )
+    rows = rows.withColumn("prefix", F.substring("digest", 1, prefix_digits))
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda m: m != F.col("fold"))).alias("member")
+    counts = rows.groupBy("label", "prefix", "fold").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("label", "prefix", "n", others).groupBy("member", "label", "prefix").agg(F.sum("n").alias("n"))
+    # One row per fold, class and cut: the size of the answer.
+    found = materialise(_located(counts, ["member", "label"], ends), "cuts")
+    located_rows = found.collect()
+
+    boundaries: list[dict[object, list[str]]] = [{} for _ in range(k)]
+    for r in located_rows:
+        boundaries[r["member"]].setdefault(r["label"], [""] * len(ends))
+    wanted = found.where(F.col("nth") > 0).withColumnsRenamed({c: f"_{c}" for c in ("member", "label", "prefix", "nth")})
+    same_cell = F.col("label").eqNullSafe(F.col("_label")) & (F.col("prefix") == F.col("_prefix"))
+    nth = Window.partitionBy("member", "label", "prefix").orderBy("digest")
+    near = rows.join(wanted.select("_label", "_prefix").distinct(), same_cell, "left_semi")
+    ranked = near.select("label", "prefix", "digest", others).withColumn("nth", F.row_number().over(nth))
+    same_rank = same_cell & (F.col("member") == F.col("_member")) & (F.col("nth") == F.col("_nth"))
+    for r in ranked.join(wanted, same_rank).select("member", "label", "cut", "digest").collect():
+        boundaries[r["member"]][r["label"]][r["cut"]] = r["digest"]
+    return [Cuts(key, label, seed, names, b) for b in boundaries]
+
+
 def _check_ratios(train: float, val: float, test: float) -> None:
     if min(train, val, test) < 0:
         raise ValueError("split ratios must not be negative")
@@ -162,14 +208,19 @@ def assign_folds(df: DataFrame, folds: Cuts, column: str = "fold") -> DataFrame:
     return folds.assign(df, column).withColumn(column, F.col(column).cast("int"))
 
 
+def _fractions(fractions: list[float]) -> tuple[list[str], list[Column]]:
+    """Names of the parts, and formulas of their ends, of nested samples."""
+    if sorted(fractions) != list(fractions) or not 0 < fractions[0] <= fractions[-1] <= 1:
+        raise ValueError("fractions must ascend within (0, 1]")
+    ends = [F.floor(F.col("n_class") * F.lit(float(f)) + 0.5) for f in fractions]
+    return [str(i) for i in range(len(fractions))] + ["unused"], ends
+
+
 def fit_fractions(
     df: DataFrame, key: str, label: str, fractions: list[float], *, seed: int = 42, prefix_digits: int = 4
 ) -> Cuts:
     """Nested stratified samples: part ``i`` completes the first ``fractions[i]`` of each class."""
-    if sorted(fractions) != list(fractions) or not 0 < fractions[0] <= fractions[-1] <= 1:
-        raise ValueError("fractions must ascend within (0, 1]")
-    ends = [F.floor(F.col("n_class") * F.lit(float(f)) + 0.5) for f in fractions]
-    names = [str(i) for i in range(len(fractions))] + ["unused"]
+    names, ends = _fractions(fractions)
     return _fit_cuts(df, key, label, seed, names, ends, prefix_digits)
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import platform
 import time
-from functools import reduce
-from multiprocessing.pool import ThreadPool
+from functools import partial, reduce
+from multiprocessing.pool import AsyncResult, ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions.expressions import run_name, typed_param
@@ -22,13 +22,15 @@ from riskframe.operators.models import (
     scored,
     search_points,
 )
-from riskframe.operators.splits import assign_folds, fit_folds, fit_fractions
+from riskframe.operators.splits import assign_all, assign_folds, fit_fold_fractions, fit_folds
 from riskframe.roles import Roles
 from riskframe.session import materialise
 from riskframe.sources import runstore
 
 METRICS = ["roc_auc", "f1_macro", "precision_macro", "recall_macro", "accuracy"]
 FOLD_THREADS = 4
+# Fits and scorings of a learning curve that run side by side.
+CURVE_THREADS = (6, 2)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -222,40 +224,53 @@ def learning_curve(
     fractions = fractions or [i / 10 for i in range(1, 11)]
     folded = folded_rows(df, roles, k=k, seed=seed)
     n_train = folded.count()
-
-    def cuts_of(i: int):
-        return fit_fractions(folded.where(F.col("fold") != i), roles.key, roles.target, fractions, seed=seed + 1)
-
-    with ThreadPool(min(k, FOLD_THREADS)) as pool:
-        cuts = pool.map(inheritable_thread_target(df.sparkSession)(cuts_of), range(k))
+    cuts = fit_fold_fractions(folded, roles.key, roles.target, fractions, "fold", k, seed=seed + 1)
     # The part of every row under each fold, written once: every pass of a fit would make the digests again.
-    ranked = folded
-    for i in range(k):
-        ranked = cuts[i].assign(ranked, f"_part{i}")
-    others = [c for c in ranked.columns if c not in {f"_part{i}" for i in range(k)}]
+    ranked = assign_all(folded, cuts, [f"_part{i}" for i in range(k)])
     number = [F.when(F.col(f"_part{i}") != "unused", F.col(f"_part{i}")).cast("int").alias(f"_part{i}") for i in range(k)]
-    ranked = materialise(ranked.select(*others, *number), "parts")
+    ranked = materialise(ranked.select(*folded.columns, *number), "parts")
     sides = [(ranked.where(F.col("fold") != i), ranked.where(F.col("fold") == i)) for i in range(k)]
 
-    def areas_at(j: int) -> DataFrame:
-        """(fraction, side, fold, roc_auc): one written table per fraction, so that no plan holds all scorings."""
-        parts = []
-        for i, (train, held) in enumerate(sides):
-            some = train.where(F.col(f"_part{i}") <= j)
-            n = max(1, int(n_train * fractions[j] * (k - 1) / k))
-            model = build_pipeline(name, roles, n_train=n, seed=seed, params=params).fit(some)
-            for side, rows in (("train", some), ("validation", held)):
-                tags = [F.lit(float(fractions[j])).alias("fraction"), F.lit(side).alias("side"), F.lit(i).alias("fold")]
-                parts.append(scored(model.transform(rows), roles, *tags))
-        return materialise(evaluation.roc_auc(_union(parts), ["fraction", "side", "fold"], n_groups=2 * k), "curve")
-
-    with ThreadPool(FOLD_THREADS) as pool:
-        areas = _union(pool.map(inheritable_thread_target(df.sparkSession)(areas_at), range(len(fractions))))
+    def model_of(i: int, j: int) -> PipelineModel:
+        n = max(1, int(n_train * fractions[j] * (k - 1) / k))
+        some = sides[i][0].where(F.col(f"_part{i}") <= j)
+        return build_pipeline(name, roles, n_train=n, seed=seed, params=params).fit(some)
+
+    def areas_of(i: int, fitted: list[AsyncResult]) -> DataFrame:
+        """(fraction, side, fold, roc_auc): all models of a fold score its rows in one pass per side."""
+        part, parts = F.col(f"_part{i}"), []
+
+        def scores(rows: DataFrame, side: str) -> DataFrame:
+            for j, model in enumerate(fitted):
+                seen = part <= j if side == "train" else F.lit(True)
+                rows = _with_score(rows, model.get(), roles, f"_score{j}", seen)
+            listed = F.array(*[f"_score{j}" for j in range(len(fractions))]).alias("scores")
+            return rows.select(F.col(roles.target).cast("int").alias("y"), listed)
+
+        for side, rows in (("train", sides[i][0].where(part.isNotNull())), ("validation", sides[i][1])):
+            areas = evaluation.roc_areas(rows, len(fractions), partial(scores, side=side), roles.key)
+            fraction = F.get(F.array(*[F.lit(float(f)) for f in fractions]), F.col("at")).alias("fraction")
+            parts.append(areas.select(fraction, F.lit(side).alias("side"), F.lit(i).alias("fold"), "roc_auc"))
+        return materialise(_union(parts), "curve")
+
+    # Fits are independent; the models of a fold score while those of the next are fitted.
+    run = inheritable_thread_target(df.sparkSession)
+    with ThreadPool(CURVE_THREADS[0]) as fits, ThreadPool(CURVE_THREADS[1]) as scorings:
+        models = [[fits.apply_async(run(model_of), (i, j)) for j in range(len(fractions))] for i in range(k)]
+        areas = _union(scorings.starmap(run(areas_of), enumerate(models), 1))
     return areas.groupBy("fraction", "side").agg(
         F.avg("roc_auc").alias("mean"), F.stddev_pop("roc_auc").alias("std")
     )
 
 
+def _with_score(df: DataFrame, model: PipelineModel, roles: Roles, name: str, where: Column) -> DataFrame:
+    """``df`` and the model's score of the rows ``where`` it is asked for, null elsewhere."""
+    kept = [F.col(f"`{c}`").alias(f"_kept{n}") for n, c in enumerate(df.columns)]
+    score = F.when(F.col("_where"), F.col("score")).alias(name)
+    out = scored(model.transform(df), roles, where.alias("_where"), *kept)
+    return out.select(*[F.col(f"_kept{n}").alias(c) for n, c in enumerate(df.columns)], score)
+
+
 def validation_curve(results: DataFrame, param: str) -> DataFrame:
     """(value, mean_score, n) of a search result by one setting."""
     return selection.mean_score_by_param(results, param)

@@ -1,5 +1,7 @@
 """Feature stages, classifiers, persistence, trees."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
@@ -402,3 +404,93 @@ def test_a_tuned_run_of_shared_vectors(labelled):
     (swept,) = tuning.train_sweep(["dtree"], [None], train, val, roles, **settings)
     assert swept["params"] == alone["params"] and swept["search_type"] == alone["search_type"]
     assert swept["metrics"]["roc_auc"] == pytest.approx(alone["metrics"]["roc_auc"], abs=1e-6)
+
+
+def test_a_learning_curve_scores_rows_once_for_all_models_of_a_fold(labelled, monkeypatch):
+    """Equal to fits, scorings and areas made one by one; parts under all folds are found in the same passes."""
+    fractions, k, params = [0.3, 1.0], 3, {"max_iter": 4}
+    passes, areas = [], tuning.evaluation.roc_areas
+    monkeypatch.setattr(tuning.evaluation, "roc_areas", lambda *a, **o: passes.append(a) or areas(*a, **o))
+    found = {
+        (r["fraction"], r["side"]): (r["mean"], r["std"])
+        for r in tuning.learning_curve(labelled, "logreg", ROLES, fractions=fractions, k=k, params=params).collect()
+    }
+    assert len(passes) == 2 * k
+    folded = tuning.folded_rows(labelled, ROLES, k=k, seed=42)
+    each = {}
+    for i in range(k):
+        others, held = folded.where(F.col("fold") != i), folded.where(F.col("fold") == i)
+        part = splits.fit_fractions(others, "row_id", "target", fractions, seed=43).assign(others, "part")
+        for j, f in enumerate(fractions):
+            some = part.where(F.col("part").isin(*[str(p) for p in range(j + 1)]))
+            n = max(1, int(folded.count() * f * (k - 1) / k))
+            model = models.build_pipeline("logreg", ROLES, n_train=n, params=params).fit(some)
+            for side, rows in (("train", some), ("validation", held)):
+                scores = models.scored(model.transform(rows), ROLES, F.lit(0).alias("g"))
+                each.setdefault((f, side), []).append(evaluation.roc_auc(scores, ["g"], n_groups=1).first()["roc_auc"])
+    assert found.keys() == each.keys()
+    for at, values in each.items():
+        assert found[at] == pytest.approx((np.mean(values), np.std(values)), abs=1e-9)
+
+
+@pytest.mark.parametrize("seed", [43, 7])
+def test_fractions_of_all_folds_at_once(labelled, seed):
+    """The cuts of every fold's other rows, with classes and keys that are missing or come twice."""
+    odd = labelled.select(
+        F.when(F.col("row_id") % 50 == 0, None).when(F.col("row_id") % 7 == 0, 7).otherwise(F.col("row_id")).alias("row_id"),
+        F.when(F.col("row_id") % 11 == 0, None).otherwise(F.col("target")).alias("target"),
+        F.when(F.col("row_id") % 13 != 0, (F.col("row_id") % 3).cast("int")).alias("fold"),
+    )
+    fractions = [0.001, 0.3, 0.7, 1.0]
+    found = splits.fit_fold_fractions(odd, "row_id", "target", fractions, "fold", 3, seed=seed, prefix_digits=2)
+    for i, cuts in enumerate(found):
+        alone = splits.fit_fractions(odd.where(F.col("fold") != i), "row_id", "target", fractions, seed=seed, prefix_digits=2)
+        assert cuts == alone
+
+
+def test_assigning_by_few_and_by_many_classes(spark, labelled, monkeypatch):
+    """A row is in the first part whose end is not below its digest, whichever way the ends reach it."""
+    odd = labelled.select(
+        F.when(F.col("row_id") % 50 == 0, None).otherwise(F.col("row_id")).alias("row_id"),
+        F.when(F.col("row_id") % 11 == 0, None).otherwise(F.col("row_id") % 4).alias("label"),
+    )
+    cuts = [splits.Cuts("row_id", "label", s, ["a", "b", "c"], {0: ["", "8"], 1: ["4", "4"], None: ["c", "1"]}) for s in (1, 1, 2)]
+    columns = ["p", "q", "r"]
+
+    def named(row, c):
+        if row.label not in c.boundaries:
+            return None
+        digest = None if row.row_id is None else hashlib.md5(f"{c.seed}:{row.row_id}".encode()).hexdigest()
+        return next((n for n, e in zip(c.names, c.boundaries[row.label]) if digest is not None and digest <= e), c.names[-1])
+
+    few = splits.assign_all(odd, cuts, columns)
+    assert few._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 2
+    monkeypatch.setattr(splits, "INLINE_CLASSES", 2)
+    for rows in (few.collect(), splits.assign_all(odd, cuts, columns).collect()):
+        assert len(rows) == odd.count() and rows[0].__fields__ == ["row_id", "label", *columns]
+        assert all(row[c] == named(row, cut) for row in rows for c, cut in zip(columns, cuts))
+
+
+@pytest.mark.parametrize("bucket", [1 << 20, 40])
+def test_areas_of_an_array_of_scores(spark, monkeypatch, bucket):
+    """Place by place what ``roc_auc`` gives: tied, missing, infinite and NaN scores, missing labels, one class, no rows."""
+    monkeypatch.setattr(evaluation, "BUCKET_SCORES", bucket)
+    monkeypatch.setattr(evaluation, "RUN_ROWS", 64)
+    monkeypatch.setattr(evaluation, "BORDER_ROWS", 8)
+    i = F.col("id")
+    h = F.pmod(F.xxhash64(i), F.lit(1000)) / 1000.0
+    y = F.when(i % 17 == 0, None).otherwise((h + F.pmod(F.xxhash64(i, F.lit(1)), F.lit(100)) / 100.0 > 1.0).cast("int"))
+    places = [
+        h,
+        F.round(h, 1),
+        F.when(i % 3 == 0, h),
+        F.when(i % 5 == 0, float("nan")).when(i % 5 == 1, float("inf")).when(i % 5 == 2, -0.0).when(i % 5 == 3, 0.0).otherwise(-h),
+        F.when(F.col("y") == 1, h),
+        F.lit(None).cast("double"),
+        F.lit(0.25),
+    ]
+    df = spark.range(900).withColumn("y", y).select(i.alias("key"), "y", F.array(*places).alias("scores"))
+    found = {r["at"]: r["roc_auc"] for r in evaluation.roc_areas(df, len(places), lambda rows: rows, "key").collect()}
+    long = df.select("y", F.posexplode("scores").alias("at", "score"))
+    plain = {r["at"]: r["roc_auc"] for r in evaluation.roc_auc(long, ["at"], n_groups=len(places)).collect()}
+    assert found == plain and 5 not in found and found[4] is None and found[6] == 0.5
